@@ -66,3 +66,108 @@ def vip_list(spark, d):
                             ["c_acctbal", "c_mktsegment", "c_nationkey"], age_col="c_acctbal",
                             age_edges=VIP_BALANCE_EDGES, age_labels=VIP_BALANCE_LABELS)
     return rfm_plan.with_double_money(out)
+
+
+# ---------------------------------------------------------------- cohorts
+from ledgerlens.plans import cohort as cohort_plan  # noqa: E402
+from ledgerlens.plans import pareto as pareto_plan  # noqa: E402
+from ledgerlens.plans import customer_value as cv  # noqa: E402
+
+RENEWAL_STATUS = "P"
+
+
+def _cohort_orders(spark, d):
+    return cohort_plan.cohort_orders(_t(spark, d, "orders"), "o_custkey", "o_orderdate",
+                                     "o_orderstatus")
+
+
+@query
+def cohort_retention(spark, d):
+    return cohort_plan.retention(_cohort_orders(spark, d))
+
+
+@query
+def cohort_renewal(spark, d):
+    return cohort_plan.renewal(_cohort_orders(spark, d), RENEWAL_STATUS)
+
+
+@query
+def cohort_matrix(spark, d):
+    return cohort_plan.matrix_corner(cohort_plan.retention(_cohort_orders(spark, d)),
+                                     "retention_pct")
+
+
+@query
+def cohort_rate_means(spark, d):
+    co = _cohort_orders(spark, d)
+    return cohort_plan.rate_means(cohort_plan.retention(co),
+                                  cohort_plan.renewal(co, RENEWAL_STATUS))
+
+
+# ---------------------------------------------------------------- pareto
+@query
+def pareto_top(spark, d):
+    return pareto_plan.pareto_top(
+        pareto_plan.revenue_per_customer(_t(spark, d, "orders"), "o_custkey", "o_totalprice"))
+
+
+@query
+def pareto_80(spark, d):
+    return pareto_plan.pareto_80(
+        pareto_plan.revenue_per_customer(_t(spark, d, "orders"), "o_custkey", "o_totalprice"))
+
+
+# ---------------------------------------------------------------- customer value
+CUSTOMER_ATTRS = ["c_mktsegment", "c_acctbal", "c_nationkey"]
+
+
+def _facts(spark, d):
+    return cv.order_facts(_t(spark, d, "orders"), _t(spark, d, "lineitem"),
+                          key="o_custkey", order_id="o_orderkey", date="o_orderdate",
+                          amount="o_totalprice", company="o_orderpriority",
+                          line_order_key="l_orderkey", line_price="l_extendedprice",
+                          line_qty="l_quantity")
+
+
+def _lines_with_customer(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .select(F.col("o_custkey").alias(cv.KEY), F.col("l_partkey").alias("product"),
+                    F.col("l_suppkey").alias("channel")))
+
+
+def _volume_margin(spark, d):
+    return cv.volume_margin(_facts(spark, d), _t(spark, d, "customer"), "c_custkey",
+                            CUSTOMER_ATTRS)
+
+
+@query
+def volume_margin(spark, d):
+    return _volume_margin(spark, d)
+
+
+@query
+def volume_margin_corr(spark, d):
+    return cv.volume_margin_corr(_volume_margin(spark, d))
+
+
+@query
+def volume_margin_tiers(spark, d):
+    return cv.volume_margin_by_tier(_volume_margin(spark, d), "c_mktsegment")
+
+
+def _feature_table(spark, d):
+    scored = rfm_plan.rfm(_t(spark, d, "orders"))
+    feats = cv.feature_aggregates(_facts(spark, d), _lines_with_customer(spark, d))
+    return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats)
+
+
+@query
+def customer_features(spark, d):
+    return rfm_plan.with_double_money(_feature_table(spark, d))
+
+
+@query
+def feature_summary(spark, d):
+    return cv.feature_summary(_feature_table(spark, d))

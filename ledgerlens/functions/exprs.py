@@ -31,7 +31,7 @@ def safe_div(num, den) -> Column:
 
 def pct(num, den, digits: int | None = 6) -> Column:
     """100 * num / den as a double, rounded so results repeat across engines."""
-    v = (F.try_divide(col_of(num), col_of(den)) * F.lit(100)).cast("double")
+    v = F.try_divide(col_of(num).cast("double"), col_of(den).cast("double")) * F.lit(100.0)
     return F.round(v, digits) if digits is not None else v
 
 

@@ -112,3 +112,179 @@ SELECT top.customer_key, recency, frequency, CAST(monetary AS DOUBLE) AS monetar
             WHEN rfm_total >= 8 THEN 'Silver' ELSE 'Bronze' END AS vip_tier
 FROM top LEFT JOIN cu ON cu.c_custkey = top.customer_key
 """
+
+_COHORT = """
+WITH o AS (
+  SELECT o_custkey AS customer_key, CAST(o_orderdate AS DATE) AS d, o_orderstatus AS flag
+  FROM orders WHERE o_orderdate IS NOT NULL AND o_custkey IS NOT NULL),
+f AS (SELECT customer_key, min(d) AS first_date FROM o GROUP BY customer_key),
+co AS (
+  SELECT o.customer_key, o.flag, strftime(f.first_date, '%Y-%m') AS cohort_month,
+         CAST((year(o.d) - year(f.first_date)) * 12 + (month(o.d) - month(f.first_date)) + 1 AS BIGINT) AS cohort_index
+  FROM o JOIN f USING (customer_key)),
+cells AS (SELECT cohort_month, cohort_index, count(DISTINCT customer_key) AS customers
+          FROM co GROUP BY ALL),
+size AS (SELECT cohort_month, customers AS cohort_size FROM cells WHERE cohort_index = 1),
+ret AS (
+  SELECT cells.*, size.cohort_size,
+         round(CAST(customers AS DOUBLE) / CAST(cohort_size AS DOUBLE) * 100, 6) AS retention_pct
+  FROM cells LEFT JOIN size USING (cohort_month)),
+ren AS (SELECT cohort_month, cohort_index, count(DISTINCT customer_key) AS renewals
+        FROM co WHERE flag = 'P' GROUP BY ALL),
+grid AS (SELECT s.cohort_month, s.cohort_size, i.cohort_index
+         FROM size s CROSS JOIN (SELECT DISTINCT cohort_index FROM ret) i),
+renf AS (
+  SELECT g.cohort_month, g.cohort_index, g.cohort_size,
+         CASE WHEN r.renewals IS NOT NULL THEN r.renewals
+              WHEN g.cohort_month NOT IN (SELECT cohort_month FROM ren)
+                OR g.cohort_index NOT IN (SELECT cohort_index FROM ren) THEN 0 END AS renewals
+  FROM grid g LEFT JOIN ren r USING (cohort_month, cohort_index)),
+renr AS (
+  SELECT cohort_month, cohort_index, renewals, cohort_size,
+         round(CAST(renewals AS DOUBLE) / CAST(cohort_size AS DOUBLE) * 100, 6) AS renewal_pct
+  FROM renf WHERE renewals IS NOT NULL)"""
+
+SQL["cohort_retention"] = _COHORT + """
+SELECT cohort_month, cohort_index, customers, cohort_size, retention_pct FROM ret
+"""
+
+SQL["cohort_renewal"] = _COHORT + """
+SELECT cohort_month, cohort_index, renewals, cohort_size, renewal_pct FROM renr
+"""
+
+SQL["cohort_matrix"] = _COHORT + """,
+firsts AS (SELECT DISTINCT cohort_month FROM ret ORDER BY cohort_month LIMIT 10)
+SELECT cohort_month,
+""" + ",\n".join(
+    f"  max(CASE WHEN cohort_index = {i} THEN retention_pct END) AS m{i}" for i in range(1, 13)
+) + """
+FROM ret WHERE cohort_month IN (SELECT cohort_month FROM firsts) GROUP BY cohort_month
+"""
+
+SQL["cohort_rate_means"] = _COHORT + """
+SELECT (SELECT round(avg(retention_pct), 6) FROM ret WHERE cohort_index = 2) AS avg_retention_idx2,
+       (SELECT round(avg(renewal_pct), 6) FROM renr WHERE cohort_index = 2) AS avg_renewal_idx2,
+       (SELECT round(avg(renewal_pct), 6) FROM renr WHERE cohort_index = 13) AS avg_renewal_idx13
+"""
+
+_REV = """
+WITH rev AS (
+  SELECT o_custkey AS customer_key, coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS revenue
+  FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey),
+tot AS (SELECT sum(revenue) AS total, count(*) AS n FROM rev),
+run AS (
+  SELECT customer_key, revenue,
+         row_number() OVER (ORDER BY revenue DESC, customer_key) AS rnk,
+         sum(revenue) OVER (ORDER BY revenue DESC, customer_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM rev)"""
+
+SQL["pareto_top"] = _REV + """
+SELECT CAST(rnk AS BIGINT) AS rank, customer_key, CAST(revenue AS DOUBLE) AS revenue,
+       round(CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) * 100, 6) AS cumulative_pct
+FROM run CROSS JOIN tot WHERE rnk <= 20
+"""
+
+SQL["pareto_80"] = _REV + """
+SELECT n AS total_customers, CAST(total AS DOUBLE) AS total_revenue,
+       (SELECT count(*) FROM run WHERE cum <= total * 0.8) + 1 AS customers_for_share,
+       round(CAST((SELECT count(*) FROM run WHERE cum <= total * 0.8) + 1 AS DOUBLE) / CAST(n AS DOUBLE) * 100, 6) AS pct_customers_for_share
+FROM tot
+"""
+
+_FACTS = """
+WITH lo AS (
+  SELECT l_orderkey AS ok, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS volume,
+         sum(l_quantity) AS duration
+  FROM lineitem GROUP BY l_orderkey),
+facts AS (
+  SELECT o_custkey AS customer_key, o_orderkey AS ok, CAST(o_orderdate AS DATE) AS order_date,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS margin, o_orderpriority AS company,
+         coalesce(lo.volume, 0) AS volume, lo.duration
+  FROM orders LEFT JOIN lo ON lo.ok = o_orderkey WHERE o_custkey IS NOT NULL),
+cu AS (SELECT c_custkey, min(c_name) AS c_name, min(c_nationkey) AS c_nationkey,
+              min(c_acctbal) AS c_acctbal, min(c_mktsegment) AS c_mktsegment
+       FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey),
+vm AS (
+  SELECT p.customer_key, CAST(sm AS DOUBLE) AS total_margin, CAST(sv AS DOUBLE) AS total_volume,
+         order_count, company,
+         round(CAST(sm AS DOUBLE) / CAST(order_count AS DOUBLE), 6) AS avg_margin,
+         round(CAST(sv AS DOUBLE) / CAST(order_count AS DOUBLE), 6) AS avg_volume,
+         cu.c_mktsegment, cu.c_acctbal, cu.c_nationkey
+  FROM (SELECT customer_key, sum(margin) AS sm, sum(volume) AS sv, count(ok) AS order_count,
+               arg_max(company, (order_date, ok)) FILTER (WHERE company IS NOT NULL) AS company
+        FROM facts GROUP BY customer_key) p
+  LEFT JOIN cu ON cu.c_custkey = p.customer_key)"""
+
+SQL["volume_margin"] = _FACTS + """
+SELECT * FROM vm
+"""
+
+SQL["volume_margin_corr"] = _FACTS + """
+SELECT count(*) AS n_customers, round(corr(total_volume, total_margin), 6) AS corr_volume_margin FROM vm
+"""
+
+SQL["volume_margin_tiers"] = _FACTS + """
+SELECT c_mktsegment,
+       round_even(CAST(sum(CAST(total_volume AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(customer_key) AS DOUBLE), 0) AS avg_volume,
+       round_even(CAST(sum(CAST(total_margin AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(customer_key) AS DOUBLE), 0) AS avg_margin,
+       round_even(CAST(sum(order_count) AS DOUBLE) / CAST(count(customer_key) AS DOUBLE), 0) AS avg_orders,
+       count(customer_key) AS count
+FROM vm WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment
+"""
+
+_FEATURES = _RFM + "," + _FACTS.replace("WITH lo AS", "lo AS", 1) + """,
+fa AS (
+  SELECT customer_key, count(ok) AS order_count, CAST(sum(margin) AS DOUBLE) AS margin_sum,
+         round(CAST(sum(margin) AS DOUBLE) / CAST(count(ok) AS DOUBLE), 6) AS margin_mean,
+         round(stddev_samp(CAST(margin AS DOUBLE)), 6) AS margin_std,
+         CAST(sum(volume) AS DOUBLE) AS volume_sum,
+         round(CAST(sum(volume) AS DOUBLE) / CAST(count(ok) AS DOUBLE), 6) AS volume_mean,
+         min(order_date) AS first_order_date, max(order_date) AS last_order_date,
+         round(CAST(sum(duration) AS DOUBLE) / CAST(count(duration) AS DOUBLE), 6) AS duration_mean,
+         arg_max(company, (order_date, ok)) FILTER (WHERE company IS NOT NULL) AS last_company
+  FROM facts GROUP BY customer_key),
+dc AS (
+  SELECT o_custkey AS customer_key, count(DISTINCT l_partkey) AS n_products,
+         count(DISTINCT l_suppkey) AS n_channels
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey),
+gl AS (SELECT max(last_order_date) AS gl FROM fa),
+ft0 AS (
+  SELECT rfm.customer_key, recency, frequency, CAST(monetary AS DOUBLE) AS monetary,
+         r_score, f_score, m_score, rfm_score, rfm_total, segment,
+         cu.c_name, cu.c_nationkey, cu.c_acctbal, cu.c_mktsegment,
+         fa.order_count, fa.margin_sum, fa.margin_mean, fa.margin_std, fa.volume_sum, fa.volume_mean,
+         fa.first_order_date, fa.last_order_date, fa.duration_mean, fa.last_company,
+         dc.n_products, dc.n_channels,
+         CAST(date_diff('day', fa.first_order_date, fa.last_order_date) AS BIGINT) AS customer_tenure_days,
+         CAST(date_diff('day', fa.first_order_date, (SELECT gl FROM gl)) AS BIGINT) AS days_since_first_order,
+         recency AS days_since_last_order
+  FROM rfm LEFT JOIN cu ON cu.c_custkey = rfm.customer_key
+  LEFT JOIN fa ON fa.customer_key = rfm.customer_key
+  LEFT JOIN dc ON dc.customer_key = rfm.customer_key),
+ft AS (
+  SELECT customer_key, recency, frequency, monetary, r_score, f_score, m_score, rfm_score, rfm_total,
+         segment, c_name, coalesce(c_nationkey, 0) AS c_nationkey, coalesce(c_acctbal, 0) AS c_acctbal,
+         c_mktsegment, coalesce(order_count, 0) AS order_count, coalesce(margin_sum, 0) AS margin_sum,
+         coalesce(margin_mean, 0) AS margin_mean, coalesce(margin_std, 0) AS margin_std,
+         coalesce(volume_sum, 0) AS volume_sum, coalesce(volume_mean, 0) AS volume_mean,
+         first_order_date, last_order_date, coalesce(duration_mean, 0) AS duration_mean, last_company,
+         coalesce(n_products, 0) AS n_products, coalesce(n_channels, 0) AS n_channels,
+         coalesce(customer_tenure_days, 0) AS customer_tenure_days,
+         coalesce(days_since_first_order, 0) AS days_since_first_order, days_since_last_order
+  FROM ft0)"""
+
+SQL["customer_features"] = _FEATURES + """
+SELECT * FROM ft
+"""
+
+SQL["feature_summary"] = _FEATURES + """
+SELECT count(*) AS n_customers, CAST(29 AS BIGINT) AS n_features,
+       round(avg(order_count), 6) AS avg_orders, round(avg(customer_tenure_days), 6) AS avg_tenure_days,
+       round(avg(n_products), 6) AS avg_products,
+       min(recency) AS min_recency, max(recency) AS max_recency, round(avg(recency), 6) AS mean_recency,
+       min(frequency) AS min_frequency, max(frequency) AS max_frequency,
+       round(avg(frequency), 6) AS mean_frequency,
+       min(monetary) AS min_monetary, max(monetary) AS max_monetary,
+       round(CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(monetary) AS DOUBLE), 6) AS mean_monetary
+FROM ft
+"""
