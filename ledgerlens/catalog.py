@@ -171,3 +171,85 @@ def customer_features(spark, d):
 @query
 def feature_summary(spark, d):
     return cv.feature_summary(_feature_table(spark, d))
+
+
+# ---------------------------------------------------------------- customers
+from ledgerlens.functions.rules import two_way_label  # noqa: E402
+from ledgerlens.operators import crosstab as xt  # noqa: E402
+from ledgerlens.operators.lookup import lookup  # noqa: E402
+from ledgerlens.operators.rollups import bottom_k, top_k, value_counts  # noqa: E402
+from ledgerlens.plans import customers as cust_plan  # noqa: E402
+
+# Segment display order (lowest to highest tier) and the high tiers.
+TIER_ORDER = ["HOUSEHOLD", "FURNITURE", "BUILDING", "MACHINERY", "AUTOMOBILE"]
+HIGH_TIERS = ["BUILDING", "MACHINERY", "AUTOMOBILE"]
+# Balance bins (right-closed, lowest edge excluded); the last is empty.
+BALANCE_EDGES = [0, 1000, 2500, 5000, 7500, 9000, 10000, 20000]
+BALANCE_LABELS = ["0-1k", "1k-2.5k", "2.5k-5k", "5k-7.5k", "7.5k-9k", "9k-10k", "10k+"]
+# Coarser balance segments for the margins crosstab.
+SEGMENT_EDGES = [0, 2500, 5000, 7500, 10000]
+SEGMENT_LABELS = ["Low (0-2.5k)", "Mid (2.5k-5k)", "Upper (5k-7.5k)", "Top (7.5k-10k)"]
+
+
+def _customers_with_nation(spark, d):
+    return lookup(_t(spark, d, "customer"), "c_nationkey", _t(spark, d, "nation"),
+                  "n_nationkey", ["n_name"])
+
+
+@query
+def customer_basic_stats(spark, d):
+    return cust_plan.basic_stats(_t(spark, d, "customer"), "c_acctbal",
+                                 ["c_nationkey", "c_mktsegment"], "c_mktsegment", "BUILDING")
+
+
+@query
+def balance_describe(spark, d):
+    from ledgerlens.operators.rollups import describe
+    return describe(_t(spark, d, "customer"), "c_acctbal")
+
+
+@query
+def segment_distribution(spark, d):
+    return cust_plan.label_shares(_t(spark, d, "customer"), "c_mktsegment", TIER_ORDER)
+
+
+@query
+def tier_level_labels(spark, d):
+    c = _t(spark, d, "customer")
+    return c.select("c_custkey", "c_mktsegment",
+                    two_way_label("c_mktsegment", HIGH_TIERS).alias("tier_level"))
+
+
+@query
+def balance_bins(spark, d):
+    return cust_plan.bin_stats(_t(spark, d, "customer"), "c_acctbal", BALANCE_EDGES, BALANCE_LABELS)
+
+
+@query
+def crosstab_counts(spark, d):
+    c = _customers_with_nation(spark, d)
+    top = top_k(value_counts(c, "n_name", "n"), "n", "n_name", 10, rank_name=None).select("n_name")
+    ct = xt.crosstab_counts(c, "n_name", "c_mktsegment")
+    return ct.join(F.broadcast(top), "n_name")  # ten rows: bounded
+
+
+@query
+def crosstab_rowpct(spark, d):
+    b = cust_plan.binned(_t(spark, d, "customer"), "c_acctbal", BALANCE_EDGES, BALANCE_LABELS)
+    return xt.crosstab_row_pct(b, "bin_label", "c_mktsegment")
+
+
+@query
+def crosstab_margins(spark, d):
+    c = cust_plan.binned(_t(spark, d, "customer"), "c_acctbal", SEGMENT_EDGES, SEGMENT_LABELS)
+    c = c.withColumn("tier_level", two_way_label("c_mktsegment", HIGH_TIERS))
+    return xt.crosstab_margins(c, "bin_label", "tier_level")
+
+
+@query
+def top_bottom_occupations(spark, d):
+    c = _customers_with_nation(spark, d)
+    vc = value_counts(c, "n_name", "n", "pct", share_of_rows=True)
+    top = top_k(vc, "n", "n_name", 10, rank_name="rank").withColumn("position", F.lit("top"))
+    bottom = bottom_k(vc, "n", "n_name", 5, rank_name="rank").withColumn("position", F.lit("bottom"))
+    return top.unionByName(bottom)

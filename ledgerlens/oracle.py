@@ -288,3 +288,124 @@ SELECT count(*) AS n_customers, CAST(29 AS BIGINT) AS n_features,
        round(CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(monetary) AS DOUBLE), 6) AS mean_monetary
 FROM ft
 """
+
+
+def _case_bins(col: str, edges, labels, ordinal: bool = False) -> str:
+    parts = []
+    for i, (lo, hi, lab) in enumerate(zip(edges, edges[1:], labels), 1):
+        val = str(i) if ordinal else f"'{lab}'"
+        parts.append(f"WHEN {col} > {lo} AND {col} <= {hi} THEN {val}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _values_spine(labels) -> str:
+    rows = ", ".join(f"({i}, '{lab}')" for i, lab in enumerate(labels, 1))
+    return f"(VALUES {rows}) AS spine(bin_order, bin_label)"
+
+
+from ledgerlens.catalog import (  # noqa: E402
+    BALANCE_EDGES, BALANCE_LABELS, SEGMENT_EDGES, SEGMENT_LABELS, TIER_ORDER, HIGH_TIERS)
+
+_HIGH = ", ".join(f"'{t}'" for t in HIGH_TIERS)
+
+SQL["customer_basic_stats"] = """
+SELECT count(*) AS n_customers, count(DISTINCT c_acctbal) AS n_distinct_c_acctbal,
+       count(DISTINCT c_nationkey) AS n_distinct_c_nationkey,
+       count(DISTINCT c_mktsegment) AS n_distinct_c_mktsegment,
+       CAST(min(c_acctbal) AS DOUBLE) AS min_c_acctbal, CAST(max(c_acctbal) AS DOUBLE) AS max_c_acctbal,
+       round(CAST(sum(CAST(c_acctbal AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(c_acctbal) AS DOUBLE), 6) AS mean_c_acctbal,
+       round(median(c_acctbal), 6) AS median_c_acctbal,
+       round(stddev_samp(c_acctbal), 6) AS std_c_acctbal,
+       count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS n_flagged,
+       (SELECT c_nationkey FROM customer WHERE c_nationkey IS NOT NULL
+        GROUP BY c_nationkey ORDER BY count(*) DESC, c_nationkey LIMIT 1) AS mode_c_nationkey,
+       (SELECT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL
+        GROUP BY c_mktsegment ORDER BY count(*) DESC, c_mktsegment LIMIT 1) AS mode_c_mktsegment
+FROM customer
+"""
+
+SQL["balance_describe"] = """
+SELECT count(c_acctbal) AS count,
+       round(CAST(sum(CAST(c_acctbal AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(c_acctbal) AS DOUBLE), 6) AS mean,
+       round(stddev_samp(c_acctbal), 6) AS std, CAST(min(c_acctbal) AS DOUBLE) AS min,
+       round(quantile_cont(c_acctbal, 0.25), 6) AS p25, round(quantile_cont(c_acctbal, 0.5), 6) AS p50,
+       round(quantile_cont(c_acctbal, 0.75), 6) AS p75, CAST(max(c_acctbal) AS DOUBLE) AS max
+FROM customer
+"""
+
+SQL["segment_distribution"] = f"""
+SELECT c_mktsegment, count(*) AS n,
+       round(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM customer) AS DOUBLE) * 100, 6) AS pct,
+       CAST(CASE c_mktsegment {" ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(TIER_ORDER, 1))} END AS BIGINT) AS display_order
+FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment
+"""
+
+SQL["tier_level_labels"] = f"""
+SELECT c_custkey, c_mktsegment,
+       CASE WHEN c_mktsegment IN ({_HIGH}) THEN 'High' ELSE 'Low' END AS tier_level
+FROM customer
+"""
+
+SQL["balance_bins"] = f"""
+WITH b AS (SELECT c_acctbal, {_case_bins('c_acctbal', BALANCE_EDGES, BALANCE_LABELS, True)} AS bin_order
+           FROM customer),
+g AS (SELECT bin_order, count(*) AS n, sum(CAST(c_acctbal AS DECIMAL(38,6))) AS s,
+             stddev_samp(c_acctbal) AS sd FROM b WHERE bin_order IS NOT NULL GROUP BY bin_order),
+t AS (SELECT sum(n) AS t FROM g)
+SELECT CAST(spine.bin_order AS INTEGER) AS bin_order, spine.bin_label, coalesce(g.n, 0) AS n,
+       round(CAST(coalesce(g.n, 0) AS DOUBLE) / CAST(t.t AS DOUBLE) * 100, 6) AS pct,
+       round(CAST(g.s AS DOUBLE) / CAST(g.n AS DOUBLE), 6) AS mean_c_acctbal,
+       round(g.sd, 6) AS std_c_acctbal
+FROM {_values_spine(BALANCE_LABELS)} LEFT JOIN g USING (bin_order) CROSS JOIN t
+"""
+
+_CUST_NATION = """
+WITH nat AS (SELECT n_nationkey, min(n_name) AS n_name FROM nation WHERE n_nationkey IS NOT NULL GROUP BY n_nationkey),
+c AS (SELECT customer.*, nat.n_name FROM customer LEFT JOIN nat ON nat.n_nationkey = c_nationkey)"""
+
+SQL["crosstab_counts"] = _CUST_NATION + """,
+cnt AS (SELECT n_name, c_mktsegment, count(*) AS n FROM c
+        WHERE n_name IS NOT NULL AND c_mktsegment IS NOT NULL GROUP BY ALL),
+top AS (SELECT n_name FROM c WHERE n_name IS NOT NULL GROUP BY n_name ORDER BY count(*) DESC, n_name LIMIT 10),
+grid AS (SELECT r.n_name, s.c_mktsegment FROM (SELECT DISTINCT n_name FROM cnt) r
+         CROSS JOIN (SELECT DISTINCT c_mktsegment FROM cnt) s)
+SELECT grid.n_name, grid.c_mktsegment, coalesce(cnt.n, 0) AS n
+FROM grid LEFT JOIN cnt USING (n_name, c_mktsegment) WHERE grid.n_name IN (SELECT n_name FROM top)
+"""
+
+SQL["crosstab_rowpct"] = f"""
+WITH b AS (SELECT {_case_bins('c_acctbal', BALANCE_EDGES, BALANCE_LABELS)} AS bin_label, c_mktsegment FROM customer),
+cnt AS (SELECT bin_label, c_mktsegment, count(*) AS n FROM b
+        WHERE bin_label IS NOT NULL AND c_mktsegment IS NOT NULL GROUP BY ALL),
+grid AS (SELECT r.bin_label, s.c_mktsegment FROM (SELECT DISTINCT bin_label FROM cnt) r
+         CROSS JOIN (SELECT DISTINCT c_mktsegment FROM cnt) s),
+full_ AS (SELECT grid.*, coalesce(cnt.n, 0) AS n FROM grid LEFT JOIN cnt USING (bin_label, c_mktsegment))
+SELECT bin_label, c_mktsegment,
+       round(CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY bin_label) AS DOUBLE) * 100, 6) AS pct
+FROM full_
+"""
+
+SQL["crosstab_margins"] = f"""
+WITH b AS (SELECT {_case_bins('c_acctbal', SEGMENT_EDGES, SEGMENT_LABELS)} AS bin_label,
+                  CASE WHEN c_mktsegment IN ({_HIGH}) THEN 'High' ELSE 'Low' END AS tier_level
+           FROM customer),
+clean AS (SELECT * FROM b WHERE bin_label IS NOT NULL AND tier_level IS NOT NULL),
+cube_ AS (SELECT CASE WHEN grouping(bin_label) = 1 THEN 'All' ELSE bin_label END AS bin_label,
+                 CASE WHEN grouping(tier_level) = 1 THEN 'All' ELSE tier_level END AS tier_level,
+                 count(*) AS n
+          FROM clean GROUP BY CUBE (bin_label, tier_level)),
+grid AS (SELECT r.bin_label, s.tier_level FROM (SELECT DISTINCT bin_label FROM cube_) r
+         CROSS JOIN (SELECT DISTINCT tier_level FROM cube_) s)
+SELECT grid.bin_label, grid.tier_level, coalesce(cube_.n, 0) AS n
+FROM grid LEFT JOIN cube_ USING (bin_label, tier_level)
+"""
+
+SQL["top_bottom_occupations"] = _CUST_NATION + """,
+vc AS (SELECT n_name, count(*) AS n,
+              round(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM customer) AS DOUBLE) * 100, 6) AS pct
+       FROM c WHERE n_name IS NOT NULL GROUP BY n_name),
+pos AS (SELECT *, row_number() OVER (ORDER BY n DESC, n_name) AS p, count(*) OVER () AS cnt FROM vc)
+SELECT n_name, n, pct, CAST(p AS BIGINT) AS rank, 'top' AS position FROM pos WHERE p <= 10
+UNION ALL
+SELECT n_name, n, pct, CAST(cnt - p + 1 AS BIGINT) AS rank, 'bottom' AS position FROM pos WHERE p > cnt - 5
+"""
