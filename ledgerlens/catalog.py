@@ -253,3 +253,127 @@ def top_bottom_occupations(spark, d):
     top = top_k(vc, "n", "n_name", 10, rank_name="rank").withColumn("position", F.lit("top"))
     bottom = bottom_k(vc, "n", "n_name", 5, rank_name="rank").withColumn("position", F.lit("bottom"))
     return top.unionByName(bottom)
+
+
+# ---------------------------------------------------------------- orders and sales
+from ledgerlens.functions.exprs import month_start, money, round6, mean_of_sum, pct as pct_expr  # noqa: E402
+from ledgerlens.plans import sales as sales_plan  # noqa: E402
+
+
+def _employee_map(spark, d):
+    return sales_plan.employee_map(_t(spark, d, "supplier"), _t(spark, d, "nation"),
+                                   _t(spark, d, "region"))
+
+
+def _supplier_totals(spark, d):
+    return sales_plan.per_key_totals(_t(spark, d, "lineitem"), "l_suppkey", "l_extendedprice",
+                                     "l_orderkey")
+
+
+@query
+def orders_per_customer_dist(spark, d):
+    o = _t(spark, d, "orders").filter(F.col("o_custkey").isNotNull())
+    per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders_per_customer"))
+    return per.groupBy("orders_per_customer").agg(F.count(F.lit(1)).alias("n_customers"))
+
+
+@query
+def orders_per_customer_stats(spark, d):
+    o = _t(spark, d, "orders").filter(F.col("o_custkey").isNotNull())
+    per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("k"))
+    return per.agg(F.count(F.lit(1)).alias("n_customers"), F.min("k").alias("min_orders"),
+                   F.max("k").alias("max_orders"), round6(F.avg("k")).alias("mean_orders"),
+                   round6(F.median("k")).alias("median_orders"),
+                   F.count_if(F.col("k") > 1).alias("n_repeat_customers"))
+
+
+@query
+def order_type_share(spark, d):
+    o = _t(spark, d, "orders")
+    vc = value_counts(o, "o_orderpriority", "n", "pct", share_of_rows=False)
+    span = (o.filter(F.col("o_orderpriority").isNotNull()).groupBy("o_orderpriority")
+            .agg(F.to_date(F.min("o_orderdate")).alias("first_order_date"),
+                 F.to_date(F.max("o_orderdate")).alias("last_order_date")))
+    return vc.join(span, "o_orderpriority")
+
+
+@query
+def monthly_series(spark, d):
+    o = _t(spark, d, "orders").filter(F.col("o_orderdate").isNotNull())
+    return (o.groupBy(month_start("o_orderdate").alias("month"))
+            .agg(F.count(F.lit(1)).alias("n_orders"),
+                 F.sum(money("o_totalprice")).cast("double").alias("revenue"),
+                 F.countDistinct("o_custkey").alias("n_customers")))
+
+
+@query
+def revenue_by_company(spark, d):
+    return sales_plan.rollup_through_map(_supplier_totals(spark, d), "l_suppkey",
+                                         _employee_map(spark, d), "s_suppkey", "company",
+                                         "company").drop("n_keys")
+
+
+@query
+def channel_type_share(spark, d):
+    r = sales_plan.rollup_through_map(_supplier_totals(spark, d), "l_suppkey",
+                                      _employee_map(spark, d), "s_suppkey", "branch",
+                                      "channel_type")
+    return sales_plan.with_share(r.drop("n_keys", "avg_revenue"), "revenue", "share_pct")
+
+
+@query
+def company_comparison(spark, d):
+    r = sales_plan.rollup_through_map(_supplier_totals(spark, d), "l_suppkey",
+                                      _employee_map(spark, d), "s_suppkey", "company", "company")
+    return r.select("company", "revenue", "n", F.col("n_keys").alias("n_employees"),
+                    round6(F.try_divide(F.col("revenue"), F.col("n_keys").cast("double")))
+                    .alias("revenue_per_employee"))
+
+
+@query
+def branch_performance(spark, d):
+    r = sales_plan.rollup_through_map(_supplier_totals(spark, d), "l_suppkey",
+                                      _employee_map(spark, d), "s_suppkey", "branch_key",
+                                      "branch_key")
+    top = top_k(r.drop("n_keys", "avg_revenue"), "revenue", "branch_key", 10, rank_name="rank")
+    from ledgerlens.operators.lookup import lookup_small
+    return lookup_small(top, "branch_key", _t(spark, d, "nation"), "n_nationkey", ["n_name"],
+                        default={"n_name": "Unknown"})
+
+
+@query
+def employee_stats(spark, d):
+    li = _t(spark, d, "lineitem")
+    per = (li.filter(F.col("l_suppkey").isNotNull()).groupBy("l_suppkey")
+           .agg(F.sum(money("l_extendedprice")).alias("revenue"),
+                F.count("l_orderkey").alias("contracts")))
+    total = li.agg(F.sum(money("l_extendedprice")).alias("_ll_total"))
+    share = sales_plan.top_fraction_share(per, "l_suppkey", "revenue", 0.1, total)
+    stats = per.agg(F.count(F.lit(1)).alias("n_employees"),
+                    round6(mean_of_sum(F.sum("revenue"), F.count("revenue"))).alias("avg_revenue"),
+                    round6(F.median("contracts")).alias("median_contracts"))
+    return stats.crossJoin(share.select(pct_expr("_ll_top", "_ll_total").alias("top10pct_share")))
+
+
+@query
+def kpi_by_type(spark, d):
+    e = _t(spark, d, "events").filter(F.col("event_type").isNotNull())
+    return (e.groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("n_events"),
+                 F.sum(money("value")).cast("double").alias("total_value"),
+                 F.countDistinct("user_id").alias("n_users"),
+                 F.min(month_start("ts")).alias("first_month"),
+                 F.max(month_start("ts")).alias("last_month")))
+
+
+@query
+def prefix_lookup(spark, d):
+    """Top employees; their base employee found by the first 16 code characters."""
+    s = _t(spark, d, "supplier")
+    top = top_channels_by_revenue(spark, d)
+    codes = s.select("s_suppkey", F.col("s_name").alias("code"))
+    base = (s.groupBy(F.substring("s_name", 1, 16).alias("base_code"))
+            .agg(F.count(F.lit(1)).alias("base_size"), F.min("s_suppkey").alias("base_key")))
+    with_code = lookup(top, "channel_key", codes, "s_suppkey", ["code"])
+    return (with_code.withColumn("base_code", F.substring("code", 1, 16))
+            .join(base, "base_code", "left"))

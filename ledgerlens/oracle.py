@@ -409,3 +409,100 @@ SELECT n_name, n, pct, CAST(p AS BIGINT) AS rank, 'top' AS position FROM pos WHE
 UNION ALL
 SELECT n_name, n, pct, CAST(cnt - p + 1 AS BIGINT) AS rank, 'bottom' AS position FROM pos WHERE p > cnt - 5
 """
+
+SQL["orders_per_customer_dist"] = """
+SELECT orders_per_customer, count(*) AS n_customers
+FROM (SELECT o_custkey, count(*) AS orders_per_customer FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
+GROUP BY orders_per_customer
+"""
+
+SQL["orders_per_customer_stats"] = """
+WITH per AS (SELECT o_custkey, count(*) AS k FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
+SELECT count(*) AS n_customers, min(k) AS min_orders, max(k) AS max_orders,
+       round(avg(k), 6) AS mean_orders, round(median(k), 6) AS median_orders,
+       count(*) FILTER (WHERE k > 1) AS n_repeat_customers
+FROM per
+"""
+
+SQL["order_type_share"] = """
+SELECT o_orderpriority, count(*) AS n,
+       round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100, 6) AS pct,
+       CAST(min(o_orderdate) AS DATE) AS first_order_date, CAST(max(o_orderdate) AS DATE) AS last_order_date
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority
+"""
+
+SQL["monthly_series"] = """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       count(DISTINCT o_custkey) AS n_customers
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL
+"""
+
+_EMP = """
+WITH nat AS (SELECT n_nationkey, min(n_name) AS n_name, min(n_regionkey) AS n_regionkey
+             FROM nation WHERE n_nationkey IS NOT NULL GROUP BY n_nationkey),
+reg AS (SELECT r_regionkey, min(r_name) AS r_name FROM region WHERE r_regionkey IS NOT NULL GROUP BY r_regionkey),
+emp AS (SELECT s_suppkey, min(s_nationkey) AS branch_key, min(nat.n_name) AS branch, min(reg.r_name) AS company
+        FROM supplier LEFT JOIN nat ON nat.n_nationkey = s_nationkey
+        LEFT JOIN reg ON reg.r_regionkey = nat.n_regionkey
+        WHERE s_suppkey IS NOT NULL GROUP BY s_suppkey),
+tot AS (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s, count(l_orderkey) AS c
+        FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey),
+j AS (SELECT tot.*, emp.branch_key, emp.branch, emp.company FROM tot LEFT JOIN emp ON emp.s_suppkey = tot.l_suppkey)"""
+
+SQL["revenue_by_company"] = _EMP + """
+SELECT company, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n,
+       round(CAST(sum(s) AS DOUBLE) / CAST(sum(c) AS DOUBLE), 6) AS avg_revenue
+FROM j WHERE company IS NOT NULL GROUP BY company
+"""
+
+SQL["channel_type_share"] = _EMP + """
+SELECT branch AS channel_type, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n,
+       round(CAST(sum(s) AS DOUBLE) / sum(CAST(sum(s) AS DOUBLE)) OVER () * 100, 6) AS share_pct
+FROM j WHERE branch IS NOT NULL GROUP BY branch
+"""
+
+SQL["company_comparison"] = _EMP + """
+SELECT company, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n, count(*) AS n_employees,
+       round(CAST(sum(s) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS revenue_per_employee
+FROM j WHERE company IS NOT NULL GROUP BY company
+"""
+
+SQL["branch_performance"] = _EMP + """,
+g AS (SELECT branch_key, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n
+      FROM j WHERE branch_key IS NOT NULL GROUP BY branch_key),
+t AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, branch_key) AS rank FROM g QUALIFY rank <= 10)
+SELECT t.branch_key, t.revenue, t.n, CAST(t.rank AS BIGINT) AS rank, coalesce(nat.n_name, 'Unknown') AS n_name
+FROM t LEFT JOIN nat ON nat.n_nationkey = t.branch_key
+"""
+
+SQL["employee_stats"] = """
+WITH per AS (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS revenue, count(l_orderkey) AS contracts
+             FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey),
+r AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, l_suppkey) AS rk, count(*) OVER () AS n FROM per),
+tot AS (SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem)
+SELECT (SELECT count(*) FROM per) AS n_employees,
+       (SELECT round(CAST(sum(revenue) AS DOUBLE) / CAST(count(revenue) AS DOUBLE), 6) FROM per) AS avg_revenue,
+       (SELECT round(median(contracts), 6) FROM per) AS median_contracts,
+       round(CAST((SELECT coalesce(sum(revenue), 0) FROM r WHERE rk <= floor(n * 0.1)) AS DOUBLE)
+             / CAST((SELECT total FROM tot) AS DOUBLE) * 100, 6) AS top10pct_share
+"""
+
+SQL["kpi_by_type"] = """
+SELECT event_type, count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
+       count(DISTINCT user_id) AS n_users,
+       CAST(min(date_trunc('month', ts)) AS DATE) AS first_month,
+       CAST(max(date_trunc('month', ts)) AS DATE) AS last_month
+FROM events WHERE event_type IS NOT NULL GROUP BY event_type
+"""
+
+SQL["prefix_lookup"] = SQL["top_channels_by_revenue"].replace(
+    "SELECT t.channel_key,", "SELECT t.channel_key AS ck,", 1).join(["WITH top_ AS (", ")"]) + """,
+codes AS (SELECT s_suppkey, min(s_name) AS code FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY s_suppkey),
+base AS (SELECT substr(s_name, 1, 16) AS base_code, count(*) AS base_size, min(s_suppkey) AS base_key
+         FROM supplier GROUP BY ALL)
+SELECT top_.ck AS channel_key, top_.revenue, top_.n, top_.name, top_.rank, codes.code,
+       substr(codes.code, 1, 16) AS base_code, base.base_size, base.base_key
+FROM top_ LEFT JOIN codes ON codes.s_suppkey = top_.ck
+LEFT JOIN base ON base.base_code = substr(codes.code, 1, 16)
+"""

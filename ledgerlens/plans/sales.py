@@ -65,3 +65,33 @@ def top_fraction_share(per_key: DataFrame, key: str, value: str, fraction: float
     top = (ranked.crossJoin(F.broadcast(k)).filter(F.col("_ll_rank") <= F.col("_ll_k"))
            .agg(F.coalesce(F.sum(value), F.lit(0)).alias("_ll_top")))
     return top.crossJoin(total)
+
+
+def employee_map(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """(s_suppkey, branch_key, branch, company) – dictionary maps chained on the
+    dimension side, so the fact table is joined only once."""
+    s = lookup(supplier.select("s_suppkey", "s_nationkey"), "s_nationkey", nation,
+               "n_nationkey", ["n_name", "n_regionkey"])
+    s = lookup(s, "n_regionkey", region, "r_regionkey", ["r_name"])
+    return (dedup_dimension(s, "s_suppkey", ["s_nationkey", "n_name", "r_name"])
+            .select("s_suppkey", F.col("s_nationkey").alias("branch_key"),
+                    F.col("n_name").alias("branch"), F.col("r_name").alias("company")))
+
+
+def per_key_totals(fact: DataFrame, key: str, value: str, count_col: str) -> DataFrame:
+    """Partial rollup (sum as decimal, non-null count) to be re-aggregated
+    after a dimension join: the fact is reduced before it meets the map."""
+    return (fact.filter(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.sum(money(value)).alias("_sum"), F.count(count_col).alias("_cnt")))
+
+
+def rollup_through_map(totals: DataFrame, key: str, mapping: DataFrame, map_key: str,
+                       group: str, name: str) -> DataFrame:
+    """Re-aggregate per-key totals to the mapped group (unmapped keys drop out)."""
+    j = totals.join(mapping.withColumnRenamed(map_key, key), key, "left")
+    g = (j.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias(name))
+         .agg(F.sum("_sum").alias("_sum"), F.sum("_cnt").alias("n"),
+              F.count(F.lit(1)).alias("n_keys")))
+    return g.select(name, F.coalesce(F.col("_sum"), F.lit(0)).cast("double").alias("revenue"),
+                    "n", "n_keys",
+                    round6(mean_of_sum("_sum", "n")).alias("avg_revenue"))
