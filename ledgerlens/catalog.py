@@ -377,3 +377,133 @@ def prefix_lookup(spark, d):
     with_code = lookup(top, "channel_key", codes, "s_suppkey", ["code"])
     return (with_code.withColumn("base_code", F.substring("code", 1, 16))
             .join(base, "base_code", "left"))
+
+
+# ---------------------------------------------------------------- products / vehicles
+from ledgerlens.functions.exprs import first_word, last_dash_word  # noqa: E402
+from ledgerlens.operators.rollups import describe  # noqa: E402
+from ledgerlens.plans import products as prod_plan  # noqa: E402
+
+# Price ranges (right-closed; 900.0 itself falls outside, the last is empty).
+PRICE_EDGES = [900, 925, 950, 975, 1000, 5000]
+PRICE_LABELS = ["900-925", "925-950", "950-975", "975-1000", "1000+"]
+ECONOMY_BELOW = 910
+LUXURY_FROM = 995
+
+
+@query
+def part_price_describe(spark, d):
+    p = _t(spark, d, "part")
+    return describe(p, "p_retailprice").crossJoin(
+        p.agg(F.countDistinct("p_brand").alias("n_brands"),
+              F.countDistinct("p_partkey").alias("n_models")))
+
+
+@query
+def brand_stats(spark, d):
+    return prod_plan.price_stats(_t(spark, d, "part"), "p_brand", "p_retailprice", "p_size")
+
+
+@query
+def size_profile(spark, d):
+    return prod_plan.price_stats(_t(spark, d, "part"), "p_size", "p_retailprice", "p_brand")
+
+
+@query
+def price_ranges(spark, d):
+    return prod_plan.price_ranges(_t(spark, d, "part"), "p_retailprice", PRICE_EDGES, PRICE_LABELS)
+
+
+@query
+def economy_parts(spark, d):
+    p = _t(spark, d, "part").filter(F.col("p_retailprice") < ECONOMY_BELOW)
+    return top_k(p.select("p_partkey", "p_name", "p_brand", "p_retailprice"),
+                 "p_retailprice", "p_partkey", 10, ascending=True, rank_name="rank")
+
+
+@query
+def luxury_parts(spark, d):
+    p = _t(spark, d, "part").filter(F.col("p_retailprice") >= LUXURY_FROM)
+    top = top_k(p.select("p_partkey", "p_name", "p_brand", "p_retailprice"),
+                "p_retailprice", "p_partkey", 10, rank_name="rank")
+    n = p.agg(F.count(F.lit(1)).alias("n_luxury"))
+    return top.crossJoin(F.broadcast(n))
+
+
+@query
+def vehicle_category(spark, d):
+    return prod_plan.wheel_profile(_t(spark, d, "part"), "p_size", "p_retailprice")
+
+
+@query
+def model_name_counts(spark, d):
+    p = _t(spark, d, "part")
+    vc = value_counts(p, "p_name", "n")
+    return vc.crossJoin(p.agg(F.countDistinct("p_name").alias("n_distinct_names")))
+
+
+@query
+def product_sales(spark, d):
+    return sales.top_by_revenue(_t(spark, d, "lineitem"), "l_partkey", "l_extendedprice",
+                                "l_orderkey", 15, _t(spark, d, "part"), "p_partkey", "p_name",
+                                key_name="product_key", name_len=40, bottom=10)
+
+
+@query
+def product_channel_combo(spark, d):
+    return prod_plan.top_pairs(
+        _t(spark, d, "lineitem"), ["l_partkey", "l_suppkey"], "l_extendedprice", "l_orderkey", 10,
+        [(_t(spark, d, "part"), "p_partkey", "l_partkey", "p_name"),
+         (_t(spark, d, "supplier"), "s_suppkey", "l_suppkey", "s_name")])
+
+
+@query
+def duration_stats(spark, d):
+    li = _t(spark, d, "lineitem")
+    total = li.agg(F.count(F.lit(1)).alias("_t"))
+    g = (li.filter(F.col("l_quantity").isNotNull()).groupBy("l_quantity")
+         .agg(F.count(F.lit(1)).alias("n"),
+              round6(mean_of_sum(F.sum(money("l_extendedprice")), F.count("l_extendedprice"))).alias("mean_price"),
+              round6(F.median("l_extendedprice")).alias("median_price"),
+              round6(F.stddev_samp("l_extendedprice")).alias("std_price")))
+    return (g.crossJoin(F.broadcast(total))
+            .withColumn("pct", pct_expr("n", "_t")).drop("_t"))
+
+
+@query
+def word_extract(spark, d):
+    return prod_plan.word_profile(_t(spark, d, "part"), "p_name", "ring", "red")
+
+
+@query
+def priority_suffix(spark, d):
+    o = _t(spark, d, "orders").withColumn("suffix", last_dash_word("o_orderpriority"))
+    return value_counts(o, "suffix", "n", "pct", share_of_rows=False)
+
+
+@query
+def hierarchy_counts(spark, d):
+    """Children per parent with zero kept: nations per region, suppliers and
+    customers per nation."""
+    region, nation = _t(spark, d, "region"), _t(spark, d, "nation")
+
+    def children(level, parent, pkey, pname, child, ckey, cref):
+        kids = child.filter(F.col(cref).isNotNull()).groupBy(F.col(cref).alias(pkey)).agg(
+            F.count(ckey).alias("n_children"))
+        return (parent.select(pkey, pname).join(kids, pkey, "left")
+                .select(F.lit(level).alias("level"), F.col(pkey).cast("long").alias("parent_key"),
+                        F.col(pname).alias("parent_name"),
+                        F.coalesce("n_children", F.lit(0).cast("long")).alias("n_children")))
+
+    return (children("region_nations", region, "r_regionkey", "r_name", nation, "n_nationkey", "n_regionkey")
+            .unionByName(children("nation_suppliers", nation, "n_nationkey", "n_name",
+                                  _t(spark, d, "supplier"), "s_suppkey", "s_nationkey"))
+            .unionByName(children("nation_customers", nation, "n_nationkey", "n_name",
+                                  _t(spark, d, "customer"), "c_custkey", "c_nationkey")))
+
+
+@query
+def dimension_listing(spark, d):
+    n = _t(spark, d, "nation")
+    return lookup(n, "n_regionkey", _t(spark, d, "region"), "r_regionkey", ["r_name"]).select(
+        "n_nationkey", "n_name", "n_regionkey", "r_name")

@@ -506,3 +506,125 @@ SELECT top_.ck AS channel_key, top_.revenue, top_.n, top_.name, top_.rank, codes
 FROM top_ LEFT JOIN codes ON codes.s_suppkey = top_.ck
 LEFT JOIN base ON base.base_code = substr(codes.code, 1, 16)
 """
+
+from ledgerlens.catalog import PRICE_EDGES, PRICE_LABELS, ECONOMY_BELOW, LUXURY_FROM  # noqa: E402
+
+SQL["part_price_describe"] = """
+SELECT count(p_retailprice) AS count,
+       round(CAST(sum(CAST(p_retailprice AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(p_retailprice) AS DOUBLE), 6) AS mean,
+       round(stddev_samp(p_retailprice), 6) AS std, CAST(min(p_retailprice) AS DOUBLE) AS min,
+       round(quantile_cont(p_retailprice, 0.25), 6) AS p25, round(quantile_cont(p_retailprice, 0.5), 6) AS p50,
+       round(quantile_cont(p_retailprice, 0.75), 6) AS p75, CAST(max(p_retailprice) AS DOUBLE) AS max,
+       count(DISTINCT p_brand) AS n_brands, count(DISTINCT p_partkey) AS n_models
+FROM part
+"""
+
+_PRICE_STATS = """count(*) AS n,
+       round(CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(p_retailprice) AS DOUBLE), 6) AS avg_price,
+       CAST(min(p_retailprice) AS DOUBLE) AS min_price, CAST(max(p_retailprice) AS DOUBLE) AS max_price"""
+
+SQL["brand_stats"] = f"""
+SELECT p_brand, {_PRICE_STATS}, count(DISTINCT p_size) AS n_distinct_p_size
+FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand
+"""
+
+SQL["size_profile"] = f"""
+SELECT p_size, {_PRICE_STATS}, count(DISTINCT p_brand) AS n_distinct_p_brand
+FROM part WHERE p_size IS NOT NULL GROUP BY p_size
+"""
+
+SQL["price_ranges"] = f"""
+WITH g AS (SELECT {_case_bins('p_retailprice', PRICE_EDGES, PRICE_LABELS, True)} AS bin_order, count(*) AS n
+           FROM part GROUP BY ALL)
+SELECT CAST(spine.bin_order AS INTEGER) AS bin_order, spine.bin_label, coalesce(g.n, 0) AS n,
+       round(CAST(coalesce(g.n, 0) AS DOUBLE) / CAST((SELECT count(*) FROM part) AS DOUBLE) * 100, 6) AS pct
+FROM {_values_spine(PRICE_LABELS)} LEFT JOIN g ON g.bin_order = spine.bin_order
+"""
+
+SQL["economy_parts"] = f"""
+SELECT p_partkey, p_name, p_brand, p_retailprice,
+       CAST(row_number() OVER (ORDER BY p_retailprice, p_partkey) AS BIGINT) AS rank
+FROM part WHERE p_retailprice < {ECONOMY_BELOW} QUALIFY rank <= 10
+"""
+
+SQL["luxury_parts"] = f"""
+SELECT p_partkey, p_name, p_brand, p_retailprice,
+       CAST(row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS BIGINT) AS rank,
+       (SELECT count(*) FROM part WHERE p_retailprice >= {LUXURY_FROM}) AS n_luxury
+FROM part WHERE p_retailprice >= {LUXURY_FROM} QUALIFY rank <= 10
+"""
+
+SQL["vehicle_category"] = f"""
+SELECT CASE WHEN p_size = 2 THEN '2-wheel' WHEN p_size >= 4 THEN '4-wheel' ELSE 'Other' END AS category,
+       {_PRICE_STATS}
+FROM part GROUP BY ALL
+"""
+
+SQL["model_name_counts"] = """
+SELECT p_name, count(*) AS n, (SELECT count(DISTINCT p_name) FROM part) AS n_distinct_names
+FROM part WHERE p_name IS NOT NULL GROUP BY p_name
+"""
+
+SQL["product_sales"] = """
+WITH g AS (SELECT l_partkey AS product_key, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS rev, count(l_orderkey) AS n
+           FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY l_partkey),
+p AS (SELECT *, row_number() OVER (ORDER BY CAST(rev AS DOUBLE) DESC, product_key) AS pos, count(*) OVER () AS cnt FROM g),
+sel AS (SELECT product_key, rev, n, pos AS rank, 'top' AS position FROM p WHERE pos <= 15
+        UNION ALL
+        SELECT product_key, rev, n, cnt - pos + 1 AS rank, 'bottom' AS position FROM p WHERE pos > cnt - 10),
+d AS (SELECT p_partkey, min(p_name) AS p_name FROM part WHERE p_partkey IS NOT NULL GROUP BY p_partkey)
+SELECT product_key, CAST(rev AS DOUBLE) AS revenue, n, coalesce(substr(d.p_name, 1, 40), 'Unknown') AS name,
+       CAST(rank AS BIGINT) AS rank, position
+FROM sel LEFT JOIN d ON d.p_partkey = sel.product_key
+"""
+
+SQL["product_channel_combo"] = """
+WITH g AS (SELECT l_partkey, l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+                  count(l_orderkey) AS n
+           FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL GROUP BY ALL),
+t AS (SELECT *, CAST(row_number() OVER (ORDER BY revenue DESC, l_partkey, l_suppkey) AS BIGINT) AS rank
+      FROM g QUALIFY rank <= 10),
+pn AS (SELECT p_partkey, min(p_name) AS p_name FROM part WHERE p_partkey IS NOT NULL GROUP BY p_partkey),
+sn AS (SELECT s_suppkey, min(s_name) AS s_name FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY s_suppkey)
+SELECT t.*, substr(coalesce(pn.p_name, 'Unknown'), 1, 50) AS p_name, substr(coalesce(sn.s_name, 'Unknown'), 1, 50) AS s_name
+FROM t LEFT JOIN pn ON pn.p_partkey = t.l_partkey LEFT JOIN sn ON sn.s_suppkey = t.l_suppkey
+"""
+
+SQL["duration_stats"] = """
+SELECT l_quantity, count(*) AS n,
+       round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(l_extendedprice) AS DOUBLE), 6) AS mean_price,
+       round(median(l_extendedprice), 6) AS median_price, round(stddev_samp(l_extendedprice), 6) AS std_price,
+       round(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM lineitem) AS DOUBLE) * 100, 6) AS pct
+FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY l_quantity
+"""
+
+SQL["word_extract"] = """
+SELECT nullif(regexp_extract(p_name, '([\\p{L}\\p{N}_]+)', 1), '') AS first_word, count(*) AS n,
+       count(*) FILTER (WHERE coalesce(contains(p_name, 'ring'), false)) AS n_contains,
+       count(*) FILTER (WHERE coalesce(starts_with(p_name, 'red'), false)) AS n_prefix
+FROM part WHERE nullif(regexp_extract(p_name, '([\\p{L}\\p{N}_]+)', 1), '') IS NOT NULL GROUP BY ALL
+"""
+
+SQL["priority_suffix"] = """
+WITH s AS (SELECT nullif(regexp_extract(o_orderpriority, '-([\\p{L}\\p{N}_]+)$', 1), '') AS suffix FROM orders)
+SELECT suffix, count(*) AS n,
+       round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100, 6) AS pct
+FROM s WHERE suffix IS NOT NULL GROUP BY suffix
+"""
+
+SQL["hierarchy_counts"] = """
+SELECT 'region_nations' AS level, CAST(r_regionkey AS BIGINT) AS parent_key, r_name AS parent_name,
+       count(n_nationkey) AS n_children
+FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL
+UNION ALL
+SELECT 'nation_suppliers', CAST(n_nationkey AS BIGINT), n_name, count(s_suppkey)
+FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL
+UNION ALL
+SELECT 'nation_customers', CAST(n_nationkey AS BIGINT), n_name, count(c_custkey)
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL
+"""
+
+SQL["dimension_listing"] = """
+WITH reg AS (SELECT r_regionkey, min(r_name) AS r_name FROM region WHERE r_regionkey IS NOT NULL GROUP BY r_regionkey)
+SELECT n_nationkey, n_name, n_regionkey, reg.r_name FROM nation LEFT JOIN reg ON reg.r_regionkey = n_regionkey
+"""
