@@ -507,3 +507,140 @@ def dimension_listing(spark, d):
     n = _t(spark, d, "nation")
     return lookup(n, "n_regionkey", _t(spark, d, "region"), "r_regionkey", ["r_name"]).select(
         "n_nationkey", "n_name", "n_regionkey", "r_name")
+
+
+# ---------------------------------------------------------------- profile / quality / summary
+from pyspark.sql import types as T  # noqa: E402
+
+from ledgerlens.functions.exprs import coerce_date, coerce_number, date_or_na  # noqa: E402
+from ledgerlens.functions.exprs import starts_with_safe  # noqa: E402
+from ledgerlens.operators import profile as prof  # noqa: E402
+from ledgerlens.operators.ranks import exact_quantiles  # noqa: E402
+from ledgerlens.session import scratch_path  # noqa: E402
+from ledgerlens.sources import sinks  # noqa: E402
+from ledgerlens.sources.csv import PANDAS_NA_TOKENS, normalize_missing, read_csv_typed  # noqa: E402
+from ledgerlens.sources.tables import STAR_TABLES, load_tables  # noqa: E402
+
+# A priority label that the quality report treats as missing.
+UNSPECIFIED_PRIORITY = "4-NOT SPECIFIED"
+DIRECT_PREFIX = "1"
+
+
+@query
+def table_profile(spark, d):
+    tables, _missing = load_tables(spark, d, STAR_TABLES)
+    return prof.table_profile(tables)
+
+
+@query
+def column_profile(spark, d):
+    tables, _missing = load_tables(spark, d, STAR_TABLES)
+    parts = []
+    for name, df in tables.items():
+        pos = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column_name"))
+        parts.append(prof.null_counts(df).select(F.lit(name).alias("table_name"),
+                                                 pos.alias("position"), "column_name",
+                                                 "n_null", "n_rows"))
+    return prof.union_all(parts)
+
+
+@query
+def quality_issues(spark, d):
+    orders = normalize_missing(_t(spark, d, "orders"), PANDAS_NA_TOKENS + [UNSPECIFIED_PRIORITY])
+    keys = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    segs = _t(spark, d, "customer").select("c_nationkey", "c_mktsegment")
+    return prof.quality_issues({"customer": _t(spark, d, "customer"), "orders": orders,
+                                "order_line_keys": keys, "customer_segments": segs})
+
+
+@query
+def referential_orphans(spark, d):
+    o, li = _t(spark, d, "orders"), _t(spark, d, "lineitem")
+    return prof.union_all([
+        prof.orphan_keys("orders->customer", o, "o_custkey", _t(spark, d, "customer"), "c_custkey"),
+        prof.orphan_keys("lineitem->orders", li, "l_orderkey", o, "o_orderkey"),
+        prof.orphan_keys("lineitem->part", li, "l_partkey", _t(spark, d, "part"), "p_partkey"),
+        prof.orphan_keys("lineitem->supplier", li, "l_suppkey", _t(spark, d, "supplier"), "s_suppkey"),
+    ])
+
+
+@query
+def executive_summary(spark, d):
+    """One row of headline numbers across all tables."""
+    o, li, c = _t(spark, d, "orders"), _t(spark, d, "lineitem"), _t(spark, d, "customer")
+    counts = {n: _t(spark, d, n).agg(F.count(F.lit(1)).alias(f"n_{n}"))
+              for n in ["region", "nation", "supplier", "part"]}
+    orders_row = o.agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.sum(money("o_totalprice")).alias("_rev"),
+        F.sum(F.when(starts_with_safe("o_orderpriority", DIRECT_PREFIX), money("o_totalprice"))).alias("_direct"),
+        F.count("o_totalprice").alias("_n_price"),
+        date_or_na(F.min(F.to_date("o_orderdate"))).alias("first_order_date"),
+        date_or_na(F.max(F.to_date("o_orderdate"))).alias("last_order_date"),
+        F.countDistinct(month_start("o_orderdate")).alias("active_months"))
+    median = exact_quantiles(o, "o_totalprice", [0.5], key="o_orderkey", prefix="_med")
+    cust_row = c.agg(F.count(F.lit(1)).alias("n_customers"),
+                     F.count_if(F.col("c_mktsegment").isin(HIGH_TIERS)).alias("n_high_tier"))
+    li_row = li.agg(F.count(F.lit(1)).alias("n_order_lines"),
+                    F.countDistinct("l_orderkey").alias("n_orders_with_lines"))
+    brands = _t(spark, d, "part").agg(F.countDistinct("p_brand").alias("n_brands"))
+    row = orders_row
+    for extra in [median, cust_row, li_row, brands, *counts.values()]:
+        row = row.crossJoin(extra)  # one-row scalars
+    return row.select(
+        "n_region", "n_nation", "n_supplier", "n_part", "n_customers", "n_orders", "n_order_lines",
+        F.coalesce(F.col("_rev"), F.lit(0)).cast("double").alias("total_revenue"),
+        round6(F.coalesce(F.col("_rev"), F.lit(0)).cast("double") / F.lit(1e9)).alias("total_revenue_bn"),
+        round6(mean_of_sum("_rev", "_n_price")).alias("avg_order_value"),
+        round6("_med0").alias("median_order_value"),
+        "first_order_date", "last_order_date", "active_months",
+        "n_high_tier", pct_expr("n_high_tier", "n_customers").alias("high_tier_pct"),
+        pct_expr(F.coalesce("_direct", F.lit(0)), "_rev").alias("direct_share_pct"),
+        "n_orders_with_lines", "n_brands")
+
+
+# The layout of orders written to and read back from CSV.
+ORDERS_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType()),
+])
+
+
+def _dirty_orders(spark, d):
+    """Orders rendered as text, with unparseable dates on low-priority orders
+    and a missing-token price on urgent open orders (derived from the data)."""
+    o = _t(spark, d, "orders")
+    return o.select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("not a date"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date_text"),
+        F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT"), F.lit("n/a"))
+        .otherwise(F.format_string("%.2f", "o_totalprice")).alias("price_text"))
+
+
+@query
+def clean_orders(spark, d):
+    raw = _dirty_orders(spark, d)
+    dt = coerce_date("date_text")
+    return raw.select(
+        "o_orderkey", "o_custkey", dt.alias("order_date"),
+        month_start(dt).alias("order_month"), F.year(dt).alias("order_year"),
+        F.month(dt).alias("order_month_num"),
+        coerce_number("price_text").cast("double").alias("price"))
+
+
+@query
+def csv_roundtrip(spark, d):
+    path = sinks.write_csv(_t(spark, d, "orders"), scratch_path(spark, "orders-csv"))
+    return read_csv_typed(spark, path, ORDERS_SCHEMA)
+
+
+@query
+def cohort_matrix_csv(spark, d):
+    cells = cohort_plan.retention(_cohort_orders(spark, d))
+    path, cols = sinks.write_matrix_csv(cells, "cohort_month", "cohort_index", "retention_pct",
+                                        scratch_path(spark, "cohort-matrix"))
+    schema = T.StructType([T.StructField("cohort_month", T.StringType())] +
+                          [T.StructField(str(c), T.DoubleType()) for c in cols])
+    return read_csv_typed(spark, path, schema)

@@ -628,3 +628,123 @@ SQL["dimension_listing"] = """
 WITH reg AS (SELECT r_regionkey, min(r_name) AS r_name FROM region WHERE r_regionkey IS NOT NULL GROUP BY r_regionkey)
 SELECT n_nationkey, n_name, n_regionkey, reg.r_name FROM nation LEFT JOIN reg ON reg.r_regionkey = n_regionkey
 """
+
+# Driver table columns in file order.
+_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                 "l_shipdate"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+}
+
+
+def _missing_sum(cols) -> str:
+    return " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in cols)
+
+
+SQL["table_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({len(cols)} AS BIGINT) AS n_columns, "
+    f"CAST(coalesce(sum({_missing_sum(cols)}), 0) AS BIGINT) AS n_missing, "
+    f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS n_duplicates FROM {t}"
+    for t, cols in _COLUMNS.items())
+
+SQL["column_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST({i} AS INTEGER) AS position, '{c}' AS column_name, "
+    f"count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(*) AS n_rows FROM {t}"
+    for t, cols in _COLUMNS.items() for i, c in enumerate(cols, 1))
+
+_NA = ", ".join("'" + tok.replace("'", "''") + "'" for tok in
+                ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                 "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+                 "4-NOT SPECIFIED"])
+
+
+def _issues(name, source, cols):
+    nulls = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, 'missing' AS issue, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS n FROM {source}" for c in cols)
+    dups = (f"SELECT '{name}', 'duplicate_rows', CAST(NULL AS VARCHAR), "
+            f"(SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source}))")
+    return f"SELECT * FROM ({nulls}\nUNION ALL\n{dups}) WHERE n > 0"
+
+
+_CLEAN_ORDERS = ("(SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus IN (" + _NA + ") THEN NULL ELSE o_orderstatus END AS o_orderstatus, "
+                 "o_totalprice, o_orderdate, CASE WHEN o_orderpriority IN (" + _NA + ") THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders)")
+_LINE_KEYS = "(SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem)"
+
+SQL["quality_issues"] = "\nUNION ALL\n".join([
+    _issues("customer", "customer", _COLUMNS["customer"]),
+    _issues("orders", _CLEAN_ORDERS, _COLUMNS["orders"]),
+    _issues("order_line_keys", _LINE_KEYS, ["l_orderkey", "l_partkey", "l_suppkey"]),
+    _issues("customer_segments", "(SELECT c_nationkey, c_mktsegment FROM customer)",
+            ["c_nationkey", "c_mktsegment"]),
+])
+
+
+def _orphans(check, child, ck, parent, pk):
+    return f"""SELECT '{check}' AS check_name, count({ck}) AS n_child_keys,
+       count(*) FILTER (WHERE {ck} IS NOT NULL AND {ck} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL)) AS n_orphan_keys,
+       count(*) FILTER (WHERE {ck} IS NULL) AS n_null_keys
+FROM (SELECT DISTINCT {ck} FROM {child})"""
+
+
+SQL["referential_orphans"] = "\nUNION ALL\n".join([
+    _orphans("orders->customer", "orders", "o_custkey", "customer", "c_custkey"),
+    _orphans("lineitem->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _orphans("lineitem->part", "lineitem", "l_partkey", "part", "p_partkey"),
+    _orphans("lineitem->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+])
+
+SQL["executive_summary"] = f"""
+WITH o AS (
+  SELECT count(*) AS n_orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS rev,
+         sum(CASE WHEN coalesce(starts_with(o_orderpriority, '1'), false) THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS direct,
+         count(o_totalprice) AS n_price,
+         coalesce(strftime(min(CAST(o_orderdate AS DATE)), '%Y-%m-%d'), 'N/A') AS first_order_date,
+         coalesce(strftime(max(CAST(o_orderdate AS DATE)), '%Y-%m-%d'), 'N/A') AS last_order_date,
+         count(DISTINCT date_trunc('month', o_orderdate)) AS active_months,
+         quantile_cont(o_totalprice, 0.5) AS med
+  FROM orders),
+c AS (SELECT count(*) AS n_customers, count(*) FILTER (WHERE c_mktsegment IN ({_HIGH})) AS n_high_tier FROM customer)
+SELECT (SELECT count(*) FROM region) AS n_region, (SELECT count(*) FROM nation) AS n_nation,
+       (SELECT count(*) FROM supplier) AS n_supplier, (SELECT count(*) FROM part) AS n_part,
+       c.n_customers, o.n_orders, (SELECT count(*) FROM lineitem) AS n_order_lines,
+       CAST(coalesce(o.rev, 0) AS DOUBLE) AS total_revenue,
+       round(CAST(coalesce(o.rev, 0) AS DOUBLE) / 1e9, 6) AS total_revenue_bn,
+       round(CAST(o.rev AS DOUBLE) / CAST(o.n_price AS DOUBLE), 6) AS avg_order_value,
+       round(o.med, 6) AS median_order_value,
+       o.first_order_date, o.last_order_date, o.active_months, c.n_high_tier,
+       round(CAST(c.n_high_tier AS DOUBLE) / CAST(c.n_customers AS DOUBLE) * 100, 6) AS high_tier_pct,
+       round(CAST(coalesce(o.direct, 0) AS DOUBLE) / CAST(o.rev AS DOUBLE) * 100, 6) AS direct_share_pct,
+       (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS n_orders_with_lines,
+       (SELECT count(DISTINCT p_brand) FROM part) AS n_brands
+FROM o CROSS JOIN c
+"""
+
+SQL["clean_orders"] = """
+WITH raw AS (
+  SELECT o_orderkey, o_custkey,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'not a date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_text,
+         CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 'n/a'
+              ELSE printf('%.2f', o_totalprice) END AS price_text
+  FROM orders),
+p AS (SELECT *, CAST(try_strptime(trim(date_text), '%Y-%m-%d') AS DATE) AS d FROM raw)
+SELECT o_orderkey, o_custkey, d AS order_date, CAST(date_trunc('month', d) AS DATE) AS order_month,
+       CAST(year(d) AS INTEGER) AS order_year, CAST(month(d) AS INTEGER) AS order_month_num,
+       CAST(coalesce(TRY_CAST(price_text AS DECIMAL(18,2)), 0) AS DOUBLE) AS price
+FROM p
+"""
+
+SQL["csv_roundtrip"] = "SELECT * FROM orders"
+
+SQL["cohort_matrix_csv"] = _COHORT + """
+SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_pct FROM ret)
+               ON cohort_index USING first(retention_pct) GROUP BY cohort_month)
+"""
