@@ -61,7 +61,7 @@ def rfm_segment_summary(spark, d):
 
 @query
 def vip_list(spark, d):
-    scored = rfm_plan.rfm(_t(spark, d, "orders"))
+    scored = rfm_plan.rfm(_t(spark, d, "orders"), keep_ranks=True)
     out = rfm_plan.vip_list(scored, _t(spark, d, "customer"), "c_custkey",
                             ["c_acctbal", "c_mktsegment", "c_nationkey"], age_col="c_acctbal",
                             age_edges=VIP_BALANCE_EDGES, age_labels=VIP_BALANCE_LABELS)
@@ -516,7 +516,7 @@ from ledgerlens.functions.exprs import coerce_date, coerce_number, date_or_na  #
 from ledgerlens.functions.exprs import starts_with_safe  # noqa: E402
 from ledgerlens.operators import profile as prof  # noqa: E402
 from ledgerlens.operators.ranks import exact_quantiles  # noqa: E402
-from ledgerlens.session import scratch_path  # noqa: E402
+from ledgerlens.session import materialize, scratch_path  # noqa: E402
 from ledgerlens.sources import sinks  # noqa: E402
 from ledgerlens.sources.csv import PANDAS_NA_TOKENS, normalize_missing, read_csv_typed  # noqa: E402
 from ledgerlens.sources.tables import STAR_TABLES, load_tables  # noqa: E402
@@ -638,7 +638,9 @@ def csv_roundtrip(spark, d):
 
 @query
 def cohort_matrix_csv(spark, d):
-    cells = cohort_plan.retention(_cohort_orders(spark, d))
+    # the cell table has at most months^2 rows; materialise it once so the
+    # label read and the write do not both recompute the orders aggregate
+    cells = materialize(cohort_plan.retention(_cohort_orders(spark, d)))
     path, cols = sinks.write_matrix_csv(cells, "cohort_month", "cohort_index", "retention_pct",
                                         scratch_path(spark, "cohort-matrix"))
     schema = T.StructType([T.StructField("cohort_month", T.StringType())] +

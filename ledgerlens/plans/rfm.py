@@ -52,17 +52,21 @@ def rfm_base(orders: DataFrame, key: str = "o_custkey", order_id: str = "o_order
             .select(KEY, "recency", "frequency", "monetary"))
 
 
-def rfm_scores(base: DataFrame) -> DataFrame:
+def rfm_scores(base: DataFrame, keep_ranks: bool = False) -> DataFrame:
     """Add r/f/m scores (1..5), the 3-digit code, the total and the segment.
 
     * R: five quantile bins of raw recency, labels reversed (low recency = 5),
       lowest edge included; coinciding edges -> first matching edge wins.
     * F, M: ``qcut(rank(method='first'))`` – rank on (metric, key).
+
+    The recency edges and the customer count are read from the checkpointed
+    ranked rows, so the orders aggregate runs once. ``keep_ranks`` keeps
+    ``_m_rn`` / ``_n`` for monetary quantiles without another sort.
     """
-    edges = base.agg(F.percentile("recency", R_PROBS).alias("_e"),
-                     F.count(F.lit(1)).alias("_n"))
     ranked = global_row_number(base, ["frequency", KEY], "_f_rn")
     ranked = global_row_number(ranked, ["monetary", KEY], "_m_rn")
+    edges = ranked.agg(F.percentile("recency", R_PROBS).alias("_e"),
+                       F.count(F.lit(1)).alias("_n"))
     e = F.col("_e")
     r = (F.when(F.col("recency") <= e[0], 5).when(F.col("recency") <= e[1], 4)
          .when(F.col("recency") <= e[2], 3).when(F.col("recency") <= e[3], 2).otherwise(1))
@@ -70,18 +74,32 @@ def rfm_scores(base: DataFrame) -> DataFrame:
               .withColumn("r_score", r.cast("long"))
               .withColumn("f_score", qcut_rank_bin("_f_rn", "_n"))
               .withColumn("m_score", qcut_rank_bin("_m_rn", "_n")))
-    return (scored
-            .withColumn("rfm_score", F.concat(F.col("r_score").cast("string"),
-                                              F.col("f_score").cast("string"),
-                                              F.col("m_score").cast("string")))
-            .withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
-            .withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
-            .drop("_e", "_n", "_f_rn", "_m_rn"))
-
-
-def rfm(orders: DataFrame, **cols) -> DataFrame:
+    scored = (scored
+              .withColumn("rfm_score", F.concat(F.col("r_score").cast("string"),
+                                                F.col("f_score").cast("string"),
+                                                F.col("m_score").cast("string")))
+              .withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+              .withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
+              .drop("_e", "_f_rn"))
+    return scored if keep_ranks else scored.drop("_m_rn", "_n")
+
+
+def quantile_from_rank(df: DataFrame, value: str, rank: str, n: str, p: float,
+                       name: str) -> DataFrame:
+    """Linear-interpolated quantile of ``value`` from an existing 1-based rank
+    (``rank`` orders ``value`` ascending): one row, two looked-up positions."""
+    h = (F.col(n) - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(10,9)")
+    sel = df.select(value, rank, h.alias("_h")).filter(
+        (F.col(rank) == F.floor("_h") + 1) | (F.col(rank) == F.ceil("_h") + 1))
+    picked = sel.agg(F.max("_h").alias("_h"), F.min_by(value, rank).alias("_lo"),
+                     F.max_by(value, rank).alias("_hi"))
+    return picked.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_h") - F.floor("_h")))
+                         .alias(name))
+
+
+def rfm(orders: DataFrame, keep_ranks: bool = False, **cols) -> DataFrame:
     """Scored RFM table; monetary stays DECIMAL(28,2) for exact downstream sums."""
-    return rfm_scores(rfm_base(orders, **cols))
+    return rfm_scores(rfm_base(orders, **cols), keep_ranks=keep_ranks)
 
 
 def with_double_money(df: DataFrame, cols: Sequence[str] = ("monetary",)) -> DataFrame:
@@ -118,7 +136,11 @@ def vip_list(scored: DataFrame, customers: DataFrame, customer_key: str,
     """Candidates = VIP segments OR monetary >= the 95th percentile; the
     top ``top_n`` by monetary (ties by key) with customer attributes,
     an age group and a VIP tier from the RFM total."""
-    q = exact_quantiles(scored, "monetary", [quantile], key=KEY, prefix="_q")
+    if "_m_rn" in scored.columns:
+        q = quantile_from_rank(scored, "monetary", "_m_rn", "_n", quantile, "_q0")
+        scored = scored.drop("_m_rn", "_n")
+    else:
+        q = exact_quantiles(scored, "monetary", [quantile], key=KEY, prefix="_q")
     cand = (scored.crossJoin(F.broadcast(q))  # one-row scalar
             .filter(F.col("segment").isin(VIP_SEGMENTS) | (F.col("monetary") >= F.col("_q0")))
             .drop("_q0"))
