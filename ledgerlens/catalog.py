@@ -100,8 +100,9 @@ def cohort_matrix(spark, d):
 @query
 def cohort_rate_means(spark, d):
     co = _cohort_orders(spark, d)
-    return cohort_plan.rate_means(cohort_plan.retention(co),
-                                  cohort_plan.renewal(co, RENEWAL_STATUS))
+    cells = cohort_plan.cohort_cells(co, RENEWAL_STATUS)
+    return cohort_plan.rate_means(cohort_plan.retention(co, cells),
+                                  cohort_plan.renewal(co, RENEWAL_STATUS, cells))
 
 
 # ---------------------------------------------------------------- pareto

@@ -2,9 +2,8 @@
 
 * first order date per customer: aggregate + join (no window sort of all
   orders; AQE can split a hot customer's partition in the join);
-* cells: ``count(DISTINCT customer)`` per (cohort month, month index) –
-  Spark plans it as a dedup aggregate on (cell, customer) followed by a
-  count, both with map-side combine;
+* cells: one dedup aggregate on (cell, customer) with a renewal flag, then a
+  count per cell – retention and renewal share that single shuffle;
 * the cell tables hold at most months² rows, so everything after the
   first two aggregates is tiny.
 
@@ -18,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import month_index, month_start, pct, round6
@@ -37,33 +36,47 @@ def cohort_orders(orders: DataFrame, key: str, date: str, flag: str) -> DataFram
                     month_index("order_date", "first_date").cast("long").alias("cohort_index"))
 
 
-def _cells(co: DataFrame, name: str) -> DataFrame:
-    return (co.groupBy("cohort_month", "cohort_index")
-            .agg(F.countDistinct(KEY).alias(name)))
+def cohort_cells(co: DataFrame, renewal_value: str | None = None) -> DataFrame:
+    """(cohort_month, cohort_index, customers, renewals, cohort_size) in one pass.
 
+    Orders are first reduced to one row per (cell, customer) carrying a
+    "renewed in this cell" flag (map-side combined), then counted per cell;
+    retention and renewal therefore share a single shuffle of the orders.
+    The cohort size (the index-1 cell) comes from a window over the cell
+    table, which has at most months² rows.
+    """
+    renewed = (F.col("_flag") == F.lit(renewal_value)) if renewal_value is not None else F.lit(False)
+    per_customer = (co.groupBy("cohort_month", "cohort_index", KEY)
+                    .agg(F.max(F.coalesce(renewed, F.lit(False))).alias("_renewed")))
+    cells = (per_customer.groupBy("cohort_month", "cohort_index")
+             .agg(F.count(F.lit(1)).alias("customers"), F.count_if("_renewed").alias("renewals")))
+    w = Window.partitionBy("cohort_month")
+    return cells.withColumn(
+        "cohort_size", F.max(F.when(F.col("cohort_index") == 1, F.col("customers"))).over(w))
 
-def retention(co: DataFrame) -> DataFrame:
+
+def retention(co: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """(cohort_month, cohort_index, customers, cohort_size, retention_pct)."""
-    cells = _cells(co, "customers")
-    size = cells.filter(F.col("cohort_index") == 1).select(
-        "cohort_month", F.col("customers").alias("cohort_size"))
-    return (cells.join(size, "cohort_month", "left")
-            .withColumn("retention_pct", pct("customers", "cohort_size")))
-
-
-def renewal(co: DataFrame, renewal_value: str) -> DataFrame:
-    """(cohort_month, cohort_index, renewals, renewal_pct) on retention's grid."""
-    ret = retention(co)
-    ren = _cells(co.filter(F.col("_flag") == F.lit(renewal_value)), "renewals")
-    size = ret.filter(F.col("cohort_index") == 1).select("cohort_month", "cohort_size")
+    c = cells if cells is not None else cohort_cells(co)
+    return c.select("cohort_month", "cohort_index", "customers", "cohort_size",
+                    pct("customers", "cohort_size").alias("retention_pct"))
+
+
+def renewal(co: DataFrame, renewal_value: str, cells: DataFrame | None = None) -> DataFrame:
+    """(cohort_month, cohort_index, renewals, cohort_size, renewal_pct) on
+    retention's grid, with the reference's zero-versus-missing rule."""
+    c = cells if cells is not None else cohort_cells(co, renewal_value)
+    ren = c.filter(F.col("renewals") > 0)
+    sizes = c.select("cohort_month", "cohort_size").distinct()
     # grid = retention cohorts x retention month columns; both lists are
     # bounded by the number of months, the index list travels as one array
-    idx = ret.agg(F.array_sort(F.collect_set("cohort_index")).alias("_idx"))
-    grid = (size.crossJoin(F.broadcast(idx))
+    idx = c.agg(F.array_sort(F.collect_set("cohort_index")).alias("_idx"))
+    grid = (sizes.crossJoin(F.broadcast(idx))
             .select("cohort_month", "cohort_size", F.explode("_idx").alias("cohort_index")))
     ren_rows = ren.select("cohort_month").distinct().withColumn("_row_seen", F.lit(True))
     ren_cols = ren.select("cohort_index").distinct().withColumn("_col_seen", F.lit(True))
-    g = (grid.join(ren, ["cohort_month", "cohort_index"], "left")
+    g = (grid.join(ren.select("cohort_month", "cohort_index", "renewals"),
+                   ["cohort_month", "cohort_index"], "left")
          .join(ren_rows, "cohort_month", "left")
          .join(ren_cols, "cohort_index", "left"))
     filled = F.when(F.col("renewals").isNotNull(), F.col("renewals")).when(
