@@ -533,15 +533,31 @@ def table_profile(spark, d):
     return prof.table_profile(tables)
 
 
+def _type_family(dt: T.DataType) -> str:
+    if isinstance(dt, T.IntegralType):
+        return "integer"
+    if isinstance(dt, (T.FractionalType,)):
+        return "float"
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return "datetime"
+    if isinstance(dt, T.StringType):
+        return "string"
+    return dt.simpleString()
+
+
 @query
 def column_profile(spark, d):
+    """Per table column: position, name, type family, null count, row count."""
     tables, _missing = load_tables(spark, d, STAR_TABLES)
     parts = []
     for name, df in tables.items():
-        pos = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column_name"))
+        fields = df.schema.fields
+        pos = F.array_position(F.array(*[F.lit(f.name) for f in fields]), F.col("column_name"))
+        types = F.element_at(F.array(*[F.lit(_type_family(f.dataType)) for f in fields]),
+                             pos.cast("int"))
         parts.append(prof.null_counts(df).select(F.lit(name).alias("table_name"),
                                                  pos.alias("position"), "column_name",
-                                                 "n_null", "n_rows"))
+                                                 types.alias("data_type"), "n_null", "n_rows"))
     return prof.union_all(parts)
 
 
@@ -647,3 +663,31 @@ def cohort_matrix_csv(spark, d):
     schema = T.StructType([T.StructField("cohort_month", T.StringType())] +
                           [T.StructField(str(c), T.DoubleType()) for c in cols])
     return read_csv_typed(spark, path, schema)
+
+
+# ---------------------------------------------------------------- chart datasets
+@query
+def vip_tier_counts(spark, d):
+    """VIP tier counts of the top-100 VIP list in fixed tier order."""
+    vip = vip_list(spark, d)
+    vc = value_counts(vip, "vip_tier", "n")
+    order = F.array(*[F.lit(t) for t in ["Platinum", "Gold", "Silver", "Bronze"]])
+    return vc.withColumn("display_order", F.array_position(order, F.col("vip_tier")))
+
+
+@query
+def renewal_matrix(spark, d):
+    """Renewal-rate matrix corner: first 15 cohorts x month indices 1..12."""
+    ren = cohort_plan.renewal(_cohort_orders(spark, d), RENEWAL_STATUS)
+    return cohort_plan.matrix_corner(ren, "renewal_pct", n_cohorts=15)
+
+
+@query
+def scatter_axis_limits(spark, d):
+    """95th percentiles of customer volume and margin (the scatter's axes)."""
+    vm = _volume_margin(spark, d).select(cv.KEY, money("total_volume").alias("v"),
+                                         money("total_margin").alias("m"))
+    qv = exact_quantiles(vm, "v", [0.95], key=cv.KEY, prefix="volume_p")
+    qm = exact_quantiles(vm, "m", [0.95], key=cv.KEY, prefix="margin_p")
+    return qv.crossJoin(qm).select(round6("volume_p0").alias("volume_p95"),
+                                   round6("margin_p0").alias("margin_p95"))

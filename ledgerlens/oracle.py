@@ -451,25 +451,25 @@ tot AS (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s, coun
 j AS (SELECT tot.*, emp.branch_key, emp.branch, emp.company FROM tot LEFT JOIN emp ON emp.s_suppkey = tot.l_suppkey)"""
 
 SQL["revenue_by_company"] = _EMP + """
-SELECT company, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n,
+SELECT company, CAST(sum(s) AS DOUBLE) AS revenue, CAST(sum(c) AS BIGINT) AS n,
        round(CAST(sum(s) AS DOUBLE) / CAST(sum(c) AS DOUBLE), 6) AS avg_revenue
 FROM j WHERE company IS NOT NULL GROUP BY company
 """
 
 SQL["channel_type_share"] = _EMP + """
-SELECT branch AS channel_type, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n,
+SELECT branch AS channel_type, CAST(sum(s) AS DOUBLE) AS revenue, CAST(sum(c) AS BIGINT) AS n,
        round(CAST(sum(s) AS DOUBLE) / sum(CAST(sum(s) AS DOUBLE)) OVER () * 100, 6) AS share_pct
 FROM j WHERE branch IS NOT NULL GROUP BY branch
 """
 
 SQL["company_comparison"] = _EMP + """
-SELECT company, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n, count(*) AS n_employees,
+SELECT company, CAST(sum(s) AS DOUBLE) AS revenue, CAST(sum(c) AS BIGINT) AS n, count(*) AS n_employees,
        round(CAST(sum(s) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS revenue_per_employee
 FROM j WHERE company IS NOT NULL GROUP BY company
 """
 
 SQL["branch_performance"] = _EMP + """,
-g AS (SELECT branch_key, CAST(sum(s) AS DOUBLE) AS revenue, sum(c) AS n
+g AS (SELECT branch_key, CAST(sum(s) AS DOUBLE) AS revenue, CAST(sum(c) AS BIGINT) AS n
       FROM j WHERE branch_key IS NOT NULL GROUP BY branch_key),
 t AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, branch_key) AS rank FROM g QUALIFY rank <= 10)
 SELECT t.branch_key, t.revenue, t.n, CAST(t.rank AS BIGINT) AS rank, coalesce(nat.n_name, 'Unknown') AS n_name
@@ -655,8 +655,22 @@ SQL["table_profile"] = "\nUNION ALL\n".join(
     f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS n_duplicates FROM {t}"
     for t, cols in _COLUMNS.items())
 
+# Type family of every driver column, in the same order.
+_TYPES = {
+    "region": ["integer", "string"],
+    "nation": ["integer", "string", "integer"],
+    "customer": ["integer", "string", "integer", "float", "string"],
+    "supplier": ["integer", "string", "integer", "float"],
+    "part": ["integer", "string", "string", "string", "integer", "float"],
+    "orders": ["integer", "integer", "string", "float", "datetime", "string"],
+    "lineitem": ["integer", "integer", "integer", "integer", "float", "float", "float", "float",
+                 "string", "string", "datetime"],
+    "events": ["integer", "datetime", "integer", "string", "float", "string"],
+}
+
 SQL["column_profile"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, CAST({i} AS INTEGER) AS position, '{c}' AS column_name, "
+    f"SELECT '{t}' AS table_name, CAST({i} AS BIGINT) AS position, '{c}' AS column_name, "
+    f"'{_TYPES[t][i - 1]}' AS data_type, "
     f"count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(*) AS n_rows FROM {t}"
     for t, cols in _COLUMNS.items() for i, c in enumerate(cols, 1))
 
@@ -748,3 +762,27 @@ SQL["cohort_matrix_csv"] = _COHORT + """
 SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_pct FROM ret)
                ON cohort_index USING first(retention_pct) GROUP BY cohort_month)
 """
+
+SQL["vip_tier_counts"] = SQL["vip_list"].rstrip().rsplit("SELECT top.customer_key", 1)[0] + """
+SELECT vip_tier, count(*) AS n,
+       CAST(CASE vip_tier WHEN 'Platinum' THEN 1 WHEN 'Gold' THEN 2 WHEN 'Silver' THEN 3
+                          WHEN 'Bronze' THEN 4 END AS BIGINT) AS display_order
+FROM (SELECT CASE WHEN rfm_total >= 14 THEN 'Platinum' WHEN rfm_total >= 11 THEN 'Gold'
+                  WHEN rfm_total >= 8 THEN 'Silver' ELSE 'Bronze' END AS vip_tier FROM top)
+GROUP BY vip_tier
+"""
+
+SQL["renewal_matrix"] = _COHORT + """,
+firsts AS (SELECT DISTINCT cohort_month FROM renr ORDER BY cohort_month LIMIT 15)
+SELECT cohort_month,
+""" + ",\n".join(
+    f"  max(CASE WHEN cohort_index = {i} THEN renewal_pct END) AS m{i}" for i in range(1, 13)
+) + """
+FROM renr WHERE cohort_month IN (SELECT cohort_month FROM firsts) GROUP BY cohort_month
+"""
+
+SQL["scatter_axis_limits"] = _FACTS + """
+SELECT round(quantile_cont(CAST(CAST(total_volume AS DECIMAL(18,2)) AS DOUBLE), 0.95), 6) AS volume_p95,
+       round(quantile_cont(CAST(CAST(total_margin AS DECIMAL(18,2)) AS DOUBLE), 0.95), 6) AS margin_p95
+FROM vm
+"""

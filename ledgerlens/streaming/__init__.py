@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every analysis in this library is a bounded batch over whole tables; there
+is no watermark, window, state or late data to handle, so no Structured
+Streaming job is defined. The batch plans can be run from
+``foreachBatch`` unchanged if a caller ever feeds them incrementally.
+"""
