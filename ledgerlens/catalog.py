@@ -382,6 +382,7 @@ def prefix_lookup(spark, d):
 
 # ---------------------------------------------------------------- products / vehicles
 from ledgerlens.functions.exprs import first_word, last_dash_word  # noqa: E402
+from ledgerlens.operators.ranks import exact_quantiles  # noqa: E402
 from ledgerlens.operators.rollups import describe  # noqa: E402
 from ledgerlens.plans import products as prod_plan  # noqa: E402
 
@@ -462,11 +463,14 @@ def product_channel_combo(spark, d):
 def duration_stats(spark, d):
     li = _t(spark, d, "lineitem")
     total = li.agg(F.count(F.lit(1)).alias("_t"))
-    g = (li.filter(F.col("l_quantity").isNotNull()).groupBy("l_quantity")
+    li = li.filter(F.col("l_quantity").isNotNull())
+    g = (li.groupBy("l_quantity")
          .agg(F.count(F.lit(1)).alias("n"),
               round6(mean_of_sum(F.sum(money("l_extendedprice")), F.count("l_extendedprice"))).alias("mean_price"),
-              round6(F.median("l_extendedprice")).alias("median_price"),
               round6(F.stddev_samp("l_extendedprice")).alias("std_price")))
+    # per-group exact medians without a per-group map of every distinct price
+    med = exact_quantiles(li, "l_extendedprice", [0.5], groups=["l_quantity"], prefix="_med")
+    g = g.join(med, "l_quantity", "left").withColumn("median_price", round6("_med0")).drop("_med0")
     return (g.crossJoin(F.broadcast(total))
             .withColumn("pct", pct_expr("n", "_t")).drop("_t"))
 

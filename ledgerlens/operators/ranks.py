@@ -12,6 +12,7 @@ with one row per partition, and each row adds its partition's offset.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,34 +71,134 @@ def global_running_sum(df: DataFrame, order: Sequence, value: str, name: str = "
             .drop(_PID, _POS, _OFF))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    key: str | None = None, prefix: str = "q") -> DataFrame:
-    """One-row DataFrame of linear-interpolated quantiles (pandas default).
+def _interpolate(picked: DataFrame, groups: list[str], value: str) -> DataFrame:
+    q = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.floor("h"))
+    return picked.select(*groups, "_ll_i", q.alias("_ll_q"))
 
-    Works from a distributed rank instead of an in-memory value map, so no
-    reducer holds one counter per distinct value. Position arithmetic is
-    decimal, so integer-valued inputs give exact edges. Columns are named
-    ``{prefix}0``, ``{prefix}1``, ...
-    """
-    cols = [value] + ([key] if key else [])
-    base = df.select(*cols).filter(F.col(value).isNotNull())
-    ranked = global_row_number(base, cols, "_ll_rn")
-    n = base.agg(F.count(F.lit(1)).alias("_ll_cnt"))
+
+def _positions(n: Column, p: float) -> tuple[Column, Column, Column]:
+    h = (n - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(10,9)")
+    return h, (F.floor(h) + 1).cast("long"), (F.ceil(h) + 1).cast("long")
+
+
+def _full_rank_quantiles(base: DataFrame, groups: list[str], value: str, key: str | None,
+                         probs: Sequence[float]) -> DataFrame:
+    """Quantiles from a distributed rank of every row (the always-exact path)."""
+    order = groups + [value] + ([key] if key else [])
+    ranked = global_row_number(base, order, "_ll_rn")
+    counts = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("_ll_cnt"))
+    if groups:  # first global rank of each group
+        w = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_ll_start", F.coalesce(F.sum("_ll_cnt").over(w), F.lit(0)))
+    else:
+        counts = counts.withColumn("_ll_start", F.lit(0).cast("long"))
     specs = []
     for i, p in enumerate(probs):
-        h = (F.col("_ll_cnt") - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(10,9)")
-        specs.append(F.struct(F.lit(i).alias("i"), h.alias("h"),
-                              (F.floor(h) + 1).cast("long").alias("lo"),
-                              (F.ceil(h) + 1).cast("long").alias("hi")))
-    # at most two wanted positions per probability: a bounded broadcast side
-    pos = (n.select(F.explode(F.array(*specs)).alias("s"))
-           .select("s.i", "s.h", F.explode(F.array("s.lo", "s.hi")).alias("_ll_rn"))
+        h, lo, hi = _positions(F.col("_ll_cnt"), p)
+        specs.append(F.struct(F.lit(i).alias("i"), h.alias("h"), lo.alias("lo"), hi.alias("hi")))
+    pos = (counts.select(*groups, "_ll_start", F.explode(F.array(*specs)).alias("s"))
+           .select(*groups, "_ll_start", F.col("s.i").alias("_ll_i"), F.col("s.h").alias("h"),
+                   F.col("s.lo").alias("_lo"), F.col("s.hi").alias("_hi"))
+           .select(*groups, "_ll_i", "h",
+                   F.explode(F.array(F.col("_lo") + F.col("_ll_start"),
+                                     F.col("_hi") + F.col("_ll_start"))).alias("_ll_rn"))
            .distinct())
-    picked = (ranked.join(F.broadcast(pos), "_ll_rn")
-              .groupBy("i").agg(F.max("h").alias("h"),
-                                F.min_by(value, "_ll_rn").alias("v_lo"),
-                                F.max_by(value, "_ll_rn").alias("v_hi")))
-    q = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.floor("h"))
-    per = picked.select("i", q.alias("q"))
-    return per.agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"{prefix}{i}")
-                     for i in range(len(probs))])
+    picked = (ranked.join(pos, groups + ["_ll_rn"])
+              .groupBy(*groups, "_ll_i").agg(F.max("h").alias("h"),
+                                             F.min_by(value, "_ll_rn").alias("v_lo"),
+                                             F.max_by(value, "_ll_rn").alias("v_hi")))
+    return _interpolate(picked, groups, value)
+
+
+# Largest group whose exact value map may sit in one task (percentile aggregate).
+EXACT_MAP_ROWS = 2_000_000
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
+                    key: str | None = None, prefix: str = "q",
+                    groups: Sequence[str] = (), accuracy: int = 10000,
+                    map_rows_limit: int = EXACT_MAP_ROWS) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas / ``percentile`` semantics).
+
+    Neither a single reducer holding every distinct value (``percentile``)
+    nor a sort of the whole column: a bounded ``percentile_approx`` sketch
+    brackets each wanted rank to within a few ``n/accuracy`` rows, only the
+    rows inside the bracket are ranked (distributed), and the rows below it
+    are counted. If any bracket misses its ranks (the sketch bound is
+    checked on scalars), every row is ranked instead.
+
+    Size check first: when every group has at most ``map_rows_limit`` values
+    the built-in exact ``percentile`` aggregate (one value map per group) is
+    used directly; the bracketed path is for groups beyond that bound.
+
+    Returns one row per group with columns ``{prefix}0``, ``{prefix}1``, ...
+    """
+    groups = list(groups)
+    cols = groups + [value] + ([key] if key else [])
+    base = df.select(*cols).filter(F.col(value).isNotNull())
+    margin = 3.0 / accuracy
+    bounds = []
+    for p in probs:
+        bounds += [max(p - margin, 0.0), min(p + margin, 1.0)]
+    # one row per group with a bounded sketch; materialised because both the
+    # tally and the bracket filter read it
+    stats = materialize(base.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_ll_cnt"),
+        F.percentile_approx(value, bounds, accuracy).alias("_ll_b")))
+    largest = stats.agg(F.max("_ll_cnt")).first()[0]
+    if largest is None or largest <= map_rows_limit:
+        exact = F.percentile(value, list(probs))
+        agg = (base.groupBy(*groups).agg(exact.alias("_ll_p")) if groups
+               else base.agg(exact.alias("_ll_p")))
+        return agg.select(*groups, *[F.col("_ll_p")[i].alias(f"{prefix}{i}")
+                                     for i in range(len(probs))])
+    keyed = base.join(stats, groups) if groups else base.crossJoin(F.broadcast(stats))
+    pieces, below = [], []
+    for i, _ in enumerate(probs):
+        lo_v, hi_v = F.col("_ll_b")[2 * i], F.col("_ll_b")[2 * i + 1]
+        below.append(F.count_if(F.col(value) < lo_v).alias(f"_ll_below{i}"))
+        below.append(F.count_if((F.col(value) >= lo_v) & (F.col(value) <= hi_v)).alias(f"_ll_in{i}"))
+        pieces.append(F.when((F.col(value) >= lo_v) & (F.col(value) <= hi_v), F.lit(i)))
+    tally = keyed.groupBy(*groups).agg(F.first("_ll_cnt").alias("_ll_cnt"), *below)
+    checks = []
+    for i, p in enumerate(probs):
+        _, lo, hi = _positions(F.col("_ll_cnt"), p)
+        checks.append((F.col(f"_ll_below{i}") < lo) & (F.col(f"_ll_below{i}") + F.col(f"_ll_in{i}") >= hi))
+    ok_all = F.min(F.when(reduce(lambda a, b: a & b, checks), 1).otherwise(0))
+    tally = materialize(tally)  # one row per group; reused below
+    covered = tally.agg(ok_all.alias("ok")).first()["ok"]
+    if covered is None:  # no non-null values at all
+        out = _full_rank_quantiles(base, groups, value, key, probs)
+    elif covered == 1:
+        inside = (keyed.withColumn("_ll_i", F.explode(F.array_compact(F.array(*pieces))))
+                  .select(*cols, "_ll_i"))
+        order = groups + ["_ll_i", value] + ([key] if key else [])
+        ranked = global_row_number(inside, order, "_ll_rn")
+        sizes = inside.groupBy(*groups, "_ll_i").agg(F.count(F.lit(1)).alias("_ll_sz"))
+        w = Window.orderBy(*groups, "_ll_i").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sizes.withColumn("_ll_start", F.coalesce(F.sum("_ll_sz").over(w), F.lit(0)))
+        specs = []
+        for i, p in enumerate(probs):
+            h, lo, hi = _positions(F.col("_ll_cnt"), p)
+            b = F.col(f"_ll_below{i}")
+            specs.append(F.struct(F.lit(i).alias("i"), h.alias("h"),
+                                  (lo - b).alias("lo"), (hi - b).alias("hi")))
+        want = (tally.select(*groups, F.explode(F.array(*specs)).alias("s"))
+                .select(*groups, F.col("s.i").alias("_ll_i"), F.col("s.h").alias("h"),
+                        F.col("s.lo").alias("_lo"), F.col("s.hi").alias("_hi"))
+                .select(*groups, "_ll_i", "h", F.explode(F.array("_lo", "_hi")).alias("_ll_local"))
+                .distinct()
+                .join(sizes, groups + ["_ll_i"])
+                .withColumn("_ll_rn", F.col("_ll_local") + F.col("_ll_start"))
+                .drop("_ll_local", "_ll_start", "_ll_sz"))
+        picked = (ranked.join(want, groups + ["_ll_i", "_ll_rn"])
+                  .groupBy(*groups, "_ll_i").agg(F.max("h").alias("h"),
+                                                 F.min_by(value, "_ll_rn").alias("v_lo"),
+                                                 F.max_by(value, "_ll_rn").alias("v_hi")))
+        out = _interpolate(picked, groups, value)
+    else:
+        out = _full_rank_quantiles(base, groups, value, key, probs)
+    final = [F.max(F.when(F.col("_ll_i") == i, F.col("_ll_q"))).alias(f"{prefix}{i}")
+             for i in range(len(probs))]
+    # without groups a global aggregate always yields exactly one row
+    return out.groupBy(*groups).agg(*final) if groups else out.agg(*final)

@@ -97,20 +97,24 @@ def share_of_total(df: DataFrame, value: str, name: str, digits: int = 6) -> Dat
             .withColumn(name, pct(value, "_ll_grand", digits)).drop("_ll_grand"))
 
 
-def describe(df: DataFrame, value: str, prefix: str = "") -> DataFrame:
+def describe(df: DataFrame, value: str, prefix: str = "", key: str | None = None) -> DataFrame:
     """Eight-number ``describe()``: count, mean, std, min, 25/50/75 %, max.
 
-    Exact percentiles (not ``summary()``'s approximations); the mean is an
-    exact decimal sum over the count.
+    Exact percentiles (not ``summary()``'s approximations) from the bracketed
+    distributed quantile operator; the mean is an exact decimal sum over the
+    count.
     """
+    from ledgerlens.operators.ranks import exact_quantiles
+
     v = F.col(value)
-    return df.agg(
+    moments = df.agg(
         F.count(v).alias(f"{prefix}count"),
         round6(mean_of_sum(F.sum(v.cast("decimal(38,6)")), F.count(v))).alias(f"{prefix}mean"),
         round6(F.stddev_samp(v)).alias(f"{prefix}std"),
         F.min(v).cast("double").alias(f"{prefix}min"),
-        round6(F.percentile(v, 0.25)).alias(f"{prefix}p25"),
-        round6(F.percentile(v, 0.5)).alias(f"{prefix}p50"),
-        round6(F.percentile(v, 0.75)).alias(f"{prefix}p75"),
-        F.max(v).cast("double").alias(f"{prefix}max"),
-    )
+        F.max(v).cast("double").alias(f"{prefix}max"))
+    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], key=key, prefix="_ll_q")
+    return moments.crossJoin(q).select(  # one row each
+        f"{prefix}count", f"{prefix}mean", f"{prefix}std", f"{prefix}min",
+        round6("_ll_q0").alias(f"{prefix}p25"), round6("_ll_q1").alias(f"{prefix}p50"),
+        round6("_ll_q2").alias(f"{prefix}p75"), f"{prefix}max")

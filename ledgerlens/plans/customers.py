@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.bins import bin_spine, cut
 from ledgerlens.functions.exprs import mean_of_sum, round6
+from ledgerlens.operators.ranks import exact_quantiles
 from ledgerlens.operators.rollups import value_counts
 
 
@@ -23,11 +24,12 @@ def basic_stats(cust: DataFrame, value: str, labels: Sequence[str], flag_col: st
     aggs += [F.min(v).cast("double").alias(f"min_{value}"),
              F.max(v).cast("double").alias(f"max_{value}"),
              round6(mean_of_sum(F.sum(v.cast("decimal(38,6)")), F.count(v))).alias(f"mean_{value}"),
-             round6(F.median(v)).alias(f"median_{value}"),
              round6(F.stddev_samp(v)).alias(f"std_{value}"),
              F.count_if(F.col(flag_col) == F.lit(flag_value)).alias("n_flagged")]
     aggs += [F.mode(c, True).alias(f"mode_{c}") for c in labels]
-    return cust.agg(*aggs)
+    med = exact_quantiles(cust, value, [0.5], prefix="_ll_med")
+    out = cust.agg(*aggs).crossJoin(med)  # one row each
+    return out.withColumn(f"median_{value}", round6("_ll_med0")).drop("_ll_med0")
 
 
 def binned(df: DataFrame, value: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:

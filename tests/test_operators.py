@@ -44,7 +44,10 @@ def test_exact_quantiles_match_numpy(spark, n):
     vals = [rnd.randint(0, 50) for _ in range(n)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "k long, v long")
     probs = [0.2, 0.5, 0.95]
-    row = exact_quantiles(df, "v", probs, key="k").first()
+    row = exact_quantiles(df, "v", probs, key="k", map_rows_limit=0).first()
+    small = exact_quantiles(df, "v", probs, key="k").first()
+    for i in range(len(probs)):
+        assert float(small[f"q{i}"]) == pytest.approx(float(row[f"q{i}"]), abs=1e-9)
     for i, p in enumerate(probs):
         assert float(row[f"q{i}"]) == pytest.approx(float(np.quantile(vals, p)), abs=1e-9)
 
@@ -113,3 +116,20 @@ def test_last_non_null(spark):
                                 (2, "2024-01-01", None)], "c long, d string, v string")
     got = {r.c: r.v for r in df.groupBy("c").agg(last_non_null("v", "d").alias("v")).collect()}
     assert got == {1: "B", 2: None}
+
+
+@pytest.mark.parametrize("accuracy", [10000, 20])
+def test_exact_quantiles_grouped_with_ties(spark, accuracy):
+    # accuracy=20 makes the sketch coarse, exercising both the bracket path
+    # and the full-rank fallback
+    rnd = random.Random(accuracy)
+    data = [(g, i, rnd.choice([1.0, 2.0, 2.0, 3.5, float(rnd.randint(0, 400))]))
+            for g in range(4) for i in range(rnd.randint(1, 400))]
+    df = spark.createDataFrame(data, "g long, k long, v double")
+    probs = [0.25, 0.5, 0.95]
+    got = {r.g: r for r in exact_quantiles(df, "v", probs, key="k", groups=["g"],
+                                           accuracy=accuracy, map_rows_limit=0).collect()}
+    pdf = pd.DataFrame(data, columns=["g", "k", "v"])
+    for g, part in pdf.groupby("g"):
+        for i, p in enumerate(probs):
+            assert float(got[g][f"q{i}"]) == pytest.approx(float(part.v.quantile(p)), abs=1e-9)
