@@ -45,12 +45,21 @@ def _offsets(tagged: DataFrame, value: Column, name: str) -> DataFrame:
     return per_part.select(_PID, F.coalesce(F.sum(name).over(w), F.lit(0)).alias(_OFF))
 
 
+# Largest row count a single task may order by itself (checked, not assumed).
+SINGLE_TASK_ROWS = 1_000_000
+
+
 def global_row_number(df: DataFrame, order: Sequence, name: str = "rn",
-                      num_partitions: int | None = None) -> DataFrame:
-    """``row_number() over (order by <order>)`` without a single-task window.
+                      num_partitions: int | None = None, n_rows: int | None = None,
+                      single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """``row_number() over (order by <order>)`` without an unbounded single task.
 
     ``order`` must end in a unique column so the numbering is deterministic.
+    When the caller has counted the rows (``n_rows``) and the count is within
+    ``single_task_rows``, a plain window is used; otherwise the range path.
     """
+    if n_rows is not None and n_rows <= single_task_rows:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*_sort_cols(order))).cast("long"))
     tagged = _tag_positions(df, order, num_partitions)
     offs = _offsets(tagged, F.count(F.lit(1)), "_ll_n")
     # offs has one row per partition: a proven bound for broadcasting.
@@ -60,8 +69,14 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "rn",
 
 
 def global_running_sum(df: DataFrame, order: Sequence, value: str, name: str = "running",
-                       num_partitions: int | None = None) -> DataFrame:
-    """``sum(value) over (order by <order> rows unbounded preceding)``."""
+                       num_partitions: int | None = None, n_rows: int | None = None,
+                       single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """``sum(value) over (order by <order> rows unbounded preceding)``;
+    a plain window only when the counted ``n_rows`` is within the bound."""
+    if n_rows is not None and n_rows <= single_task_rows:
+        w = (Window.orderBy(*_sort_cols(order))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn(name, F.sum(value).over(w))
     tagged = _tag_positions(df, order, num_partitions)
     offs = _offsets(tagged, F.sum(value), "_ll_s")
     w = (Window.partitionBy(_PID).orderBy(_POS)
@@ -173,7 +188,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         inside = (keyed.withColumn("_ll_i", F.explode(F.array_compact(F.array(*pieces))))
                   .select(*cols, "_ll_i"))
         order = groups + ["_ll_i", value] + ([key] if key else [])
-        ranked = global_row_number(inside, order, "_ll_rn")
+        n_inside = tally.agg(sum(F.sum(f"_ll_in{i}") for i in range(len(probs)))).first()[0]
+        ranked = global_row_number(inside, order, "_ll_rn", n_rows=n_inside)
         sizes = inside.groupBy(*groups, "_ll_i").agg(F.count(F.lit(1)).alias("_ll_sz"))
         w = Window.orderBy(*groups, "_ll_i").rowsBetween(Window.unboundedPreceding, -1)
         sizes = sizes.withColumn("_ll_start", F.coalesce(F.sum("_ll_sz").over(w), F.lit(0)))

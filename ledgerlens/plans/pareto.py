@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.exprs import money, pct
 from ledgerlens.operators.ranks import global_running_sum
 from ledgerlens.operators.rollups import top_k
+from ledgerlens.session import materialize
 
 KEY = "customer_key"
 
@@ -38,8 +39,10 @@ def pareto_80(rev: DataFrame, share: float = 0.8) -> DataFrame:
     The order of tied revenues does not change the count, and the running sum
     is computed by ``global_running_sum`` over range partitions.
     """
+    rev = materialize(rev)
     totals = rev.agg(F.count(F.lit(1)).alias("total_customers"), F.sum("revenue").alias("_total"))
-    run = global_running_sum(rev, [F.col("revenue").desc(), F.col(KEY).asc()], "revenue", "_cum")
+    run = global_running_sum(rev, [F.col("revenue").desc(), F.col(KEY).asc()], "revenue", "_cum",
+                             n_rows=rev.count())
     limit = F.col("_total") * F.lit(str(share)).cast("decimal(4,3)")
     counted = (run.crossJoin(F.broadcast(totals))
                .agg(F.count_if(F.col("_cum") <= limit).alias("_k")))

@@ -19,8 +19,9 @@ from ledgerlens.functions.bins import cut
 from ledgerlens.functions.exprs import money, qcut_rank_bin, round_half_even, mean_of_sum
 from ledgerlens.functions.rules import VIP_SEGMENTS, rfm_segment, vip_tier
 from ledgerlens.operators.lookup import lookup_small
-from ledgerlens.operators.ranks import exact_quantiles, global_row_number
+from ledgerlens.operators.ranks import SINGLE_TASK_ROWS, exact_quantiles, global_row_number
 from ledgerlens.operators.rollups import top_k
+from ledgerlens.session import materialize
 
 KEY = "customer_key"
 R_PROBS = [0.2, 0.4, 0.6, 0.8]
@@ -52,7 +53,8 @@ def rfm_base(orders: DataFrame, key: str = "o_custkey", order_id: str = "o_order
             .select(KEY, "recency", "frequency", "monetary"))
 
 
-def rfm_scores(base: DataFrame, keep_ranks: bool = False) -> DataFrame:
+def rfm_scores(base: DataFrame, keep_ranks: bool = False,
+               single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Add r/f/m scores (1..5), the 3-digit code, the total and the segment.
 
     * R: five quantile bins of raw recency, labels reversed (low recency = 5),
@@ -63,8 +65,14 @@ def rfm_scores(base: DataFrame, keep_ranks: bool = False) -> DataFrame:
     ranked rows, so the orders aggregate runs once. ``keep_ranks`` keeps
     ``_m_rn`` / ``_n`` for monetary quantiles without another sort.
     """
-    ranked = global_row_number(base, ["frequency", KEY], "_f_rn")
-    ranked = global_row_number(ranked, ["monetary", KEY], "_m_rn")
+    # the customer table feeds two ranks, the edges and the count: materialise
+    # it once, count it, and let the count pick the rank strategy
+    base = materialize(base)
+    n = base.count()
+    ranked = global_row_number(base, ["frequency", KEY], "_f_rn", n_rows=n,
+                               single_task_rows=single_task_rows)
+    ranked = global_row_number(ranked, ["monetary", KEY], "_m_rn", n_rows=n,
+                               single_task_rows=single_task_rows)
     edges = ranked.agg(F.percentile("recency", R_PROBS).alias("_e"),
                        F.count(F.lit(1)).alias("_n"))
     e = F.col("_e")

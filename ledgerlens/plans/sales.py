@@ -17,6 +17,7 @@ from ledgerlens.functions.exprs import money, pct, truncate, round6, mean_of_sum
 from ledgerlens.operators.lookup import lookup, lookup_small, dedup_dimension
 from ledgerlens.operators.rollups import bottom_k, money_rollup, non_null_keys, top_k
 from ledgerlens.operators.ranks import global_row_number
+from ledgerlens.session import materialize
 
 
 def top_by_revenue(fact: DataFrame, key: str, value: str, count_col: str, k: int,
@@ -59,7 +60,9 @@ def top_fraction_share(per_key: DataFrame, key: str, value: str, fraction: float
 
     Uses a distributed global rank instead of one sorted task.
     """
-    ranked = global_row_number(per_key, [F.col(value).desc(), F.col(key).asc()], "_ll_rank")
+    per_key = materialize(per_key)
+    ranked = global_row_number(per_key, [F.col(value).desc(), F.col(key).asc()], "_ll_rank",
+                               n_rows=per_key.count())
     n = per_key.agg(F.count(F.lit(1)).alias("_ll_n"))
     k = n.select(F.floor(F.col("_ll_n") * F.lit(str(fraction)).cast("decimal(10,6)")).cast("long").alias("_ll_k"))
     top = (ranked.crossJoin(F.broadcast(k)).filter(F.col("_ll_rank") <= F.col("_ll_k"))

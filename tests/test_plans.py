@@ -99,3 +99,11 @@ def test_plans_prune_push_and_take_ordered(spark):
     p = top._jdf.queryExecution().sparkPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in p
     assert "partial_sum" in p
+
+
+def test_rfm_range_path_equals_single_task_path(spark):
+    base = rfm.rfm_base(spark.read.parquet(f"{SF}/orders.parquet"))
+    cols = ["customer_key", "r_score", "f_score", "m_score", "segment"]
+    small = {tuple(r) for r in rfm.rfm_scores(base).select(*cols).collect()}
+    large = {tuple(r) for r in rfm.rfm_scores(base, single_task_rows=0).select(*cols).collect()}
+    assert small == large and len(small) > 0
