@@ -160,8 +160,9 @@ def volume_margin_tiers(spark, d):
 
 def _feature_table(spark, d):
     scored = rfm_plan.rfm(_t(spark, d, "orders"))
-    feats = cv.feature_aggregates(_facts(spark, d), _lines_with_customer(spark, d))
-    return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats)
+    facts = _facts(spark, d)
+    feats = cv.feature_aggregates(facts, _lines_with_customer(spark, d))
+    return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats, facts)
 
 
 @query

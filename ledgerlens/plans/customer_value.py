@@ -77,7 +77,12 @@ def volume_margin_by_tier(vm: DataFrame, tier: str) -> DataFrame:
 
 def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> DataFrame:
     """The wide per-customer aggregate (count, sum/mean/std, min/max dates,
-    mean duration, last company, distinct products / channels)."""
+    mean duration, last company, distinct products / channels).
+
+    The string-valued "last company" makes this a sort-based aggregate
+    (hash aggregation needs fixed-width buffers); it still combines map-side.
+    The two distinct counts share one Expand + dedup shuffle.
+    """
     per_order = facts.groupBy(KEY).agg(
         F.count("_order").alias("order_count"),
         F.sum("margin").alias("_margin_sum"),
@@ -104,12 +109,16 @@ def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> Data
 
 
 def feature_table(scored: DataFrame, customers: DataFrame, customer_key: str,
-                  features: DataFrame) -> DataFrame:
-    """RFM ⟕ customer ⟕ features, tenure columns, numeric nulls -> 0."""
+                  features: DataFrame, facts: DataFrame) -> DataFrame:
+    """RFM ⟕ customer ⟕ features, tenure columns, numeric nulls -> 0.
+
+    The latest order date comes straight from the order facts (a global
+    max), not from the per-customer table, so no second group-by runs.
+    """
     cust = customers.withColumnRenamed(customer_key, KEY)
     cust_cols = [c for c in cust.columns if c != KEY]
     cust = cust.groupBy(KEY).agg(*[F.min(c).alias(c) for c in cust_cols])
-    global_last = features.agg(F.max("last_order_date").alias("_global_last"))
+    global_last = facts.agg(F.max("order_date").alias("_global_last"))
     t = (scored.join(cust, KEY, "left").join(features, KEY, "left")
          .crossJoin(F.broadcast(global_last))  # one-row scalar
          .withColumn("customer_tenure_days",
