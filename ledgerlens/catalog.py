@@ -291,12 +291,15 @@ def orders_per_customer_stats(spark, d):
 
 @query
 def order_type_share(spark, d):
-    o = _t(spark, d, "orders")
-    vc = value_counts(o, "o_orderpriority", "n", "pct", share_of_rows=False)
-    span = (o.filter(F.col("o_orderpriority").isNotNull()).groupBy("o_orderpriority")
-            .agg(F.to_date(F.min("o_orderdate")).alias("first_order_date"),
-                 F.to_date(F.max("o_orderdate")).alias("last_order_date")))
-    return vc.join(span, "o_orderpriority")
+    o = _t(spark, d, "orders").filter(F.col("o_orderpriority").isNotNull())
+    g = materialize(o.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.to_date(F.min("o_orderdate")).alias("first_order_date"),
+        F.to_date(F.max("o_orderdate")).alias("last_order_date")))
+    total = g.agg(F.sum("n").alias("_t"))
+    return (g.crossJoin(F.broadcast(total))
+            .select("o_orderpriority", "n", pct_expr("n", "_t").alias("pct"),
+                    "first_order_date", "last_order_date"))
 
 
 @query
@@ -346,10 +349,12 @@ def branch_performance(spark, d):
 @query
 def employee_stats(spark, d):
     li = _t(spark, d, "lineitem")
-    per = (li.filter(F.col("l_suppkey").isNotNull()).groupBy("l_suppkey")
-           .agg(F.sum(money("l_extendedprice")).alias("revenue"),
-                F.count("l_orderkey").alias("contracts")))
-    total = li.agg(F.sum(money("l_extendedprice")).alias("_ll_total"))
+    # one pass: the null-employee group carries the rest of the grand total
+    per_all = materialize(li.groupBy("l_suppkey")
+                          .agg(F.sum(money("l_extendedprice")).alias("revenue"),
+                               F.count("l_orderkey").alias("contracts")))
+    per = per_all.filter(F.col("l_suppkey").isNotNull())
+    total = per_all.agg(F.sum("revenue").alias("_ll_total"))
     share = sales_plan.top_fraction_share(per, "l_suppkey", "revenue", 0.1, total)
     stats = per.agg(F.count(F.lit(1)).alias("n_employees"),
                     round6(mean_of_sum(F.sum("revenue"), F.count("revenue"))).alias("avg_revenue"),
@@ -440,9 +445,9 @@ def vehicle_category(spark, d):
 
 @query
 def model_name_counts(spark, d):
-    p = _t(spark, d, "part")
-    vc = value_counts(p, "p_name", "n")
-    return vc.crossJoin(p.agg(F.countDistinct("p_name").alias("n_distinct_names")))
+    vc = materialize(value_counts(_t(spark, d, "part"), "p_name", "n"))
+    # the distinct count is the number of value-count rows: no second scan
+    return vc.crossJoin(vc.agg(F.count(F.lit(1)).alias("n_distinct_names")))
 
 
 @query
@@ -463,14 +468,17 @@ def product_channel_combo(spark, d):
 @query
 def duration_stats(spark, d):
     li = _t(spark, d, "lineitem")
-    total = li.agg(F.count(F.lit(1)).alias("_t"))
-    li = li.filter(F.col("l_quantity").isNotNull())
-    g = (li.groupBy("l_quantity")
-         .agg(F.count(F.lit(1)).alias("n"),
-              round6(mean_of_sum(F.sum(money("l_extendedprice")), F.count("l_extendedprice"))).alias("mean_price"),
-              round6(F.stddev_samp("l_extendedprice")).alias("std_price")))
+    # grouped once including the null duration, so the row total needs no scan
+    g_all = materialize(li.groupBy("l_quantity")
+                        .agg(F.count(F.lit(1)).alias("n"),
+                             round6(mean_of_sum(F.sum(money("l_extendedprice")),
+                                                F.count("l_extendedprice"))).alias("mean_price"),
+                             round6(F.stddev_samp("l_extendedprice")).alias("std_price")))
+    total = g_all.agg(F.sum("n").alias("_t"))
+    g = g_all.filter(F.col("l_quantity").isNotNull())
     # per-group exact medians without a per-group map of every distinct price
-    med = exact_quantiles(li, "l_extendedprice", [0.5], groups=["l_quantity"], prefix="_med")
+    med = exact_quantiles(li.filter(F.col("l_quantity").isNotNull()), "l_extendedprice", [0.5],
+                          groups=["l_quantity"], prefix="_med")
     g = g.join(med, "l_quantity", "left").withColumn("median_price", round6("_med0")).drop("_med0")
     return (g.crossJoin(F.broadcast(total))
             .withColumn("pct", pct_expr("n", "_t")).drop("_t"))

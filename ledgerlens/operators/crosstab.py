@@ -2,7 +2,8 @@
 
 The zero-filled grid is rows x columns of the *label* sets (a crosstab's
 output size, bounded by the two label cardinalities, never by the data);
-the column labels travel as one array and are exploded per row.
+the column labels travel as one array and are exploded per row. The count
+table is checkpointed because the grid and the join both read it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import pct
+from ledgerlens.session import materialize
 
 ALL = "All"
 
@@ -25,8 +27,8 @@ def _grid(counts: DataFrame, row: str, col: str) -> DataFrame:
 def crosstab_counts(df: DataFrame, row: str, col: str, name: str = "n") -> DataFrame:
     """``pd.crosstab(row, col)``: rows with a null in either column are dropped,
     every (row label, col label) pair is present, absent pairs count 0."""
-    counts = (df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
-              .groupBy(row, col).agg(F.count(F.lit(1)).alias(name)))
+    counts = materialize(df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
+                         .groupBy(row, col).agg(F.count(F.lit(1)).alias(name)))
     return (_grid(counts, row, col).join(counts, [row, col], "left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long"))))
 
@@ -50,5 +52,6 @@ def crosstab_margins(df: DataFrame, row: str, col: str, name: str = "n") -> Data
              .select(F.when(F.col("_gr") == 1, F.lit(ALL)).otherwise(F.col(row).cast("string")).alias(row),
                      F.when(F.col("_gc") == 1, F.lit(ALL)).otherwise(F.col(col).cast("string")).alias(col),
                      name))
+    cubed = materialize(cubed)  # read by the grid and the join
     return (_grid(cubed, row, col).join(cubed, [row, col], "left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long"))))

@@ -26,16 +26,32 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
+def _row_groups(df: DataFrame) -> DataFrame:
+    """Distinct rows with their multiplicity: the one shuffle that both the
+    duplicate count and (weighted) per-column null counts are read from."""
+    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_ll_c"))
+
+
+def _profile_row(df: DataFrame) -> DataFrame:
+    """One row: rows, duplicates and per-column null counts, one scan."""
+    g = _row_groups(df)
+    aggs = [F.coalesce(F.sum("_ll_c"), F.lit(0)).cast("long").alias("_rows"),
+            F.coalesce(F.sum(F.col("_ll_c") - 1), F.lit(0)).cast("long").alias("_dups")]
+    aggs += [F.coalesce(F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_ll_c"))), F.lit(0))
+             .cast("long").alias(f"_n{i}") for i, c in enumerate(df.columns)]
+    return g.agg(*aggs)
+
+
 def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per table: rows, columns, missing cells, duplicate rows."""
+    """Per table: rows, columns, missing cells, duplicate rows (one scan each)."""
     out = None
     for name, df in tables.items():
-        nulls = null_counts(df).agg(F.max("n_rows").alias("n_rows"),
-                                    F.sum("n_null").cast("long").alias("n_missing"))
-        row = (nulls.crossJoin(duplicate_rows(df))
-               .select(F.lit(name).alias("table_name"), "n_rows",
-                       F.lit(len(df.columns)).cast("long").alias("n_columns"),
-                       "n_missing", "n_duplicates"))
+        one = _profile_row(df)
+        missing = sum((F.col(f"_n{i}") for i in range(len(df.columns))), F.lit(0).cast("long"))
+        row = one.select(F.lit(name).alias("table_name"), F.col("_rows").alias("n_rows"),
+                         F.lit(len(df.columns)).cast("long").alias("n_columns"),
+                         missing.cast("long").alias("n_missing"),
+                         F.col("_dups").alias("n_duplicates"))
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -47,17 +63,19 @@ def table_columns(tables: Mapping[str, DataFrame]) -> list[tuple[str, int, str,
 
 
 def quality_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Only the problems: per column missing counts > 0 and duplicate rows > 0."""
+    """Only the problems: per column missing counts > 0 and duplicate rows > 0
+    (one scan and one shuffle per table)."""
     out = None
     for name, df in tables.items():
-        nulls = (null_counts(df).filter(F.col("n_null") > 0)
-                 .select(F.lit(name).alias("table_name"), F.lit("missing").alias("issue"),
-                         "column_name", F.col("n_null").alias("n")))
-        dups = (duplicate_rows(df).filter(F.col("n_duplicates") > 0)
-                .select(F.lit(name).alias("table_name"), F.lit("duplicate_rows").alias("issue"),
-                        F.lit(None).cast("string").alias("column_name"),
-                        F.col("n_duplicates").alias("n")))
-        part = nulls.unionByName(dups)
+        one = _profile_row(df)
+        issues = [F.struct(F.lit("missing").alias("issue"), F.lit(c).alias("column_name"),
+                           F.col(f"_n{i}").alias("n")) for i, c in enumerate(df.columns)]
+        issues.append(F.struct(F.lit("duplicate_rows").alias("issue"),
+                               F.lit(None).cast("string").alias("column_name"),
+                               F.col("_dups").alias("n")))
+        part = (one.select(F.explode(F.array(*issues)).alias("x"))
+                .select(F.lit(name).alias("table_name"), "x.issue", "x.column_name", "x.n")
+                .filter(F.col("n") > 0))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -66,15 +84,17 @@ def orphan_keys(check: str, child: DataFrame, child_key: str,
                 parent: DataFrame, parent_key: str) -> DataFrame:
     """Distinct child keys absent from the parent (set difference of keys).
 
-    A null child key is reported apart (a Python set keeps one NaN).
+    One left join of distinct child keys to distinct parent keys and one
+    aggregate; a null child key is reported apart (a Python set keeps one NaN).
     """
     keys = child.select(F.col(child_key).alias("_k")).distinct()
-    parents = parent.select(F.col(parent_key).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-    orphans = keys.filter(F.col("_k").isNotNull()).join(parents, "_k", "left_anti")
-    stats = keys.agg(F.count(F.col("_k")).alias("n_child_keys"),
-                     F.count_if(F.col("_k").isNull()).alias("n_null_keys"))
-    return (orphans.agg(F.count(F.lit(1)).alias("n_orphan_keys")).crossJoin(stats)
-            .select(F.lit(check).alias("check_name"), "n_child_keys", "n_orphan_keys", "n_null_keys"))
+    parents = (parent.select(F.col(parent_key).alias("_k")).filter(F.col("_k").isNotNull())
+               .distinct().withColumn("_seen", F.lit(True)))
+    j = keys.join(parents, "_k", "left")
+    return j.agg(F.count(F.col("_k")).alias("n_child_keys"),
+                 F.count_if(F.col("_k").isNotNull() & F.col("_seen").isNull()).alias("n_orphan_keys"),
+                 F.count_if(F.col("_k").isNull()).alias("n_null_keys")).select(
+        F.lit(check).alias("check_name"), "n_child_keys", "n_orphan_keys", "n_null_keys")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import money, pct, round6, mean_of_sum
+from ledgerlens.session import materialize
 
 
 def non_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,16 +30,17 @@ def value_counts(df: DataFrame, col: str, count_name: str = "n",
 
     ``share_of_rows=False`` is ``normalize=True`` (share of non-null values);
     ``True`` is ``count / len(df) * 100`` (null rows stay in the denominator).
+    With a share, the table is grouped once *including* the null key (so the
+    row total comes from the same pass), checkpointed (it has one row per
+    distinct value and is read twice), and the total is a one-row aggregate
+    over it.
     """
-    counts = non_null_keys(df, [col]).groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
     if share_name is None:
-        return counts
-    if share_of_rows:
-        total = df.agg(F.count(F.lit(1)).alias("_ll_total"))
-    else:
-        total = counts.agg(F.sum(count_name).alias("_ll_total"))
-    # one-row scalar: bounded broadcast
-    return (counts.crossJoin(F.broadcast(total))
+        return non_null_keys(df, [col]).groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
+    grouped = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name)))
+    counts = grouped.filter(F.col(col).isNotNull())
+    total = (grouped if share_of_rows else counts).agg(F.sum(count_name).alias("_ll_total"))
+    return (counts.crossJoin(F.broadcast(total))  # one-row scalar
             .withColumn(share_name, pct(count_name, "_ll_total", digits))
             .drop("_ll_total"))
 
@@ -91,7 +93,9 @@ def bottom_k(df: DataFrame, metric: str, key: str | Sequence[str], k: int,
 
 
 def share_of_total(df: DataFrame, value: str, name: str, digits: int = 6) -> DataFrame:
-    """value / grand total * 100 via a one-row scalar join."""
+    """value / grand total * 100 via a one-row scalar join (``df`` is
+    checkpointed first because it is read twice)."""
+    df = materialize(df)
     total = df.agg(F.sum(value).alias("_ll_grand"))
     return (df.crossJoin(F.broadcast(total))
             .withColumn(name, pct(value, "_ll_grand", digits)).drop("_ll_grand"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import month_index, month_start, pct, round6
+from ledgerlens.session import materialize
 
 KEY = "customer_key"
 
@@ -51,8 +52,9 @@ def cohort_cells(co: DataFrame, renewal_value: str | None = None) -> DataFrame:
     cells = (per_customer.groupBy("cohort_month", "cohort_index")
              .agg(F.count(F.lit(1)).alias("customers"), F.count_if("_renewed").alias("renewals")))
     w = Window.partitionBy("cohort_month")
-    return cells.withColumn(
-        "cohort_size", F.max(F.when(F.col("cohort_index") == 1, F.col("customers"))).over(w))
+    # at most months^2 rows, read several times (grid, sizes, rates): checkpoint
+    return materialize(cells.withColumn(
+        "cohort_size", F.max(F.when(F.col("cohort_index") == 1, F.col("customers"))).over(w)))
 
 
 def retention(co: DataFrame, cells: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from ledgerlens.functions.exprs import (contains_safe, first_word, mean_of_sum,
 from ledgerlens.functions.rules import wheel_category
 from ledgerlens.operators.lookup import lookup_small
 from ledgerlens.operators.rollups import money_rollup, top_k
+from ledgerlens.session import materialize
 
 
 def price_stats(df: DataFrame, group: str | None, price: str, distinct: str | None = None) -> DataFrame:
@@ -31,9 +32,11 @@ def price_stats(df: DataFrame, group: str | None, price: str, distinct: str | No
 def price_ranges(df: DataFrame, price: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:
     """Counts per fixed price range, empty ranges kept, share of all rows."""
     label, order = cut(price, edges, labels)
-    g = (df.select(order.alias("bin_order")).filter(F.col("bin_order").isNotNull())
-         .groupBy("bin_order").agg(F.count(F.lit(1)).alias("n")))
-    total = df.agg(F.count(F.lit(1)).alias("_t"))
+    # grouped once including "no bin", so the row total comes from the same pass
+    g_all = materialize(df.select(order.alias("bin_order")).groupBy("bin_order")
+                        .agg(F.count(F.lit(1)).alias("n")))
+    g = g_all.filter(F.col("bin_order").isNotNull())
+    total = g_all.agg(F.sum("n").alias("_t"))
     return (bin_spine(df.sparkSession, labels).join(g, "bin_order", "left")
             .crossJoin(F.broadcast(total))
             .select("bin_order", "bin_label", F.coalesce("n", F.lit(0).cast("long")).alias("n"),

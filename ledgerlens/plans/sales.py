@@ -31,6 +31,8 @@ def top_by_revenue(fact: DataFrame, key: str, value: str, count_col: str, k: int
     """
     g = (money_rollup(fact, [key], value, total="revenue", count="n", count_col=count_col)
          .withColumnRenamed(key, key_name))
+    if bottom:  # read by both ends: checkpoint the per-key table once
+        g = materialize(g)
     parts = [top_k(g, "revenue", key_name, k, rank_name="rank")
              .withColumn("position", F.lit("top"))]
     if bottom:
@@ -50,6 +52,7 @@ def revenue_by_group(fact: DataFrame, group: str, value: str, count_col: str) ->
 
 
 def with_share(df: DataFrame, value: str, name: str) -> DataFrame:
+    df = materialize(df)  # read twice (rows and total)
     total = df.agg(F.sum(value).alias("_ll_t"))  # one row
     return df.crossJoin(F.broadcast(total)).withColumn(name, pct(value, "_ll_t")).drop("_ll_t")
 
