@@ -698,8 +698,9 @@ def renewal_matrix(spark, d):
 @query
 def scatter_axis_limits(spark, d):
     """95th percentiles of customer volume and margin (the scatter's axes)."""
-    vm = _volume_margin(spark, d).select(cv.KEY, money("total_volume").alias("v"),
-                                         money("total_margin").alias("m"))
+    # per-customer table read by two quantile passes: checkpoint it once
+    vm = materialize(_volume_margin(spark, d).select(cv.KEY, money("total_volume").alias("v"),
+                                                     money("total_margin").alias("m")))
     qv = exact_quantiles(vm, "v", [0.95], key=cv.KEY, prefix="volume_p")
     qm = exact_quantiles(vm, "m", [0.95], key=cv.KEY, prefix="margin_p")
     return qv.crossJoin(qm).select(round6("volume_p0").alias("volume_p95"),

@@ -155,18 +155,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     bounds = []
     for p in probs:
         bounds += [max(p - margin, 0.0), min(p + margin, 1.0)]
-    # one row per group with a bounded sketch; materialised because both the
-    # tally and the bracket filter read it
-    stats = materialize(base.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_ll_cnt"),
-        F.percentile_approx(value, bounds, accuracy).alias("_ll_b")))
-    largest = stats.agg(F.max("_ll_cnt")).first()[0]
+    sizes = base.groupBy(*groups).count() if groups else base.agg(F.count(F.lit(1)).alias("count"))
+    largest = sizes.agg(F.max("count")).first()[0]
     if largest is None or largest <= map_rows_limit:
         exact = F.percentile(value, list(probs))
         agg = (base.groupBy(*groups).agg(exact.alias("_ll_p")) if groups
                else base.agg(exact.alias("_ll_p")))
         return agg.select(*groups, *[F.col("_ll_p")[i].alias(f"{prefix}{i}")
                                      for i in range(len(probs))])
+    # one row per group with a bounded sketch; materialised because both the
+    # tally and the bracket filter read it
+    stats = materialize(base.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_ll_cnt"),
+        F.percentile_approx(value, bounds, accuracy).alias("_ll_b")))
     keyed = base.join(stats, groups) if groups else base.crossJoin(F.broadcast(stats))
     pieces, below = [], []
     for i, _ in enumerate(probs):

@@ -23,18 +23,23 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
 def normalize_missing(df: DataFrame, tokens: Sequence[str] = PANDAS_NA_TOKENS,
                       columns: Sequence[str] | None = None) -> DataFrame:
     """String cells equal to a missing token become null."""
-    cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    cols = set(columns if columns is not None else
+               [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
     toks = F.array(*[F.lit(t) for t in tokens])
-    for c in cols:
-        df = df.withColumn(c, F.when(F.array_contains(toks, F.col(c)), F.lit(None).cast("string"))
-                           .otherwise(F.col(c)))
-    return df
+    # one projection (a withColumn loop would re-analyse the plan per column)
+    return df.select(*[
+        (F.when(F.array_contains(toks, F.col(f"`{c}`")), F.lit(None).cast("string"))
+         .otherwise(F.col(f"`{c}`")).alias(c)) if c in cols else F.col(f"`{c}`")
+        for c in df.columns])
 
 
 def _convert(c: str, dtype: T.DataType):
     col = F.col(c)
     if isinstance(dtype, T.StringType):
         return col
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        # 'NaN' text casts to NaN; missing values are kept as null, never NaN
+        return F.nanvl(col.try_cast(dtype), F.lit(None).cast(dtype))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         ts = F.coalesce(F.try_to_timestamp(col, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")),
                         F.try_to_timestamp(col, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")),
@@ -50,5 +55,8 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (spark.read.schema(text_schema).option("header", True)
            .option("nullValue", None).option("emptyValue", "").csv(path))
-    raw = normalize_missing(raw, tokens)
-    return raw.select(*[_convert(f.name, f.dataType).alias(f.name) for f in schema.fields])
+    # tokens only need replacing in text targets: every other target is
+    # converted with a try_ cast, which already turns them into null
+    text_cols = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    raw = normalize_missing(raw, tokens, text_cols) if text_cols else raw
+    return raw.select(*[_convert(f"`{f.name}`", f.dataType).alias(f.name) for f in schema.fields])

@@ -113,3 +113,16 @@ def test_mode_ties_pick_smallest(spark):
     # mode_ties: two equally frequent values
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",)], "x string")
     assert df.agg(F.mode("x", True)).first()[0] == "a"
+
+
+def test_read_csv_typed_missing_tokens(spark, tmp_path):
+    from pyspark.sql import types as T
+    from ledgerlens.sources.csv import read_csv_typed
+    path = tmp_path / "t.csv"
+    path.write_text("a,b,c,d\nx,1.5,2024-01-02,7\nNA,NaN,not a date,n/a\nnull,,2024-13-01,3\n")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.DoubleType()),
+                           T.StructField("c", T.DateType()), T.StructField("d", T.LongType())])
+    got = [tuple(r) for r in read_csv_typed(spark, str(path), schema).collect()]
+    import datetime
+    assert got == [("x", 1.5, datetime.date(2024, 1, 2), 7), (None, None, None, None),
+                   (None, None, None, 3)]
