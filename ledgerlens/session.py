@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     # messages (several JVM round trips each); plan building is ~10x faster
     # without it, and errors still carry the Spark-side context.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoints written to cut lineage are deleted once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
