@@ -705,3 +705,33 @@ def scatter_axis_limits(spark, d):
     qm = exact_quantiles(vm, "m", [0.95], key=cv.KEY, prefix="margin_p")
     return qv.crossJoin(qm).select(round6("volume_p0").alias("volume_p95"),
                                    round6("margin_p0").alias("margin_p95"))
+
+
+@query
+def export_outputs(spark, d):
+    """The nine analysis datasets written as CSV under the checkpoint folder."""
+    from ledgerlens.plans.outputs import export_datasets
+    co = _cohort_orders(spark, d)
+    cells = cohort_plan.cohort_cells(co, RENEWAL_STATUS)
+    ret = cohort_plan.retention(co, cells)
+    ren = cohort_plan.renewal(co, RENEWAL_STATUS, cells)
+    # the matrix columns are retention's month indices (bounded by months)
+    months = [r[0] for r in cells.select("cohort_index").distinct().orderBy("cohort_index").collect()]
+    scored = rfm_plan.rfm(_t(spark, d, "orders"), keep_ranks=True)
+    tables = {
+        "rfm_segments": rfm_plan.with_double_money(scored.drop("_m_rn", "_n")),
+        "vip_customers": rfm_plan.with_double_money(rfm_plan.vip_list(
+            scored, _t(spark, d, "customer"), "c_custkey",
+            ["c_acctbal", "c_mktsegment", "c_nationkey"], age_col="c_acctbal",
+            age_edges=VIP_BALANCE_EDGES, age_labels=VIP_BALANCE_LABELS)),
+        "pareto_analysis": pareto_top(spark, d),
+        "volume_margin_scatter": volume_margin(spark, d),
+        "feature_table": customer_features(spark, d),
+    }
+    matrices = {
+        "cohort_retention_matrix": (ret, "retention_pct"),
+        "cohort_pivot": (ret, "customers"),
+        "renewal_rate_matrix": (ren, "renewal_pct"),
+        "renewal_pivot": (ren, "renewals"),
+    }
+    return export_datasets(spark, scratch_path(spark, "exports"), tables, matrices, months)

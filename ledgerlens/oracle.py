@@ -786,3 +786,21 @@ SELECT round(quantile_cont(CAST(CAST(total_volume AS DECIMAL(18,2)) AS DOUBLE),
        round(quantile_cont(CAST(CAST(total_margin AS DECIMAL(18,2)) AS DOUBLE), 0.95), 6) AS margin_p95
 FROM vm
 """
+
+_COHORT_RENAMED = (_COHORT.replace("WITH o AS (", "co_o AS (", 1)
+                   .replace("FROM o JOIN f USING", "FROM co_o o JOIN f USING")
+                   .replace("FROM o GROUP BY customer_key", "FROM co_o GROUP BY customer_key"))
+
+SQL["export_outputs"] = _FEATURES + ",\n" + _COHORT_RENAMED + """
+SELECT 'rfm_segments' AS dataset, (SELECT count(*) FROM rfm) AS n_rows, CAST(10 AS BIGINT) AS n_columns
+UNION ALL SELECT 'vip_customers', (SELECT least(count(*), 100) FROM rfm CROSS JOIN
+    (SELECT quantile_cont(CAST(monetary AS DOUBLE), 0.95) AS q95 FROM rfm) q
+    WHERE segment IN ('Champions', 'Loyal Customers', 'Potential Loyalists') OR CAST(monetary AS DOUBLE) >= q95), 16
+UNION ALL SELECT 'pareto_analysis', (SELECT least(count(DISTINCT o_custkey), 20) FROM orders WHERE o_custkey IS NOT NULL), 4
+UNION ALL SELECT 'volume_margin_scatter', (SELECT count(*) FROM vm), 10
+UNION ALL SELECT 'feature_table', (SELECT count(*) FROM ft), 29
+UNION ALL SELECT 'cohort_retention_matrix', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
+UNION ALL SELECT 'cohort_pivot', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
+UNION ALL SELECT 'renewal_rate_matrix', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
+UNION ALL SELECT 'renewal_pivot', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
+"""

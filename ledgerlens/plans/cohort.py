@@ -46,7 +46,10 @@ def cohort_cells(co: DataFrame, renewal_value: str | None = None) -> DataFrame:
     The cohort size (the index-1 cell) comes from a window over the cell
     table, which has at most months² rows.
     """
-    renewed = (F.col("_flag") == F.lit(renewal_value)) if renewal_value is not None else F.lit(False)
+    # label match under the UNICODE collation: composed and decomposed
+    # spellings of the same label (e.g. NFC vs NFD Vietnamese) are equal
+    renewed = ((F.collate(F.col("_flag"), "UNICODE") == F.lit(renewal_value))
+               if renewal_value is not None else F.lit(False))
     per_customer = (co.groupBy("cohort_month", "cohort_index", KEY)
                     .agg(F.max(F.coalesce(renewed, F.lit(False))).alias("_renewed")))
     cells = (per_customer.groupBy("cohort_month", "cohort_index")

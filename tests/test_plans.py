@@ -107,3 +107,15 @@ def test_rfm_range_path_equals_single_task_path(spark):
     small = {tuple(r) for r in rfm.rfm_scores(base).select(*cols).collect()}
     large = {tuple(r) for r in rfm.rfm_scores(base, single_task_rows=0).select(*cols).collect()}
     assert small == large and len(small) > 0
+
+
+def test_renewal_label_matches_nfc_and_nfd(spark):
+    import unicodedata
+    nfc = unicodedata.normalize("NFC", "Tái tục")
+    nfd = unicodedata.normalize("NFD", "Tái tục")
+    assert nfc != nfd
+    o = _orders(spark, [(1, 1, "2024-01-05", 1.0, "Mới"), (2, 1, "2024-02-05", 1.0, nfd),
+                        (3, 2, "2024-01-06", 1.0, "Mới"), (4, 2, "2024-02-06", 1.0, nfc)])
+    co = cohort.cohort_orders(o, "o_custkey", "o_orderdate", "o_orderstatus")
+    ren = {(r.cohort_month, r.cohort_index): r.renewals for r in cohort.renewal(co, nfc).collect()}
+    assert ren[("2024-01", 2)] == 2
