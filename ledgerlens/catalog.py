@@ -158,8 +158,9 @@ def volume_margin_tiers(spark, d):
     return cv.volume_margin_by_tier(_volume_margin(spark, d), "c_mktsegment")
 
 
-def _feature_table(spark, d):
-    scored = rfm_plan.rfm(_t(spark, d, "orders"))
+def _feature_table(spark, d, scored=None):
+    if scored is None:
+        scored = rfm_plan.rfm(_t(spark, d, "orders"))
     facts = _facts(spark, d)
     feats = cv.feature_aggregates(facts, _lines_with_customer(spark, d))
     return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats, facts)
@@ -717,16 +718,18 @@ def export_outputs(spark, d):
     ren = cohort_plan.renewal(co, RENEWAL_STATUS, cells)
     # the matrix columns are retention's month indices (bounded by months)
     months = [r[0] for r in cells.select("cohort_index").distinct().orderBy("cohort_index").collect()]
+    # one RFM computation feeds the RFM, VIP and feature exports
     scored = rfm_plan.rfm(_t(spark, d, "orders"), keep_ranks=True)
+    plain = scored.drop("_m_rn", "_n")
     tables = {
-        "rfm_segments": rfm_plan.with_double_money(scored.drop("_m_rn", "_n")),
+        "rfm_segments": rfm_plan.with_double_money(plain),
         "vip_customers": rfm_plan.with_double_money(rfm_plan.vip_list(
             scored, _t(spark, d, "customer"), "c_custkey",
             ["c_acctbal", "c_mktsegment", "c_nationkey"], age_col="c_acctbal",
             age_edges=VIP_BALANCE_EDGES, age_labels=VIP_BALANCE_LABELS)),
         "pareto_analysis": pareto_top(spark, d),
         "volume_margin_scatter": volume_margin(spark, d),
-        "feature_table": customer_features(spark, d),
+        "feature_table": rfm_plan.with_double_money(_feature_table(spark, d, plain)),
     }
     matrices = {
         "cohort_retention_matrix": (ret, "retention_pct"),
