@@ -97,6 +97,28 @@ def orphan_keys(check: str, child: DataFrame, child_key: str,
         F.lit(check).alias("check_name"), "n_child_keys", "n_orphan_keys", "n_null_keys")
 
 
+def orphan_keys_multi(child: DataFrame, checks: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """Several orphan checks on one child table in a single scan of it.
+
+    ``checks`` = [(check_name, child_key, parent_df, parent_key), ...]. The
+    child's keys are tagged with their check, exploded and de-duplicated in
+    one shuffle (map-side combined); parents are tagged the same way, and one
+    left join + aggregate yields every check's counts.
+    """
+    pairs = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(key).cast("string").alias("_k"))
+                      for name, key, _, _ in checks])
+    keys = child.select(F.explode(pairs).alias("p")).select("p.check_name", "p._k").distinct()
+    parents = union_all([
+        parent.select(F.lit(name).alias("check_name"), F.col(pkey).cast("string").alias("_k"))
+        .filter(F.col("_k").isNotNull())
+        for name, _, parent, pkey in checks]).distinct().withColumn("_seen", F.lit(True))
+    j = keys.join(parents, ["check_name", "_k"], "left")
+    return j.groupBy("check_name").agg(
+        F.count(F.col("_k")).alias("n_child_keys"),
+        F.count_if(F.col("_k").isNotNull() & F.col("_seen").isNull()).alias("n_orphan_keys"),
+        F.count_if(F.col("_k").isNull()).alias("n_null_keys"))
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -133,3 +133,25 @@ def test_exact_quantiles_grouped_with_ties(spark, accuracy):
     for g, part in pdf.groupby("g"):
         for i, p in enumerate(probs):
             assert float(got[g][f"q{i}"]) == pytest.approx(float(part.v.quantile(p)), abs=1e-9)
+
+
+def test_orphan_keys_multi_equals_single_checks(spark):
+    child = spark.createDataFrame([(1, 10), (1, 11), (9, None), (None, 10)], "a long, b long")
+    pa = spark.createDataFrame([(1,), (2,)], "p long")
+    pb = spark.createDataFrame([(10,)], "p long")
+    multi = {r.check_name: (r.n_child_keys, r.n_orphan_keys, r.n_null_keys) for r in
+             prof.orphan_keys_multi(child, [("a", "a", pa, "p"), ("b", "b", pb, "p")]).collect()}
+    single = {}
+    for name, key, parent in [("a", "a", pa), ("b", "b", pb)]:
+        r = prof.orphan_keys(name, child, key, parent, "p").first()
+        single[name] = (r.n_child_keys, r.n_orphan_keys, r.n_null_keys)
+    assert multi == single == {"a": (2, 1, 1), "b": (2, 1, 1)}
+
+
+def test_range_path_has_no_row_level_single_task_window(spark):
+    df = spark.range(0, 2000).withColumn("v", F.col("id") % 7)
+    ranked = global_row_number(df, ["v", "id"], "rn")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "row_number()" not in plan
+    small = global_row_number(df, ["v", "id"], "rn", n_rows=2000)
+    assert "row_number()" in small._jdf.queryExecution().executedPlan().toString()
