@@ -126,3 +126,13 @@ def test_read_csv_typed_missing_tokens(spark, tmp_path):
     import datetime
     assert got == [("x", 1.5, datetime.date(2024, 1, 2), 7), (None, None, None, None),
                    (None, None, None, 3)]
+
+
+def test_qcut_rank_bin_all_n_up_to_300(spark):
+    # randomised/brute-force check of the exact bin formula against pandas.qcut
+    rows = [(n, r) for n in range(2, 301) for r in range(1, n + 1)]
+    df = spark.createDataFrame(rows, "n long, r long")
+    got = {(a.n, a.r): a.b for a in df.select("n", "r", qcut_rank_bin("r", "n").alias("b")).collect()}
+    for n in range(2, 301):
+        exp = pd.qcut(pd.Series(range(1, n + 1), dtype=float), 5, labels=[1, 2, 3, 4, 5]).astype(int)
+        assert [got[(n, r)] for r in range(1, n + 1)] == list(exp), n

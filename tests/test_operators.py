@@ -155,3 +155,17 @@ def test_range_path_has_no_row_level_single_task_window(spark):
     assert "row_number()" not in plan
     small = global_row_number(df, ["v", "id"], "rn", n_rows=2000)
     assert "row_number()" in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_split_across_range_partitions(spark):
+    # one customer holds a third of all rows: ranking on (customer, unique id)
+    # must spread that customer over several partitions, not one task
+    n = 3000
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(n)]
+    df = spark.createDataFrame(rows, "cust long, id long")
+    ranked = global_row_number(df, ["cust", "id"], "rn", num_partitions=8)
+    parts = (df.repartitionByRange(8, "cust", "id").filter("cust = 0")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
+    exp = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy("cust", "id"))).collect()}
+    assert {r.id: r.rn for r in ranked.collect()} == exp
