@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlens.plans import rfm as rfm_plan
 from ledgerlens.plans import sales
 from ledgerlens.sources.tables import read_table
+from ledgerlens.operators.scalars import with_row  # noqa: E402
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -298,7 +299,7 @@ def order_type_share(spark, d):
         F.to_date(F.min("o_orderdate")).alias("first_order_date"),
         F.to_date(F.max("o_orderdate")).alias("last_order_date")))
     total = g.agg(F.sum("n").alias("_t"))
-    return (g.crossJoin(F.broadcast(total))
+    return (g.transform(with_row(total))
             .select("o_orderpriority", "n", pct_expr("n", "_t").alias("pct"),
                     "first_order_date", "last_order_date"))
 
@@ -360,7 +361,7 @@ def employee_stats(spark, d):
     stats = per.agg(F.count(F.lit(1)).alias("n_employees"),
                     round6(mean_of_sum(F.sum("revenue"), F.count("revenue"))).alias("avg_revenue"),
                     round6(F.median("contracts")).alias("median_contracts"))
-    return stats.crossJoin(share.select(pct_expr("_ll_top", "_ll_total").alias("top10pct_share")))
+    return stats.transform(with_row(share.select(pct_expr("_ll_top", "_ll_total").alias("top10pct_share"))))
 
 
 @query
@@ -403,9 +404,9 @@ LUXURY_FROM = 995
 @query
 def part_price_describe(spark, d):
     p = _t(spark, d, "part")
-    return describe(p, "p_retailprice").crossJoin(
+    return describe(p, "p_retailprice").transform(with_row(
         p.agg(F.countDistinct("p_brand").alias("n_brands"),
-              F.countDistinct("p_partkey").alias("n_models")))
+              F.countDistinct("p_partkey").alias("n_models"))))
 
 
 @query
@@ -436,7 +437,7 @@ def luxury_parts(spark, d):
     top = top_k(p.select("p_partkey", "p_name", "p_brand", "p_retailprice"),
                 "p_retailprice", "p_partkey", 10, rank_name="rank")
     n = p.agg(F.count(F.lit(1)).alias("n_luxury"))
-    return top.crossJoin(F.broadcast(n))
+    return top.transform(with_row(n))
 
 
 @query
@@ -448,7 +449,7 @@ def vehicle_category(spark, d):
 def model_name_counts(spark, d):
     vc = materialize(value_counts(_t(spark, d, "part"), "p_name", "n"))
     # the distinct count is the number of value-count rows: no second scan
-    return vc.crossJoin(vc.agg(F.count(F.lit(1)).alias("n_distinct_names")))
+    return vc.transform(with_row(vc.agg(F.count(F.lit(1)).alias("n_distinct_names"))))
 
 
 @query
@@ -481,7 +482,7 @@ def duration_stats(spark, d):
     med = exact_quantiles(li.filter(F.col("l_quantity").isNotNull()), "l_extendedprice", [0.5],
                           groups=["l_quantity"], prefix="_med")
     g = g.join(med, "l_quantity", "left").withColumn("median_price", round6("_med0")).drop("_med0")
-    return (g.crossJoin(F.broadcast(total))
+    return (g.transform(with_row(total))
             .withColumn("pct", pct_expr("n", "_t")).drop("_t"))
 
 
@@ -619,7 +620,7 @@ def executive_summary(spark, d):
     brands = _t(spark, d, "part").agg(F.countDistinct("p_brand").alias("n_brands"))
     row = orders_row
     for extra in [median, cust_row, li_row, brands, *counts.values()]:
-        row = row.crossJoin(extra)  # one-row scalars
+        row = row.transform(with_row(extra))  # one-row scalars
     return row.select(
         "n_region", "n_nation", "n_supplier", "n_part", "n_customers", "n_orders", "n_order_lines",
         F.coalesce(F.col("_rev"), F.lit(0)).cast("double").alias("total_revenue"),
@@ -706,7 +707,7 @@ def scatter_axis_limits(spark, d):
                                                      money("total_margin").alias("m")))
     qv = exact_quantiles(vm, "v", [0.95], key=cv.KEY, prefix="volume_p")
     qm = exact_quantiles(vm, "m", [0.95], key=cv.KEY, prefix="margin_p")
-    return qv.crossJoin(qm).select(round6("volume_p0").alias("volume_p95"),
+    return qv.transform(with_row(qm)).select(round6("volume_p0").alias("volume_p95"),
                                    round6("margin_p0").alias("margin_p95"))
 
 

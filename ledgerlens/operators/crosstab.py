@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import pct
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 ALL = "All"
 
@@ -20,7 +21,7 @@ ALL = "All"
 def _grid(counts: DataFrame, row: str, col: str) -> DataFrame:
     cols = counts.agg(F.array_sort(F.collect_set(col)).alias("_cols"))
     rows = counts.select(row).distinct()
-    return (rows.crossJoin(F.broadcast(cols))  # one-row array of labels
+    return (rows.transform(with_row(cols))  # one-row array of labels
             .select(row, F.explode("_cols").alias(col)))
 
 

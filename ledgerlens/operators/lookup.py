@@ -8,7 +8,8 @@ Broadcast policy: a fact-to-dimension lookup carries no hint. Catalyst's
 ``spark.sql.autoBroadcastJoinThreshold`` (estimated size) and AQE (actual
 shuffle size) decide, and a dimension that outgrows the threshold falls back
 to a sort-merge join. Only sides whose size is bounded by construction
-(top-k results, one-row scalars, per-partition tables) are hinted.
+(top-k results, per-partition offset tables) are hinted; one-row results
+are attached as scalar subqueries (``operators.scalars``), not joined.
 """
 
 from __future__ import annotations

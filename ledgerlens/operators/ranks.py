@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 _PID, _POS, _OFF = "_ll_pid", "_ll_pos", "_ll_off"
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -168,7 +169,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     stats = materialize(base.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_ll_cnt"),
         F.percentile_approx(value, bounds, accuracy).alias("_ll_b")))
-    keyed = base.join(stats, groups) if groups else base.crossJoin(F.broadcast(stats))
+    keyed = base.join(stats, groups) if groups else base.transform(with_row(stats))
     pieces, below = [], []
     for i, _ in enumerate(probs):
         lo_v, hi_v = F.col("_ll_b")[2 * i], F.col("_ll_b")[2 * i + 1]

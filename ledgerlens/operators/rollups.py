@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import money, pct, round6, mean_of_sum
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 
 def non_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,7 +41,7 @@ def value_counts(df: DataFrame, col: str, count_name: str = "n",
     grouped = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name)))
     counts = grouped.filter(F.col(col).isNotNull())
     total = (grouped if share_of_rows else counts).agg(F.sum(count_name).alias("_ll_total"))
-    return (counts.crossJoin(F.broadcast(total))  # one-row scalar
+    return (counts.transform(with_row(total))  # one-row scalar
             .withColumn(share_name, pct(count_name, "_ll_total", digits))
             .drop("_ll_total"))
 
@@ -93,11 +94,11 @@ def bottom_k(df: DataFrame, metric: str, key: str | Sequence[str], k: int,
 
 
 def share_of_total(df: DataFrame, value: str, name: str, digits: int = 6) -> DataFrame:
-    """value / grand total * 100 via a one-row scalar join (``df`` is
+    """value / grand total * 100 via a scalar subquery (``df`` is
     checkpointed first because it is read twice)."""
     df = materialize(df)
     total = df.agg(F.sum(value).alias("_ll_grand"))
-    return (df.crossJoin(F.broadcast(total))
+    return (df.transform(with_row(total))
             .withColumn(name, pct(value, "_ll_grand", digits)).drop("_ll_grand"))
 
 
@@ -118,7 +119,7 @@ def describe(df: DataFrame, value: str, prefix: str = "", key: str | None = None
         F.min(v).cast("double").alias(f"{prefix}min"),
         F.max(v).cast("double").alias(f"{prefix}max"))
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], key=key, prefix="_ll_q")
-    return moments.crossJoin(q).select(  # one row each
+    return moments.transform(with_row(q)).select(  # one row each
         f"{prefix}count", f"{prefix}mean", f"{prefix}std", f"{prefix}min",
         round6("_ll_q0").alias(f"{prefix}p25"), round6("_ll_q1").alias(f"{prefix}p50"),
         round6("_ll_q2").alias(f"{prefix}p75"), f"{prefix}max")

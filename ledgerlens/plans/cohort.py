@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import month_index, month_start, pct, round6
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 KEY = "customer_key"
 
@@ -76,7 +77,7 @@ def renewal(co: DataFrame, renewal_value: str, cells: DataFrame | None = None) -
     # grid = retention cohorts x retention month columns; both lists are
     # bounded by the number of months, the index list travels as one array
     idx = c.agg(F.array_sort(F.collect_set("cohort_index")).alias("_idx"))
-    grid = (sizes.crossJoin(F.broadcast(idx))
+    grid = (sizes.transform(with_row(idx))
             .select("cohort_month", "cohort_size", F.explode("_idx").alias("cohort_index")))
     ren_rows = ren.select("cohort_month").distinct().withColumn("_row_seen", F.lit(True))
     ren_cols = ren.select("cohort_index").distinct().withColumn("_col_seen", F.lit(True))
@@ -113,4 +114,4 @@ def rate_means(ret: DataFrame, ren: DataFrame) -> DataFrame:
                 .alias("avg_renewal_idx2"),
                 round6(F.avg(F.when(F.col("cohort_index") == 13, F.col("renewal_pct"))))
                 .alias("avg_renewal_idx13"))
-    return r.crossJoin(n)  # one row each
+    return r.transform(with_row(n))  # one row each

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions.exprs import money, mean_of_sum, round6, round_half_even
 from ledgerlens.operators.lookup import lookup
+from ledgerlens.operators.scalars import with_row
 
 KEY = "customer_key"
 
@@ -120,7 +121,7 @@ def feature_table(scored: DataFrame, customers: DataFrame, customer_key: str,
     cust = cust.groupBy(KEY).agg(*[F.min(c).alias(c) for c in cust_cols])
     global_last = facts.agg(F.max("order_date").alias("_global_last"))
     t = (scored.join(cust, KEY, "left").join(features, KEY, "left")
-         .crossJoin(F.broadcast(global_last))  # one-row scalar
+         .transform(with_row(global_last))  # one-row scalar
          .withColumn("customer_tenure_days",
                      F.datediff("last_order_date", "first_order_date").cast("long"))
          .withColumn("days_since_first_order",

@@ -11,6 +11,7 @@ from ledgerlens.functions.bins import bin_spine, cut
 from ledgerlens.functions.exprs import mean_of_sum, round6
 from ledgerlens.operators.ranks import exact_quantiles
 from ledgerlens.operators.rollups import value_counts
+from ledgerlens.operators.scalars import with_row
 
 
 def basic_stats(cust: DataFrame, value: str, labels: Sequence[str], flag_col: str,
@@ -28,7 +29,7 @@ def basic_stats(cust: DataFrame, value: str, labels: Sequence[str], flag_col: st
              F.count_if(F.col(flag_col) == F.lit(flag_value)).alias("n_flagged")]
     aggs += [F.mode(c, True).alias(f"mode_{c}") for c in labels]
     med = exact_quantiles(cust, value, [0.5], prefix="_ll_med")
-    out = cust.agg(*aggs).crossJoin(med)  # one row each
+    out = cust.agg(*aggs).transform(with_row(med))  # one row each
     return out.withColumn(f"median_{value}", round6("_ll_med0")).drop("_ll_med0")
 
 
@@ -47,7 +48,7 @@ def bin_stats(df: DataFrame, value: str, edges: Sequence[float], labels: Sequenc
         F.stddev_samp(value).alias("_std"))
     spine = bin_spine(df.sparkSession, labels)  # one row per label: bounded
     total = g.agg(F.sum("n").alias("_t"))
-    j = (spine.join(g, "bin_order", "left").crossJoin(F.broadcast(total))
+    j = (spine.join(g, "bin_order", "left").transform(with_row(total))
          .withColumn("n", F.coalesce("n", F.lit(0).cast("long"))))
     return j.select("bin_order", "bin_label", "n",
                     round6(F.try_divide(F.col("n").cast("double"), F.col("_t").cast("double")) * 100).alias("pct"),

@@ -9,6 +9,7 @@ from ledgerlens.functions.exprs import money, pct
 from ledgerlens.operators.ranks import global_running_sum
 from ledgerlens.operators.rollups import top_k
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 KEY = "customer_key"
 
@@ -28,7 +29,7 @@ def pareto_top(rev: DataFrame, top_n: int = 20) -> DataFrame:
     total = rev.agg(F.sum("revenue").alias("_total"))
     top = top_k(rev, "revenue", KEY, top_n, rank_name="rank")
     w = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (top.crossJoin(F.broadcast(total))
+    return (top.transform(with_row(total))
             .withColumn("cumulative_pct", pct(F.sum("revenue").over(w), "_total"))
             .select("rank", KEY, F.col("revenue").cast("double").alias("revenue"), "cumulative_pct"))
 
@@ -44,9 +45,9 @@ def pareto_80(rev: DataFrame, share: float = 0.8) -> DataFrame:
     run = global_running_sum(rev, [F.col("revenue").desc(), F.col(KEY).asc()], "revenue", "_cum",
                              n_rows=rev.count())
     limit = F.col("_total") * F.lit(str(share)).cast("decimal(4,3)")
-    counted = (run.crossJoin(F.broadcast(totals))
+    counted = (run.transform(with_row(totals))
                .agg(F.count_if(F.col("_cum") <= limit).alias("_k")))
-    return (counted.crossJoin(totals)
+    return (counted.transform(with_row(totals))
             .select("total_customers",
                     F.col("_total").cast("double").alias("total_revenue"),
                     (F.col("_k") + 1).alias("customers_for_share"),

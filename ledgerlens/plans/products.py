@@ -14,6 +14,7 @@ from ledgerlens.functions.rules import wheel_category
 from ledgerlens.operators.lookup import lookup_small
 from ledgerlens.operators.rollups import money_rollup, top_k
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 
 def price_stats(df: DataFrame, group: str | None, price: str, distinct: str | None = None) -> DataFrame:
@@ -38,7 +39,7 @@ def price_ranges(df: DataFrame, price: str, edges: Sequence[float], labels: Sequ
     g = g_all.filter(F.col("bin_order").isNotNull())
     total = g_all.agg(F.sum("n").alias("_t"))
     return (bin_spine(df.sparkSession, labels).join(g, "bin_order", "left")
-            .crossJoin(F.broadcast(total))
+            .transform(with_row(total))
             .select("bin_order", "bin_label", F.coalesce("n", F.lit(0).cast("long")).alias("n"),
                     round6(F.try_divide(F.coalesce("n", F.lit(0)).cast("double"),
                                         F.col("_t").cast("double")) * 100).alias("pct")))

@@ -22,6 +22,7 @@ from ledgerlens.operators.lookup import lookup_small
 from ledgerlens.operators.ranks import SINGLE_TASK_ROWS, exact_quantiles, global_row_number
 from ledgerlens.operators.rollups import top_k
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 KEY = "customer_key"
 R_PROBS = [0.2, 0.4, 0.6, 0.8]
@@ -47,7 +48,7 @@ def rfm_base(orders: DataFrame, key: str = "o_custkey", order_id: str = "o_order
             .agg(F.max("order_date").alias("_last"),
                  F.count("order_id").alias("frequency"),
                  F.coalesce(F.sum("amount"), F.lit(0).cast("decimal(28,2)")).alias("monetary")))
-    return (base.crossJoin(F.broadcast(ref))
+    return (base.transform(with_row(ref))
             .withColumn("recency", F.datediff("_ref", "_last").cast("long"))
             .filter(F.col("recency").isNotNull())
             .select(KEY, "recency", "frequency", "monetary"))
@@ -78,7 +79,7 @@ def rfm_scores(base: DataFrame, keep_ranks: bool = False,
     e = F.col("_e")
     r = (F.when(F.col("recency") <= e[0], 5).when(F.col("recency") <= e[1], 4)
          .when(F.col("recency") <= e[2], 3).when(F.col("recency") <= e[3], 2).otherwise(1))
-    scored = (ranked.crossJoin(F.broadcast(edges))  # one-row scalar
+    scored = (ranked.transform(with_row(edges))  # one-row scalar
               .withColumn("r_score", r.cast("long"))
               .withColumn("f_score", qcut_rank_bin("_f_rn", "_n"))
               .withColumn("m_score", qcut_rank_bin("_m_rn", "_n")))
@@ -124,7 +125,7 @@ def segment_summary(scored: DataFrame) -> DataFrame:
               F.sum("monetary").alias("_m")))
     # the grouped table has one row per segment (ten at most): bounded
     totals = g.agg(F.sum("customer_count").alias("_tc"), F.sum("_m").alias("_tm"))
-    return (g.crossJoin(F.broadcast(totals)).select(
+    return (g.transform(with_row(totals)).select(
         "segment", "customer_count",
         round_half_even(mean_of_sum("_r", "customer_count"), 2).alias("avg_recency"),
         round_half_even(mean_of_sum("_f", "customer_count"), 2).alias("avg_frequency"),
@@ -149,7 +150,7 @@ def vip_list(scored: DataFrame, customers: DataFrame, customer_key: str,
         scored = scored.drop("_m_rn", "_n")
     else:
         q = exact_quantiles(scored, "monetary", [quantile], key=KEY, prefix="_q")
-    cand = (scored.crossJoin(F.broadcast(q))  # one-row scalar
+    cand = (scored.transform(with_row(q))  # one-row scalar
             .filter(F.col("segment").isin(VIP_SEGMENTS) | (F.col("monetary") >= F.col("_q0")))
             .drop("_q0"))
     top = top_k(cand, "monetary", KEY, top_n, rank_name="vip_rank")

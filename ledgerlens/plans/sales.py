@@ -18,6 +18,7 @@ from ledgerlens.operators.lookup import lookup, lookup_small, dedup_dimension
 from ledgerlens.operators.rollups import bottom_k, money_rollup, non_null_keys, top_k
 from ledgerlens.operators.ranks import global_row_number
 from ledgerlens.session import materialize
+from ledgerlens.operators.scalars import with_row
 
 
 def top_by_revenue(fact: DataFrame, key: str, value: str, count_col: str, k: int,
@@ -54,7 +55,7 @@ def revenue_by_group(fact: DataFrame, group: str, value: str, count_col: str) ->
 def with_share(df: DataFrame, value: str, name: str) -> DataFrame:
     df = materialize(df)  # read twice (rows and total)
     total = df.agg(F.sum(value).alias("_ll_t"))  # one row
-    return df.crossJoin(F.broadcast(total)).withColumn(name, pct(value, "_ll_t")).drop("_ll_t")
+    return df.transform(with_row(total)).withColumn(name, pct(value, "_ll_t")).drop("_ll_t")
 
 
 def top_fraction_share(per_key: DataFrame, key: str, value: str, fraction: float,
@@ -68,9 +69,9 @@ def top_fraction_share(per_key: DataFrame, key: str, value: str, fraction: float
                                n_rows=per_key.count())
     n = per_key.agg(F.count(F.lit(1)).alias("_ll_n"))
     k = n.select(F.floor(F.col("_ll_n") * F.lit(str(fraction)).cast("decimal(10,6)")).cast("long").alias("_ll_k"))
-    top = (ranked.crossJoin(F.broadcast(k)).filter(F.col("_ll_rank") <= F.col("_ll_k"))
+    top = (ranked.transform(with_row(k)).filter(F.col("_ll_rank") <= F.col("_ll_k"))
            .agg(F.coalesce(F.sum(value), F.lit(0)).alias("_ll_top")))
-    return top.crossJoin(total)
+    return top.transform(with_row(total))
 
 
 def employee_map(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
