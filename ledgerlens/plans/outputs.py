@@ -9,6 +9,7 @@ so the export is verified by Spark rather than trusted.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +19,25 @@ from ledgerlens.sources import sinks
 
 
 def export_datasets(spark: SparkSession, out_dir: str, tables: Mapping[str, DataFrame],
-                    matrices: Mapping[str, tuple[DataFrame, str]], month_columns: list) -> DataFrame:
+                    matrices: Mapping[str, tuple[DataFrame, str]], month_columns: list,
+                    max_parallel_writes: int = 4) -> DataFrame:
     """Write ``tables`` as CSV and ``matrices`` (long cells, value column) as
     cohort matrices with ``month_columns``; return (dataset, n_rows, n_columns)
     read back from the files."""
-    written: list[tuple[str, str]] = []
-    for name, df in tables.items():
-        written.append((name, sinks.write_csv(df, f"{out_dir}/{name}")))
-    for name, (cells, value) in matrices.items():
+    def write_table(name: str, df: DataFrame) -> tuple[str, str]:
+        return name, sinks.write_csv(df, f"{out_dir}/{name}")
+
+    def write_matrix(name: str, cells: DataFrame, value: str) -> tuple[str, str]:
         path, _ = sinks.write_matrix_csv(cells, "cohort_month", "cohort_index", value,
                                          f"{out_dir}/{name}", col_values=month_columns)
-        written.append((name, path))
+        return name, path
+
+    # the writes are independent jobs: submit them concurrently so the
+    # scheduler can overlap them (Spark accepts jobs from several threads)
+    with ThreadPoolExecutor(max_workers=max_parallel_writes) as pool:
+        futures = [pool.submit(write_table, n, df) for n, df in tables.items()]
+        futures += [pool.submit(write_matrix, n, c, v) for n, (c, v) in matrices.items()]
+        written = [f.result() for f in futures]
     parts = []
     for name, path in written:
         back = spark.read.option("header", True).csv(path)
