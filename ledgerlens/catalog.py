@@ -164,7 +164,8 @@ def _feature_table(spark, d, scored=None):
         scored = rfm_plan.rfm(_t(spark, d, "orders"))
     facts = _facts(spark, d)
     feats = cv.feature_aggregates(facts, _lines_with_customer(spark, d))
-    return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats, facts)
+    dates = _t(spark, d, "orders").select(F.to_date("o_orderdate").alias("order_date"))
+    return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats, dates)
 
 
 @query

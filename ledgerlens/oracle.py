@@ -247,7 +247,7 @@ dc AS (
   SELECT o_custkey AS customer_key, count(DISTINCT l_partkey) AS n_products,
          count(DISTINCT l_suppkey) AS n_channels
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey),
-gl AS (SELECT max(last_order_date) AS gl FROM fa),
+gl AS (SELECT max(CAST(o_orderdate AS DATE)) AS gl FROM orders),
 ft0 AS (
   SELECT rfm.customer_key, recency, frequency, CAST(monetary AS DOUBLE) AS monetary,
          r_score, f_score, m_score, rfm_score, rfm_total, segment,

@@ -110,16 +110,16 @@ def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> Data
 
 
 def feature_table(scored: DataFrame, customers: DataFrame, customer_key: str,
-                  features: DataFrame, facts: DataFrame) -> DataFrame:
+                  features: DataFrame, order_dates: DataFrame) -> DataFrame:
     """RFM ⟕ customer ⟕ features, tenure columns, numeric nulls -> 0.
 
-    The latest order date comes straight from the order facts (a global
-    max), not from the per-customer table, so no second group-by runs.
+    The latest order date is a global max over ``order_dates`` (all orders,
+    one column), not over the per-customer table or the line-joined facts.
     """
     cust = customers.withColumnRenamed(customer_key, KEY)
     cust_cols = [c for c in cust.columns if c != KEY]
     cust = cust.groupBy(KEY).agg(*[F.min(c).alias(c) for c in cust_cols])
-    global_last = facts.agg(F.max("order_date").alias("_global_last"))
+    global_last = order_dates.agg(F.max("order_date").alias("_global_last"))
     t = (scored.join(cust, KEY, "left").join(features, KEY, "left")
          .transform(with_row(global_last))  # one-row scalar
          .withColumn("customer_tenure_days",
