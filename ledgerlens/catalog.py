@@ -19,11 +19,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
+
+from ledgerlens.functions.exprs import (coerce_date, coerce_number, date_or_na, last_dash_word,
+                                        mean_of_sum, money, month_start, round6,
+                                        starts_with_safe)
+from ledgerlens.functions.exprs import pct as pct_expr
+from ledgerlens.functions.rules import two_way_label
+from ledgerlens.operators import crosstab as xt
+from ledgerlens.operators import profile as prof
+from ledgerlens.operators.lookup import lookup, lookup_small
+from ledgerlens.operators.ranks import exact_quantiles
+from ledgerlens.operators.rollups import bottom_k, describe, top_k, value_counts
+from ledgerlens.operators.scalars import with_row
+from ledgerlens.plans import cohort as cohort_plan
+from ledgerlens.plans import customer_value as cv
+from ledgerlens.plans import customers as cust_plan
+from ledgerlens.plans import pareto as pareto_plan
+from ledgerlens.plans import products as prod_plan
 from ledgerlens.plans import rfm as rfm_plan
 from ledgerlens.plans import sales
-from ledgerlens.sources.tables import read_table
-from ledgerlens.operators.scalars import with_row  # noqa: E402
+from ledgerlens.plans import sales as sales_plan
+from ledgerlens.session import materialize, scratch_path
+from ledgerlens.sources import sinks
+from ledgerlens.sources.csv import PANDAS_NA_TOKENS, normalize_missing, read_csv_typed
+from ledgerlens.sources.tables import STAR_TABLES, load_tables, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,9 +90,6 @@ def vip_list(spark, d):
 
 
 # ---------------------------------------------------------------- cohorts
-from ledgerlens.plans import cohort as cohort_plan  # noqa: E402
-from ledgerlens.plans import pareto as pareto_plan  # noqa: E402
-from ledgerlens.plans import customer_value as cv  # noqa: E402
 
 RENEWAL_STATUS = "P"
 
@@ -179,11 +196,6 @@ def feature_summary(spark, d):
 
 
 # ---------------------------------------------------------------- customers
-from ledgerlens.functions.rules import two_way_label  # noqa: E402
-from ledgerlens.operators import crosstab as xt  # noqa: E402
-from ledgerlens.operators.lookup import lookup  # noqa: E402
-from ledgerlens.operators.rollups import bottom_k, top_k, value_counts  # noqa: E402
-from ledgerlens.plans import customers as cust_plan  # noqa: E402
 
 # Segment display order (lowest to highest tier) and the high tiers.
 TIER_ORDER = ["HOUSEHOLD", "FURNITURE", "BUILDING", "MACHINERY", "AUTOMOBILE"]
@@ -209,7 +221,6 @@ def customer_basic_stats(spark, d):
 
 @query
 def balance_describe(spark, d):
-    from ledgerlens.operators.rollups import describe
     return describe(_t(spark, d, "customer"), "c_acctbal")
 
 
@@ -261,8 +272,6 @@ def top_bottom_occupations(spark, d):
 
 
 # ---------------------------------------------------------------- orders and sales
-from ledgerlens.functions.exprs import month_start, money, round6, mean_of_sum, pct as pct_expr  # noqa: E402
-from ledgerlens.plans import sales as sales_plan  # noqa: E402
 
 
 def _employee_map(spark, d):
@@ -344,7 +353,6 @@ def branch_performance(spark, d):
                                       _employee_map(spark, d), "s_suppkey", "branch_key",
                                       "branch_key")
     top = top_k(r.drop("n_keys", "avg_revenue"), "revenue", "branch_key", 10, rank_name="rank")
-    from ledgerlens.operators.lookup import lookup_small
     return lookup_small(top, "branch_key", _t(spark, d, "nation"), "n_nationkey", ["n_name"],
                         default={"n_name": "Unknown"})
 
@@ -390,10 +398,6 @@ def prefix_lookup(spark, d):
 
 
 # ---------------------------------------------------------------- products / vehicles
-from ledgerlens.functions.exprs import first_word, last_dash_word  # noqa: E402
-from ledgerlens.operators.ranks import exact_quantiles  # noqa: E402
-from ledgerlens.operators.rollups import describe  # noqa: E402
-from ledgerlens.plans import products as prod_plan  # noqa: E402
 
 # Price ranges (right-closed; 900.0 itself falls outside, the last is empty).
 PRICE_EDGES = [900, 925, 950, 975, 1000, 5000]
@@ -527,16 +531,7 @@ def dimension_listing(spark, d):
 
 
 # ---------------------------------------------------------------- profile / quality / summary
-from pyspark.sql import types as T  # noqa: E402
-
-from ledgerlens.functions.exprs import coerce_date, coerce_number, date_or_na  # noqa: E402
-from ledgerlens.functions.exprs import starts_with_safe  # noqa: E402
-from ledgerlens.operators import profile as prof  # noqa: E402
-from ledgerlens.operators.ranks import exact_quantiles  # noqa: E402
-from ledgerlens.session import materialize, scratch_path  # noqa: E402
-from ledgerlens.sources import sinks  # noqa: E402
-from ledgerlens.sources.csv import PANDAS_NA_TOKENS, normalize_missing, read_csv_typed  # noqa: E402
-from ledgerlens.sources.tables import STAR_TABLES, load_tables  # noqa: E402
+
 
 # A priority label that the quality report treats as missing.
 UNSPECIFIED_PRIORITY = "4-NOT SPECIFIED"
