@@ -102,12 +102,9 @@ def _full_rank_quantiles(base: DataFrame, groups: list[str], value: str, key: st
     """Quantiles from a distributed rank of every row (the always-exact path)."""
     order = groups + [value] + ([key] if key else [])
     ranked = global_row_number(base, order, "_ll_rn")
-    counts = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("_ll_cnt"))
-    if groups:  # first global rank of each group
-        w = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("_ll_start", F.coalesce(F.sum("_ll_cnt").over(w), F.lit(0)))
-    else:
-        counts = counts.withColumn("_ll_start", F.lit(0).cast("long"))
+    # each group's first global rank is a distributed min over its rows
+    counts = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("_ll_cnt"),
+                                         (F.min("_ll_rn") - 1).alias("_ll_start"))
     specs = []
     for i, p in enumerate(probs):
         h, lo, hi = _positions(F.col("_ll_cnt"), p)
@@ -192,9 +189,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         order = groups + ["_ll_i", value] + ([key] if key else [])
         n_inside = tally.agg(sum(F.sum(f"_ll_in{i}") for i in range(len(probs)))).first()[0]
         ranked = global_row_number(inside, order, "_ll_rn", n_rows=n_inside)
-        sizes = inside.groupBy(*groups, "_ll_i").agg(F.count(F.lit(1)).alias("_ll_sz"))
-        w = Window.orderBy(*groups, "_ll_i").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = sizes.withColumn("_ll_start", F.coalesce(F.sum("_ll_sz").over(w), F.lit(0)))
+        # first global rank of each bracket: a distributed min, no single task
+        starts = ranked.groupBy(*groups, "_ll_i").agg((F.min("_ll_rn") - 1).alias("_ll_start"))
         specs = []
         for i, p in enumerate(probs):
             h, lo, hi = _positions(F.col("_ll_cnt"), p)
@@ -206,9 +202,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                         F.col("s.lo").alias("_lo"), F.col("s.hi").alias("_hi"))
                 .select(*groups, "_ll_i", "h", F.explode(F.array("_lo", "_hi")).alias("_ll_local"))
                 .distinct()
-                .join(sizes, groups + ["_ll_i"])
+                .join(starts, groups + ["_ll_i"])
                 .withColumn("_ll_rn", F.col("_ll_local") + F.col("_ll_start"))
-                .drop("_ll_local", "_ll_start", "_ll_sz"))
+                .drop("_ll_local", "_ll_start"))
         picked = (ranked.join(want, groups + ["_ll_i", "_ll_rn"])
                   .groupBy(*groups, "_ll_i").agg(F.max("h").alias("h"),
                                                  F.min_by(value, "_ll_rn").alias("v_lo"),
