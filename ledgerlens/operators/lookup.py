@@ -45,10 +45,13 @@ def lookup_small(small: DataFrame, small_key: str, dim: DataFrame, dim_key: str,
                  attrs: Sequence[str], default: dict | None = None) -> DataFrame:
     """Name lookup for a result whose row count is bounded (top-k).
 
-    Written as ``dim RIGHT JOIN broadcast(small)``: the bounded side is the
-    broadcast build side and the dimension is streamed once, unshuffled.
+    The dimension is first cut down to the k wanted keys by a broadcast
+    semi-join (streamed once, unshuffled), so only those rows are
+    de-duplicated; then ``RIGHT JOIN broadcast(small)`` keeps every small row.
     """
-    d = dedup_dimension(dim, dim_key, attrs)
+    keys = small.select(F.col(small_key).alias(dim_key)).filter(F.col(dim_key).isNotNull()).distinct()
+    wanted = dim.select(dim_key, *attrs).join(F.broadcast(keys), dim_key, "left_semi")
+    d = dedup_dimension(wanted, dim_key, attrs)
     if dim_key != small_key:
         d = d.withColumnRenamed(dim_key, small_key)
     out = d.join(F.broadcast(small), small_key, "right")
