@@ -169,3 +169,15 @@ def test_hot_key_is_split_across_range_partitions(spark):
     assert parts > 1
     exp = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy("cust", "id"))).collect()}
     assert {r.id: r.rn for r in ranked.collect()} == exp
+
+
+def test_attach_scalar_subquery(spark):
+    from ledgerlens.operators.scalars import attach
+    df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "k long, v double")
+    one = df.agg(F.sum("v").alias("t"), F.count("v").alias("n"))
+    got = [(r.k, r.t, r.n) for r in attach(df, one).orderBy("k").collect()]
+    assert got == [(1, 5.0, 2), (2, 5.0, 2)]
+    empty = df.filter("k > 9").agg(F.sum("v").alias("t"))  # global aggregate: one null row
+    assert [r.t for r in attach(df, empty).collect()] == [None, None]
+    plan = attach(df, one)._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in plan and "NestedLoopJoin" not in plan
