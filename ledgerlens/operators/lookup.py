@@ -45,16 +45,18 @@ def lookup_small(small: DataFrame, small_key: str, dim: DataFrame, dim_key: str,
                  attrs: Sequence[str], default: dict | None = None) -> DataFrame:
     """Name lookup for a result whose row count is bounded (top-k).
 
-    The dimension is first cut down to the k wanted keys by a broadcast
-    semi-join (streamed once, unshuffled), so only those rows are
-    de-duplicated; then ``RIGHT JOIN broadcast(small)`` keeps every small row.
+    ``dim RIGHT JOIN broadcast(small)``: the dimension is streamed once,
+    unshuffled, against the broadcast k rows; duplicate dimension keys are
+    then collapsed on the (at most k x duplicates) joined rows by grouping on
+    the small row itself. ``small`` is read once and the full dimension is
+    never shuffled or de-duplicated.
     """
-    keys = small.select(F.col(small_key).alias(dim_key)).filter(F.col(dim_key).isNotNull()).distinct()
-    wanted = dim.select(dim_key, *attrs).join(F.broadcast(keys), dim_key, "left_semi")
-    d = dedup_dimension(wanted, dim_key, attrs)
-    if dim_key != small_key:
-        d = d.withColumnRenamed(dim_key, small_key)
-    out = d.join(F.broadcast(small), small_key, "right")
+    d = dim.select(F.col(dim_key).alias(small_key), *attrs).filter(F.col(small_key).isNotNull())
+    joined = d.join(F.broadcast(small), small_key, "right")
+    # every copy of a small row carries identical small columns: first() is exact
+    others = [c for c in small.columns if c != small_key]
+    out = joined.groupBy(small_key).agg(*[F.first(c).alias(c) for c in others],
+                                        *[F.min(a).alias(a) for a in attrs])
     for a, v in (default or {}).items():
         out = out.withColumn(a, F.coalesce(F.col(a), F.lit(v)))
     return out

@@ -181,3 +181,12 @@ def test_attach_scalar_subquery(spark):
     assert [r.t for r in attach(df, empty).collect()] == [None, None]
     plan = attach(df, one)._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in plan and "NestedLoopJoin" not in plan
+
+
+def test_lookup_small_dedups_and_defaults(spark):
+    from ledgerlens.operators.lookup import lookup_small
+    small = spark.createDataFrame([(1, 10.0), (2, 5.0), (3, 1.0)], "k long, v double")
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (9, "z")], "id long, name string")
+    got = {(r.k, r.v, r.name) for r in
+           lookup_small(small, "k", dim, "id", ["name"], default={"name": "Unknown"}).collect()}
+    assert got == {(1, 10.0, "a"), (2, 5.0, "c"), (3, 1.0, "Unknown")}
