@@ -42,21 +42,24 @@ def lookup(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
 
 
 def lookup_small(small: DataFrame, small_key: str, dim: DataFrame, dim_key: str,
-                 attrs: Sequence[str], default: dict | None = None) -> DataFrame:
+                 attrs: Sequence[str], default: dict | None = None,
+                 row_key: Sequence[str] | None = None) -> DataFrame:
     """Name lookup for a result whose row count is bounded (top-k).
 
     ``dim RIGHT JOIN broadcast(small)``: the dimension is streamed once,
     unshuffled, against the broadcast k rows; duplicate dimension keys are
     then collapsed on the (at most k x duplicates) joined rows by grouping on
     the small row itself. ``small`` is read once and the full dimension is
-    never shuffled or de-duplicated.
+    never shuffled or de-duplicated. ``row_key`` names the columns that
+    identify a row of ``small`` (default: the lookup key).
     """
     d = dim.select(F.col(dim_key).alias(small_key), *attrs).filter(F.col(small_key).isNotNull())
     joined = d.join(F.broadcast(small), small_key, "right")
     # every copy of a small row carries identical small columns: first() is exact
-    others = [c for c in small.columns if c != small_key]
-    out = joined.groupBy(small_key).agg(*[F.first(c).alias(c) for c in others],
-                                        *[F.min(a).alias(a) for a in attrs])
+    keys = list(row_key) if row_key else [small_key]
+    others = [c for c in small.columns if c not in keys]
+    out = joined.groupBy(*keys).agg(*[F.first(c).alias(c) for c in others],
+                                    *[F.min(a).alias(a) for a in attrs])
     for a, v in (default or {}).items():
         out = out.withColumn(a, F.coalesce(F.col(a), F.lit(v)))
     return out

@@ -66,6 +66,6 @@ def top_pairs(fact: DataFrame, keys: Sequence[str], value: str, count_col: str,
     out = top_k(g, "revenue", list(keys), k, rank_name="rank")
     for dim, dim_key, fact_key, name_col in names:
         out = lookup_small(out, fact_key, dim.select(dim_key, name_col), dim_key, [name_col],
-                           default={name_col: "Unknown"})
+                           default={name_col: "Unknown"}, row_key=list(keys))
         out = out.withColumn(name_col, F.substring(name_col, 1, name_len))
     return out

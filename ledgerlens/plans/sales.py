@@ -40,8 +40,9 @@ def top_by_revenue(fact: DataFrame, key: str, value: str, count_col: str, k: int
         parts.append(bottom_k(g, "revenue", key_name, bottom, rank_name="rank")
                      .withColumn("position", F.lit("bottom")))
     small = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # a key can sit in both the top and the bottom list when there are few keys
     named = lookup_small(small, key_name, dim.select(dim_key, name_col), dim_key, [name_col],
-                         default={name_col: "Unknown"})
+                         default={name_col: "Unknown"}, row_key=[key_name, "position"])
     name = truncate(name_col, name_len) if name_len else F.col(name_col)
     return named.select(key_name, "revenue", "n", name.alias("name"), "rank", "position")
 

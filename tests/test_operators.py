@@ -190,3 +190,12 @@ def test_lookup_small_dedups_and_defaults(spark):
     got = {(r.k, r.v, r.name) for r in
            lookup_small(small, "k", dim, "id", ["name"], default={"name": "Unknown"}).collect()}
     assert got == {(1, 10.0, "a"), (2, 5.0, "c"), (3, 1.0, "Unknown")}
+
+
+def test_lookup_small_keeps_rows_sharing_a_lookup_key(spark):
+    from ledgerlens.operators.lookup import lookup_small
+    small = spark.createDataFrame([(1, 7, 10.0), (1, 8, 5.0)], "p long, s long, v double")
+    dim = spark.createDataFrame([(1, "x")], "id long, name string")
+    got = {(r.p, r.s, r.name) for r in
+           lookup_small(small, "p", dim, "id", ["name"], row_key=["p", "s"]).collect()}
+    assert got == {(1, 7, "x"), (1, 8, "x")}
