@@ -45,7 +45,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def seeded(x: np.ndarray, seed: int) -> np.ndarray:
-    return mix64(x + _GOLDEN * np.uint64(seed + 1))
+    return mix64(x + np.uint64((int(_GOLDEN) * (seed + 1)) & 0xFFFFFFFFFFFFFFFF))
 
 
 _BYTE_WEIGHT = mix64(np.arange(1, 257, dtype=np.uint64) * _GOLDEN) | np.uint64(1)

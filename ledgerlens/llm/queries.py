@@ -5,11 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, packing, token_counts
+from ledgerlens.llm import bpe, chat, minhash, packing, quality_rules, token_counts, topk_search
 from ledgerlens.llm.common import read_table
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    target = quality_rules.target_sample(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, quality_rules.bucket_weights(docs, target))
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -18,10 +33,21 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_redacted(read_table(spark, sf_dir, "documents"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, numbered -7, that says the template's own control strings."""
+    told = "\\### Assistant: </turn> ok"
+    said = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(told).alias("text"))
+    return chat.digests(chat.format_trees(chat.chain(said.union(extra))))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_packing, op7_token_counts, op10_bpe)
+    f.__name__: f for f in (op1_minhash, op2_quality_rules, op4_topk_search, op5_packing, op7_token_counts,
+                                      op8_chat_formatting, op10_bpe)
 }
