@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.session import ensure_checkpoint_dir, scratch_path
 
 #: texts of one Arrow batch are worked on in slices of about this many bytes
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -54,6 +54,9 @@ _LOWER[65:91] += 32
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _LOWER_WEIGHT = _BYTE_WEIGHT[_LOWER]
+#: letters, digits and all bytes of other characters than ASCII
+IS_LETTER = np.zeros(256, dtype=bool)
+IS_LETTER[48:58] = IS_LETTER[65:91] = IS_LETTER[97:123] = IS_LETTER[128:] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -80,12 +83,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, is_word_byte: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end (bytes) and row of every word; words never cross rows."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
-    is_word = _IS_WORD[data]
+    is_word = is_word_byte[data]
     first = np.empty(len(data), bool)
     first[0] = True
     np.logical_not(is_word[:-1], out=first[1:])

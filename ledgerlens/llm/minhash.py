@@ -395,3 +395,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                          F.col(text_col).cast("string").alias("text"))
     found = NearDuplicates(picked, shingle, percent).groups()
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """The rows of one document of every group, its smallest id, with all their columns.
+
+    Rows that repeat an id are told apart by nothing else, so one of them stays.
+    Only the dropped ids are joined with the rows.
+    """
+    found = written(near_duplicates(docs, shingle, percent, id_col, text_col), "groups")
+    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
+    repeated = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                       .select(F.col("doc_id").alias("_dropped")), "repeated")
+    own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-1))
+    left = docs.join(dropped, own_id == F.col("_dropped"), "left_anti")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, own_id == F.col("_dropped"), "left_anti")
+    return once.union(left.join(repeated, own_id == F.col("_dropped"), "left_semi").dropDuplicates([id_col]))

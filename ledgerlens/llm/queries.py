@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, chat, minhash, packing, quality_rules, token_counts, topk_search
+from ledgerlens.llm import (
+    bpe, chat, html_text, minhash, packing, quality_classifier, quality_rules, token_counts, topk_search, toxicity)
 from ledgerlens.llm.common import read_table
 
 
@@ -21,6 +22,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.bucket_weights(docs, target))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
@@ -29,6 +34,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return (toxicity.scores(docs, model)
+            .select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_redacted(read_table(spark, sf_dir, "documents"))
 
@@ -43,11 +56,25 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_trees(chat.chain(said.union(extra))))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document stands for its host, its language for the path below."""
+    return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                       F.col("source"), F.col("lang"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline of the repository's top folder."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_quality_rules, op4_topk_search, op5_packing, op7_token_counts,
-                                      op8_chat_formatting, op10_bpe)
+    f.__name__: f for f in (
+        op1_minhash, op2_quality_rules, op3_html_extraction, op4_topk_search, op5_packing, op6_toxicity,
+        op7_token_counts, op8_chat_formatting, op9_quality_classifier, op10_bpe, pipeline)
 }
