@@ -21,6 +21,8 @@ conversation meet in one task only where its formatted text, one value, is built
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,24 +55,21 @@ def paths(links: DataFrame) -> DataFrame:
         nodes.withColumnRenamed("node", "parent"), ["conv_id", "parent"], "left_semi")
         .select("conv_id", "node", F.col("parent").alias("above")), "chat-links")
     inner = jump.select("conv_id", F.col("above").alias("node")).distinct()
-    out = (nodes.join(inner, ["conv_id", "node"], "left_anti")
-           .select("conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))
+    parts = [written(nodes.join(inner, ["conv_id", "node"], "left_anti").select(
+        "conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "chat-leaves")]
     steps, left = 1, jump.count()
     longest = left + 1
     while left:
         if steps > longest:
             raise ValueError("the parents of some messages form a cycle")
-        here = F.struct("node", "up")
-        above = F.struct(F.col("above").alias("node"), (F.col("up") + steps).alias("up"))
-        out = (out.join(jump, ["conv_id", "node"], "left")
-               .select("conv_id", "leaf", F.explode(
-                   F.when(F.col("above").isNull(), F.array(here)).otherwise(F.array(here, above))).alias("x"))
-               .select("conv_id", "leaf", "x.node", "x.up"))
+        # each round adds only the nodes that its jump reaches
+        parts.append(written(reduce(DataFrame.union, parts).join(jump, ["conv_id", "node"]).select(
+            "conv_id", "leaf", F.col("above").alias("node"), (F.col("up") + steps).alias("up")), "chat-paths"))
         jump = written(jump.join(jump.select("conv_id", F.col("node").alias("above"), F.col("above").alias("top")),
                                  ["conv_id", "above"])
                        .select("conv_id", "node", F.col("top").alias("above")), "chat-jump")
         left, steps = jump.count(), 2 * steps
-    return out
+    return reduce(DataFrame.union, parts)
 
 
 def format_trees(messages: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES, top_paths: int | None = None,
