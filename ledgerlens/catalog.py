@@ -38,7 +38,6 @@ from ledgerlens.plans import customers as cust_plan
 from ledgerlens.plans import pareto as pareto_plan
 from ledgerlens.plans import products as prod_plan
 from ledgerlens.plans import rfm as rfm_plan
-from ledgerlens.plans import sales
 from ledgerlens.plans import sales as sales_plan
 from ledgerlens.session import materialize, scratch_path
 from ledgerlens.sources import sinks
@@ -58,14 +57,14 @@ def _t(spark, d, name):
 
 
 # Balance groups used in the VIP list (stand-in for age groups).
-VIP_BALANCE_EDGES = [0, 2500, 3500, 4500, 5500, 10000]
-VIP_BALANCE_LABELS = ["0-2.5k", "2.5k-3.5k", "3.5k-4.5k", "4.5k-5.5k", "5.5k+"]
+VIP_BALANCE_EDGES = [-1000, 0, 2000, 4000, 6000, 8000, 10000]
+VIP_BALANCE_LABELS = ["below 0", "0-2k", "2k-4k", "4k-6k", "6k-8k", "8k-10k"]
 
 
 @query
 def top_channels_by_revenue(spark, d):
     li = _t(spark, d, "lineitem")
-    return sales.top_by_revenue(li, "l_suppkey", "l_extendedprice", "l_orderkey", 10,
+    return sales_plan.top_by_revenue(li, "l_suppkey", "l_extendedprice", "l_orderkey", 10,
                                 _t(spark, d, "supplier"), "s_suppkey", "s_name",
                                 key_name="channel_key", name_len=40).drop("position")
 
@@ -400,7 +399,7 @@ def prefix_lookup(spark, d):
 # ---------------------------------------------------------------- products / vehicles
 
 # Price ranges (right-closed; 900.0 itself falls outside, the last is empty).
-PRICE_EDGES = [900, 925, 950, 975, 1000, 5000]
+PRICE_EDGES = [900, 925, 950, 975, 1000, float("inf")]
 PRICE_LABELS = ["900-925", "925-950", "950-975", "975-1000", "1000+"]
 ECONOMY_BELOW = 910
 LUXURY_FROM = 995
@@ -459,7 +458,7 @@ def model_name_counts(spark, d):
 
 @query
 def product_sales(spark, d):
-    return sales.top_by_revenue(_t(spark, d, "lineitem"), "l_partkey", "l_extendedprice",
+    return sales_plan.top_by_revenue(_t(spark, d, "lineitem"), "l_partkey", "l_extendedprice",
                                 "l_orderkey", 15, _t(spark, d, "part"), "p_partkey", "p_name",
                                 key_name="product_key", name_len=40, bottom=10)
 
@@ -540,8 +539,8 @@ DIRECT_PREFIX = "1"
 
 @query
 def table_profile(spark, d):
-    tables, _missing = load_tables(spark, d, STAR_TABLES)
-    return prof.table_profile(tables)
+    tables, absent = load_tables(spark, d, STAR_TABLES)
+    return prof.table_profile(tables, absent)
 
 
 def _type_family(dt: T.DataType) -> str:
@@ -559,8 +558,11 @@ def _type_family(dt: T.DataType) -> str:
 @query
 def column_profile(spark, d):
     """Per table column: position, name, type family, null count, row count."""
-    tables, _missing = load_tables(spark, d, STAR_TABLES)
-    parts = []
+    tables, absent = load_tables(spark, d, STAR_TABLES)
+    parts = [spark.createDataFrame([(t,) for t in absent], "table_name string").select(
+        "table_name", F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("column_name"),
+        F.lit("absent").alias("data_type"), F.lit(None).cast("long").alias("n_null"),
+        F.lit(None).cast("long").alias("n_rows"))] if absent else []
     for name, df in tables.items():
         fields = df.schema.fields
         pos = F.array_position(F.array(*[F.lit(f.name) for f in fields]), F.col("column_name"))
@@ -574,24 +576,22 @@ def column_profile(spark, d):
 
 @query
 def quality_issues(spark, d):
-    orders = normalize_missing(_t(spark, d, "orders"), PANDAS_NA_TOKENS + [UNSPECIFIED_PRIORITY])
-    keys = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    segs = _t(spark, d, "customer").select("c_nationkey", "c_mktsegment")
-    return prof.quality_issues({"customer": _t(spark, d, "customer"), "orders": orders,
-                                "order_line_keys": keys, "customer_segments": segs})
+    """Missing cells and duplicate rows of all tables, whole, and of one column cut."""
+    tables, _ = load_tables(spark, d, STAR_TABLES)
+    if "orders" in tables:
+        tables["orders"] = normalize_missing(tables["orders"], PANDAS_NA_TOKENS + [UNSPECIFIED_PRIORITY])
+    if "customer" in tables:
+        tables["customer_segments"] = tables["customer"].select("c_nationkey", "c_mktsegment")
+    return prof.quality_issues(tables)
 
 
 @query
 def referential_orphans(spark, d):
-    o, li = _t(spark, d, "orders"), _t(spark, d, "lineitem")
-    # the three lineitem checks share one scan of lineitem
+    checks = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+              ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey")]
     return prof.union_all([
-        prof.orphan_keys("orders->customer", o, "o_custkey", _t(spark, d, "customer"), "c_custkey"),
-        prof.orphan_keys_multi(li, [
-            ("lineitem->orders", "l_orderkey", o, "o_orderkey"),
-            ("lineitem->part", "l_partkey", _t(spark, d, "part"), "p_partkey"),
-            ("lineitem->supplier", "l_suppkey", _t(spark, d, "supplier"), "s_suppkey")]),
-    ])
+        prof.orphan_keys(f"{child}->{parent}", _t(spark, d, child), key, _t(spark, d, parent), parent_key)
+        for child, key, parent, parent_key in checks])
 
 
 @query
@@ -608,7 +608,7 @@ def executive_summary(spark, d):
         date_or_na(F.min(F.to_date("o_orderdate"))).alias("first_order_date"),
         date_or_na(F.max(F.to_date("o_orderdate"))).alias("last_order_date"),
         F.countDistinct(month_start("o_orderdate")).alias("active_months"))
-    median = exact_quantiles(o, "o_totalprice", [0.5], key="o_orderkey", prefix="_med")
+    median = exact_quantiles(o, "o_totalprice", [0.5], prefix="_med")
     cust_row = c.agg(F.count(F.lit(1)).alias("n_customers"),
                      F.count_if(F.col("c_mktsegment").isin(HIGH_TIERS)).alias("n_high_tier"))
     li_row = li.agg(F.count(F.lit(1)).alias("n_order_lines"),
@@ -668,14 +668,19 @@ def csv_roundtrip(spark, d):
 
 @query
 def cohort_matrix_csv(spark, d):
+    """The retention matrix written as CSV, read back and unpivoted to its cells."""
     # the cell table has at most months^2 rows; materialise it once so the
     # label read and the write do not both recompute the orders aggregate
     cells = materialize(cohort_plan.retention(_cohort_orders(spark, d)))
     path, cols = sinks.write_matrix_csv(cells, "cohort_month", "cohort_index", "retention_pct",
                                         scratch_path(spark, "cohort-matrix"))
+    names = [str(c) for c in cols]
     schema = T.StructType([T.StructField("cohort_month", T.StringType())] +
-                          [T.StructField(str(c), T.DoubleType()) for c in cols])
-    return read_csv_typed(spark, path, schema)
+                          [T.StructField(c, T.DoubleType()) for c in names])
+    return (read_csv_typed(spark, path, schema)
+            .unpivot("cohort_month", names, "cohort_index", "retention_pct")
+            .where(F.col("retention_pct").isNotNull())
+            .withColumn("cohort_index", F.col("cohort_index").cast("long")))
 
 
 # ---------------------------------------------------------------- chart datasets
@@ -701,8 +706,8 @@ def scatter_axis_limits(spark, d):
     # per-customer table read by two quantile passes: checkpoint it once
     vm = materialize(_volume_margin(spark, d).select(cv.KEY, money("total_volume").alias("v"),
                                                      money("total_margin").alias("m")))
-    qv = exact_quantiles(vm, "v", [0.95], key=cv.KEY, prefix="volume_p")
-    qm = exact_quantiles(vm, "m", [0.95], key=cv.KEY, prefix="margin_p")
+    qv = exact_quantiles(vm, "v", [0.95], prefix="volume_p")
+    qm = exact_quantiles(vm, "m", [0.95], prefix="margin_p")
     return qv.transform(with_row(qm)).select(round6("volume_p0").alias("volume_p95"),
                                    round6("margin_p0").alias("margin_p95"))
 
@@ -737,3 +742,177 @@ def export_outputs(spark, d):
         "renewal_pivot": (ren, "renewals"),
     }
     return export_datasets(spark, scratch_path(spark, "exports"), tables, matrices, months)
+
+
+# ---------------------------------------------------------------- counts of lines, employees, products, KPI
+def _lines(spark, d):
+    return _t(spark, d, "lineitem")
+
+
+@query
+def line_counts_by_part_type(spark, d):
+    """Order lines per part type: count and share of all lines. Lines are counted
+    per part first, so only one row per part meets the part table."""
+    per_part = _lines(spark, d).groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    named = lookup(per_part, "l_partkey", _t(spark, d, "part"), "p_partkey", ["p_type"])
+    by_type = materialize(named.groupBy(F.coalesce("p_type", F.lit("Unknown")).alias("part_type"))
+                          .agg(F.sum("n").alias("n_lines")))
+    total = by_type.agg(F.sum("n_lines").alias("_total"))
+    return (by_type.transform(with_row(total)).withColumn("pct", pct_expr("n_lines", "_total"))
+            .select("part_type", "n_lines", "pct"))
+
+
+@query
+def insured_totals(spark, d):
+    """Order lines, distinct parts and distinct orders among them."""
+    li = _lines(spark, d)
+    parts = li.select("l_partkey").distinct().agg(F.count("l_partkey").alias("n_parts"))
+    orders = li.select("l_orderkey").distinct().agg(F.count("l_orderkey").alias("n_orders"))
+    return (li.agg(F.count(F.lit(1)).alias("n_lines")).transform(with_row(parts)).transform(with_row(orders))
+            .select("n_lines", "n_parts", "n_orders"))
+
+
+@query
+def top_parts_by_lines(spark, d):
+    """Fifteen parts with the most order lines, with name and share of rows."""
+    vc = value_counts(_lines(spark, d), "l_partkey", "n_lines", "pct", share_of_rows=True)
+    top = top_k(vc, "n_lines", "l_partkey", 15)
+    return (lookup_small(top, "l_partkey", _t(spark, d, "part"), "p_partkey", ["p_name"],
+                         default={"p_name": "Unknown"})
+            .select("rank", "l_partkey", "p_name", "n_lines", "pct"))
+
+
+def _per_employee(spark, d):
+    rate = F.lit(1).cast("decimal(6,4)") - F.col("l_discount").cast("decimal(6,4)")
+    li = _lines(spark, d).withColumn("_net", F.col("l_extendedprice").cast("decimal(18,2)") * rate)
+    return (li.filter(F.col("l_suppkey").isNotNull()).groupBy("l_suppkey")
+            .agg(F.coalesce(F.sum(money("l_extendedprice")), F.lit(0).cast("decimal(28,2)")).alias("_rev"),
+                 F.count("l_extendedprice").alias("_vals"), F.count("l_orderkey").alias("n_contracts"),
+                 F.sum("_net").alias("_net")))
+
+
+@query
+def employee_top10(spark, d):
+    """Ten employees by revenue: sum, mean and number of contracts."""
+    top = top_k(_per_employee(spark, d), "_rev", "l_suppkey", 10)
+    return top.select("rank", "l_suppkey", F.col("_rev").cast("double").alias("revenue"),
+                      round6(mean_of_sum("_rev", "_vals")).alias("avg_revenue"), "n_contracts")
+
+
+@query
+def employee_top20(spark, d):
+    """Twenty employees by revenue with two money sums and their names."""
+    top = top_k(_per_employee(spark, d), "_rev", "l_suppkey", 20)
+    return (lookup_small(top, "l_suppkey", _t(spark, d, "supplier"), "s_suppkey", ["s_name"],
+                         default={"s_name": "Unknown"})
+            .select("rank", "l_suppkey", "s_name", F.col("_rev").cast("double").alias("revenue"),
+                    F.col("_net").cast("double").alias("net_revenue"), "n_contracts"))
+
+
+@query
+def employee_medians(spark, d):
+    """Median revenue and mean number of contracts per employee."""
+    per = materialize(_per_employee(spark, d))  # read by the quantile and the mean
+    median = exact_quantiles(per, "_rev", [0.5], prefix="_med")
+    return (per.agg(F.count(F.lit(1)).alias("n_employees"),
+                    round6(F.avg("n_contracts")).alias("avg_contracts"))
+            .transform(with_row(median))
+            .select("n_employees", round6("_med0").alias("median_revenue"), "avg_contracts"))
+
+
+@query
+def balance_by_segment(spark, d):
+    """Mean, median and standard deviation of the balance per segment."""
+    c = _t(spark, d, "customer").filter(F.col("c_mktsegment").isNotNull())
+    stats = c.groupBy("c_mktsegment").agg(
+        F.count("c_acctbal").alias("n"), round6(mean_of_sum(F.sum(F.col("c_acctbal").cast("decimal(38,6)")),
+                                                            F.count("c_acctbal"))).alias("avg_balance"),
+        round6(F.stddev_samp("c_acctbal")).alias("std_balance"))
+    med = exact_quantiles(c, "c_acctbal", [0.5], groups=["c_mktsegment"], prefix="_m")
+    return (stats.join(med, "c_mktsegment", "left")
+            .select("c_mktsegment", "n", "avg_balance", round6("_m0").alias("median_balance"), "std_balance"))
+
+
+@query
+def quantity_describe(spark, d):
+    """Eight-number summary of the line quantities (contract duration)."""
+    return describe(_lines(spark, d), "l_quantity")
+
+
+def _kpi(spark, d, key):
+    e = _t(spark, d, "events").withColumn("_k", F.get_json_object("props", "$.k").try_cast("long"))
+    return (e.filter(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.coalesce(F.sum("_k"), F.lit(0)).cast("long").alias("contracts"),
+                 F.coalesce(F.sum(money("value")), F.lit(0)).cast("double").alias("revenue")))
+
+
+@query
+def kpi_by_channel(spark, d):
+    """Contracts and revenue of the KPI feed per channel (event type)."""
+    return _kpi(spark, d, "event_type")
+
+
+@query
+def kpi_by_product(spark, d):
+    """Contracts and revenue of the KPI feed per product (the part of the event's
+    user number), the ten with most revenue, with names."""
+    top = top_k(_kpi(spark, d, "user_id"), "revenue", "user_id", 10)
+    return (lookup_small(top, "user_id", _t(spark, d, "part"), "p_partkey", ["p_name"], default={"p_name": "Unknown"})
+            .select("rank", "user_id", "p_name", "contracts", "revenue"))
+
+
+@query
+def executive_lists(spark, d):
+    """Top five products, channels and employees by revenue, as (list, rank, name, revenue, pct)."""
+    li = _lines(spark, d).select("l_partkey", "l_suppkey", "l_extendedprice")
+    total = li.agg(F.sum(money("l_extendedprice")).alias("_total"))
+
+    def revenue(key):
+        return (li.filter(F.col(key).isNotNull()).groupBy(key)
+                .agg(F.coalesce(F.sum(money("l_extendedprice")), F.lit(0).cast("decimal(28,2)")).alias("_rev")))
+
+    def top(name, df, key, label):
+        return top_k(df, "_rev", key, 5).select(F.lit(name).alias("list"), "rank", label.alias("name"), "_rev")
+
+    part, supplier = _t(spark, d, "part"), _t(spark, d, "supplier")
+    products = lookup_small(top_k(revenue("l_partkey"), "_rev", "l_partkey", 5), "l_partkey", part, "p_partkey",
+                            ["p_name"], default={"p_name": "Unknown"}).select(
+        F.lit("products").alias("list"), "rank", F.col("p_name").alias("name"), "_rev")
+    per_supplier = materialize(revenue("l_suppkey"))  # read by employees and channels
+    employees = lookup_small(top_k(per_supplier, "_rev", "l_suppkey", 5), "l_suppkey", supplier, "s_suppkey",
+                             ["s_name"], default={"s_name": "Unknown"}).select(
+        F.lit("employees").alias("list"), "rank", F.col("s_name").alias("name"), "_rev")
+    branch = sales_plan.employee_map(supplier, _t(spark, d, "nation"), _t(spark, d, "region"))
+    by_branch = (per_supplier.join(branch.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
+                 .filter(F.col("branch").isNotNull()).groupBy("branch").agg(F.sum("_rev").alias("_rev")))
+    channels = top("channels", by_branch, "branch", F.col("branch"))
+    return (products.unionByName(channels).unionByName(employees).transform(with_row(total))
+            .select("list", "rank", "name", F.col("_rev").cast("double").alias("revenue"),
+                    pct_expr("_rev", "_total").alias("pct")))
+
+
+@query
+def executive_shares(spark, d):
+    """Segment shares, mean part price, revenue per employee and the share of the
+    top tenth of the employees, as (figure, name, value)."""
+    seg = (value_counts(_t(spark, d, "customer"), "c_mktsegment", "n", "pct", share_of_rows=True)
+           .select(F.lit("segment_pct").alias("figure"), F.col("c_mktsegment").alias("name"), F.col("pct").alias("value")))
+    price = _t(spark, d, "part").agg(round6(mean_of_sum(F.sum(money("p_retailprice")), F.count("p_retailprice")))
+                                     .alias("value"))
+    per = materialize(_per_employee(spark, d).select("l_suppkey", "_rev"))
+    total = per.agg(F.sum("_rev").alias("_total"))
+    mean = per.agg(round6(mean_of_sum(F.sum("_rev"), F.count(F.lit(1)))).alias("value"))
+    tenth = sales_plan.top_fraction_share(per, "l_suppkey", "_rev", 0.1, total).select(
+        pct_expr("_ll_top", "_total").alias("value"))
+    none = F.lit(None).cast("string").alias("name")
+    return (seg.unionByName(price.select(F.lit("avg_part_price").alias("figure"), none, "value"))
+            .unionByName(mean.select(F.lit("revenue_per_employee").alias("figure"), none, "value"))
+            .unionByName(tenth.select(F.lit("top_tenth_employees_pct").alias("figure"), none, "value")))
+
+
+@query
+def product_listing(spark, d):
+    """Product groups (brands) with their types and number of products."""
+    return (_t(spark, d, "part").filter(F.col("p_brand").isNotNull()).groupBy("p_brand")
+            .agg(F.count("p_partkey").alias("n_products"),
+                 F.array_join(F.array_sort(F.collect_set("p_type")), ", ").alias("types")))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.scalars import with_row
+
 
 def null_counts(df: DataFrame) -> DataFrame:
     """Long form (column_name, n_null, n_rows) from a single scan."""
@@ -21,50 +23,45 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: number of rows that repeat an earlier identical row
-    (``duplicated().sum()``; nulls compare equal because grouping does)."""
-    g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_c"))
-    return g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
-
+    (``duplicated().sum()``; nulls compare equal because grouping does).
 
-def _row_groups(df: DataFrame) -> DataFrame:
-    """Distinct rows with their multiplicity: the one shuffle that both the
-    duplicate count and (weighted) per-column null counts are read from."""
-    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_ll_c"))
+    Rows are counted by a 64-bit hash first, eight bytes per row; only rows
+    whose hash repeats are grouped by all their columns.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.withColumn("_ll_h", F.xxhash64(*cols))
+    repeated = hashed.groupBy("_ll_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_ll_h")
+    groups = (hashed.join(repeated, "_ll_h", "left_semi").groupBy(*cols)
+              .agg(F.count(F.lit(1)).alias("_c")))
+    return groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
 def _profile_row(df: DataFrame) -> DataFrame:
-    """One row: rows, duplicates and per-column null counts, one scan."""
-    g = _row_groups(df)
-    aggs = [F.coalesce(F.sum("_ll_c"), F.lit(0)).cast("long").alias("_rows"),
-            F.coalesce(F.sum(F.col("_ll_c") - 1), F.lit(0)).cast("long").alias("_dups")]
-    aggs += [F.coalesce(F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_ll_c"))), F.lit(0))
-             .cast("long").alias(f"_n{i}") for i, c in enumerate(df.columns)]
-    return g.agg(*aggs)
+    """One row: rows, null counts per column (one plain aggregate) and duplicates."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)]
+    return df.agg(*aggs).transform(with_row(duplicate_rows(df))).withColumnRenamed("n_duplicates", "_dups")
 
 
-def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per table: rows, columns, missing cells, duplicate rows (one scan each)."""
-    out = None
+def table_profile(tables: Mapping[str, DataFrame], absent: Sequence[str] = ()) -> DataFrame:
+    """Per table: rows, columns, missing cells, duplicate rows; an absent table has nulls."""
+    parts = []
     for name, df in tables.items():
-        one = _profile_row(df)
         missing = sum((F.col(f"_n{i}") for i in range(len(df.columns))), F.lit(0).cast("long"))
-        row = one.select(F.lit(name).alias("table_name"), F.col("_rows").alias("n_rows"),
-                         F.lit(len(df.columns)).cast("long").alias("n_columns"),
-                         missing.cast("long").alias("n_missing"),
-                         F.col("_dups").alias("n_duplicates"))
-        out = row if out is None else out.unionByName(row)
+        parts.append(_profile_row(df).select(
+            F.lit(name).alias("table_name"), F.col("_rows").alias("n_rows"),
+            F.lit(len(df.columns)).cast("long").alias("n_columns"),
+            missing.cast("long").alias("n_missing"), F.col("_dups").alias("n_duplicates")))
+    out = union_all(parts)
+    if absent:
+        none = F.lit(None).cast("long")
+        out = out.unionByName(out.sparkSession.createDataFrame([(t,) for t in absent], "table_name string").select(
+            "table_name", *[none.alias(c) for c in ("n_rows", "n_columns", "n_missing", "n_duplicates")]))
     return out
 
 
-def table_columns(tables: Mapping[str, DataFrame]) -> list[tuple[str, int, str, str]]:
-    """(table, position, column, type) from the schemas (metadata only)."""
-    return [(name, i, f.name, f.dataType.simpleString())
-            for name, df in tables.items() for i, f in enumerate(df.schema.fields, 1)]
-
-
 def quality_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Only the problems: per column missing counts > 0 and duplicate rows > 0
-    (one scan and one shuffle per table)."""
+    """Only the problems: per column missing counts > 0 and duplicate rows > 0."""
     out = None
     for name, df in tables.items():
         one = _profile_row(df)
@@ -84,8 +81,8 @@ def orphan_keys(check: str, child: DataFrame, child_key: str,
                 parent: DataFrame, parent_key: str) -> DataFrame:
     """Distinct child keys absent from the parent (set difference of keys).
 
-    One left join of distinct child keys to distinct parent keys and one
-    aggregate; a null child key is reported apart (a Python set keeps one NaN).
+    Keys are compared in their own types (1 and 1.0 are equal), one column of
+    each table is read, and an empty child gives a row of zeros; a null child key is reported apart (a Python set keeps one NaN).
     """
     keys = child.select(F.col(child_key).alias("_k")).distinct()
     parents = (parent.select(F.col(parent_key).alias("_k")).filter(F.col("_k").isNotNull())
@@ -97,28 +94,6 @@ def orphan_keys(check: str, child: DataFrame, child_key: str,
         F.lit(check).alias("check_name"), "n_child_keys", "n_orphan_keys", "n_null_keys")
 
 
-def orphan_keys_multi(child: DataFrame, checks: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
-    """Several orphan checks on one child table in a single scan of it.
-
-    ``checks`` = [(check_name, child_key, parent_df, parent_key), ...]. The
-    child's keys are tagged with their check, exploded and de-duplicated in
-    one shuffle (map-side combined); parents are tagged the same way, and one
-    left join + aggregate yields every check's counts.
-    """
-    pairs = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(key).cast("string").alias("_k"))
-                      for name, key, _, _ in checks])
-    keys = child.select(F.explode(pairs).alias("p")).select("p.check_name", "p._k").distinct()
-    parents = union_all([
-        parent.select(F.lit(name).alias("check_name"), F.col(pkey).cast("string").alias("_k"))
-        .filter(F.col("_k").isNotNull())
-        for name, _, parent, pkey in checks]).distinct().withColumn("_seen", F.lit(True))
-    j = keys.join(parents, ["check_name", "_k"], "left")
-    return j.groupBy("check_name").agg(
-        F.count(F.col("_k")).alias("n_child_keys"),
-        F.count_if(F.col("_k").isNotNull() & F.col("_seen").isNull()).alias("n_orphan_keys"),
-        F.count_if(F.col("_k").isNull()).alias("n_null_keys"))
-
-
 def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

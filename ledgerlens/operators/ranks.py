@@ -12,7 +12,6 @@ with one row per partition, and each row adds its partition's offset.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,21 +45,12 @@ def _offsets(tagged: DataFrame, value: Column, name: str) -> DataFrame:
     return per_part.select(_PID, F.coalesce(F.sum(name).over(w), F.lit(0)).alias(_OFF))
 
 
-# Largest row count a single task may order by itself (checked, not assumed).
-SINGLE_TASK_ROWS = 1_000_000
-
-
 def global_row_number(df: DataFrame, order: Sequence, name: str = "rn",
-                      num_partitions: int | None = None, n_rows: int | None = None,
-                      single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                      num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (order by <order>)`` without an unbounded single task.
 
     ``order`` must end in a unique column so the numbering is deterministic.
-    When the caller has counted the rows (``n_rows``) and the count is within
-    ``single_task_rows``, a plain window is used; otherwise the range path.
     """
-    if n_rows is not None and n_rows <= single_task_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*_sort_cols(order))).cast("long"))
     tagged = _tag_positions(df, order, num_partitions)
     offs = _offsets(tagged, F.count(F.lit(1)), "_ll_n")
     # offs has one row per partition: a proven bound for broadcasting.
@@ -70,14 +60,8 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "rn",
 
 
 def global_running_sum(df: DataFrame, order: Sequence, value: str, name: str = "running",
-                       num_partitions: int | None = None, n_rows: int | None = None,
-                       single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """``sum(value) over (order by <order> rows unbounded preceding)``;
-    a plain window only when the counted ``n_rows`` is within the bound."""
-    if n_rows is not None and n_rows <= single_task_rows:
-        w = (Window.orderBy(*_sort_cols(order))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(name, F.sum(value).over(w))
+                       num_partitions: int | None = None) -> DataFrame:
+    """``sum(value) over (order by <order> rows unbounded preceding)``."""
     tagged = _tag_positions(df, order, num_partitions)
     offs = _offsets(tagged, F.sum(value), "_ll_s")
     w = (Window.partitionBy(_PID).orderBy(_POS)
@@ -87,132 +71,32 @@ def global_running_sum(df: DataFrame, order: Sequence, value: str, name: str = "
             .drop(_PID, _POS, _OFF))
 
 
-def _interpolate(picked: DataFrame, groups: list[str], value: str) -> DataFrame:
-    q = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.floor("h"))
-    return picked.select(*groups, "_ll_i", q.alias("_ll_q"))
-
-
-def _positions(n: Column, p: float) -> tuple[Column, Column, Column]:
-    h = (n - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(10,9)")
-    return h, (F.floor(h) + 1).cast("long"), (F.ceil(h) + 1).cast("long")
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], prefix: str = "q",
+                    groups: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas / ``percentile`` semantics), always double.
 
-
-def _full_rank_quantiles(base: DataFrame, groups: list[str], value: str, key: str | None,
-                         probs: Sequence[float]) -> DataFrame:
-    """Quantiles from a distributed rank of every row (the always-exact path)."""
-    order = groups + [value] + ([key] if key else [])
-    ranked = global_row_number(base, order, "_ll_rn")
-    # each group's first global rank is a distributed min over its rows
-    counts = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("_ll_cnt"),
-                                         (F.min("_ll_rn") - 1).alias("_ll_start"))
-    specs = []
-    for i, p in enumerate(probs):
-        h, lo, hi = _positions(F.col("_ll_cnt"), p)
-        specs.append(F.struct(F.lit(i).alias("i"), h.alias("h"), lo.alias("lo"), hi.alias("hi")))
-    pos = (counts.select(*groups, "_ll_start", F.explode(F.array(*specs)).alias("s"))
-           .select(*groups, "_ll_start", F.col("s.i").alias("_ll_i"), F.col("s.h").alias("h"),
-                   F.col("s.lo").alias("_lo"), F.col("s.hi").alias("_hi"))
-           .select(*groups, "_ll_i", "h",
-                   F.explode(F.array(F.col("_lo") + F.col("_ll_start"),
-                                     F.col("_hi") + F.col("_ll_start"))).alias("_ll_rn"))
-           .distinct())
-    picked = (ranked.join(pos, groups + ["_ll_rn"])
-              .groupBy(*groups, "_ll_i").agg(F.max("h").alias("h"),
-                                             F.min_by(value, "_ll_rn").alias("v_lo"),
-                                             F.max_by(value, "_ll_rn").alias("v_hi")))
-    return _interpolate(picked, groups, value)
-
-
-# Largest group whose exact value map may sit in one task (percentile aggregate).
-EXACT_MAP_ROWS = 2_000_000
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    key: str | None = None, prefix: str = "q",
-                    groups: Sequence[str] = (), accuracy: int = 10000,
-                    map_rows_limit: int = EXACT_MAP_ROWS) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas / ``percentile`` semantics).
-
-    Neither a single reducer holding every distinct value (``percentile``)
-    nor a sort of the whole column: a bounded ``percentile_approx`` sketch
-    brackets each wanted rank to within a few ``n/accuracy`` rows, only the
-    rows inside the bracket are ranked (distributed), and the rows below it
-    are counted. If any bracket misses its ranks (the sketch bound is
-    checked on scalars), every row is ranked instead.
-
-    Size check first: when every group has at most ``map_rows_limit`` values
-    the built-in exact ``percentile`` aggregate (one value map per group) is
-    used directly; the bracketed path is for groups beyond that bound.
-
-    Returns one row per group with columns ``{prefix}0``, ``{prefix}1``, ...
+    Values are counted first (map-side combined), so a hot value is one row;
+    the running count over the distinct values is spread over range partitions
+    at every size, and each wanted rank lies in the value whose running count
+    covers it. Returns one row per group with columns ``{prefix}0``, ``{prefix}1``, ...
     """
     groups = list(groups)
-    cols = groups + [value] + ([key] if key else [])
-    base = df.select(*cols).filter(F.col(value).isNotNull())
-    margin = 3.0 / accuracy
-    bounds = []
-    for p in probs:
-        bounds += [max(p - margin, 0.0), min(p + margin, 1.0)]
-    sizes = base.groupBy(*groups).count() if groups else base.agg(F.count(F.lit(1)).alias("count"))
-    largest = sizes.agg(F.max("count")).first()[0]
-    if largest is None or largest <= map_rows_limit:
-        exact = F.percentile(value, list(probs))
-        agg = (base.groupBy(*groups).agg(exact.alias("_ll_p")) if groups
-               else base.agg(exact.alias("_ll_p")))
-        return agg.select(*groups, *[F.col("_ll_p")[i].alias(f"{prefix}{i}")
-                                     for i in range(len(probs))])
-    # one row per group with a bounded sketch; materialised because both the
-    # tally and the bracket filter read it
-    stats = materialize(base.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_ll_cnt"),
-        F.percentile_approx(value, bounds, accuracy).alias("_ll_b")))
-    keyed = base.join(stats, groups) if groups else base.transform(with_row(stats))
-    pieces, below = [], []
-    for i, _ in enumerate(probs):
-        lo_v, hi_v = F.col("_ll_b")[2 * i], F.col("_ll_b")[2 * i + 1]
-        below.append(F.count_if(F.col(value) < lo_v).alias(f"_ll_below{i}"))
-        below.append(F.count_if((F.col(value) >= lo_v) & (F.col(value) <= hi_v)).alias(f"_ll_in{i}"))
-        pieces.append(F.when((F.col(value) >= lo_v) & (F.col(value) <= hi_v), F.lit(i)))
-    tally = keyed.groupBy(*groups).agg(F.first("_ll_cnt").alias("_ll_cnt"), *below)
-    checks = []
-    for i, p in enumerate(probs):
-        _, lo, hi = _positions(F.col("_ll_cnt"), p)
-        checks.append((F.col(f"_ll_below{i}") < lo) & (F.col(f"_ll_below{i}") + F.col(f"_ll_in{i}") >= hi))
-    ok_all = F.min(F.when(reduce(lambda a, b: a & b, checks), 1).otherwise(0))
-    tally = materialize(tally)  # one row per group; reused below
-    covered = tally.agg(ok_all.alias("ok")).first()["ok"]
-    if covered is None:  # no non-null values at all
-        out = _full_rank_quantiles(base, groups, value, key, probs)
-    elif covered == 1:
-        inside = (keyed.withColumn("_ll_i", F.explode(F.array_compact(F.array(*pieces))))
-                  .select(*cols, "_ll_i"))
-        order = groups + ["_ll_i", value] + ([key] if key else [])
-        n_inside = tally.agg(sum(F.sum(f"_ll_in{i}") for i in range(len(probs)))).first()[0]
-        ranked = global_row_number(inside, order, "_ll_rn", n_rows=n_inside)
-        # first global rank of each bracket: a distributed min, no single task
-        starts = ranked.groupBy(*groups, "_ll_i").agg((F.min("_ll_rn") - 1).alias("_ll_start"))
-        specs = []
-        for i, p in enumerate(probs):
-            h, lo, hi = _positions(F.col("_ll_cnt"), p)
-            b = F.col(f"_ll_below{i}")
-            specs.append(F.struct(F.lit(i).alias("i"), h.alias("h"),
-                                  (lo - b).alias("lo"), (hi - b).alias("hi")))
-        want = (tally.select(*groups, F.explode(F.array(*specs)).alias("s"))
-                .select(*groups, F.col("s.i").alias("_ll_i"), F.col("s.h").alias("h"),
-                        F.col("s.lo").alias("_lo"), F.col("s.hi").alias("_hi"))
-                .select(*groups, "_ll_i", "h", F.explode(F.array("_lo", "_hi")).alias("_ll_local"))
-                .distinct()
-                .join(starts, groups + ["_ll_i"])
-                .withColumn("_ll_rn", F.col("_ll_local") + F.col("_ll_start"))
-                .drop("_ll_local", "_ll_start"))
-        picked = (ranked.join(want, groups + ["_ll_i", "_ll_rn"])
-                  .groupBy(*groups, "_ll_i").agg(F.max("h").alias("h"),
-                                                 F.min_by(value, "_ll_rn").alias("v_lo"),
-                                                 F.max_by(value, "_ll_rn").alias("v_hi")))
-        out = _interpolate(picked, groups, value)
+    v, n, cum = F.col("_ll_v"), F.col("_ll_n"), F.col("_ll_cum")
+    counted = (df.select(*groups, F.col(value).cast("double").alias("_ll_v")).filter(v.isNotNull())
+               .groupBy(*groups, "_ll_v").agg(F.count(F.lit(1)).alias("_ll_n")))
+    run = global_running_sum(counted, groups + ["_ll_v"], "_ll_n", "_ll_cum")
+    sizes = (F.min(cum - n).alias("_ll_start"), F.sum(n).alias("_ll_cnt"))
+    if groups:
+        run = run.join(run.groupBy(*groups).agg(*sizes), groups)
     else:
-        out = _full_rank_quantiles(base, groups, value, key, probs)
-    final = [F.max(F.when(F.col("_ll_i") == i, F.col("_ll_q"))).alias(f"{prefix}{i}")
-             for i in range(len(probs))]
-    # without groups a global aggregate always yields exactly one row
-    return out.groupBy(*groups).agg(*final) if groups else out.agg(*final)
+        run = run.transform(with_row(run.agg(*sizes)))
+    picks, out = [], []
+    for i, p in enumerate(probs):
+        h = (F.col("_ll_cnt") - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(10,9)")
+        for side, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            rank = F.col("_ll_start") + at.cast("long") + 1
+            picks.append(F.max(F.when((cum - n < rank) & (rank <= cum), v)).alias(f"_ll_{side}{i}"))
+        picks.append(F.max((h - F.floor(h)).cast("double")).alias(f"_ll_part{i}"))
+        out.append((F.col(f"_ll_lo{i}") + (F.col(f"_ll_hi{i}") - F.col(f"_ll_lo{i}"))
+                    * F.col(f"_ll_part{i}")).alias(f"{prefix}{i}"))
+    return (run.groupBy(*groups).agg(*picks) if groups else run.agg(*picks)).select(*groups, *out)

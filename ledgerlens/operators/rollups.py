@@ -93,20 +93,11 @@ def bottom_k(df: DataFrame, metric: str, key: str | Sequence[str], k: int,
     return bottom.withColumn(rank_name, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
-def share_of_total(df: DataFrame, value: str, name: str, digits: int = 6) -> DataFrame:
-    """value / grand total * 100 via a scalar subquery (``df`` is
-    checkpointed first because it is read twice)."""
-    df = materialize(df)
-    total = df.agg(F.sum(value).alias("_ll_grand"))
-    return (df.transform(with_row(total))
-            .withColumn(name, pct(value, "_ll_grand", digits)).drop("_ll_grand"))
-
-
-def describe(df: DataFrame, value: str, prefix: str = "", key: str | None = None) -> DataFrame:
+def describe(df: DataFrame, value: str, prefix: str = "") -> DataFrame:
     """Eight-number ``describe()``: count, mean, std, min, 25/50/75 %, max.
 
-    Exact percentiles (not ``summary()``'s approximations) from the bracketed
-    distributed quantile operator; the mean is an exact decimal sum over the
+    Exact percentiles (not ``summary()``'s approximations) from the distributed
+    quantile operator; the mean is an exact decimal sum over the
     count.
     """
     from ledgerlens.operators.ranks import exact_quantiles
@@ -118,7 +109,7 @@ def describe(df: DataFrame, value: str, prefix: str = "", key: str | None = None
         round6(F.stddev_samp(v)).alias(f"{prefix}std"),
         F.min(v).cast("double").alias(f"{prefix}min"),
         F.max(v).cast("double").alias(f"{prefix}max"))
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], key=key, prefix="_ll_q")
+    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], prefix="_ll_q")
     return moments.transform(with_row(q)).select(  # one row each
         f"{prefix}count", f"{prefix}mean", f"{prefix}std", f"{prefix}min",
         round6("_ll_q0").alias(f"{prefix}p25"), round6("_ll_q1").alias(f"{prefix}p50"),

@@ -103,11 +103,12 @@ cu AS (SELECT c_custkey, min(c_acctbal) AS c_acctbal, min(c_mktsegment) AS c_mkt
 SELECT top.customer_key, recency, frequency, CAST(monetary AS DOUBLE) AS monetary,
        r_score, f_score, m_score, rfm_score, rfm_total, segment,
        CAST(vip_rank AS BIGINT) AS vip_rank, cu.c_acctbal, cu.c_mktsegment, cu.c_nationkey,
-       CASE WHEN c_acctbal > 0 AND c_acctbal <= 2500 THEN '0-2.5k'
-            WHEN c_acctbal > 2500 AND c_acctbal <= 3500 THEN '2.5k-3.5k'
-            WHEN c_acctbal > 3500 AND c_acctbal <= 4500 THEN '3.5k-4.5k'
-            WHEN c_acctbal > 4500 AND c_acctbal <= 5500 THEN '4.5k-5.5k'
-            WHEN c_acctbal > 5500 AND c_acctbal <= 10000 THEN '5.5k+' END AS age_group,
+       CASE WHEN c_acctbal > -1000 AND c_acctbal <= 0 THEN 'below 0'
+            WHEN c_acctbal > 0 AND c_acctbal <= 2000 THEN '0-2k'
+            WHEN c_acctbal > 2000 AND c_acctbal <= 4000 THEN '2k-4k'
+            WHEN c_acctbal > 4000 AND c_acctbal <= 6000 THEN '4k-6k'
+            WHEN c_acctbal > 6000 AND c_acctbal <= 8000 THEN '6k-8k'
+            WHEN c_acctbal > 8000 AND c_acctbal <= 10000 THEN '8k-10k' END AS age_group,
        CASE WHEN rfm_total >= 14 THEN 'Platinum' WHEN rfm_total >= 11 THEN 'Gold'
             WHEN rfm_total >= 8 THEN 'Silver' ELSE 'Bronze' END AS vip_tier
 FROM top LEFT JOIN cu ON cu.c_custkey = top.customer_key
@@ -162,9 +163,9 @@ FROM ret WHERE cohort_month IN (SELECT cohort_month FROM firsts) GROUP BY cohort
 """
 
 SQL["cohort_rate_means"] = _COHORT + """
-SELECT (SELECT round(avg(retention_pct), 6) FROM ret WHERE cohort_index = 2) AS avg_retention_idx2,
-       (SELECT round(avg(renewal_pct), 6) FROM renr WHERE cohort_index = 2) AS avg_renewal_idx2,
-       (SELECT round(avg(renewal_pct), 6) FROM renr WHERE cohort_index = 13) AS avg_renewal_idx13
+SELECT (SELECT round(avg(CAST(customers AS DOUBLE) / CAST(cohort_size AS DOUBLE) * 100), 6) FROM ret WHERE cohort_index = 2) AS avg_retention_idx2,
+       (SELECT round(avg(CAST(renewals AS DOUBLE) / CAST(cohort_size AS DOUBLE) * 100), 6) FROM renr WHERE cohort_index = 2) AS avg_renewal_idx2,
+       (SELECT round(avg(CAST(renewals AS DOUBLE) / CAST(cohort_size AS DOUBLE) * 100), 6) FROM renr WHERE cohort_index = 13) AS avg_renewal_idx13
 """
 
 _REV = """
@@ -294,7 +295,8 @@ def _case_bins(col: str, edges, labels, ordinal: bool = False) -> str:
     parts = []
     for i, (lo, hi, lab) in enumerate(zip(edges, edges[1:], labels), 1):
         val = str(i) if ordinal else f"'{lab}'"
-        parts.append(f"WHEN {col} > {lo} AND {col} <= {hi} THEN {val}")
+        top = "" if hi == float("inf") else f" AND {col} <= {hi}"
+        parts.append(f"WHEN {col} > {lo}{top} THEN {val}")
     return "CASE " + " ".join(parts) + " END"
 
 
@@ -446,13 +448,14 @@ emp AS (SELECT s_suppkey, min(s_nationkey) AS branch_key, min(nat.n_name) AS bra
         FROM supplier LEFT JOIN nat ON nat.n_nationkey = s_nationkey
         LEFT JOIN reg ON reg.r_regionkey = nat.n_regionkey
         WHERE s_suppkey IS NOT NULL GROUP BY s_suppkey),
-tot AS (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s, count(l_orderkey) AS c
+tot AS (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s, count(l_orderkey) AS c,
+               count(l_extendedprice) AS vals
         FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey),
 j AS (SELECT tot.*, emp.branch_key, emp.branch, emp.company FROM tot LEFT JOIN emp ON emp.s_suppkey = tot.l_suppkey)"""
 
 SQL["revenue_by_company"] = _EMP + """
 SELECT company, CAST(sum(s) AS DOUBLE) AS revenue, CAST(sum(c) AS BIGINT) AS n,
-       round(CAST(sum(s) AS DOUBLE) / CAST(sum(c) AS DOUBLE), 6) AS avg_revenue
+       round(CAST(sum(s) AS DOUBLE) / CAST(sum(vals) AS DOUBLE), 6) AS avg_revenue
 FROM j WHERE company IS NOT NULL GROUP BY company
 """
 
@@ -691,15 +694,10 @@ def _issues(name, source, cols):
 
 _CLEAN_ORDERS = ("(SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus IN (" + _NA + ") THEN NULL ELSE o_orderstatus END AS o_orderstatus, "
                  "o_totalprice, o_orderdate, CASE WHEN o_orderpriority IN (" + _NA + ") THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders)")
-_LINE_KEYS = "(SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem)"
-
-SQL["quality_issues"] = "\nUNION ALL\n".join([
-    _issues("customer", "customer", _COLUMNS["customer"]),
-    _issues("orders", _CLEAN_ORDERS, _COLUMNS["orders"]),
-    _issues("order_line_keys", _LINE_KEYS, ["l_orderkey", "l_partkey", "l_suppkey"]),
-    _issues("customer_segments", "(SELECT c_nationkey, c_mktsegment FROM customer)",
-            ["c_nationkey", "c_mktsegment"]),
-])
+SQL["quality_issues"] = "\nUNION ALL\n".join(
+    [_issues(t, _CLEAN_ORDERS if t == "orders" else t, cols) for t, cols in _COLUMNS.items()]
+    + [_issues("customer_segments", "(SELECT c_nationkey, c_mktsegment FROM customer)",
+               ["c_nationkey", "c_mktsegment"])])
 
 
 def _orphans(check, child, ck, parent, pk):
@@ -759,8 +757,7 @@ FROM p
 SQL["csv_roundtrip"] = "SELECT * FROM orders"
 
 SQL["cohort_matrix_csv"] = _COHORT + """
-SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_pct FROM ret)
-               ON cohort_index USING first(retention_pct) GROUP BY cohort_month)
+SELECT cohort_month, cohort_index, retention_pct FROM ret
 """
 
 SQL["vip_tier_counts"] = SQL["vip_list"].rstrip().rsplit("SELECT top.customer_key", 1)[0] + """
@@ -804,3 +801,117 @@ UNION ALL SELECT 'cohort_pivot', (SELECT count(DISTINCT cohort_month) FROM ret),
 UNION ALL SELECT 'renewal_rate_matrix', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
 UNION ALL SELECT 'renewal_pivot', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
 """
+
+SQL["line_counts_by_part_type"] = """
+WITH p AS (SELECT p_partkey, min(p_type) AS p_type FROM part WHERE p_partkey IS NOT NULL GROUP BY p_partkey)
+SELECT coalesce(p_type, 'Unknown') AS part_type, CAST(count(*) AS BIGINT) AS n_lines,
+       round(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM lineitem) AS DOUBLE) * 100, 6) AS pct
+FROM lineitem LEFT JOIN p ON p_partkey = l_partkey GROUP BY 1
+"""
+
+SQL["insured_totals"] = """
+SELECT count(*) AS n_lines, count(DISTINCT l_partkey) AS n_parts, count(DISTINCT l_orderkey) AS n_orders FROM lineitem
+"""
+
+SQL["top_parts_by_lines"] = """
+WITH g AS (SELECT l_partkey, count(*) AS n_lines FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY l_partkey),
+p AS (SELECT p_partkey, min(p_name) AS p_name FROM part WHERE p_partkey IS NOT NULL GROUP BY p_partkey),
+t AS (SELECT *, row_number() OVER (ORDER BY n_lines DESC, l_partkey) AS rank FROM g)
+SELECT rank, l_partkey, coalesce(p_name, 'Unknown') AS p_name, n_lines,
+       round(CAST(n_lines AS DOUBLE) / CAST((SELECT count(*) FROM lineitem) AS DOUBLE) * 100, 6) AS pct
+FROM t LEFT JOIN p ON p_partkey = l_partkey WHERE rank <= 15
+"""
+
+_PER_EMPLOYEE = """
+WITH per AS (
+  SELECT l_suppkey, coalesce(sum(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS rev, count(l_extendedprice) AS vals,
+         count(l_orderkey) AS n_contracts,
+         sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(6,4)))) AS net
+  FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey),
+t AS (SELECT *, row_number() OVER (ORDER BY rev DESC, l_suppkey) AS rank FROM per)"""
+
+SQL["employee_top10"] = _PER_EMPLOYEE + """
+SELECT rank, l_suppkey, CAST(rev AS DOUBLE) AS revenue, round(CAST(rev AS DOUBLE) / CAST(vals AS DOUBLE), 6) AS avg_revenue,
+       n_contracts FROM t WHERE rank <= 10
+"""
+
+SQL["employee_top20"] = _PER_EMPLOYEE + """,
+s AS (SELECT s_suppkey, min(s_name) AS s_name FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY s_suppkey)
+SELECT rank, l_suppkey, coalesce(s_name, 'Unknown') AS s_name, CAST(rev AS DOUBLE) AS revenue,
+       CAST(net AS DOUBLE) AS net_revenue, n_contracts
+FROM t LEFT JOIN s ON s_suppkey = l_suppkey WHERE rank <= 20
+"""
+
+SQL["employee_medians"] = _PER_EMPLOYEE + """
+SELECT count(*) AS n_employees, round(quantile_cont(CAST(rev AS DOUBLE), 0.5), 6) AS median_revenue,
+       round(avg(n_contracts), 6) AS avg_contracts FROM per
+"""
+
+SQL["balance_by_segment"] = """
+SELECT c_mktsegment, count(c_acctbal) AS n,
+       round(CAST(sum(CAST(c_acctbal AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(c_acctbal) AS DOUBLE), 6) AS avg_balance,
+       round(quantile_cont(c_acctbal, 0.5), 6) AS median_balance, round(stddev_samp(c_acctbal), 6) AS std_balance
+FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment
+"""
+
+SQL["quantity_describe"] = """
+SELECT count(l_quantity) AS count,
+       round(CAST(sum(CAST(l_quantity AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(l_quantity) AS DOUBLE), 6) AS mean,
+       round(stddev_samp(l_quantity), 6) AS std, CAST(min(l_quantity) AS DOUBLE) AS min,
+       round(quantile_cont(l_quantity, 0.25), 6) AS p25, round(quantile_cont(l_quantity, 0.5), 6) AS p50,
+       round(quantile_cont(l_quantity, 0.75), 6) AS p75, CAST(max(l_quantity) AS DOUBLE) AS max
+FROM lineitem
+"""
+
+
+def _kpi(key):
+    return f"""SELECT {key}, CAST(coalesce(sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)), 0) AS BIGINT) AS contracts,
+       CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))), 0) AS DOUBLE) AS revenue
+FROM events WHERE {key} IS NOT NULL GROUP BY {key}"""
+
+
+SQL["kpi_by_channel"] = _kpi("event_type")
+
+SQL["kpi_by_product"] = f"""
+WITH k AS ({_kpi("user_id")}),
+t AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, user_id) AS rank FROM k),
+p AS (SELECT p_partkey, min(p_name) AS p_name FROM part WHERE p_partkey IS NOT NULL GROUP BY p_partkey)
+SELECT rank, user_id, coalesce(p_name, 'Unknown') AS p_name, contracts, revenue
+FROM t LEFT JOIN p ON p_partkey = user_id WHERE rank <= 10
+"""
+
+SQL["executive_lists"] = _EMP + """,
+prod AS (SELECT l_partkey AS k, coalesce(sum(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS rev
+         FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1),
+pn AS (SELECT p_partkey, min(p_name) AS nm FROM part WHERE p_partkey IS NOT NULL GROUP BY 1),
+sn AS (SELECT s_suppkey, min(s_name) AS nm FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY 1),
+al AS (
+  SELECT 'products' AS list, row_number() OVER (ORDER BY rev DESC, k) AS rank, coalesce(nm, 'Unknown') AS name, rev
+  FROM prod LEFT JOIN pn ON p_partkey = k
+  UNION ALL
+  SELECT 'channels', row_number() OVER (ORDER BY sum(s) DESC, branch), branch, sum(s) FROM j WHERE branch IS NOT NULL GROUP BY branch
+  UNION ALL
+  SELECT 'employees', row_number() OVER (ORDER BY coalesce(s, 0) DESC, l_suppkey), coalesce(nm, 'Unknown'), coalesce(s, 0)
+  FROM tot LEFT JOIN sn ON s_suppkey = l_suppkey)
+SELECT list, rank, name, CAST(rev AS DOUBLE) AS revenue,
+       round(CAST(rev AS DOUBLE) / CAST((SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2))) FROM lineitem) AS DOUBLE) * 100, 6) AS pct
+FROM al WHERE rank <= 5
+"""
+
+SQL["executive_shares"] = _PER_EMPLOYEE + """
+SELECT 'segment_pct' AS figure, c_mktsegment AS name,
+       round(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM customer) AS DOUBLE) * 100, 6) AS value
+FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment
+UNION ALL
+SELECT 'avg_part_price', NULL, round(CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(p_retailprice) AS DOUBLE), 6) FROM part
+UNION ALL
+SELECT 'revenue_per_employee', NULL, round(CAST(sum(rev) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) FROM per
+UNION ALL
+SELECT 'top_tenth_employees_pct', NULL,
+       round(CAST(coalesce(sum(rev) FILTER (WHERE rank <= floor(0.1 * (SELECT count(*) FROM per))), 0) AS DOUBLE) / CAST(sum(rev) AS DOUBLE) * 100, 6) FROM t
+"""
+
+SQL["product_listing"] = """
+SELECT p_brand, count(p_partkey) AS n_products, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS types
+FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand
+"""

@@ -1,11 +1,10 @@
 """Cohort retention and renewal, kept in long form (cohort, index, value).
 
-* first order date per customer: aggregate + join (no window sort of all
-  orders; AQE can split a hot customer's partition in the join);
-* cells: one dedup aggregate on (cell, customer) with a renewal flag, then a
-  count per cell – retention and renewal share that single shuffle;
-* the cell tables hold at most months² rows, so everything after the
-  first two aggregates is tiny.
+* orders are first reduced to one row per (customer, month) with a renewal
+  flag, combined map-side, so that a hot customer is at most ``months`` rows;
+* the customer's first month is a window minimum over those few rows, in the
+  order the aggregate already has them; cells are then counted;
+* the cell tables hold at most months² rows, so everything after that is tiny.
 
 Matrix rules kept from the reference: retention cells exist only where
 someone ordered; the renewal matrix is re-indexed onto retention's cohorts
@@ -28,32 +27,27 @@ KEY = "customer_key"
 
 
 def cohort_orders(orders: DataFrame, key: str, date: str, flag: str) -> DataFrame:
-    o = (orders.select(F.col(key).alias(KEY), F.to_date(date).alias("order_date"),
-                       F.col(flag).alias("_flag"))
-         .filter(F.col("order_date").isNotNull() & F.col(KEY).isNotNull()))
-    first = o.groupBy(KEY).agg(F.min("order_date").alias("first_date"))
-    j = o.join(first, KEY)
-    return j.select(KEY, "_flag",
-                    F.date_format(month_start("first_date"), "yyyy-MM").alias("cohort_month"),
-                    month_index("order_date", "first_date").cast("long").alias("cohort_index"))
+    """Orders with a date and a customer, as (customer, month, flag)."""
+    o = orders.select(F.col(key).alias(KEY), F.to_date(date).alias("_date"), F.col(flag).alias("_flag"))
+    return (o.filter(F.col("_date").isNotNull() & F.col(KEY).isNotNull())
+            .select(KEY, month_start("_date").alias("_month"), "_flag"))
 
 
 def cohort_cells(co: DataFrame, renewal_value: str | None = None) -> DataFrame:
     """(cohort_month, cohort_index, customers, renewals, cohort_size) in one pass.
 
-    Orders are first reduced to one row per (cell, customer) carrying a
-    "renewed in this cell" flag (map-side combined), then counted per cell;
-    retention and renewal therefore share a single shuffle of the orders.
     The cohort size (the index-1 cell) comes from a window over the cell
-    table, which has at most months² rows.
+    table, which has at most months^2 rows.
     """
     # label match under the UNICODE collation: composed and decomposed
     # spellings of the same label (e.g. NFC vs NFD Vietnamese) are equal
     renewed = ((F.collate(F.col("_flag"), "UNICODE") == F.lit(renewal_value))
                if renewal_value is not None else F.lit(False))
-    per_customer = (co.groupBy("cohort_month", "cohort_index", KEY)
-                    .agg(F.max(F.coalesce(renewed, F.lit(False))).alias("_renewed")))
-    cells = (per_customer.groupBy("cohort_month", "cohort_index")
+    per_month = co.groupBy(KEY, "_month").agg(F.max(F.coalesce(renewed, F.lit(False))).alias("_renewed"))
+    first = F.min("_month").over(Window.partitionBy(KEY))  # months rows per customer at most
+    cells = (per_month.withColumn("_first", first)
+             .groupBy(F.date_format("_first", "yyyy-MM").alias("cohort_month"),
+                      month_index("_month", "_first").cast("long").alias("cohort_index"))
              .agg(F.count(F.lit(1)).alias("customers"), F.count_if("_renewed").alias("renewals")))
     w = Window.partitionBy("cohort_month")
     # at most months^2 rows, read several times (grid, sizes, rates): checkpoint
@@ -108,10 +102,10 @@ def matrix_corner(cells: DataFrame, value: str, n_cohorts: int = 10,
 def rate_means(ret: DataFrame, ren: DataFrame) -> DataFrame:
     """Mean retention at month index 2, mean renewal at index 2 and 13
     (missing cells skipped)."""
-    r = ret.agg(round6(F.avg(F.when(F.col("cohort_index") == 2, F.col("retention_pct"))))
-                .alias("avg_retention_idx2"))
-    n = ren.agg(round6(F.avg(F.when(F.col("cohort_index") == 2, F.col("renewal_pct"))))
-                .alias("avg_renewal_idx2"),
-                round6(F.avg(F.when(F.col("cohort_index") == 13, F.col("renewal_pct"))))
-                .alias("avg_renewal_idx13"))
+    def rate(index: int, part: str):  # not yet rounded
+        share = F.try_divide(F.col(part).cast("double"), F.col("cohort_size").cast("double")) * 100
+        return round6(F.avg(F.when(F.col("cohort_index") == index, share)))
+
+    r = ret.agg(rate(2, "customers").alias("avg_retention_idx2"))
+    n = ren.agg(rate(2, "renewals").alias("avg_renewal_idx2"), rate(13, "renewals").alias("avg_renewal_idx13"))
     return r.transform(with_row(n))  # one row each

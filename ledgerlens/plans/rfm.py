@@ -19,7 +19,7 @@ from ledgerlens.functions.bins import cut
 from ledgerlens.functions.exprs import money, qcut_rank_bin, round_half_even, mean_of_sum
 from ledgerlens.functions.rules import VIP_SEGMENTS, rfm_segment, vip_tier
 from ledgerlens.operators.lookup import lookup_small
-from ledgerlens.operators.ranks import SINGLE_TASK_ROWS, exact_quantiles, global_row_number
+from ledgerlens.operators.ranks import exact_quantiles, global_row_number
 from ledgerlens.operators.rollups import top_k
 from ledgerlens.session import materialize
 from ledgerlens.operators.scalars import with_row
@@ -54,8 +54,7 @@ def rfm_base(orders: DataFrame, key: str = "o_custkey", order_id: str = "o_order
             .select(KEY, "recency", "frequency", "monetary"))
 
 
-def rfm_scores(base: DataFrame, keep_ranks: bool = False,
-               single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def rfm_scores(base: DataFrame, keep_ranks: bool = False) -> DataFrame:
     """Add r/f/m scores (1..5), the 3-digit code, the total and the segment.
 
     * R: five quantile bins of raw recency, labels reversed (low recency = 5),
@@ -66,14 +65,11 @@ def rfm_scores(base: DataFrame, keep_ranks: bool = False,
     ranked rows, so the orders aggregate runs once. ``keep_ranks`` keeps
     ``_m_rn`` / ``_n`` for monetary quantiles without another sort.
     """
-    # the customer table feeds two ranks, the edges and the count: materialise
-    # it once, count it, and let the count pick the rank strategy
+    # range partitioning samples its input before it sorts it: materialise the
+    # customer table once for the first rank; the second reads the first's checkpoint
     base = materialize(base)
-    n = base.count()
-    ranked = global_row_number(base, ["frequency", KEY], "_f_rn", n_rows=n,
-                               single_task_rows=single_task_rows)
-    ranked = global_row_number(ranked, ["monetary", KEY], "_m_rn", n_rows=n,
-                               single_task_rows=single_task_rows)
+    ranked = global_row_number(base, ["frequency", KEY], "_f_rn")
+    ranked = global_row_number(ranked, ["monetary", KEY], "_m_rn")
     edges = ranked.agg(F.percentile("recency", R_PROBS).alias("_e"),
                        F.count(F.lit(1)).alias("_n"))
     e = F.col("_e")
@@ -149,7 +145,7 @@ def vip_list(scored: DataFrame, customers: DataFrame, customer_key: str,
         q = quantile_from_rank(scored, "monetary", "_m_rn", "_n", quantile, "_q0")
         scored = scored.drop("_m_rn", "_n")
     else:
-        q = exact_quantiles(scored, "monetary", [quantile], key=KEY, prefix="_q")
+        q = exact_quantiles(scored, "monetary", [quantile], prefix="_q")
     cand = (scored.transform(with_row(q))  # one-row scalar
             .filter(F.col("segment").isin(VIP_SEGMENTS) | (F.col("monetary") >= F.col("_q0")))
             .drop("_q0"))

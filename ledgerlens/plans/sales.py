@@ -47,12 +47,6 @@ def top_by_revenue(fact: DataFrame, key: str, value: str, count_col: str, k: int
     return named.select(key_name, "revenue", "n", name.alias("name"), "rank", "position")
 
 
-def revenue_by_group(fact: DataFrame, group: str, value: str, count_col: str) -> DataFrame:
-    """Group sum + mean + non-null count of a money column."""
-    return money_rollup(fact, [group], value, total="revenue", count="n",
-                        mean="avg_revenue", count_col=count_col)
-
-
 def with_share(df: DataFrame, value: str, name: str) -> DataFrame:
     df = materialize(df)  # read twice (rows and total)
     total = df.agg(F.sum(value).alias("_ll_t"))  # one row
@@ -66,8 +60,7 @@ def top_fraction_share(per_key: DataFrame, key: str, value: str, fraction: float
     Uses a distributed global rank instead of one sorted task.
     """
     per_key = materialize(per_key)
-    ranked = global_row_number(per_key, [F.col(value).desc(), F.col(key).asc()], "_ll_rank",
-                               n_rows=per_key.count())
+    ranked = global_row_number(per_key, [F.col(value).desc(), F.col(key).asc()], "_ll_rank")
     n = per_key.agg(F.count(F.lit(1)).alias("_ll_n"))
     k = n.select(F.floor(F.col("_ll_n") * F.lit(str(fraction)).cast("decimal(10,6)")).cast("long").alias("_ll_k"))
     top = (ranked.transform(with_row(k)).filter(F.col("_ll_rank") <= F.col("_ll_k"))
@@ -87,10 +80,11 @@ def employee_map(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> D
 
 
 def per_key_totals(fact: DataFrame, key: str, value: str, count_col: str) -> DataFrame:
-    """Partial rollup (sum as decimal, non-null count) to be re-aggregated
-    after a dimension join: the fact is reduced before it meets the map."""
+    """Partial rollup (sum as decimal, count of ``count_col``, count of values) to be
+    re-aggregated after a dimension join: the fact is reduced before it meets the map."""
     return (fact.filter(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.sum(money(value)).alias("_sum"), F.count(count_col).alias("_cnt")))
+            .agg(F.sum(money(value)).alias("_sum"), F.count(count_col).alias("_cnt"),
+                 F.count(value).alias("_vals")))
 
 
 def rollup_through_map(totals: DataFrame, key: str, mapping: DataFrame, map_key: str,
@@ -98,8 +92,8 @@ def rollup_through_map(totals: DataFrame, key: str, mapping: DataFrame, map_key:
     """Re-aggregate per-key totals to the mapped group (unmapped keys drop out)."""
     j = totals.join(mapping.withColumnRenamed(map_key, key), key, "left")
     g = (j.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias(name))
-         .agg(F.sum("_sum").alias("_sum"), F.sum("_cnt").alias("n"),
+         .agg(F.sum("_sum").alias("_sum"), F.sum("_cnt").alias("n"), F.sum("_vals").alias("_vals"),
               F.count(F.lit(1)).alias("n_keys")))
     return g.select(name, F.coalesce(F.col("_sum"), F.lit(0)).cast("double").alias("revenue"),
                     "n", "n_keys",
-                    round6(mean_of_sum("_sum", "n")).alias("avg_revenue"))
+                    round6(mean_of_sum("_sum", "_vals")).alias("avg_revenue"))

@@ -46,8 +46,8 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, honouring the cluster's setting.
 
-    ``spark.checkpoint.dir`` names a shared folder on a cluster; it is only
-    set here when the session has none (local tests).
+    ``spark.checkpoint.dir`` names a shared folder on a cluster; without it a
+    local master gets a temporary folder and any other master an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")  # one machine holds all
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

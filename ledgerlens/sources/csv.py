@@ -51,10 +51,18 @@ def _convert(c: str, dtype: T.DataType):
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
-                   tokens: Sequence[str] = PANDAS_NA_TOKENS) -> DataFrame:
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.schema(text_schema).option("header", True)
-           .option("nullValue", None).option("emptyValue", "").csv(path))
+                   tokens: Sequence[str] = PANDAS_NA_TOKENS, multi_line: bool = False) -> DataFrame:
+    """Read CSV with a header as pandas does, typed by ``schema``.
+
+    Columns are matched by their name in the header, whatever their order; a
+    column that the header lacks is null, one that the schema lacks is dropped.
+    Quotes inside quoted text are doubled. ``multi_line`` allows line breaks in
+    quoted text; such a file cannot be split, so it is off unless asked for.
+    """
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multi_line)
+           .option("quote", '"').option("escape", '"').option("nullValue", None).option("emptyValue", "").csv(path))
+    raw = raw.select(*[F.col(f"`{f.name}`").cast("string") if f.name in raw.columns
+                       else F.lit(None).cast("string").alias(f.name) for f in schema.fields])
     # tokens only need replacing in text targets: every other target is
     # converted with a try_ cast, which already turns them into null
     text_cols = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]

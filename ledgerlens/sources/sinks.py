@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header; quotes inside quoted text are doubled."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return path
 
 

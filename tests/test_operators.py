@@ -44,10 +44,7 @@ def test_exact_quantiles_match_numpy(spark, n):
     vals = [rnd.randint(0, 50) for _ in range(n)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "k long, v long")
     probs = [0.2, 0.5, 0.95]
-    row = exact_quantiles(df, "v", probs, key="k", map_rows_limit=0).first()
-    small = exact_quantiles(df, "v", probs, key="k").first()
-    for i in range(len(probs)):
-        assert float(small[f"q{i}"]) == pytest.approx(float(row[f"q{i}"]), abs=1e-9)
+    row = exact_quantiles(df, "v", probs).first()
     for i, p in enumerate(probs):
         assert float(row[f"q{i}"]) == pytest.approx(float(np.quantile(vals, p)), abs=1e-9)
 
@@ -118,34 +115,42 @@ def test_last_non_null(spark):
     assert got == {1: "B", 2: None}
 
 
-@pytest.mark.parametrize("accuracy", [10000, 20])
-def test_exact_quantiles_grouped_with_ties(spark, accuracy):
-    # accuracy=20 makes the sketch coarse, exercising both the bracket path
-    # and the full-rank fallback
-    rnd = random.Random(accuracy)
+def test_exact_quantiles_of_decimals_are_double_and_hot_values_one_row(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(7)
+                                  .cast("decimal(18,2)").alias("v"))
+    got = exact_quantiles(df, "v", [0.5, 0.95])
+    assert [t for _, t in got.dtypes] == ["double", "double"]
+    vals = [float(r.v) for r in df.collect()]
+    assert list(got.first()) == [pytest.approx(float(np.quantile(vals, p)), abs=1e-9) for p in (0.5, 0.95)]
+
+
+@pytest.mark.parametrize("seed", [10000, 20])
+def test_exact_quantiles_grouped_with_ties(spark, seed):
+    rnd = random.Random(seed)
     data = [(g, i, rnd.choice([1.0, 2.0, 2.0, 3.5, float(rnd.randint(0, 400))]))
             for g in range(4) for i in range(rnd.randint(1, 400))]
     df = spark.createDataFrame(data, "g long, k long, v double")
     probs = [0.25, 0.5, 0.95]
-    got = {r.g: r for r in exact_quantiles(df, "v", probs, key="k", groups=["g"],
-                                           accuracy=accuracy, map_rows_limit=0).collect()}
+    got = {r.g: r for r in exact_quantiles(df, "v", probs, groups=["g"]).collect()}
     pdf = pd.DataFrame(data, columns=["g", "k", "v"])
     for g, part in pdf.groupby("g"):
         for i, p in enumerate(probs):
             assert float(got[g][f"q{i}"]) == pytest.approx(float(part.v.quantile(p)), abs=1e-9)
 
 
-def test_orphan_keys_multi_equals_single_checks(spark):
-    child = spark.createDataFrame([(1, 10), (1, 11), (9, None), (None, 10)], "a long, b long")
-    pa = spark.createDataFrame([(1,), (2,)], "p long")
-    pb = spark.createDataFrame([(10,)], "p long")
-    multi = {r.check_name: (r.n_child_keys, r.n_orphan_keys, r.n_null_keys) for r in
-             prof.orphan_keys_multi(child, [("a", "a", pa, "p"), ("b", "b", pb, "p")]).collect()}
-    single = {}
-    for name, key, parent in [("a", "a", pa), ("b", "b", pb)]:
-        r = prof.orphan_keys(name, child, key, parent, "p").first()
-        single[name] = (r.n_child_keys, r.n_orphan_keys, r.n_null_keys)
-    assert multi == single == {"a": (2, 1, 1), "b": (2, 1, 1)}
+def test_orphan_keys_compare_in_their_own_types(spark):
+    child = spark.createDataFrame([(1.0,), (9.0,), (None,)], "a double")
+    parent = spark.createDataFrame([(1,), (2,)], "p long")
+    r = prof.orphan_keys("a", child, "a", parent, "p").first()
+    assert (r.n_child_keys, r.n_orphan_keys, r.n_null_keys) == (2, 1, 1)
+    none = prof.orphan_keys("a", child.limit(0), "a", parent, "p").collect()
+    assert [tuple(x) for x in none] == [("a", 0, 0, 0)]
+
+
+def test_absent_tables_and_duplicates_are_profiled(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "x"), (1, None)], "k long, s string")
+    got = {r.table_name: tuple(r)[1:] for r in prof.table_profile({"t": df}, ["u"]).collect()}
+    assert got == {"t": (4, 2, 3, 2), "u": (None, None, None, None)}
 
 
 def test_range_path_has_no_row_level_single_task_window(spark):
@@ -153,8 +158,6 @@ def test_range_path_has_no_row_level_single_task_window(spark):
     ranked = global_row_number(df, ["v", "id"], "rn")
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "row_number()" not in plan
-    small = global_row_number(df, ["v", "id"], "rn", n_rows=2000)
-    assert "row_number()" in small._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hot_key_is_split_across_range_partitions(spark):

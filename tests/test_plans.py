@@ -1,9 +1,11 @@
 """Analyses on small fixtures and invariants on the driver tables."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.catalog import QUERIES
+from ledgerlens.functions.exprs import qcut_rank_bin
 from ledgerlens.plans import cohort, pareto, rfm
 
 SF = "/root/testdata/sf0.001"
@@ -101,12 +103,30 @@ def test_plans_prune_push_and_take_ordered(spark):
     assert "partial_sum" in p
 
 
-def test_rfm_range_path_equals_single_task_path(spark):
+def test_rfm_ranks_equal_a_single_window(spark):
     base = rfm.rfm_base(spark.read.parquet(f"{SF}/orders.parquet"))
-    cols = ["customer_key", "r_score", "f_score", "m_score", "segment"]
-    small = {tuple(r) for r in rfm.rfm_scores(base).select(*cols).collect()}
-    large = {tuple(r) for r in rfm.rfm_scores(base, single_task_rows=0).select(*cols).collect()}
-    assert small == large and len(small) > 0
+    got = {r.customer_key: (r.f_score, r.m_score) for r in rfm.rfm_scores(base).collect()}
+    n = base.count()
+    one = base.select("customer_key", *[
+        qcut_rank_bin(F.row_number().over(Window.orderBy(m, "customer_key")), F.lit(n)).alias(m)
+        for m in ("frequency", "monetary")])
+    assert got == {r.customer_key: (r.frequency, r.monetary) for r in one.collect()} and n > 0
+
+
+def test_hot_customer_is_reduced_before_any_window(spark):
+    rows = [(i, 1 if i % 2 else i, f"2024-{1 + i % 12:02d}-05", 1.0, "N") for i in range(2000)]
+    co = cohort.cohort_orders(_orders(spark, rows), "o_custkey", "o_orderdate", "o_orderstatus")
+    cells = cohort.cohort_cells(co)
+    assert cells.agg(F.sum("customers")).first()[0] == len({(c, d[:7]) for _, c, d, *_ in rows})
+
+
+def test_mean_divides_by_non_null_values(spark):
+    from ledgerlens.plans import sales
+    fact = spark.createDataFrame([(1, 10.0, 7), (1, None, 8), (1, 20.0, 9)], "k long, v double, o long")
+    totals = sales.per_key_totals(fact, "k", "v", "o")
+    m = spark.createDataFrame([(1, "g")], "id long, grp string")
+    r = sales.rollup_through_map(totals, "k", m, "id", "grp", "name").first()
+    assert (r.avg_revenue, r.n, r.revenue) == (15.0, 3, 30.0)
 
 
 def test_renewal_label_matches_nfc_and_nfd(spark):

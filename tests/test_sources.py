@@ -25,3 +25,17 @@ def test_matrix_sink_round_trip(spark):
     back = {r["cohort_month"]: (r["1"], r["2"]) for r in
             spark.read.schema(schema).option("header", True).csv(path).collect()}
     assert back == {"2024-01": (100.0, 50.0), "2024-02": (100.0, None)}
+
+
+def test_csv_reads_as_pandas_does(spark, tmp_path):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from ledgerlens.sources.csv import read_csv_typed
+    (tmp_path / "x.csv").write_text('name,id,v\n"a ""q"", b",1,2.5\n"two\nlines",2,\nNA,3,x\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                           T.StructField("v", T.DoubleType()), T.StructField("gone", T.StringType())])
+    got = [tuple(r) for r in read_csv_typed(spark, str(tmp_path / "x.csv"), schema, multi_line=True).orderBy("id").collect()]
+    pdf = pd.read_csv(tmp_path / "x.csv")
+    names = [None if pd.isna(x) else x for x in pdf["name"]]
+    assert got == [(1, names[0], 2.5, None), (2, names[1], None, None), (3, None, None, None)]
