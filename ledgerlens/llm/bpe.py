@@ -57,12 +57,7 @@ class TokenAutomaton:
     """The automaton of a BPE merge list over symbols (strings)."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str) -> None:
-        self.vocab, self.suffix = vocab, suffix
-        self.reach: dict[str, int] = {}  # first symbols: those of the longest token that begins so
-        for t in vocab:
-            t = t.removesuffix(suffix)
-            if len(t) >= HEAD:
-                self.reach[t[:HEAD]] = max(len(t), self.reach.get(t[:HEAD], 0))
+        self.vocab, self.suffix = dict(vocab), suffix
         n = max(vocab.values(), default=0) + 1
         self.target = [0] * n        # state that the arcs of a token lead to
         self.parent = [0]            # of a state: the state it was copied from,
@@ -71,10 +66,19 @@ class TokenAutomaton:
         self.first = [-1] * n        # the first part of a token, and the merge that built it
         self.built = [-1] * n
         for k, (u, v) in enumerate(merges):
-            self._gadget(k, vocab[u], vocab[v], vocab[u + v])
+            if not self._gadget(k, vocab[u], vocab[v], vocab[u + v]):
+                del self.vocab[u + v]
         self.table: dict[int, bool] = {}
+        self.reach: dict[str, int] = {}  # first symbols: those of the longest token that begins so
+        for t in self.vocab:
+            t = t.removesuffix(suffix)
+            if len(t) >= HEAD:
+                self.reach[t[:HEAD]] = max(len(t), self.reach.get(t[:HEAD], 0))
 
-    def _gadget(self, k: int, u: int, v: int, w: int) -> None:
+    def _gadget(self, k: int, u: int, v: int, w: int) -> bool:
+        """Apply merge number k; False if no v-arc follows a u-arc, so that w never comes about."""
+        if not self.has_arc(self.target[u], v):
+            return False
         led = self.target[v]  # where v led before, also when u and v are the same token
         self.parent.append(self.target[u])
         self.forbids.append(v)
@@ -82,6 +86,7 @@ class TokenAutomaton:
         self.target[u] = len(self.parent) - 1
         self.target[w] = led
         self.first[w], self.built[w] = u, k
+        return True
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether the state has an arc with the token (by its chain of copies)."""

@@ -107,7 +107,8 @@ def test_sparse_sites_stay_near_their_parent(spark):
     got = {r._host: r for r in quality_classifier.site_posteriors(found, 0.5).collect()}
     assert got["big"].path_posterior > 0.85 and got["bad"].path_posterior < 0.1
     share = sum(1 / (1 + np.exp(-r[3])) for r in rows) / len(rows)
-    assert abs(got["tiny"].path_posterior - share) < abs(got["tiny"].path_posterior - 0.018)
+    # one document of 0.018 says little: its site is drawn a fourth of the way to the whole share at least
+    assert 0.018 + (share - 0.018) / 4 < got["tiny"].path_posterior < share
 
 
 def test_quality_without_labels_or_rows(spark):
