@@ -15,9 +15,10 @@ fewer words than a shingle has them all as one). Two documents are linked if
    linked pair plausibly would, go; the rest is verified on the full shingle sets.
 4. Verified links are joined into components: union-find inside each task leaves a
    forest, and rounds of hooking to the smallest neighbour finish it.
-5. Buckets in which documents of different components remain are compared block by
-   block, only across components, until every candidate pair is linked, tested or in
-   one component; then step 4 again. No bucket is capped.
+5. Buckets in which documents of different components remain are compared across
+   components, large ones block by block with the sets at hand, so that a task
+   returns links and no candidate pairs. Every pair that shares a band is then
+   linked, tested or in one component, and step 4 runs again. No bucket is capped.
 
 Only hashes, ids and the sets of candidate documents are shuffled. Which documents
 are candidates is told to the scan of the texts by a Bloom filter of bounded size;
@@ -49,8 +50,8 @@ BAND_ROWS = 6
 #: similarity 0.8 has 192 of 240 with a deviation of 6.2; 0.62 is 149)
 LEAST_AGREEMENT = 0.62
 BLOOM_BITS = (1 << 20, 1 << 26)
-#: documents of a bucket that are compared with each other in one group
-BLOCK = 256
+#: shingles of the documents of one block of a bucket (on average)
+BLOCK_SHINGLES = 200_000
 #: buckets up to this size are compared by a plain self-join
 SMALL_BUCKET = 16
 _BLOOM_SEEDS = (101, 102)
@@ -286,17 +287,37 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
 
 
-def _blocks_task(slots: int, least: float):
-    """Pairs of one block pair of a bucket that lie in different components and agree enough."""
+def _blocks_task(percent: int, least: float):
+    """Links between different components inside one pair of blocks of a bucket.
+
+    A pair is looked at only in the first bucket that both documents share, and
+    its full sets are compared if the signatures agree enough.
+    """
     def run(table: pa.Table) -> pa.Table:
+        def wide(name: str, kind) -> np.ndarray:
+            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind).reshape(table.num_rows, -1)
+
         node, comp, part = (table.column(c).to_numpy() for c in ("node", "comp", "part"))
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, slots)
-        low, high = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        sig = wide("sig", np.uint8)
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        key, low, high = (table.column(c)[0].as_py() for c in ("key", "i", "j"))
         left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        here = int(np.flatnonzero(bands[0] == key)[0])
         out_a, out_b = [], []
         for x in left.tolist():
             other = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if low == high else True)]
-            other = other[(sig[other] == sig[x]).sum(axis=1) >= least * slots]
+            other = other[100 * np.minimum(size[other], size[x]) >= percent * np.maximum(size[other], size[x])]
+            other = other[(sig[other] == sig[x]).sum(axis=1) >= least * sig.shape[1]]
+            other = other[(bands[other, :here] != bands[x, :here]).all(axis=1)]
+            if not len(other):
+                continue
+            values = np.concatenate([sets[i] for i in other.tolist()])
+            at = np.searchsorted(sets[x], values).clip(max=size[x] - 1)
+            common = np.bincount(np.repeat(np.arange(len(other)), size[other]),
+                                 weights=sets[x][at] == values, minlength=len(other)).astype(np.int64)
+            other = other[100 * common >= percent * (size[x] + size[other] - common)]
             out_a += [int(node[x])] * len(other)
             out_b += node[other].tolist()
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
@@ -326,41 +347,45 @@ class NearDuplicates:
                 .where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
                 .select("a", "b", "sig_a", "sig_b").mapInArrow(_agree_task(SLOTS, LEAST_AGREEMENT), "a long, b long"))
 
+    def _sets(self, ids: DataFrame) -> DataFrame:
+        """(doc_id, shingles) of the wanted documents."""
+        return written(_candidate_sets(self.docs, ids, self.shingle).join(ids, "doc_id", "left_semi")
+                       .dropDuplicates(["doc_id"]), "shingles")
+
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs that the full shingle sets confirm."""
-        ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-        sets = written(_candidate_sets(self.docs, ids, self.shingle).join(ids, "doc_id", "left_semi")
-                       .dropDuplicates(["doc_id"]), "shingles")
+        sets = self._sets(written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted"))
         return written(
             pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
             .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
             .select("a", "b", "set_a", "set_b").mapInArrow(_verify_task(self.percent), "a long, b long"), "linked")
 
     def _across(self, entries: DataFrame, joined: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Agreeing pairs of one bucket but of different components (hub pairs are tested already)."""
+        """Links inside buckets between different components (hub pairs are tested already)."""
         held = written(entries.join(joined, "node", "left")
-                       .select("key", "hub", "node", F.coalesce("component", "node").alias("comp")), "held")
-        mixed = written(held.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("c0"),
-                                                F.max("comp").alias("c1"))
-                        .where("c0 <> c1 and size > 2").select("key", "size"), "mixed")
-        held = written(held.where("node <> hub").join(mixed, "key").select("key", "node", "comp", "size"), "held")
+                       .select("key", "hub", "node", "n", F.coalesce("component", "node").alias("comp")), "held")
+        mixed = written(held.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"),
+                                                F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                        .where("c0 <> c1 and size > 2").select("key", "size", "shingles"), "mixed")
+        held = written(held.where("node <> hub").join(mixed, "key").select("key", "node", "comp", "size", "shingles"), "held")
         small = held.where(F.col("size") <= SMALL_BUCKET).select("key", "node", "comp")
         pairs = (small.select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
                  .join(small.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b")), "key")
                  .where("a < b and comp_a <> comp_b").select("a", "b").distinct())
-        pairs = self._agreeing(pairs, nodes)
+        links = self._verified(written(self._agreeing(pairs, nodes), "near"))
         large = held.where(F.col("size") > SMALL_BUCKET)
         if large.isEmpty():
-            return pairs
-        parts = F.ceil(F.col("size") / BLOCK).cast("int")
-        part = F.pmod(F.xxhash64("node"), parts).cast("int")
-        cells = (large.withColumn("part", part)
+            return links
+        ids = written(large.select(F.col("node").alias("doc_id")).distinct(), "wanted")
+        sets = self._sets(ids).withColumnRenamed("doc_id", "node")
+        parts = F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")
+        cells = (large.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
                  .withColumn("x", F.explode(F.sequence(F.lit(0), parts - 1)))
                  .select("key", "node", "comp", "part", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"))
-                 .join(nodes.select("node", "sig"), "node"))
-        wide = (cells.groupBy("key", "i", "j").applyInArrow(_blocks_task(SLOTS, LEAST_AGREEMENT), "a long, b long")
+                 .join(nodes.select("node", "sig", "bands"), "node").join(sets, "node"))
+        wide = (cells.groupBy("key", "i", "j").applyInArrow(_blocks_task(self.percent, LEAST_AGREEMENT), "a long, b long")
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        return pairs.union(wide).distinct()
+        return written(links.union(wide).distinct(), "linked")
 
     def groups(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) of every row."""
@@ -368,7 +393,7 @@ class NearDuplicates:
         nodes = written(self.sketch.where("n > 0").join(same.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
                         .dropDuplicates(["doc_id"])
                         .select(F.col("doc_id").alias("node"), "n", "sig", "bands"), "nodes")
-        entries = nodes.select("node", F.explode("bands").alias("key"))
+        entries = nodes.select("node", "n", F.explode("bands").alias("key"))
         hubs = written(entries.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size"))
                        .where("size > 1").select("key", "hub"), "hubs")
         entries = written(entries.join(hubs, "key"), "entries")
@@ -376,11 +401,9 @@ class NearDuplicates:
             F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), nodes), "near")
         links = self._verified(near)
         joined = written(components(links), "joined")
-        more = written(self._across(entries, joined, nodes), "near")
-        if not more.isEmpty():
-            extra = self._verified(more)
-            if not extra.isEmpty():
-                joined = written(components(links.union(extra)), "joined")
+        extra = self._across(entries, joined, nodes)
+        if not extra.isEmpty():
+            joined = written(components(links.union(extra)), "joined")
         sets = same.join(joined, "node", "left").select(
             "f1", "f2", "n", F.coalesce("component", "node").alias("component_id"))
         sets = written(sets, "set-components")

@@ -76,7 +76,7 @@ def test_odd_texts_and_copies(spark):
 def test_large_bucket_with_several_components_is_compared_in_blocks(spark, monkeypatch):
     # chains of near copies: neighbours are linked, the ends are not like the hub
     monkeypatch.setattr(minhash, "SMALL_BUCKET", 2)
-    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(words[3 * i:3 * i + 60])) for i in range(40)]
     assert {i: x[:2] for i, x in found(spark, rows, 2).items()} == brute(rows, 2)
