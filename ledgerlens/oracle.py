@@ -246,7 +246,7 @@ fa AS (
   FROM facts GROUP BY customer_key),
 dc AS (
   SELECT o_custkey AS customer_key, count(DISTINCT l_partkey) AS n_products,
-         count(DISTINCT l_suppkey) AS n_channels
+         count(DISTINCT l_suppkey) AS n_channels, count(DISTINCT l_suppkey) AS n_employees
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey),
 gl AS (SELECT max(CAST(o_orderdate AS DATE)) AS gl FROM orders),
 ft0 AS (
@@ -255,7 +255,7 @@ ft0 AS (
          cu.c_name, cu.c_nationkey, cu.c_acctbal, cu.c_mktsegment,
          fa.order_count, fa.margin_sum, fa.margin_mean, fa.margin_std, fa.volume_sum, fa.volume_mean,
          fa.first_order_date, fa.last_order_date, fa.duration_mean, fa.last_company,
-         dc.n_products, dc.n_channels,
+         dc.n_products, dc.n_channels, dc.n_employees,
          CAST(date_diff('day', fa.first_order_date, fa.last_order_date) AS BIGINT) AS customer_tenure_days,
          CAST(date_diff('day', fa.first_order_date, (SELECT gl FROM gl)) AS BIGINT) AS days_since_first_order,
          recency AS days_since_last_order
@@ -269,7 +269,7 @@ ft AS (
          coalesce(margin_mean, 0) AS margin_mean, coalesce(margin_std, 0) AS margin_std,
          coalesce(volume_sum, 0) AS volume_sum, coalesce(volume_mean, 0) AS volume_mean,
          first_order_date, last_order_date, coalesce(duration_mean, 0) AS duration_mean, last_company,
-         coalesce(n_products, 0) AS n_products, coalesce(n_channels, 0) AS n_channels,
+         coalesce(n_products, 0) AS n_products, coalesce(n_channels, 0) AS n_channels, coalesce(n_employees, 0) AS n_employees,
          coalesce(customer_tenure_days, 0) AS customer_tenure_days,
          coalesce(days_since_first_order, 0) AS days_since_first_order, days_since_last_order
   FROM ft0)"""
@@ -279,7 +279,7 @@ SELECT * FROM ft
 """
 
 SQL["feature_summary"] = _FEATURES + """
-SELECT count(*) AS n_customers, CAST(29 AS BIGINT) AS n_features,
+SELECT count(*) AS n_customers, CAST(30 AS BIGINT) AS n_features,
        round(avg(order_count), 6) AS avg_orders, round(avg(customer_tenure_days), 6) AS avg_tenure_days,
        round(avg(n_products), 6) AS avg_products,
        min(recency) AS min_recency, max(recency) AS max_recency, round(avg(recency), 6) AS mean_recency,
@@ -795,7 +795,7 @@ UNION ALL SELECT 'vip_customers', (SELECT least(count(*), 100) FROM rfm CROSS JO
     WHERE segment IN ('Champions', 'Loyal Customers', 'Potential Loyalists') OR CAST(monetary AS DOUBLE) >= q95), 16
 UNION ALL SELECT 'pareto_analysis', (SELECT least(count(DISTINCT o_custkey), 20) FROM orders WHERE o_custkey IS NOT NULL), 4
 UNION ALL SELECT 'volume_margin_scatter', (SELECT count(*) FROM vm), 10
-UNION ALL SELECT 'feature_table', (SELECT count(*) FROM ft), 29
+UNION ALL SELECT 'feature_table', (SELECT count(*) FROM ft), 30
 UNION ALL SELECT 'cohort_retention_matrix', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
 UNION ALL SELECT 'cohort_pivot', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
 UNION ALL SELECT 'renewal_rate_matrix', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)

@@ -78,7 +78,7 @@ def volume_margin_by_tier(vm: DataFrame, tier: str) -> DataFrame:
 
 def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> DataFrame:
     """The wide per-customer aggregate (count, sum/mean/std, min/max dates,
-    mean duration, last company, distinct products / channels).
+    mean duration, last company, distinct products / channels / employees).
 
     The string-valued "last company" makes this a sort-based aggregate
     (hash aggregation needs fixed-width buffers); it still combines map-side.
@@ -95,7 +95,9 @@ def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> Data
         last_non_null("company", "order_date", "_order").alias("last_company"))
     distinct = lines_with_customer.groupBy(KEY).agg(
         F.countDistinct("product").alias("n_products"),
-        F.countDistinct("channel").alias("n_channels"))
+        F.countDistinct("channel").alias("n_channels"),
+        # employee and detail channel are the same column here: one distinct group
+        F.countDistinct("channel").alias("n_employees"))
     per_order = per_order.select(
         KEY, "order_count",
         F.col("_margin_sum").cast("double").alias("margin_sum"),
