@@ -31,71 +31,76 @@ THRESHOLD = -0.25
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PCT = 30
-_SEPARATORS = " \t\n\x0b\f\r"
-_SYMBOLS = "#*$%&|<>"
+_LLR_UNIT = 1_000_000
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def _count_chars(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _tail(array: Column, start: int) -> Column:
+    return F.slice(array, start, F.greatest(F.size(array), F.lit(1)))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words to (doc_id, text).
+    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words to the columns of ``docs``.
 
-    Positions of equal windows are found by sorting (hash, position) pairs of one
-    document, and only where some hash occurs twice.
+    Hashes of 8-word windows are made from those of 4, 2 and 1 words. Positions of
+    equal windows are found by sorting (hash, position) pairs of one document, and
+    only where some hash occurs twice.
     """
+    own = docs.columns
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, _SEPARATORS, "")) > 0)
-    step1 = docs.select(
-        "doc_id", "text", _words(text).alias("_words"), lines.alias("_lines"),
-        (F.length(text) - _count_chars(text, _SEPARATORS)).cast("long").alias("word_chars"),
-        _count_chars(text, _SYMBOLS).cast("long").alias("n_symbols"))
-    n_windows = F.size("_words") - (WINDOW - 1)
-    hashes = F.when(n_windows > 1, F.transform(
-        F.sequence(F.lit(1), F.greatest(n_windows, F.lit(1))),
-        lambda i: F.xxhash64(F.slice(F.col("_words"), i, WINDOW))))
-    step2 = step1.select(
-        "doc_id", "text", "word_chars", "n_symbols", F.size("_words").cast("long").alias("n_words"),
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    both = lambda a, b: F.xxhash64(a, b)
+    step = docs.select(
+        *own, _words(text).alias("_words"), lines.alias("_lines"),
+        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"))
+    step = step.select(
+        *own, "n_symbols", F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        hashes.alias("_hashes"))
-    step3 = step2.withColumn("_sorted", F.when(
-        F.size(F.array_distinct("_hashes")) < F.size("_hashes"),
-        F.array_sort(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))))
-    pairs = F.zip_with("_sorted", F.slice("_sorted", 2, F.greatest(F.size("_sorted"), F.lit(1))),
+        F.when(F.size("_words") > WINDOW, F.transform("_words", lambda w: F.xxhash64(w))).alias("_h"))
+    kept = [*own, "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    for width in (1, 2, 4):
+        step = step.select(*kept, F.zip_with("_h", _tail(F.col("_h"), width + 1), both).alias("_h"))
+    step = step.select(*kept, F.slice("_h", 1, F.greatest(F.size("_h") - (WINDOW - 1), F.lit(1))).alias("_h"))
+    step = step.select(*kept, F.when(
+        F.size(F.array_distinct("_h")) < F.size("_h"),
+        F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))).alias("_sorted"))
+    pairs = F.zip_with("_sorted", _tail(F.col("_sorted"), 2),
                        lambda a, b: F.when(a["h"] == b["h"], F.array(a["at"], b["at"])))
-    step4 = step3.withColumn("_at", F.array_sort(F.array_distinct(F.flatten(
-        F.filter(pairs, lambda x: x.isNotNull())))))
+    step = step.select(*kept, F.array_sort(F.array_distinct(F.flatten(
+        F.filter(pairs, lambda x: x.isNotNull())))).alias("_at"))
     covered = F.aggregate(
-        F.zip_with("_at", F.slice("_at", 2, F.greatest(F.size("_at"), F.lit(1))),
-                   lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW))),
+        F.zip_with("_at", _tail(F.col("_at"), 2), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW))),
         F.lit(0).cast("long"), lambda acc, x: acc + x)
-    return step4.select("doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                        F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
+    return step.select(*kept, F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
 
 
-def _ngrams(text: Column, buckets: int) -> Column:
-    """Bucket numbers of the unigrams and bigrams of a text."""
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\w++|[^\w\s]++"), F.lit(0))
-    hashed = F.transform(tokens, lambda t: F.xxhash64(t))
-    return F.transform(
-        F.concat(hashed, F.filter(F.zip_with(hashed, F.slice(hashed, 2, 1 << 30), lambda a, b: F.when(
-            b.isNotNull(), F.xxhash64(a, b))), lambda x: x.isNotNull())),
-        lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def _gram_rows(docs: DataFrame, buckets: int) -> DataFrame:
+    """A row for every token and its follower: buckets ``u`` of the token and ``b`` of the pair (null at the end).
+
+    A document without tokens has one row with nulls.
+    """
+    own = [c for c in docs.columns if c != "text"]
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col("text"), F.lit(""))), F.lit(r"(?U)\w++|[^\w\s]++"), F.lit(0))
+    step = docs.select(*own, tokens.alias("_t"))
+    step = step.select(*own, F.explode_outer(F.arrays_zip("_t", _tail(F.col("_t"), 2).alias("_n"))).alias("_p"))
+    h = F.xxhash64("_p._t")
+    pair = F.when(F.col("_p._n").isNotNull(), F.xxhash64(h, F.xxhash64("_p._n")))
+    return step.select(*own, F.when(F.col("_p._t").isNotNull(), F.pmod(h, F.lit(buckets))).cast("int").alias("u"),
+                       F.pmod(pair, F.lit(buckets)).cast("int").alias("b"))
 
 
 def _bucket_counts(docs: DataFrame, buckets: int) -> dict[int, int]:
-    rows = (docs.select(F.explode(_ngrams(F.col("text"), buckets)).alias("b"))
-            .groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect())  # at most ``buckets`` rows
+    rows = (_gram_rows(docs.select("text"), buckets).select(F.explode(F.array("u", "b")).alias("b"))
+            .where("b is not null").groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect())  # at most ``buckets`` rows
     return {r["b"]: r["n"] for r in rows}
 
 
 def bucket_weights(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """log(p_target / p_raw) of every bucket."""
+    """log(p_target / p_raw) of every bucket, in whole millionths."""
     raw, aim = _bucket_counts(docs, buckets), _bucket_counts(target, buckets)
     if not aim:
         return [0.0] * buckets
@@ -113,16 +118,23 @@ def target_sample(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -
 
 def judge(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """Base counts, base_failed, llr score and kept of every document."""
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = F.from_json(F.lit(json.dumps(weights)), "array<double>")
-    grams = _ngrams(F.col("text"), len(weights))
-    mean = F.aggregate(grams, F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
-                       lambda acc, b: F.struct((acc["s"] + F.get(table, b)).alias("s"), (acc["n"] + 1).alias("n")),
-                       lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0)))
+    """Base counts, base_failed, llr score and kept of every document.
+
+    Weights are summed as whole millionths, so that the order of the rows of a
+    document does not matter; all of them are in one task, and one row per
+    document is shuffled.
+    """
+    picked = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"),
+                         F.col(text_col).cast("string").alias("text"))
+    table = F.from_json(F.lit(json.dumps([round(w * _LLR_UNIT) for w in weights])), "array<long>")
+    grams = _gram_rows(base_counts(picked), len(weights))
+    carried = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    scored = grams.groupBy("_row").agg(
+        *[F.any_value(c).alias(c) for c in carried],
+        F.sum(F.coalesce(F.get(table, F.col("u")), F.lit(0)) + F.coalesce(F.get(table, F.col("b")), F.lit(0))).alias("_sum"),
+        (F.count("u") + F.count("b")).alias("_n"))
     failed = ((F.col("n_words") < MIN_WORDS)
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
-    return (base_counts(picked)
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    failed.alias("base_failed"), F.round(mean, 6).alias("llr"))
+    llr = F.when(F.col("_n") > 0, F.round(F.col("_sum") / F.col("_n") / _LLR_UNIT, 6)).otherwise(F.lit(0.0))
+    return (scored.select(*carried, failed.alias("base_failed"), llr.alias("llr"))
             .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)))
