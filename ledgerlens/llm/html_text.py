@@ -83,7 +83,7 @@ _BOILER_NAME = re.compile(
 _MAIN_NAME = re.compile(
     r"(?:^|[\s_-])(?:article|story|post|entry|content|main)(?:[\s_-]?(?:body|content|text))?(?:$|[\s_-])", re.I)
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
+    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z][^<>]*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _WHITE = re.compile(r"\s+")
@@ -175,7 +175,8 @@ def blocks(page: str | None) -> list[Block]:
                 while stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "u", "font") and any(x == "p" for x, _ in stack[-8:]):
                     stack.pop()
                 kind = stack[-1][1] if stack else 0
-            inside = kind if kind in (-1, 2) else _container(name, tag, kind, any(x in _MAIN_TAGS for x, _ in stack))
+            inside = kind if kind in (-1, 2) else _container(
+                name, tag, kind, name == "header" and any(x in _MAIN_TAGS for x, _ in stack))
             if inside != kind:
                 flush()
             stack.append((name, inside))
