@@ -1,5 +1,55 @@
-"""DuckDB SQL of the llm queries that SQL can express on whole tables."""
+"""DuckDB SQL of the llm queries that SQL can express on whole tables.
+
+The others rest on tokenizers, trained models or 64-bit hashes; tests hold them
+against brute force, the tokenizers library or labels kept out of the training.
+"""
 
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+
+SQL["op1_minhash"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                             ELSE w END) AS sh FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+      WHERE 100 * p.c >= 80 * (x.n + y.n - p.c)),
+r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id),
+g AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT documents.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, g.component_id,
+       documents.doc_id = g.component_id AS kept
+FROM documents JOIN g ON g.doc_id = documents.doc_id LEFT JOIN n ON n.doc_id = documents.doc_id
+"""
+
+SQL["op4_topk_search"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+SQL["op8_chat_formatting"] = r"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<turn></turn>') + 1 + CASE WHEN role = 'assistant' THEN 7 ELSE 6 END
+           + length(replace(replace(role, '\', '\b'), '<', '\l'))
+           + length(replace(replace(text, '\', '\b'), '<', '\l'))) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
