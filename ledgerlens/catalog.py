@@ -387,13 +387,15 @@ def kpi_by_type(spark, d):
 def prefix_lookup(spark, d):
     """Top employees; their base employee found by the first 16 code characters."""
     s = _t(spark, d, "supplier")
-    top = top_channels_by_revenue(spark, d)
-    codes = s.select("s_suppkey", F.col("s_name").alias("code"))
-    base = (s.groupBy(F.substring("s_name", 1, 16).alias("base_code"))
-            .agg(F.count(F.lit(1)).alias("base_size"), F.min("s_suppkey").alias("base_key")))
-    with_code = lookup(top, "channel_key", codes, "s_suppkey", ["code"])
-    return (with_code.withColumn("base_code", F.substring("code", 1, 16))
-            .join(base, "base_code", "left"))
+    # ten rows at most: looked up without de-duplicating the suppliers, and
+    # only the suppliers of their base codes are grouped
+    top = materialize(lookup_small(top_channels_by_revenue(spark, d), "channel_key",
+                                   s.select("s_suppkey", F.col("s_name").alias("code")), "s_suppkey", ["code"])
+                      .withColumn("base_code", F.substring("code", 1, 16)))
+    wanted = F.broadcast(top.select("base_code").distinct())
+    base = (s.withColumn("base_code", F.substring("s_name", 1, 16)).join(wanted, "base_code", "left_semi")
+            .groupBy("base_code").agg(F.count(F.lit(1)).alias("base_size"), F.min("s_suppkey").alias("base_key")))
+    return top.join(base, "base_code", "left")
 
 
 # ---------------------------------------------------------------- products / vehicles

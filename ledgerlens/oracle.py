@@ -784,23 +784,43 @@ SELECT round(quantile_cont(CAST(CAST(total_volume AS DECIMAL(18,2)) AS DOUBLE),
 FROM vm
 """
 
-_COHORT_RENAMED = (_COHORT.replace("WITH o AS (", "co_o AS (", 1)
-                   .replace("FROM o JOIN f USING", "FROM co_o o JOIN f USING")
-                   .replace("FROM o GROUP BY customer_key", "FROM co_o GROUP BY customer_key"))
-
-SQL["export_outputs"] = _FEATURES + ",\n" + _COHORT_RENAMED + """
-SELECT 'rfm_segments' AS dataset, (SELECT count(*) FROM rfm) AS n_rows, CAST(10 AS BIGINT) AS n_columns
-UNION ALL SELECT 'vip_customers', (SELECT least(count(*), 100) FROM rfm CROSS JOIN
-    (SELECT quantile_cont(CAST(monetary AS DOUBLE), 0.95) AS q95 FROM rfm) q
-    WHERE segment IN ('Champions', 'Loyal Customers', 'Potential Loyalists') OR CAST(monetary AS DOUBLE) >= q95), 16
-UNION ALL SELECT 'pareto_analysis', (SELECT least(count(DISTINCT o_custkey), 20) FROM orders WHERE o_custkey IS NOT NULL), 4
-UNION ALL SELECT 'volume_margin_scatter', (SELECT count(*) FROM vm), 10
-UNION ALL SELECT 'feature_table', (SELECT count(*) FROM ft), 30
-UNION ALL SELECT 'cohort_retention_matrix', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
-UNION ALL SELECT 'cohort_pivot', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
-UNION ALL SELECT 'renewal_rate_matrix', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
-UNION ALL SELECT 'renewal_pivot', (SELECT count(DISTINCT cohort_month) FROM ret), (SELECT count(DISTINCT cohort_index) + 1 FROM ret)
-"""
+def _summed(dataset: str, query: str, numbers: list[str], others: list[str]) -> str:
+    cells = " + ".join(f"count({c})" for c in numbers + others)
+    total = " + ".join(f"coalesce(sum(CAST({c} AS DECIMAL(38,6))), 0)" for c in numbers)
+    chars = " + ".join(f"coalesce(sum(length(CAST({c} AS VARCHAR))), 0)" for c in others) or "0"
+    return (f"SELECT '{dataset}' AS dataset, count(*) AS n_rows, CAST({len(numbers) + len(others)} AS BIGINT) AS n_columns, "
+            f"CAST({cells} AS BIGINT) AS n_cells, CAST({total} AS DOUBLE) AS total, CAST({chars} AS BIGINT) AS n_chars "
+            f"FROM ({query.strip()})")
+
+
+def _summed_matrix(dataset: str, query: str, value: str) -> str:
+    """Of a matrix of cohorts and months: a row per cohort of the retention matrix, a column per month index."""
+    return f"""SELECT '{dataset}', (SELECT count(DISTINCT cohort_month) FROM r{dataset}), (SELECT count(DISTINCT cohort_index) + 1 FROM r{dataset}),
+       CAST(count({value}) + (SELECT count(DISTINCT cohort_month) FROM r{dataset}) AS BIGINT),
+       CAST(coalesce(sum(CAST({value} AS DECIMAL(38,6))), 0) AS DOUBLE),
+       CAST((SELECT 7 * count(DISTINCT cohort_month) FROM r{dataset}) AS BIGINT)
+FROM ({query.strip()})"""
+
+
+_RFM_NUMBERS = ["customer_key", "recency", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_total"]
+_MATRICES = [("cohort_retention_matrix", "cohort_retention", "retention_pct"), ("cohort_pivot", "cohort_retention", "customers"),
+             ("renewal_rate_matrix", "cohort_renewal", "renewal_pct"), ("renewal_pivot", "cohort_renewal", "renewals")]
+
+SQL["export_outputs"] = ("WITH " + ",\n".join(f"r{n} AS ({SQL['cohort_retention'].strip()})" for n, _, _ in _MATRICES) + "\n"
+                         + "\nUNION ALL\n".join([
+    _summed("rfm_segments", SQL["rfm_scores"], _RFM_NUMBERS, ["rfm_score", "segment"]),
+    _summed("vip_customers", SQL["vip_list"], [*_RFM_NUMBERS, "vip_rank", "c_acctbal", "c_nationkey"],
+            ["rfm_score", "segment", "c_mktsegment", "age_group", "vip_tier"]),
+    _summed("pareto_analysis", SQL["pareto_top"], ["rank", "customer_key", "revenue", "cumulative_pct"], []),
+    _summed("volume_margin_scatter", SQL["volume_margin"],
+            ["customer_key", "total_margin", "total_volume", "order_count", "avg_margin", "avg_volume", "c_acctbal", "c_nationkey"],
+            ["company", "c_mktsegment"]),
+    _summed("feature_table", SQL["customer_features"],
+            [*_RFM_NUMBERS, "c_nationkey", "c_acctbal", "order_count", "margin_sum", "margin_mean", "margin_std", "volume_sum",
+             "volume_mean", "duration_mean", "n_products", "n_channels", "n_employees", "customer_tenure_days",
+             "days_since_first_order", "days_since_last_order"],
+            ["rfm_score", "segment", "c_name", "c_mktsegment", "first_order_date", "last_order_date", "last_company"]),
+    *[_summed_matrix(n, SQL[q], v) for n, q, v in _MATRICES]]))
 
 SQL["line_counts_by_part_type"] = """
 WITH p AS (SELECT p_partkey, min(p_type) AS p_type FROM part WHERE p_partkey IS NOT NULL GROUP BY p_partkey)

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.operators.profile import union_all
 from ledgerlens.sources import sinks
@@ -22,8 +23,14 @@ def export_datasets(spark: SparkSession, out_dir: str, tables: Mapping[str, Data
                     matrices: Mapping[str, tuple[DataFrame, str]], month_columns: list,
                     max_parallel_writes: int = 4) -> DataFrame:
     """Write ``tables`` as CSV and ``matrices`` (long cells, value column) as
-    cohort matrices with ``month_columns``; return (dataset, n_rows, n_columns)
-    read back from the files."""
+    cohort matrices with ``month_columns``. Read back from the files: (dataset,
+    n_rows, n_columns, n_cells that are not empty, total of the numeric cells as
+    an exact decimal sum, n_chars of the other cells)."""
+    def numbers_of(df: DataFrame) -> list[str]:
+        return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+
+    numeric = {n: numbers_of(df) for n, df in tables.items()} | {n: [str(m) for m in month_columns] for n in matrices}
+
     def write_table(name: str, df: DataFrame) -> tuple[str, str]:
         return name, sinks.write_csv(df, f"{out_dir}/{name}")
 
@@ -40,8 +47,20 @@ def export_datasets(spark: SparkSession, out_dir: str, tables: Mapping[str, Data
         written = [f.result() for f in futures]
     parts = []
     for name, path in written:
-        back = spark.read.option("header", True).csv(path)
-        parts.append(back.agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit(name).alias("dataset"), "n_rows",
-                             F.lit(len(back.columns)).cast("long").alias("n_columns")))
+        back = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        cells = [F.col(f"`{c}`") for c in back.columns]
+        numbers = [F.col(f"`{c}`") for c in numeric[name]]
+        others = [F.col(f"`{c}`") for c in back.columns if c not in numeric[name]]
+
+        def add(parts: list, kind: str):
+            return sum(parts[1:], parts[0]) if parts else F.lit(0).cast(kind)
+
+        parts.append(back.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            add([F.count(c) for c in cells], "long").alias("n_cells"),
+            add([F.coalesce(F.sum(c.cast("decimal(38,6)")), F.lit(0).cast("decimal(38,6)")) for c in numbers],
+                "decimal(38,6)").cast("double").alias("total"),
+            add([F.coalesce(F.sum(F.length(c)), F.lit(0)) for c in others], "long").alias("n_chars"))
+            .select(F.lit(name).alias("dataset"), "n_rows", F.lit(len(back.columns)).cast("long").alias("n_columns"),
+                    "n_cells", "total", "n_chars"))
     return union_all(parts)
