@@ -139,20 +139,12 @@ def pareto_80(spark, d):
 CUSTOMER_ATTRS = ["c_mktsegment", "c_acctbal", "c_nationkey"]
 
 
-def _facts(spark, d):
+def _facts(spark, d, members=None):
     return cv.order_facts(_t(spark, d, "orders"), _t(spark, d, "lineitem"),
                           key="o_custkey", order_id="o_orderkey", date="o_orderdate",
                           amount="o_totalprice", company="o_orderpriority",
                           line_order_key="l_orderkey", line_price="l_extendedprice",
-                          line_qty="l_quantity")
-
-
-def _lines_with_customer(spark, d):
-    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .select(F.col("o_custkey").alias(cv.KEY), F.col("l_partkey").alias("product"),
-                    F.col("l_suppkey").alias("channel")))
+                          line_qty="l_quantity", members=members)
 
 
 def _volume_margin(spark, d):
@@ -178,8 +170,9 @@ def volume_margin_tiers(spark, d):
 def _feature_table(spark, d, scored=None):
     if scored is None:
         scored = rfm_plan.rfm(_t(spark, d, "orders"))
-    facts = _facts(spark, d)
-    feats = cv.feature_aggregates(facts, _lines_with_customer(spark, d))
+    # lines and orders are read once; the facts feed three aggregates
+    facts = materialize(_facts(spark, d, {"_products": "l_partkey", "_channels": "l_suppkey"}))
+    feats = cv.feature_aggregates(facts)
     dates = _t(spark, d, "orders").select(F.to_date("o_orderdate").alias("order_date"))
     return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats, dates)
 

@@ -27,16 +27,22 @@ def last_non_null(value: str, *order: str):
     return F.max_by(F.col(value), ordering)
 
 
-def order_lines(lines: DataFrame, order_key: str, price: str, qty: str) -> DataFrame:
-    """(order_key, volume, duration) per order: line price sum and quantity sum."""
+def order_lines(lines: DataFrame, order_key: str, price: str, qty: str,
+                members: dict[str, str] | None = None) -> DataFrame:
+    """(order_key, volume, duration) per order: line price sum and quantity sum.
+
+    ``members`` (name -> column) adds the distinct values of an order's lines.
+    """
+    sets = [F.collect_set(c).alias(name) for name, c in (members or {}).items()]
     return (lines.groupBy(F.col(order_key).alias("_order"))
-            .agg(F.sum(money(price)).alias("volume"), F.sum(qty).alias("duration")))
+            .agg(F.sum(money(price)).alias("volume"), F.sum(qty).alias("duration"), *sets))
 
 
 def order_facts(orders: DataFrame, lines: DataFrame, *, key: str, order_id: str,
                 date: str, amount: str, company: str,
-                line_order_key: str, line_price: str, line_qty: str) -> DataFrame:
-    per_order = order_lines(lines, line_order_key, line_price, line_qty)
+                line_order_key: str, line_price: str, line_qty: str,
+                members: dict[str, str] | None = None) -> DataFrame:
+    per_order = order_lines(lines, line_order_key, line_price, line_qty, members)
     o = orders.select(F.col(key).alias(KEY), F.col(order_id).alias("_order"),
                       F.to_date(date).alias("order_date"), money(amount).alias("margin"),
                       F.col(company).alias("company"))
@@ -76,13 +82,15 @@ def volume_margin_by_tier(vm: DataFrame, tier: str) -> DataFrame:
                     "count")
 
 
-def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> DataFrame:
+def feature_aggregates(facts: DataFrame) -> DataFrame:
     """The wide per-customer aggregate (count, sum/mean/std, min/max dates,
     mean duration, last company, distinct products / channels / employees).
 
-    The string-valued "last company" makes this a sort-based aggregate
-    (hash aggregation needs fixed-width buffers); it still combines map-side.
-    The two distinct counts share one Expand + dedup shuffle.
+    ``facts`` carries the distinct products and channels of every order
+    (``order_facts(members=...)``), so the lines are read once and only
+    (customer, member) pairs are de-duplicated. The string-valued "last
+    company" makes the first aggregate sort-based (hash aggregation needs
+    fixed-width buffers); it still combines map-side.
     """
     per_order = facts.groupBy(KEY).agg(
         F.count("_order").alias("order_count"),
@@ -93,11 +101,10 @@ def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> Data
         F.max("order_date").alias("last_order_date"),
         F.sum("duration").alias("_dur_sum"), F.count("duration").alias("_dur_n"),
         last_non_null("company", "order_date", "_order").alias("last_company"))
-    distinct = lines_with_customer.groupBy(KEY).agg(
-        F.countDistinct("product").alias("n_products"),
-        F.countDistinct("channel").alias("n_channels"),
-        # employee and detail channel are the same column here: one distinct group
-        F.countDistinct("channel").alias("n_employees"))
+    def distinct(members: str, name: str) -> DataFrame:
+        return (facts.select(KEY, F.explode(members).alias("_x")).distinct()
+                .groupBy(KEY).agg(F.count(F.lit(1)).alias(name)))
+
     per_order = per_order.select(
         KEY, "order_count",
         F.col("_margin_sum").cast("double").alias("margin_sum"),
@@ -108,7 +115,10 @@ def feature_aggregates(facts: DataFrame, lines_with_customer: DataFrame) -> Data
         "first_order_date", "last_order_date",
         round6(mean_of_sum("_dur_sum", "_dur_n")).alias("duration_mean"),
         "last_company")
-    return per_order.join(distinct, KEY, "left")
+    # employee and detail channel are the same column here
+    return (per_order.join(distinct("_products", "n_products"), KEY, "left")
+            .join(distinct("_channels", "n_channels"), KEY, "left")
+            .withColumn("n_employees", F.col("n_channels")))
 
 
 def feature_table(scored: DataFrame, customers: DataFrame, customer_key: str,
