@@ -286,11 +286,12 @@ def orders_per_customer_dist(spark, d):
 @query
 def orders_per_customer_stats(spark, d):
     o = _t(spark, d, "orders").filter(F.col("o_custkey").isNotNull())
-    per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("k"))
-    return per.agg(F.count(F.lit(1)).alias("n_customers"), F.min("k").alias("min_orders"),
-                   F.max("k").alias("max_orders"), round6(F.avg("k")).alias("mean_orders"),
-                   round6(F.median("k")).alias("median_orders"),
-                   F.count_if(F.col("k") > 1).alias("n_repeat_customers"))
+    per = materialize(o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("k")))  # read twice
+    stats = per.agg(F.count(F.lit(1)).alias("n_customers"), F.min("k").alias("min_orders"),
+                    F.max("k").alias("max_orders"), round6(F.avg("k")).alias("mean_orders"),
+                    F.count_if(F.col("k") > 1).alias("n_repeat_customers"))
+    return (stats.transform(with_row(exact_quantiles(per, "k", [0.5], prefix="_q")))
+            .withColumn("median_orders", round6("_q0")).drop("_q0"))
 
 
 @query
@@ -360,9 +361,9 @@ def employee_stats(spark, d):
     total = per_all.agg(F.sum("revenue").alias("_ll_total"))
     share = sales_plan.top_fraction_share(per, "l_suppkey", "revenue", 0.1, total)
     stats = per.agg(F.count(F.lit(1)).alias("n_employees"),
-                    round6(mean_of_sum(F.sum("revenue"), F.count("revenue"))).alias("avg_revenue"),
-                    round6(F.median("contracts")).alias("median_contracts"))
-    return stats.transform(with_row(share.select(pct_expr("_ll_top", "_ll_total").alias("top10pct_share"))))
+                    round6(mean_of_sum(F.sum("revenue"), F.count("revenue"))).alias("avg_revenue"))
+    median = exact_quantiles(per, "contracts", [0.5], prefix="_q").select(round6("_q0").alias("median_contracts"))
+    return stats.transform(with_row(median)).transform(with_row(share.select(pct_expr("_ll_top", "_ll_total").alias("top10pct_share"))))
 
 
 @query

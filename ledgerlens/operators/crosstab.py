@@ -16,9 +16,13 @@ from ledgerlens.session import materialize
 from ledgerlens.operators.scalars import with_row
 
 ALL = "All"
+#: labels of the column side that one array may hold; more is an error
+MAX_LABELS = 10_000
 
 
 def _grid(counts: DataFrame, row: str, col: str) -> DataFrame:
+    if counts.select(col).distinct().limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"{col} has more than {MAX_LABELS} labels; put it on the row side or bin it")
     cols = counts.agg(F.array_sort(F.collect_set(col)).alias("_cols"))
     rows = counts.select(row).distinct()
     return (rows.transform(with_row(cols))  # one-row array of labels

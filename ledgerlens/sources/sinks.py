@@ -14,15 +14,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+#: columns that a written matrix may have; more is an error
+MAX_COLUMNS = 10_000
+
+
 def matrix(cells: DataFrame, row: str, col: str, value: str,
            col_values: Sequence | None = None) -> DataFrame:
     """Pivot long cells (row, col, value) to one column per ``col`` value.
 
     Pass ``col_values`` when known; otherwise the distinct labels are read
-    first (a matrix has as many columns as labels, so the list is small).
+    first, MAX_COLUMNS of them at most.
     """
     if col_values is None:
-        col_values = [r[0] for r in cells.select(col).distinct().orderBy(col).collect()]
+        col_values = [r[0] for r in cells.select(col).distinct().orderBy(col).limit(MAX_COLUMNS + 1).collect()]
+        if len(col_values) > MAX_COLUMNS:
+            raise ValueError(f"{col} has more than {MAX_COLUMNS} labels")
     wide = cells.groupBy(row).pivot(col, list(col_values)).agg(F.first(value))
     return wide.select(row, *[F.col(str(v)) for v in col_values])
 
