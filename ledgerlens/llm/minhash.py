@@ -185,11 +185,7 @@ def _sets_task(k: int, bits: np.ndarray, n_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            keep = np.ones(len(ids), bool)
-            for seed in _BLOOM_SEEDS:
-                at = seeded(ids, seed) & np.uint64(n_bits - 1)
-                keep &= (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)) & np.uint64(1)) == 1
+            keep = _in_bloom(batch.column("doc_id"), bits, n_bits)
             if not keep.any():
                 continue
             for part in slices(batch.filter(pa.array(keep)), "text"):
@@ -213,15 +209,29 @@ def _bloom_task(n_bits: int):
     return run
 
 
-def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(doc_id, shingles) of the wanted documents, and perhaps of a few others."""
+def _bloom(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Bloom filter over ``doc_id`` as words of 32 bits: of bounded size, whatever the number of ids."""
     low, high = BLOOM_BITS
     n_bits = min(high, max(low, 1 << (16 * max(1, ids.count())).bit_length()))
     words = (ids.mapInArrow(_bloom_task(n_bits), "word long, bit long")
              .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas())  # at most n_bits / 32 rows
     bits = np.zeros(n_bits // 32, np.uint64)
     bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    return docs.mapInArrow(_sets_task(k, bits, n_bits), "doc_id long, shingles binary")
+    return bits, n_bits
+
+
+def _in_bloom(column: pa.Array, bits: np.ndarray, n_bits: int) -> np.ndarray:
+    ids = column.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    out = np.ones(len(ids), bool)
+    for seed in _BLOOM_SEEDS:
+        at = seeded(ids, seed) & np.uint64(n_bits - 1)
+        out &= (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)) & np.uint64(1)) == 1
+    return out
+
+
+def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(doc_id, shingles) of the wanted documents, and perhaps of a few others."""
+    return docs.mapInArrow(_sets_task(k, *_bloom(ids)), "doc_id long, shingles binary")
 
 
 class _UnionFind:
@@ -425,15 +435,28 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int =
     """The rows of one document of every group, its smallest id, with all their columns.
 
     Rows that repeat an id are told apart by nothing else, so one of them stays.
-    Only the dropped ids are joined with the rows.
+    A Bloom filter over the ids that are dropped or repeated lets all other rows
+    pass where they are read; only the rows it holds are shuffled to the exact joins.
     """
     found = written(near_duplicates(docs, shingle, percent, id_col, text_col), "groups")
-    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    repeated = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                       .select(F.col("doc_id").alias("_dropped")), "repeated")
+    touched = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("kept").alias("kept"))
+                      .where("n > 1 or not kept"), "touched")
+    bits, n_bits = _bloom(touched.select("doc_id"))
+
+    def rows(held: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                inside = _in_bloom(batch.column(id_col).cast(pa.int64()), bits, n_bits)
+                yield batch.filter(pa.array(inside == held))
+
+        return docs.mapInArrow(run, docs.schema)
+
     own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-1))
-    left = docs.join(dropped, own_id == F.col("_dropped"), "left_anti")
-    if repeated.isEmpty():
-        return left
-    once = left.join(repeated, own_id == F.col("_dropped"), "left_anti")
-    return once.union(left.join(repeated, own_id == F.col("_dropped"), "left_semi").dropDuplicates([id_col]))
+    maybe = rows(True).join(touched.where("not kept").select(F.col("doc_id").alias("_dropped")),
+                            own_id == F.col("_dropped"), "left_anti")
+    repeated = touched.where("n > 1 and kept").select(F.col("doc_id").alias("_repeated"))
+    if not repeated.isEmpty():
+        again = own_id == F.col("_repeated")
+        maybe = maybe.join(repeated, again, "left_anti").union(
+            maybe.join(repeated, again, "left_semi").dropDuplicates([id_col]))
+    return rows(False).union(maybe)
