@@ -9,8 +9,9 @@ fewer words than a shingle has them all as one). Two documents are linked if
    its value there is ``j + fraction``, and a slot keeps its least value. Values of a
    later round cannot beat those of an earlier one, so a document stops after the
    round in which its last slot was filled. Bands of the signature are hashed.
-2. Documents with the same set (128-bit sum and size) are one node, its smallest id.
-3. Nodes that share a band meet at the smallest id of the band's bucket (hub). Pairs
+2. Documents with the same set (128-bit sum and size) are one node, numbered in the
+   order of their smallest ids, so that the smallest node of a group has its smallest id.
+3. Nodes that share a band meet at the smallest node of the band's bucket (hub). Pairs
    whose sizes rule a link out, or whose signatures agree in fewer slots than any
    linked pair plausibly would, go; the rest is verified on the full shingle sets.
 4. Verified links are joined into components: union-find inside each task leaves a
@@ -25,8 +26,10 @@ are candidates is told to the scan of the texts by a Bloom filter of bounded siz
 its false positives cost work but change nothing.
 
 Defined cases: null or empty texts have no shingles and are linked with nothing; a
-null id is taken as -1; repeated rows are copies of each other and each is returned;
-an empty table gives no rows; columns other than the id and the text are not read.
+null id is taken as -1; different texts under one id are different documents, so two
+groups may have the same ``component_id``, the id of each one's representative;
+repeated rows are copies of each other and each is returned; an empty table gives no
+rows; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.llm.common import seeded, slices, text_bytes, word_hashes, word_spans, written
 
@@ -55,6 +59,8 @@ BLOCK_SHINGLES = 200_000
 #: buckets up to this size are compared by a plain self-join
 SMALL_BUCKET = 16
 _BLOOM_SEEDS = (101, 102)
+#: what tells documents of one id apart
+SET_OF_ID = ["doc_id", "f1", "f2", "n"]
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +131,15 @@ def signature_bands(sig: np.ndarray, band_rows: int) -> np.ndarray:
     return out
 
 
+def _set_sums(values: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+    """Two 64-bit sums over the hashed set of every row; with its size they stand for the set."""
+    sums = []
+    for seed in (201, 202):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(seeded(values, seed), dtype=np.uint64)])
+        sums.append(pa.array((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64)))
+    return sums
+
+
 def _sketch_task(k: int, slots: int, band_rows: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
                         ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
@@ -134,17 +149,13 @@ def _sketch_task(k: int, slots: int, band_rows: int):
             for part in slices(batch, "text"):
                 values, offsets = shingle_hashes(*text_bytes(part.column("text")), k)
                 sizes = np.diff(offsets)
-                sums = []
-                for seed in (201, 202):
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(seeded(values, seed), dtype=np.uint64)])
-                    sums.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
                 sig = superminhash(values, offsets, slots)
                 bands = signature_bands(sig, band_rows)
                 # only whether values are equal matters; a byte of chance raises agreement by 1/256
                 short = (seeded(sig, 9) >> np.uint64(56)).astype(np.uint8)
                 at = np.arange(len(sizes) + 1, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1]),
+                    part.column("doc_id"), pa.array(sizes, pa.int64()), *_set_sums(values, offsets),
                     pa.array([r.tobytes() for r in short], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(at * bands.shape[1], pa.int32()),
                                              pa.array(bands.reshape(-1).view(np.int64)))], schema=schema)
@@ -181,7 +192,8 @@ def _verify_task(percent: int):
 
 
 def _sets_task(k: int, bits: np.ndarray, n_bits: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
+                        ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,8 +203,10 @@ def _sets_task(k: int, bits: np.ndarray, n_bits: int):
             for part in slices(batch.filter(pa.array(keep)), "text"):
                 values, offsets = shingle_hashes(*text_bytes(part.column("text")), k)
                 raw = values.tobytes()
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(
-                    [raw[8 * i:8 * j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), *_set_sums(values, offsets),
+                    pa.array([raw[8 * i:8 * j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())],
+                    schema=schema)
 
     return run
 
@@ -230,8 +244,8 @@ def _in_bloom(column: pa.Array, bits: np.ndarray, n_bits: int) -> np.ndarray:
 
 
 def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(doc_id, shingles) of the wanted documents, and perhaps of a few others."""
-    return docs.mapInArrow(_sets_task(k, *_bloom(ids)), "doc_id long, shingles binary")
+    """(doc_id, n, f1, f2, shingles) of the documents with a wanted id, and perhaps of a few others."""
+    return docs.mapInArrow(_sets_task(k, *_bloom(ids)), "doc_id long, n long, f1 long, f2 long, shingles binary")
 
 
 class _UnionFind:
@@ -343,10 +357,12 @@ class NearDuplicates:
         self.sketch = written(docs.mapInArrow(
             _sketch_task(shingle, SLOTS, BAND_ROWS),
             "doc_id long, n long, f1 long, f2 long, sig binary, bands array<long>"), "sketch")
+        self.same = self._same_set()
 
     def _same_set(self) -> DataFrame:
-        """(f1, f2, n, node): the smallest id of every shingle set."""
-        return written(self.sketch.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("node")), "sets")
+        """(f1, f2, n, doc_id, node): the smallest id and the number of every shingle set, both in one order."""
+        least = self.sketch.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("doc_id"))
+        return written(least.orderBy("doc_id", "f1", "f2", "n").withColumn("node", F.monotonically_increasing_id()), "sets")
 
     def _agreeing(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """Pairs whose sizes and signatures allow a link."""
@@ -357,17 +373,18 @@ class NearDuplicates:
                 .where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
                 .select("a", "b", "sig_a", "sig_b").mapInArrow(_agree_task(SLOTS, LEAST_AGREEMENT), "a long, b long"))
 
-    def _sets(self, ids: DataFrame) -> DataFrame:
-        """(doc_id, shingles) of the wanted documents."""
-        return written(_candidate_sets(self.docs, ids, self.shingle).join(ids, "doc_id", "left_semi")
-                       .dropDuplicates(["doc_id"]), "shingles")
+    def _sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of the wanted nodes."""
+        wanted = written(nodes.join(self.same, "node"), "wanted")
+        return written(_candidate_sets(self.docs, wanted.select("doc_id"), self.shingle).join(wanted, SET_OF_ID)
+                       .dropDuplicates(SET_OF_ID).select("node", "shingles"), "shingles")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs that the full shingle sets confirm."""
-        sets = self._sets(written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted"))
+        sets = self._sets(written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted"))
         return written(
-            pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-            .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+            pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+            .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
             .select("a", "b", "set_a", "set_b").mapInArrow(_verify_task(self.percent), "a long, b long"), "linked")
 
     def _across(self, entries: DataFrame, joined: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -386,23 +403,22 @@ class NearDuplicates:
         large = held.where(F.col("size") > SMALL_BUCKET)
         if large.isEmpty():
             return links
-        ids = written(large.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-        sets = self._sets(ids).withColumnRenamed("doc_id", "node")
+        whole = (self._sets(written(large.select("node").distinct(), "wanted"))
+                 .join(nodes.select("node", "sig", "bands"), "node"))
         parts = F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")
         cells = (large.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
                  .withColumn("x", F.explode(F.sequence(F.lit(0), parts - 1)))
                  .select("key", "node", "comp", "part", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"))
-                 .join(nodes.select("node", "sig", "bands"), "node").join(sets, "node"))
-        wide = (cells.groupBy("key", "i", "j").applyInArrow(_blocks_task(self.percent, LEAST_AGREEMENT), "a long, b long")
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        return written(links.union(wide).distinct(), "linked")
+                 .join(whole, "node"))
+        found = (cells.groupBy("key", "i", "j").applyInArrow(_blocks_task(self.percent, LEAST_AGREEMENT), "a long, b long")
+                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        return written(links.union(found).distinct(), "linked")
 
     def groups(self) -> DataFrame:
-        """(doc_id, n_shingles, component_id) of every row."""
-        same = self._same_set()
-        nodes = written(self.sketch.where("n > 0").join(same.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-                        .dropDuplicates(["doc_id"])
-                        .select(F.col("doc_id").alias("node"), "n", "sig", "bands"), "nodes")
+        """(doc_id, n_shingles, component_id, kept, f1, f2) of every row."""
+        same = self.same
+        nodes = written(self.sketch.join(same, SET_OF_ID).dropDuplicates(SET_OF_ID).select("node", "n", "sig", "bands"),
+                        "nodes")
         entries = nodes.select("node", "n", F.explode("bands").alias("key"))
         hubs = written(entries.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size"))
                        .where("size > 1").select("key", "hub"), "hubs")
@@ -414,49 +430,75 @@ class NearDuplicates:
         extra = self._across(entries, joined, nodes)
         if not extra.isEmpty():
             joined = written(components(links.union(extra)), "joined")
-        sets = same.join(joined, "node", "left").select(
-            "f1", "f2", "n", F.coalesce("component", "node").alias("component_id"))
+        roots = same.select(F.col("node").alias("component"), F.col("doc_id").alias("component_id"))
+        sets = same.join(joined.join(roots, "component"), "node", "left").select(
+            "f1", "f2", "n", F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.coalesce(F.col("component") == F.col("node"), F.lit(True)).alias("root"))
         sets = written(sets, "set-components")
+        own = F.coalesce("component_id", "doc_id")
         return self.sketch.select("doc_id", "n", "f1", "f2").join(sets, ["f1", "f2", "n"], "left").select(
-            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+            "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
+            (F.coalesce("root", F.lit(True)) & (F.col("doc_id") == own)).alias("kept"), "f1", "f2")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (doc_id = component_id) of every document."""
+def _groups(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     picked = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"))
-    found = NearDuplicates(picked, shingle, percent).groups()
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return NearDuplicates(picked, shingle, percent).groups()
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document.
+
+    Kept are the rows that have the group's smallest id (``component_id``) and, if
+    the group has several sets under that id, the first of these sets.
+    """
+    return _groups(docs, shingle, percent, id_col, text_col).drop("f1", "f2")
 
 
 def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The rows of one document of every group, its smallest id, with all their columns.
 
-    Rows that repeat an id are told apart by nothing else, so one of them stays.
-    A Bloom filter over the ids that are dropped or repeated lets all other rows
-    pass where they are read; only the rows it holds are shuffled to the exact joins.
+    Rows that repeat both the id and the set (the text, if it has no shingles) are
+    told apart by nothing else, so one of them stays. A Bloom filter over the ids
+    that are dropped, and one over those that are repeated, let all other rows pass
+    where they are read; only the rows they hold are shuffled to the exact joins,
+    those of repeated ids by id and set.
     """
-    found = written(near_duplicates(docs, shingle, percent, id_col, text_col), "groups")
-    touched = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("kept").alias("kept"))
-                      .where("n > 1 or not kept"), "touched")
-    bits, n_bits = _bloom(touched.select("doc_id"))
-
-    def rows(held: bool):
+    found = written(_groups(docs, shingle, percent, id_col, text_col).withColumnRenamed("n_shingles", "n"), "groups")
+    touched = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
+                      .where("rows > 1 or not kept"), "touched")
+    dropped = touched.where("not kept").select(F.col("doc_id").alias("_dropped"))
+    repeated = touched.where("rows > 1 and kept").select("doc_id")
+    drops, again = _bloom(dropped.withColumnRenamed("_dropped", "doc_id")), _bloom(repeated)
+
+    def rows(held: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                inside = _in_bloom(batch.column(id_col).cast(pa.int64()), bits, n_bits)
-                yield batch.filter(pa.array(inside == held))
+                ids = batch.column(id_col).cast(pa.int64())
+                twice, gone = _in_bloom(ids, *again), _in_bloom(ids, *drops)
+                yield batch.filter(pa.array({"repeated": twice, "dropped": gone & ~twice, "none": ~gone & ~twice}[held]))
 
         return docs.mapInArrow(run, docs.schema)
 
     own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-1))
-    maybe = rows(True).join(touched.where("not kept").select(F.col("doc_id").alias("_dropped")),
-                            own_id == F.col("_dropped"), "left_anti")
-    repeated = touched.where("n > 1 and kept").select(F.col("doc_id").alias("_repeated"))
-    if not repeated.isEmpty():
-        again = own_id == F.col("_repeated")
-        maybe = maybe.join(repeated, again, "left_anti").union(
-            maybe.join(repeated, again, "left_semi").dropDuplicates([id_col]))
-    return rows(False).union(maybe)
+    left = rows("none").union(rows("dropped").join(dropped, own_id == F.col("_dropped"), "left_anti"))
+    if repeated.isEmpty():
+        return left
+
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col):
+                values, offsets = shingle_hashes(*text_bytes(part.column(text_col)), shingle)
+                sums = [pa.array(np.diff(offsets), pa.int64()), *_set_sums(values, offsets)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *sums], names=[*part.schema.names, "_n", "_f1", "_f2"])
+
+    fields = [T.StructField(c, T.LongType()) for c in ("_n", "_f1", "_f2")]
+    maybe = (rows("repeated").mapInArrow(with_sets, T.StructType([*docs.schema.fields, *fields]))
+             .withColumn("_id", own_id).withColumn("_bare", F.when(F.col("_n") == 0, F.col(text_col))))
+    maybe = maybe.dropDuplicates(["_id", "_f1", "_f2", "_n", "_bare"])
+    keys = found.where("kept").select(*[F.col(c).alias(f"_kept_{c}") for c in SET_OF_ID]).distinct()
+    same = [F.col(a) == F.col(f"_kept_{c}") for a, c in zip(("_id", "_f1", "_f2", "_n"), SET_OF_ID, strict=True)]
+    return left.union(maybe.join(keys, same, "left_semi").select(*docs.columns))

@@ -88,6 +88,26 @@ def test_empty_table_and_null_ids(spark):
     assert [r.component_id for r in minhash.near_duplicates(df).collect()] == [-1, -1]
 
 
+def test_different_texts_of_one_id_are_different_documents(spark):
+    rnd = random.Random(9)
+    text = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(40)) for _ in range(20)]
+    near = text[0] + " more"
+    rows = ([(None, t) for t in text[:12]] + [(None, near), (None, text[1]), (7, text[1].upper()), (7, text[13])]
+            + [(8, text[13]), (8, text[14]), (8, text[14] + " x"), (9, text[15]), (9, None), (9, None), (9, ""), (10, None),
+               (11, text[16] + " y"), (3, text[16])])
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()}
+    assert got == {(-1, 36, -1), (-1, 37, -1), (7, 36, -1), (7, 36, 7), (8, 36, 7), (8, 36, 8), (8, 37, 8), (9, 36, 9),
+                   (9, 0, 9), (10, 0, 10), (11, 37, 3), (3, 36, 3)}
+    left = [(r.doc_id, r.text) for r in minhash.keep_representatives(df).collect()]
+    assert len(left) == len(set(left)) and set(left) <= set(rows)
+    for some in ({(None, text[0]), (None, near)}, {(8, text[14]), (8, text[14] + " x")}):  # one of two near texts of one id
+        assert len(some & set(left)) == 1
+        left = [x for x in left if x not in some]
+    assert set(left) == ({(None, t) for t in text[1:12]} | {(7, text[13]), (9, text[15]), (9, None), (9, ""), (10, None),
+                                                           (3, text[16])})
+
+
 def test_representatives_keep_columns(spark):
     rows = corpus(3, 60)
     df = spark.createDataFrame([(i, t, "x") for i, t in rows] + [(0, rows[0][1], "x")], SCHEMA)
