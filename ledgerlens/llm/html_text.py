@@ -5,7 +5,9 @@ block-level tag. A block has its word count, its link density (share of its word
 inside links), the same of the block before and the block after, and what kind
 of container it stands in: 0 none, 1 article, 2 boilerplate (menus, headers of the
 page, footers, sidebars, forms, adverts, notices, comments, found by tag, role or
-class names). A decision tree trained on the small labelled table below tells which
+class names). An article inside boilerplate counts as one again, unless it stands in
+   menus, footers, asides, comments or related links. A form that holds more than half of
+   the words of a page is no boilerplate. A decision tree trained on the small labelled table below tells which
 blocks are main text; these are joined in page order.
 
 Every page is worked on alone inside its input split: no shuffle, memory bounded by
@@ -73,6 +75,9 @@ _VOID_TAGS = frozenset("area base br col embed hr img input link meta param sour
 _SKIPPED_TAGS = frozenset("script style noscript template svg math textarea select button title head iframe object".split())
 _RAW_TAGS = ("script", "style", "textarea", "title", "iframe", "noscript", "template")
 _BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
+#: boilerplate in which an article is none
+_CLOSED_TAGS = frozenset("nav footer aside menu dialog".split())
+_CLOSED_ROLES = frozenset("navigation contentinfo complementary dialog alertdialog menu menubar".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 _BOILER_NAME = re.compile(
@@ -82,6 +87,13 @@ _BOILER_NAME = re.compile(
     r"commentlist|disqus|replies|respond|discussion|search|tags|skip|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
 _MAIN_NAME = re.compile(
     r"(?:^|[\s_-])(?:article|story|post|entry|content|main)(?:[\s_-]?(?:body|content|text))?(?:$|[\s_-])", re.I)
+_COMMENT_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])", re.I)
+_CLOSED_NAME = re.compile(r"(?:^|[\s_-])(?:related|recommended|nav|navbar|navigation|menu|footer)(?:$|[\s_-])", re.I)
+#: names that say what a wrapper has, not what it is
+_MODIFIER = re.compile(
+    r"(?:(?<!\S)|(?<=[_-]))(?:has|with|without|no)[_-]+\S+|(?<!\S)comments?[_-](?:open|closed|on|off|enabled|disabled)(?!\S)", re.I)
+_LAYOUT = re.compile(r"(?<!\S)(?:page|layout|site|wrapper|wrap)(?!\S)", re.I)
+_SIDES = re.compile(r"(?<!\S)(?:sidebars?[_-](?:left|right|both|none|one|two)|(?:left|right|both|one|two)[_-]sidebars?)(?!\S)", re.I)
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z][^<>]*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -95,12 +107,21 @@ class Block:
     words: int
     linked: int
     kind: int
+    form: int = -1
+
+
+#: kinds while a page is read: boilerplate in which articles are none, a form in no container, a form in an article
+_CLOSED, _FORM, _MAIN_FORM = 3, 4, 5
 
 
 def _container(name: str, tag: str, inside: int, in_main: bool) -> int:
-    """Kind of the container a tag opens: -1 skipped, 0 none, 1 article, 2 boilerplate."""
+    """Kind of the container a tag opens: -1 skipped, 0 none, 1 article, 2 boilerplate, or one of those above."""
     if name in _SKIPPED_TAGS:
         return -1
+    if name in _CLOSED_TAGS:
+        return _CLOSED
+    if name == "form" and inside in (0, 1):
+        return _MAIN_FORM if inside else _FORM
     if name in _BOILER_TAGS or name == "header" and not in_main:
         return 2
     kind = 1 if name in _MAIN_TAGS else inside
@@ -112,14 +133,19 @@ def _container(name: str, tag: str, inside: int, in_main: bool) -> int:
             if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 return -1
             if key == "role" and value.lower() in _BOILER_ROLES:
-                return 2
+                return _CLOSED if value.lower() in _CLOSED_ROLES else 2
             if key == "role" and value.lower() in ("main", "article"):
                 kind = 1
             if key in ("class", "id") and name not in ("html", "body"):
+                value = _MODIFIER.sub(" ", value)
+                if _LAYOUT.search(value):
+                    value = _SIDES.sub(" ", value)
+                if name not in _MAIN_TAGS and _COMMENT_NAME.search(value):
+                    return _CLOSED
                 if _MAIN_NAME.search(value):
-                    kind = 1
+                    kind = {2: 2, _FORM: _MAIN_FORM, _MAIN_FORM: _MAIN_FORM}.get(kind, 1)
                 elif name not in _MAIN_TAGS and _BOILER_NAME.search(value):
-                    return 2
+                    return _CLOSED if _CLOSED_NAME.search(value) else 2
     return kind
 
 
@@ -128,13 +154,14 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int]] = []  # open elements and the kind each one's content has
     kind, text, linked, link_depth = 0, [], [], 0
+    form, forms = -1, 0  # number of the open form
 
     def flush() -> None:
         if text:
             clean = _WHITE.sub(" ", html_lib.unescape("".join(text))).strip()
             if clean:
                 links = _WHITE.sub(" ", html_lib.unescape(" ".join(linked))).strip()
-                out.append(Block(clean, clean.count(" ") + 1, links.count(" ") + 1 if links else 0, kind))
+                out.append(Block(clean, clean.count(" ") + 1, links.count(" ") + 1 if links else 0, kind, form))
             text.clear()
             linked.clear()
 
@@ -175,10 +202,13 @@ def blocks(page: str | None) -> list[Block]:
                 while stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "u", "font") and any(x == "p" for x, _ in stack[-8:]):
                     stack.pop()
                 kind = stack[-1][1] if stack else 0
-            inside = kind if kind in (-1, 2) else _container(
-                name, tag, kind, name == "header" and any(x in _MAIN_TAGS for x, _ in stack))
+            inside = kind if kind in (-1, _CLOSED) else _container(
+                name, tag, kind if name != "form" or form < 0 else 2,
+                name == "header" and any(x in _MAIN_TAGS for x, _ in stack))
             if inside != kind:
                 flush()
+            if name == "form" and form < 0:
+                form, forms = forms, forms + 1
             stack.append((name, inside))
             kind = inside
             link_depth += name == "a"
@@ -198,7 +228,20 @@ def blocks(page: str | None) -> list[Block]:
                 link_depth -= sum(x == "a" for x, _ in stack[depth:])
                 del stack[depth:]
                 kind = before
+                if form >= 0 and not any(x == "form" for x, _ in stack):
+                    form = -1
     flush()
+    if forms:
+        words = [0] * (forms + 1)  # the last of what stands in no form
+        for b in out:
+            words[b.form] += b.words
+        article = any(b.kind == 1 and b.form < 0 for b in out)
+        for b in out:
+            if b.kind in (_FORM, _MAIN_FORM):
+                wide = 2 * words[b.form] > sum(words) and (b.kind == _MAIN_FORM or not article)
+                b.kind = (1 if b.kind == _MAIN_FORM else 0) if wide else 2
+    for b in out:
+        b.kind = min(b.kind, 2)
     return out
 
 

@@ -99,6 +99,23 @@ def test_pages_without_article_use_words_and_links():
     assert html_text.main_text(page, tree) == f"{long}\n\n{long}"
 
 
+LONG = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form id=aspnetForm><nav><a href=/>Home</a></nav><article><p>{LONG}</p></article></form></body>",
+    f"<body><form id=aspnetForm><div><p>{LONG}</p><p>{LONG}</p></div><footer>us</footer></form></body>",
+    *[f"<body><div class='{c}'><article><p>{LONG}</p></article><div class=sidebar><p>Ten more of these</p></div></div>"
+      for c in ("has-sidebar", "layout with-sidebar", "page sidebar-right", "no-sidebar", "overlay")],
+    f"<body><div class='layout with-sidebar'><div><p>{LONG}</p><p>{LONG}</p></div><div class=sidebar>Ten more</div></div>",
+    *[f"<article><p>{LONG}</p></article><div class={c}><article><p>I disagree with all of this</p></article><p>{LONG} no</p></div>"
+      for c in ("article-comments", "post-comments", "entry-comments")],
+    f"<main><p>{LONG}</p></main><footer><article><p>{LONG} no</p></article></footer><form><p>{LONG} {LONG} {LONG}</p></form>"])
+def test_wrappers_do_not_lose_the_article_and_comments_stay_out(page):
+    got = html_text.main_text(page, html_text.train_tree())
+    assert got in (LONG, f"{LONG}\n\n{LONG}") and got.count(LONG) == min(page.count(f"<p>{LONG}</p>"), 2)
+
+
 def said(rows):
     turns = "".join(f"{r or ''}\n{t or ''}\n" for r, t in rows)
     loss = "".join(t or "" for r, t in rows if r == "assistant")
