@@ -13,7 +13,8 @@ loss has ``<reply>`` in the place of ``<says>``. Inside roles and texts ``\\`` i
 escape is undone exactly.
 
 Defined cases: null text or role is the empty string; a null score is 0; a parent
-that is missing makes its child a root; messages repeated under one node id of a
+that is missing makes its child a root; a null conversation is one conversation, and a null
+node one node of its conversation, which no parent names; messages repeated under one node id of a
 conversation are different messages of one turn, in the order of role and text; an
 empty table gives no rows. A parent cycle raises ValueError. Rows of a
 conversation meet in one task only where its formatted text, one value, is built.
@@ -45,17 +46,23 @@ def format_turn(role: Column, text: Column, loss: Column) -> Column:
                     escape(text), F.lit("</turn>\n"))
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join by key columns of one name, where null equals null."""
+    right = right.select(*[F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in right.columns])
+    return left.join(right, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys], how).drop(*[f"_{c}" for c in keys])
+
+
 def paths(links: DataFrame) -> DataFrame:
     """(conv_id, leaf, node, up) for every node on every root-to-leaf path; ``up`` steps from the leaf.
 
     ``links`` has conv_id, node and parent; (conv_id, node) is unique.
     """
     nodes = links.select("conv_id", "node")
-    jump = written(links.where("parent is not null").join(
-        nodes.withColumnRenamed("node", "parent"), ["conv_id", "parent"], "left_semi")
+    jump = written(_join(links.where("parent is not null"), nodes.withColumnRenamed("node", "parent"),
+                         ["conv_id", "parent"], "left_semi")
         .select("conv_id", "node", F.col("parent").alias("above")), "chat-links")
     inner = jump.select("conv_id", F.col("above").alias("node")).distinct()
-    parts = [written(nodes.join(inner, ["conv_id", "node"], "left_anti").select(
+    parts = [written(_join(nodes, inner, ["conv_id", "node"], "left_anti").select(
         "conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "chat-leaves")]
     steps, left = 1, jump.count()
     longest = left + 1
@@ -63,10 +70,10 @@ def paths(links: DataFrame) -> DataFrame:
         if steps > longest:
             raise ValueError("the parents of some messages form a cycle")
         # each round adds only the nodes that its jump reaches
-        parts.append(written(reduce(DataFrame.union, parts).join(jump, ["conv_id", "node"]).select(
+        parts.append(written(_join(reduce(DataFrame.union, parts), jump, ["conv_id", "node"]).select(
             "conv_id", "leaf", F.col("above").alias("node"), (F.col("up") + steps).alias("up")), "chat-paths"))
-        jump = written(jump.join(jump.select("conv_id", F.col("node").alias("above"), F.col("above").alias("top")),
-                                 ["conv_id", "above"])
+        jump = written(_join(jump, jump.select("conv_id", F.col("node").alias("above"), F.col("above").alias("top")),
+                             ["conv_id", "above"])
                        .select("conv_id", "node", F.col("top").alias("above")), "chat-jump")
         left, steps = jump.count(), 2 * steps
     return reduce(DataFrame.union, parts)
@@ -88,7 +95,7 @@ def format_trees(messages: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES,
                            F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), score.alias("score"))
     links = rows.groupBy("conv_id", "node").agg(F.min("parent").alias("parent"))
     walked = paths(links)
-    said = walked.join(rows.drop("parent"), ["conv_id", "node"])
+    said = _join(walked, rows.drop("parent"), ["conv_id", "node"])
     turn = format_turn(F.col("role"), F.col("text"), F.col("role").isin(*loss_roles))
     in_path = W.partitionBy("conv_id", "leaf").orderBy(F.col("up").desc(), "role", "text")
     said = (said.withColumn("turn", turn)
@@ -109,7 +116,7 @@ def format_trees(messages: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES,
     ids = whole.select("conv_id", "leaf", "path_score").withColumn("path_rank", F.row_number().over(ranked))
     if top_paths is None:
         return whole.withColumn("path_rank", F.row_number().over(ranked))
-    return whole.drop("path_score").join(ids.where(F.col("path_rank") <= top_paths), ["conv_id", "leaf"])
+    return _join(whole.drop("path_score"), ids.where(F.col("path_rank") <= top_paths), ["conv_id", "leaf"])
 
 
 def read_back(formatted: Column) -> tuple[Column, Column]:

@@ -137,6 +137,15 @@ def test_chat_round_trip(spark):
         assert texts == [t or "" for who, t in talks[r.conv_id] if who == "assistant"]
 
 
+def test_null_conversations_and_nodes_are_formatted(spark):
+    rows = [(None, 1, None, "user", "q"), (None, 2, 1, "assistant", "a"), (None, None, 1, "assistant", "b"),
+            (1, None, None, "user", "alone"), (1, 2, 7, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, node long, parent long, role string, text string")
+    for top in (None, 9):
+        out = {(r.conv_id, r.leaf, r.n_turns) for r in chat.format_trees(df, top_paths=top).collect()}
+        assert out == {(None, 2, 2), (None, None, 2), (1, None, 1), (1, 2, 1)}
+
+
 def test_chat_trees_are_ranked_by_score(spark):
     #      1 -> 2 -> 4 and 5 ; 1 -> 3 ; 9 hangs on nothing that exists
     rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "a", 1.0), (1, 3, 1, "assistant", "b", 5.0),
