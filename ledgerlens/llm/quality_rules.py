@@ -2,7 +2,7 @@
 
 Method: lower-cased words and punctuation runs give unigrams and bigrams, hashed
 into a fixed number of buckets. Two multinomials over the buckets are counted, one
-on all documents (raw) and one on a trusted target sample, each smoothed by one
+on all documents (raw) and one on all documents labelled good (target), each smoothed by one
 count per bucket. A document's score is the mean over its n-grams of
 ``log(p_target / p_raw)``, so length does not matter, and every document whose score
 is below the threshold is not kept. Only DataFrame functions are used; the bucket
@@ -25,8 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 8192
-#: rows of the trusted target sample
-TARGET_ROWS = 4000
 THRESHOLD = -0.25
 MIN_WORDS = 20
 WINDOW = 8
@@ -109,11 +107,11 @@ def bucket_weights(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -
             for b in range(buckets)]
 
 
-def target_sample(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
-    """Documents labelled good: the ``rows`` labelled ids of smallest hash (a bounded sample)."""
+def target_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All documents labelled good."""
     good = (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"))
-            .distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.join(F.broadcast(good), "doc_id", "left_semi")
+            .distinct())
+    return docs.join(good, "doc_id", "left_semi")
 
 
 def judge(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD, id_col: str = "doc_id",

@@ -116,6 +116,12 @@ def test_wrappers_do_not_lose_the_article_and_comments_stay_out(page):
     assert got in (LONG, f"{LONG}\n\n{LONG}") and got.count(LONG) == min(page.count(f"<p>{LONG}</p>"), 2)
 
 
+def test_target_counts_every_good_document(spark):
+    docs = spark.range(4100).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert quality_rules.target_sample(docs, labels.union(labels)).count() == 4100
+
+
 def said(rows):
     turns = "".join(f"{r or ''}\n{t or ''}\n" for r, t in rows)
     loss = "".join(t or "" for r, t in rows if r == "assistant")
