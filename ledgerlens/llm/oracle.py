@@ -53,3 +53,51 @@ SELECT conv_id, count(*) AS n_turns,
            + length(replace(replace(text, '\', '\b'), '<', '\l'))) AS BIGINT) AS formatted_chars
 FROM m GROUP BY conv_id
 """
+
+SQL["op12_filter_audit"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+m AS (SELECT doc_id, part,
+        (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+        + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad
+      FROM m LEFT JOIN l ON l.doc_id = m.doc_id GROUP BY part, mask),
+o AS (SELECT '' AS ord, 0 AS used UNION ALL
+      SELECT ord || f, used + bit FROM o, (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, bit) WHERE used & bit = 0),
+s AS (SELECT ord AS filter_order, step, 1 << (ascii(ord[step]) - 65) AS bit,
+             coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(ord[i]) - 65))), 0) AS before
+      FROM o, range(1, 6) r(step) WHERE length(ord) = 5),
+a AS (SELECT part, filter_order, step, bit,
+        coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit = 0), 0) AS kept,
+        coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS removed,
+        coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0) AS redundant,
+        coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS good_lost,
+        coalesce(sum(bad) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM a
+"""
+
+SQL["op13_lexical_search"] = r"""
+WITH q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+g AS (SELECT count(*) AS nd, sum(len(terms)) AS l FROM t WHERE len(terms) > 0),
+p AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM t),
+f AS (SELECT r, doc_id, n, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, g GROUP BY term, nd),
+s AS (SELECT q.item_id, f.r, f.doc_id,
+             sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * (100 - 50 + CAST((50 * f.n * nd) // l AS BIGINT))))) AS score
+      FROM f JOIN w USING (term) JOIN q USING (term), g GROUP BY q.item_id, f.r, f.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 50
+"""

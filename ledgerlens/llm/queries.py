@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    bpe, chat, html_text, minhash, packing, quality_classifier, quality_rules, token_counts, topk_search, toxicity)
+    bpe, chat, filter_audit, html_text, kd_shards, lexical_search, minhash, packing, quality_classifier, quality_rules,
+    token_counts, topk_search, toxicity)
 from ledgerlens.llm.common import read_table
 
 
@@ -66,6 +67,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op11_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of near equal bytes, cut by language, source and size."""
+    docs = read_table(spark, sf_dir, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    return kd_shards.shard(docs, labels=["lang", "source"], numbers=[size], shards=16)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline of the repository's top folder."""
     import corpus_pipeline
@@ -76,5 +92,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash, op2_quality_rules, op3_html_extraction, op4_topk_search, op5_packing, op6_toxicity,
-        op7_token_counts, op8_chat_formatting, op9_quality_classifier, op10_bpe, pipeline)
+        op7_token_counts, op8_chat_formatting, op9_quality_classifier, op10_bpe, op11_kd_sharding,
+        op12_filter_audit, op13_lexical_search, pipeline)
 }

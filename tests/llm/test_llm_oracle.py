@@ -12,14 +12,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_has_one_query():
     names = [n.split("_")[0] for n in QUERIES if n != "pipeline"]
-    assert names == [f"op{i}" for i in range(1, 11)]
+    assert names == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     con.execute(f"CREATE VIEW answer AS {SQL[name]}")
     found = con.execute("SELECT * FROM answer")
