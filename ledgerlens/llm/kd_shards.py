@@ -16,7 +16,8 @@ per bin) and the cuts reach the driver; the rows are read from a narrow table an
 meet the cuts of their node, a few a shard, in a broadcast join.
 
 Copies of a text get the smallest value their group has in each dimension, so that
-a group is one point; a group lighter than ``GROUP`` of a shard is never cut.
+a group is one point; a group no heavier than ``GROUP`` of a shard or than the heaviest
+row is never cut.
 
 Defined cases: a null text has one byte (like an empty one) and the checksum of no
 bytes; null labels and numbers sort before all others; rows that repeat, and ids
@@ -139,23 +140,24 @@ def tree(at: DataFrame, dims: int, shards: int) -> tuple[list[DataFrame], dict[i
     spark = at.sparkSession
     leaves, done, levels = {1: shards}, {}, []
     spread: list[int] = []
-    leaf = 0.0
+    leaf, whole = 0.0, 0.0
     while True:
         splitting = {n: k for n, k in leaves.items() if k > 1}
         done |= {n: k for n, k in leaves.items() if k == 1}
         if not splitting:
             break
-        ranges = at.groupBy("node").agg(F.sum("size"), *[f(f"c{i}") for i in range(dims) for f in (F.min, F.max)]).collect()
+        ranges = at.groupBy("node").agg(F.sum("size"), F.max("size"), *[f(f"c{i}") for i in range(dims) for f in (F.min, F.max)]).collect()
         leaves, searches = {}, []
         for r in ranges:
             if r[0] not in splitting:
                 continue
             node, total, k = r[0], r[1], splitting.pop(r[0])
-            width = [r[3 + 2 * i] - r[2 + 2 * i] for i in range(dims)]
+            width = [r[4 + 2 * i] - r[3 + 2 * i] for i in range(dims)]
             if not levels:
                 spread, leaf = [max(1, w) for w in width], total / shards
+                whole = max(GROUP * leaf, r[2])
             dim = max(range(dims), key=lambda i: (width[i] / spread[i], -i))
-            searches.append(_Search(node, dim, total * (k // 2) / k, r[2 + 2 * dim], r[3 + 2 * dim]))
+            searches.append(_Search(node, dim, total * (k // 2) / k, r[3 + 2 * dim], r[4 + 2 * dim]))
             leaves |= {2 * node: k // 2, 2 * node + 1: k - k // 2}
         for node, k in splitting.items():  # nodes without rows
             leaves |= {2 * node: k // 2, 2 * node + 1: k - k // 2}
@@ -163,7 +165,7 @@ def tree(at: DataFrame, dims: int, shards: int) -> tuple[list[DataFrame], dict[i
             levels.append(spark.createDataFrame([], _CUTS))
             continue
         while any(s.cut is None for s in searches):
-            _round(at, dims, [s for s in searches if s.cut is None], leaf)
+            _round(at, dims, [s for s in searches if s.cut is None], SLACK * leaf, whole)
         levels.append(spark.createDataFrame([(s.node, s.dim, *s.cut) for s in searches], _CUTS))
         at = _placed(at, levels[-1], dims)
     top = max((n.bit_length() for n in done), default=1)
@@ -171,7 +173,7 @@ def tree(at: DataFrame, dims: int, shards: int) -> tuple[list[DataFrame], dict[i
     return levels, {n: i for i, n in enumerate(order)}
 
 
-def _round(at: DataFrame, dims: int, searches: list[_Search], leaf: float) -> None:
+def _round(at: DataFrame, dims: int, searches: list[_Search], slack: float, group: float) -> None:
     """One refinement of all open searches of a level."""
     spark = at.sparkSession
     bins = max(MIN_BINS, BINS // len(searches))
@@ -192,7 +194,7 @@ def _round(at: DataFrame, dims: int, searches: list[_Search], leaf: float) -> No
     for node, bin_no, *sums in rows:
         found.setdefault(node, []).append((bin_no, tuple(sums)))
     for s in searches:
-        s.step([sums for _, sums in sorted(found[s.node])], SLACK * leaf, GROUP * leaf)
+        s.step([sums for _, sums in sorted(found[s.node])], slack, group)
 
 
 def shard(docs: DataFrame, labels: Sequence[str] = (), numbers: Sequence[Column] = (), shards: int | None = None,
