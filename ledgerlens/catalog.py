@@ -912,3 +912,6 @@ def product_listing(spark, d):
     return (_t(spark, d, "part").filter(F.col("p_brand").isNotNull()).groupBy("p_brand")
             .agg(F.count("p_partkey").alias("n_products"),
                  F.array_join(F.array_sort(F.collect_set("p_type")), ", ").alias("types")))
+
+
+from ledgerlens import catalog_ingest  # noqa: E402,F401  (registers its queries)

@@ -935,3 +935,77 @@ SQL["product_listing"] = """
 SELECT p_brand, count(p_partkey) AS n_products, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS types
 FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand
 """
+
+
+# ---------------------------------------------------------------- loading: inferred CSV, failing files, bad lines, file order
+SQL["csv_inferred_orders"] = """
+SELECT o_orderkey AS order_key, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS customer,
+       CAST(CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE o_totalprice END AS DOUBLE) AS price,
+       CAST(o_orderdate AS DATE) AS ordered,
+       CASE WHEN o_orderstatus = 'O' THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '12 hours 30 minutes'
+            ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS placed,
+       o_orderpriority = '1-URGENT' AS rush,
+       CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'unknown batch' ELSE CAST(o_custkey AS VARCHAR) END AS batch,
+       CAST(NULL AS DOUBLE) AS note, o_orderpriority AS priority
+FROM orders
+"""
+
+SQL["csv_inferred_types"] = """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS low FROM orders)
+SELECT CAST(position AS INTEGER) AS position, column_name, data_type,
+       CASE column_name WHEN 'customer' THEN low WHEN 'note' THEN n ELSE 0 END AS n_missing, n AS n_rows
+FROM n, (VALUES (1, 'order_key', 'bigint'), (2, 'customer', 'bigint'), (3, 'price', 'double'), (4, 'ordered', 'date'),
+                (5, 'placed', 'timestamp_ntz'), (6, 'rush', 'boolean'), (7, 'batch', 'string'), (8, 'note', 'double'),
+                (9, 'priority', 'string')) v(position, column_name, data_type)
+"""
+
+SQL["table_load_report"] = "\nUNION ALL\n".join(
+    [f"SELECT '{t}' AS table_name, 'loaded' AS state, CAST(NULL AS VARCHAR) AS reason, '{f}' AS file_format, count(*) AS n_rows FROM {t}"
+     for t, f in (("region", "parquet"), ("nation", "csv"), ("customer", "parquet"), ("orders", "parquet"), ("events", "parquet"))]
+    + ["SELECT 'supplier', 'corrupt', 'not readable as parquet', 'parquet', NULL",
+       "SELECT 'part', 'corrupt', 'not readable as csv', 'csv', NULL",
+       "SELECT 'lineitem', 'absent', 'no such file', NULL, NULL"])
+
+_ORDER_LINES = """
+WITH r AS (
+  SELECT *, CASE WHEN o_orderpriority = '2-HIGH' THEN 'n/a' ELSE printf('%.2f', o_totalprice) END AS price,
+         strftime(o_orderdate, '%Y-%m-%d') AS d, '"' || o_orderpriority || ', ""checked""' AS said,
+         CASE WHEN o_orderstatus = 'P' THEN 'too_many_fields'
+              WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 'open_quote'
+              WHEN o_orderpriority = '5-LOW' THEN 'too_few_fields' END AS reason
+  FROM orders),
+l AS (
+  SELECT *, CASE reason
+      WHEN 'too_many_fields' THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, price, d, said || '"', 'late')
+      WHEN 'open_quote' THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, price, d, said)
+      WHEN 'too_few_fields' THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, said || '"') END AS line
+  FROM r)
+"""
+
+SQL["csv_quarantine"] = _ORDER_LINES + "SELECT reason, line FROM l WHERE reason IS NOT NULL"
+
+SQL["csv_parsed_orders"] = _ORDER_LINES + """
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN price = 'n/a' THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority || ', "checked"' AS remark
+FROM l WHERE reason IS NULL
+"""
+
+SQL["csv_quality_report"] = _ORDER_LINES + """
+SELECT 'orders_csv' AS table_name, 'missing' AS issue, 'o_totalprice' AS column_name, count(*) AS n
+FROM l WHERE reason IS NULL AND price = 'n/a' HAVING count(*) > 0
+UNION ALL SELECT 'orders_csv', 'bad_lines:' || reason, NULL, count(*) FROM l WHERE reason IS NOT NULL GROUP BY reason
+"""
+
+SQL["last_company_in_file"] = """
+WITH o AS (SELECT *, row_number() OVER () AS place FROM orders)
+SELECT o_custkey, count(o_orderkey) AS order_count,
+       arg_max(o_orderpriority, place) FILTER (WHERE o_orderpriority <> '4-NOT SPECIFIED') AS company
+FROM o WHERE o_custkey IS NOT NULL GROUP BY o_custkey
+"""
+
+SQL["employee_first_last_line"] = """
+WITH l AS (SELECT *, row_number() OVER () AS place FROM lineitem),
+g AS (SELECT l_suppkey, min(place) AS low, max(place) AS high FROM l WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey)
+SELECT s_suppkey, s_name, a.l_partkey AS first_part, a.l_orderkey AS first_order, b.l_partkey AS last_part, b.l_orderkey AS last_order
+FROM supplier LEFT JOIN g ON g.l_suppkey = s_suppkey LEFT JOIN l a ON a.place = g.low LEFT JOIN l b ON b.place = g.high
+"""
