@@ -39,6 +39,8 @@ from ledgerlens.llm.common import written
 SLACK = 1 / 256
 #: part of a shard's bytes up to which copies of one text stay together
 GROUP = 1 / 32
+#: a group of copies is hot from HOT_COPIES rows, or the MAX_HOT-th part of all rows, on
+HOT_COPIES, MAX_HOT = 64, 100_000
 #: bins of a round, shared by the nodes of a level (each has MIN_BINS at least)
 BINS, MIN_BINS = 32768, 16
 #: bytes of a label that make its coordinate
@@ -64,7 +66,7 @@ def _label_coordinates(docs: DataFrame, labels: Sequence[str]) -> list[Column]:
 
 def points(docs: DataFrame, labels: Sequence[str], numbers: Sequence[Column], id_col: str = "doc_id",
            text_col: str = "text") -> tuple[DataFrame, int]:
-    """The narrow table (doc_id, size, text_crc32, h, row, c0, c1, ...) and its number of dimensions."""
+    """The narrow table (doc_id, size, text_crc32, h, row, node 1, c0, c1, ...) and its number of dimensions."""
     raw = F.coalesce(F.encode(F.col(text_col).cast("string"), "utf-8"), F.lit(b""))
     least = F.lit(-(1 << 62))
     dims = _label_coordinates(docs, labels) + [F.coalesce(x.cast("long"), least) for x in numbers]
@@ -73,14 +75,20 @@ def points(docs: DataFrame, labels: Sequence[str], numbers: Sequence[Column], id
         F.col(id_col).alias("doc_id"), (F.octet_length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"), F.shiftrightunsigned(F.xxhash64(raw), 1).alias("h"),
         F.monotonically_increasing_id().alias("row"), *[d.alias(n) for n, d in zip(names, dims)]), "kd-rows")
-    groups = (rows.groupBy("h", "size", "text_crc32")
-              .agg(*[F.min(n).alias(f"g_{n}") for n in names], *[F.max(n).alias(f"x_{n}") for n in names])
-              .filter(reduce(lambda a, b: a | b, [F.col(f"g_{n}") != F.col(f"x_{n}") for n in names], F.lit(False)))
-              .drop(*[f"x_{n}" for n in names]))
-    joined = rows.join(groups, ["h", "size", "text_crc32"], "left")
-    return written(joined.select(
-        "doc_id", "size", "text_crc32", "h", "row",
-        *[F.coalesce(f"g_{n}", n).alias(n) for n in names]), "kd-points"), len(names)
+    key, own = ["h", "size", "text_crc32"], [F.col(n) for n in names]
+    differ = reduce(lambda a, b: a | b, [F.col(f"g_{n}") != F.col(f"x_{n}") for n in names], F.lit(False))
+    hot = F.col("copies") >= max(HOT_COPIES, rows.count() // MAX_HOT)
+    groups = written(rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("copies"), *[F.min(n).alias(f"g_{n}") for n in names],
+        *[F.max(n).alias(f"x_{n}") for n in names]).filter(hot | differ)
+        .select(*key, *[f"g_{n}" for n in names], hot.alias("hot")), "kd-groups")
+    # MAX_HOT groups at most are hot; their rows meet them without a shuffle, all others are small groups
+    known = rows.join(F.broadcast(groups.filter("hot")), key, "left")
+    rest = known.filter(F.col("hot").isNull()).select(*rows.columns).join(groups.filter(~F.col("hot")), key, "left")
+    kept = [*[F.col(c) for c in ("doc_id", "size", "text_crc32", "h", "row")], F.lit(1).cast("long").alias("node")]
+    both = known.filter("hot").select(*kept, *[F.col(f"g_{n}").alias(n) for n in names]).union(
+        rest.select(*kept, *[F.coalesce(F.col(f"g_{n}"), c).alias(n) for n, c in zip(names, own)]))
+    return written(both, "kd-points"), len(names)
 
 
 def _placed(at: DataFrame, cuts: DataFrame, dims: int) -> DataFrame:
@@ -208,7 +216,6 @@ def shard(docs: DataFrame, labels: Sequence[str] = (), numbers: Sequence[Column]
     if shards is None:
         total = at.agg(F.sum("size")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
-    at = at.withColumn("node", F.lit(1).cast("long"))
     levels, leaf_of = tree(at, dims, shards)
     for cuts in levels:
         at = _placed(at, cuts, dims)
