@@ -81,7 +81,7 @@ def rfm_segment_summary(spark, d):
 
 @query
 def vip_list(spark, d):
-    scored = rfm_plan.rfm(_t(spark, d, "orders"), keep_ranks=True)
+    scored = rfm_plan.rfm(_t(spark, d, "orders"))
     out = rfm_plan.vip_list(scored, _t(spark, d, "customer"), "c_custkey",
                             ["c_acctbal", "c_mktsegment", "c_nationkey"], age_col="c_acctbal",
                             age_edges=VIP_BALANCE_EDGES, age_labels=VIP_BALANCE_LABELS)
@@ -719,17 +719,16 @@ def export_outputs(spark, d):
     # the matrix columns are retention's month indices (bounded by months)
     months = [r[0] for r in cells.select("cohort_index").distinct().orderBy("cohort_index").collect()]
     # one RFM computation feeds the RFM, VIP and feature exports
-    scored = rfm_plan.rfm(_t(spark, d, "orders"), keep_ranks=True)
-    plain = scored.drop("_m_rn", "_n")
+    scored = rfm_plan.rfm(_t(spark, d, "orders"))
     tables = {
-        "rfm_segments": rfm_plan.with_double_money(plain),
+        "rfm_segments": rfm_plan.with_double_money(scored),
         "vip_customers": rfm_plan.with_double_money(rfm_plan.vip_list(
             scored, _t(spark, d, "customer"), "c_custkey",
             ["c_acctbal", "c_mktsegment", "c_nationkey"], age_col="c_acctbal",
             age_edges=VIP_BALANCE_EDGES, age_labels=VIP_BALANCE_LABELS)),
         "pareto_analysis": pareto_top(spark, d),
         "volume_margin_scatter": volume_margin(spark, d),
-        "feature_table": rfm_plan.with_double_money(_feature_table(spark, d, plain)),
+        "feature_table": rfm_plan.with_double_money(_feature_table(spark, d, scored)),
     }
     matrices = {
         "cohort_retention_matrix": (ret, "retention_pct"),

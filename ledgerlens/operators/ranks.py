@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.session import materialize
-from ledgerlens.operators.scalars import with_row
+from ledgerlens.operators.selection import quantiles
 
 _PID, _POS, _OFF = "_ll_pid", "_ll_pos", "_ll_off"
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -75,21 +75,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], prefix: s
                     groups: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas / ``percentile`` semantics), always double.
 
-    Values are counted first (map-side combined), so a hot value is one row;
+    Without groups the values are selected (``operators.selection``): no row is moved.
+    With groups values are counted first (map-side combined), so a hot value is one row;
     the running count over the distinct values is spread over range partitions
     at every size, and each wanted rank lies in the value whose running count
     covers it. Returns one row per group with columns ``{prefix}0``, ``{prefix}1``, ...
     """
     groups = list(groups)
+    if not groups:
+        return df.sparkSession.createDataFrame(
+            [tuple(quantiles(df, value, probs))], ", ".join(f"{prefix}{i} double" for i in range(len(probs))))
     v, n, cum = F.col("_ll_v"), F.col("_ll_n"), F.col("_ll_cum")
     counted = (df.select(*groups, F.col(value).cast("double").alias("_ll_v")).filter(v.isNotNull())
                .groupBy(*groups, "_ll_v").agg(F.count(F.lit(1)).alias("_ll_n")))
     run = global_running_sum(counted, groups + ["_ll_v"], "_ll_n", "_ll_cum")
     sizes = (F.min(cum - n).alias("_ll_start"), F.sum(n).alias("_ll_cnt"))
-    if groups:
-        run = run.join(run.groupBy(*groups).agg(*sizes), groups)
-    else:
-        run = run.transform(with_row(run.agg(*sizes)))
+    run = run.join(run.groupBy(*groups).agg(*sizes), groups)
     picks, out = [], []
     for i, p in enumerate(probs):
         h = (F.col("_ll_cnt") - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(10,9)")
@@ -99,4 +100,4 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], prefix: s
         picks.append(F.max((h - F.floor(h)).cast("double")).alias(f"_ll_part{i}"))
         out.append((F.col(f"_ll_lo{i}") + (F.col(f"_ll_hi{i}") - F.col(f"_ll_lo{i}"))
                     * F.col(f"_ll_part{i}")).alias(f"{prefix}{i}"))
-    return (run.groupBy(*groups).agg(*picks) if groups else run.agg(*picks)).select(*groups, *out)
+    return run.groupBy(*groups).agg(*picks).select(*groups, *out)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import money, pct
 from ledgerlens.operators.ranks import global_running_sum
 from ledgerlens.operators.rollups import top_k
+from ledgerlens.operators.selection import Extent, Place, find
 from ledgerlens.session import materialize
 from ledgerlens.operators.scalars import with_row
 
@@ -37,17 +40,22 @@ def pareto_top(rev: DataFrame, top_n: int = 20) -> DataFrame:
 def pareto_80(rev: DataFrame, share: float = 0.8) -> DataFrame:
     """Customers needed for ``share`` of revenue: count(cumsum <= share*total)+1.
 
-    The order of tied revenues does not change the count, and the running sum
-    is computed by ``global_running_sum`` over range partitions.
+    The place where the running sum passes the limit is selected by refined
+    histograms of (count, exact sum); the order of tied revenues does not change the
+    count. A running sum only falls where revenues are negative: then it is formed
+    over range partitions.
     """
     rev = materialize(rev)
-    totals = rev.agg(F.count(F.lit(1)).alias("total_customers"), F.sum("revenue").alias("_total"))
-    run = global_running_sum(rev, [F.col("revenue").desc(), F.col(KEY).asc()], "revenue", "_cum")
-    limit = F.col("_total") * F.lit(str(share)).cast("decimal(4,3)")
-    counted = (run.transform(with_row(totals))
-               .agg(F.count_if(F.col("_cum") <= limit).alias("_k")))
-    return (counted.transform(with_row(totals))
-            .select("total_customers",
-                    F.col("_total").cast("double").alias("total_revenue"),
-                    (F.col("_k") + 1).alias("customers_for_share"),
-                    pct(F.col("_k") + 1, "total_customers").alias("pct_customers_for_share")))
+    part, seen = Decimal(str(share)), []
+
+    def wanted(x: Extent) -> list[Place]:
+        seen.append(x)
+        return [Place(limit=x.total * part, descending=True)]
+    place, = find(rev, "revenue", wanted)
+    n, total, within = seen[0].n, seen[0].total, place.before
+    if n and seen[0].low < 0:
+        run = global_running_sum(rev, [F.col("revenue").desc(), F.col(KEY).asc()], "revenue", "_cum")
+        within = run.filter(F.col("_cum") <= F.lit(total * part)).count()
+    return (rev.sparkSession.createDataFrame([(n, float(total) if n else None, within + 1)],
+                                             "total_customers long, total_revenue double, customers_for_share long")
+            .withColumn("pct_customers_for_share", pct("customers_for_share", "total_customers")))

@@ -1,9 +1,8 @@
 """Recency / frequency / monetary scores, segments, segment summary, VIP list.
 
 Scale notes: the per-customer base is one partial+final hash aggregate over
-orders. The two rank-based scores need a global order; they use
-``global_row_number`` (range partitioning + checkpoint) chained so the
-customer rows are carried along instead of re-joined. Recency edges use the
+orders. The two rank-based scores need four rows of a global order each; they
+are selected by refined histograms, so no customer is sorted or moved. Recency edges use the
 exact ``percentile`` aggregate, whose state is one counter per distinct day
 (bounded by the calendar, not the data).
 """
@@ -14,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions.bins import cut
 from ledgerlens.functions.exprs import money, qcut_rank_bin, round_half_even, mean_of_sum
@@ -21,6 +21,7 @@ from ledgerlens.functions.rules import VIP_SEGMENTS, rfm_segment, vip_tier
 from ledgerlens.operators.lookup import lookup_small
 from ledgerlens.operators.ranks import exact_quantiles, global_row_number
 from ledgerlens.operators.rollups import top_k
+from ledgerlens.operators.selection import bin_edges, bin_of
 from ledgerlens.session import materialize
 from ledgerlens.operators.scalars import with_row
 
@@ -54,57 +55,52 @@ def rfm_base(orders: DataFrame, key: str = "o_custkey", order_id: str = "o_order
             .select(KEY, "recency", "frequency", "monetary"))
 
 
-def rfm_scores(base: DataFrame, keep_ranks: bool = False) -> DataFrame:
+def _rank_bins(base: DataFrame, bins: int = 5) -> DataFrame:
+    """``f_score`` and ``m_score``: ``qcut(rank(method='first'), 5)`` by (metric, key).
+
+    Only the last row of each bin is needed, and it is selected without a sort
+    (``operators.selection``). Customer keys that are no integers are ranked over
+    range partitions instead.
+    """
+    if not isinstance(base.schema[KEY].dataType, T.IntegralType):
+        ranked = global_row_number(global_row_number(base, ["frequency", KEY], "_f"), ["monetary", KEY], "_m")
+        n = ranked.agg(F.count(F.lit(1)).alias("_n"))
+        return (ranked.transform(with_row(n)).withColumn("f_score", qcut_rank_bin("_f", "_n", bins))
+                .withColumn("m_score", qcut_rank_bin("_m", "_n", bins)).drop("_f", "_m", "_n"))
+    for metric, score in (("frequency", "f_score"), ("monetary", "m_score")):
+        edges, _ = bin_edges(base, metric, KEY, bins)
+        base = base.withColumn(score, bin_of(F.col(metric), F.col(KEY), edges, base.schema[metric].dataType))
+    return base
+
+
+def rfm_scores(base: DataFrame) -> DataFrame:
     """Add r/f/m scores (1..5), the 3-digit code, the total and the segment.
 
     * R: five quantile bins of raw recency, labels reversed (low recency = 5),
       lowest edge included; coinciding edges -> first matching edge wins.
     * F, M: ``qcut(rank(method='first'))`` – rank on (metric, key).
 
-    The recency edges and the customer count are read from the checkpointed
-    ranked rows, so the orders aggregate runs once. ``keep_ranks`` keeps
-    ``_m_rn`` / ``_n`` for monetary quantiles without another sort.
+    The customer table is materialised once; the edges are read from it, so the
+    orders aggregate runs once.
     """
-    # range partitioning samples its input before it sorts it: materialise the
-    # customer table once for the first rank; the second reads the first's checkpoint
     base = materialize(base)
-    ranked = global_row_number(base, ["frequency", KEY], "_f_rn")
-    ranked = global_row_number(ranked, ["monetary", KEY], "_m_rn")
-    edges = ranked.agg(F.percentile("recency", R_PROBS).alias("_e"),
-                       F.count(F.lit(1)).alias("_n"))
+    edges = base.agg(F.percentile("recency", R_PROBS).alias("_e"))
     e = F.col("_e")
     r = (F.when(F.col("recency") <= e[0], 5).when(F.col("recency") <= e[1], 4)
          .when(F.col("recency") <= e[2], 3).when(F.col("recency") <= e[3], 2).otherwise(1))
-    scored = (ranked.transform(with_row(edges))  # one-row scalar
-              .withColumn("r_score", r.cast("long"))
-              .withColumn("f_score", qcut_rank_bin("_f_rn", "_n"))
-              .withColumn("m_score", qcut_rank_bin("_m_rn", "_n")))
-    scored = (scored
-              .withColumn("rfm_score", F.concat(F.col("r_score").cast("string"),
-                                                F.col("f_score").cast("string"),
-                                                F.col("m_score").cast("string")))
-              .withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
-              .withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
-              .drop("_e", "_f_rn"))
-    return scored if keep_ranks else scored.drop("_m_rn", "_n")
-
-
-def quantile_from_rank(df: DataFrame, value: str, rank: str, n: str, p: float,
-                       name: str) -> DataFrame:
-    """Linear-interpolated quantile of ``value`` from an existing 1-based rank
-    (``rank`` orders ``value`` ascending): one row, two looked-up positions."""
-    h = (F.col(n) - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(10,9)")
-    sel = df.select(value, rank, h.alias("_h")).filter(
-        (F.col(rank) == F.floor("_h") + 1) | (F.col(rank) == F.ceil("_h") + 1))
-    picked = sel.agg(F.max("_h").alias("_h"), F.min_by(value, rank).alias("_lo"),
-                     F.max_by(value, rank).alias("_hi"))
-    return picked.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_h") - F.floor("_h")))
-                         .alias(name))
-
-
-def rfm(orders: DataFrame, keep_ranks: bool = False, **cols) -> DataFrame:
+    return (_rank_bins(base).transform(with_row(edges))  # one-row scalar
+            .withColumn("r_score", r.cast("long"))
+            .withColumn("rfm_score", F.concat(F.col("r_score").cast("string"),
+                                              F.col("f_score").cast("string"),
+                                              F.col("m_score").cast("string")))
+            .withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+            .withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
+            .select(*base.columns, "r_score", "f_score", "m_score", "rfm_score", "rfm_total", "segment"))
+
+
+def rfm(orders: DataFrame, **cols) -> DataFrame:
     """Scored RFM table; monetary stays DECIMAL(28,2) for exact downstream sums."""
-    return rfm_scores(rfm_base(orders, **cols), keep_ranks=keep_ranks)
+    return rfm_scores(rfm_base(orders, **cols))
 
 
 def with_double_money(df: DataFrame, cols: Sequence[str] = ("monetary",)) -> DataFrame:
@@ -141,11 +137,7 @@ def vip_list(scored: DataFrame, customers: DataFrame, customer_key: str,
     """Candidates = VIP segments OR monetary >= the 95th percentile; the
     top ``top_n`` by monetary (ties by key) with customer attributes,
     an age group and a VIP tier from the RFM total."""
-    if "_m_rn" in scored.columns:
-        q = quantile_from_rank(scored, "monetary", "_m_rn", "_n", quantile, "_q0")
-        scored = scored.drop("_m_rn", "_n")
-    else:
-        q = exact_quantiles(scored, "monetary", [quantile], prefix="_q")
+    q = exact_quantiles(scored, "monetary", [quantile], prefix="_q")
     cand = (scored.transform(with_row(q))  # one-row scalar
             .filter(F.col("segment").isin(VIP_SEGMENTS) | (F.col("monetary") >= F.col("_q0")))
             .drop("_q0"))

@@ -9,6 +9,7 @@ joins only the k survivors.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.exprs import money, pct, truncate, round6, mean_of_sum
 from ledgerlens.operators.lookup import lookup, lookup_small, dedup_dimension
 from ledgerlens.operators.rollups import bottom_k, money_rollup, non_null_keys, top_k
-from ledgerlens.operators.ranks import global_row_number
+from ledgerlens.operators.selection import Place, find
 from ledgerlens.session import materialize
 from ledgerlens.operators.scalars import with_row
 
@@ -57,14 +58,13 @@ def top_fraction_share(per_key: DataFrame, key: str, value: str, fraction: float
                        total: DataFrame) -> DataFrame:
     """Share of ``total`` held by the first int(n * fraction) keys by value desc.
 
-    Uses a distributed global rank instead of one sorted task.
+    The sum of the first k is selected by refined histograms: which of several keys
+    of one value come first does not change it.
     """
     per_key = materialize(per_key)
-    ranked = global_row_number(per_key, [F.col(value).desc(), F.col(key).asc()], "_ll_rank")
-    n = per_key.agg(F.count(F.lit(1)).alias("_ll_n"))
-    k = n.select(F.floor(F.col("_ll_n") * F.lit(str(fraction)).cast("decimal(10,6)")).cast("long").alias("_ll_k"))
-    top = (ranked.transform(with_row(k)).filter(F.col("_ll_rank") <= F.col("_ll_k"))
-           .agg(F.coalesce(F.sum(value), F.lit(0)).alias("_ll_top")))
+    k = int(per_key.count() * Decimal(str(fraction)))
+    place, = find(per_key, value, lambda x: [Place(rank=min(k, x.n), descending=True)])
+    top = per_key.sparkSession.createDataFrame([(place.total,)], "_ll_top decimal(38,6)")
     return top.transform(with_row(total))
 
 
