@@ -26,6 +26,7 @@ from ledgerlens.functions.exprs import (coerce_date, coerce_number, date_or_na,
                                         starts_with_safe)
 from ledgerlens.functions.exprs import pct as pct_expr
 from ledgerlens.functions.rules import two_way_label
+from ledgerlens.operators import bitmaps
 from ledgerlens.operators import crosstab as xt
 from ledgerlens.operators import profile as prof
 from ledgerlens.operators.lookup import lookup, lookup_small
@@ -585,9 +586,9 @@ def quality_issues(spark, d):
 def referential_orphans(spark, d):
     checks = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
               ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey")]
-    return prof.union_all([
-        prof.orphan_keys(f"{child}->{parent}", _t(spark, d, child), key, _t(spark, d, parent), parent_key)
-        for child, key, parent, parent_key in checks])
+    tables = {name: _t(spark, d, name) for check in checks for name in (check[0], check[2])}
+    return prof.orphan_report([(f"{child}->{parent}", tables[child], key, tables[parent], parent_key)
+                               for child, key, parent, parent_key in checks])
 
 
 @query
@@ -760,11 +761,19 @@ def line_counts_by_part_type(spark, d):
 @query
 def insured_totals(spark, d):
     """Order lines, distinct parts and distinct orders among them."""
-    li = _lines(spark, d)
-    parts = li.select("l_partkey").distinct().agg(F.count("l_partkey").alias("n_parts"))
-    orders = li.select("l_orderkey").distinct().agg(F.count("l_orderkey").alias("n_orders"))
-    return (li.agg(F.count(F.lit(1)).alias("n_lines")).transform(with_row(parts)).transform(with_row(orders))
-            .select("n_lines", "n_parts", "n_orders"))
+    return bitmaps.distinct_counts(_lines(spark, d), {"n_parts": "l_partkey", "n_orders": "l_orderkey"}, rows="n_lines")
+
+
+@query
+def distinct_customers_rollup(spark, d):
+    """Customers that ordered: per month and region, per month, per region and in total, from one scan of the orders."""
+    region_of = lookup(lookup(_t(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey", _t(spark, d, "nation"),
+                              "n_nationkey", ["n_regionkey"]), "n_regionkey", _t(spark, d, "region"), "r_regionkey", ["r_name"])
+    o = lookup(_t(spark, d, "orders").select("o_custkey", month_start("o_orderdate").alias("month")), "o_custkey",
+               region_of, "c_custkey", ["r_name"]).withColumnRenamed("r_name", "region")
+    return bitmaps.distinct_rollup(o, "o_custkey", ["month", "region"],
+                                   {"month and region": ["month", "region"], "month": ["month"], "region": ["region"], "total": []},
+                                   "n_customers")
 
 
 @query

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.scalars import with_row
+from ledgerlens.operators import bitmaps
+from ledgerlens.session import scratch_path
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -23,58 +25,58 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: number of rows that repeat an earlier identical row
-    (``duplicated().sum()``; nulls compare equal because grouping does).
+    (``duplicated().sum()``; nulls compare equal because grouping does)."""
+    return df.sparkSession.createDataFrame([(scan_profile(df).n_duplicates,)], "n_duplicates long")
 
-    Rows are counted by a 64-bit hash first, eight bytes per row; only rows
-    whose hash repeats are grouped by all their columns.
-    """
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.withColumn("_ll_h", F.xxhash64(*cols))
-    repeated = hashed.groupBy("_ll_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_ll_h")
-    groups = (hashed.join(repeated, "_ll_h", "left_semi").groupBy(*cols)
-              .agg(F.count(F.lit(1)).alias("_c")))
-    return groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
+@dataclass(frozen=True)
+class TableProfile:
+    n_rows: int
+    n_null: dict[str, int]
+    n_duplicates: int
 
-def _profile_row(df: DataFrame) -> DataFrame:
-    """One row: rows, null counts per column (one plain aggregate) and duplicates."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)]
-    return df.agg(*aggs).transform(with_row(duplicate_rows(df))).withColumnRenamed("n_duplicates", "_dups")
+
+def scan_profile(df: DataFrame) -> TableProfile:
+    """Rows, null counts per column and duplicate rows from one scan.
+
+    Nulls are observed while the rows are counted by a 64-bit hash, eight bytes per
+    row; only if a hash repeats are the rows with such a hash read again and grouped
+    by all their columns.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("n"), *[F.count_if(c.isNull()).alias(f"c{i}") for i, c in enumerate(cols)]]
+    hashed = df.observe(seen, *counts).select(F.xxhash64(*cols).alias("_ll_h"))
+    path = scratch_path(df.sparkSession, "repeated-hashes")
+    hashed.groupBy("_ll_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_ll_h").write.parquet(path)
+    repeated = df.sparkSession.read.schema("_ll_h long").parquet(path)
+    n_duplicates = 0
+    if not repeated.isEmpty():
+        groups = (df.withColumn("_ll_h", F.xxhash64(*cols)).join(repeated, "_ll_h", "left_semi").groupBy(*cols)
+                  .agg(F.count(F.lit(1)).alias("_c")))
+        n_duplicates = groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long")).first()[0]
+    found = seen.get
+    return TableProfile(found["n"], {c: found[f"c{i}"] for i, c in enumerate(df.columns)}, n_duplicates)
 
 
 def table_profile(tables: Mapping[str, DataFrame], absent: Sequence[str] = ()) -> DataFrame:
     """Per table: rows, columns, missing cells, duplicate rows; an absent table has nulls."""
-    parts = []
+    spark, rows = SparkSession.active(), []
     for name, df in tables.items():
-        missing = sum((F.col(f"_n{i}") for i in range(len(df.columns))), F.lit(0).cast("long"))
-        parts.append(_profile_row(df).select(
-            F.lit(name).alias("table_name"), F.col("_rows").alias("n_rows"),
-            F.lit(len(df.columns)).cast("long").alias("n_columns"),
-            missing.cast("long").alias("n_missing"), F.col("_dups").alias("n_duplicates")))
-    out = union_all(parts)
-    if absent:
-        none = F.lit(None).cast("long")
-        out = out.unionByName(out.sparkSession.createDataFrame([(t,) for t in absent], "table_name string").select(
-            "table_name", *[none.alias(c) for c in ("n_rows", "n_columns", "n_missing", "n_duplicates")]))
-    return out
+        p = scan_profile(df)
+        rows.append((name, p.n_rows, len(df.columns), sum(p.n_null.values()), p.n_duplicates))
+    return spark.createDataFrame(rows + [(name, None, None, None, None) for name in absent],
+                                 "table_name string, n_rows long, n_columns long, n_missing long, n_duplicates long")
 
 
 def quality_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Only the problems: per column missing counts > 0 and duplicate rows > 0."""
-    out = None
+    issues = []
     for name, df in tables.items():
-        one = _profile_row(df)
-        issues = [F.struct(F.lit("missing").alias("issue"), F.lit(c).alias("column_name"),
-                           F.col(f"_n{i}").alias("n")) for i, c in enumerate(df.columns)]
-        issues.append(F.struct(F.lit("duplicate_rows").alias("issue"),
-                               F.lit(None).cast("string").alias("column_name"),
-                               F.col("_dups").alias("n")))
-        part = (one.select(F.explode(F.array(*issues)).alias("x"))
-                .select(F.lit(name).alias("table_name"), "x.issue", "x.column_name", "x.n")
-                .filter(F.col("n") > 0))
-        out = part if out is None else out.unionByName(part)
-    return out
+        p = scan_profile(df)
+        issues += [(name, "missing", c, n) for c, n in p.n_null.items() if n]
+        issues += [(name, "duplicate_rows", None, p.n_duplicates)] if p.n_duplicates else []
+    return SparkSession.active().createDataFrame(issues, "table_name string, issue string, column_name string, n long")
 
 
 def orphan_keys(check: str, child: DataFrame, child_key: str,
@@ -94,6 +96,14 @@ def orphan_keys(check: str, child: DataFrame, child_key: str,
         F.lit(check).alias("check_name"), "n_child_keys", "n_orphan_keys", "n_null_keys")
 
 
+def orphan_report(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """``orphan_keys`` of several (name, child, key, parent, key): integer keys by bitmap
+    words, every table scanned once; keys of other types by their joins."""
+    plain = [c for c in checks if bitmaps.is_integer(c[1], c[2]) and bitmaps.is_integer(c[3], c[4])]
+    parts = [bitmaps.key_differences(plain)] if plain else []
+    return union_all(parts + [orphan_keys(*c) for c in checks if c not in plain])
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

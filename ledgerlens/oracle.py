@@ -1009,3 +1009,14 @@ g AS (SELECT l_suppkey, min(place) AS low, max(place) AS high FROM l WHERE l_sup
 SELECT s_suppkey, s_name, a.l_partkey AS first_part, a.l_orderkey AS first_order, b.l_partkey AS last_part, b.l_orderkey AS last_order
 FROM supplier LEFT JOIN g ON g.l_suppkey = s_suppkey LEFT JOIN l a ON a.place = g.low LEFT JOIN l b ON b.place = g.high
 """
+
+SQL["distinct_customers_rollup"] = """
+WITH o AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, r_name AS region
+           FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+                LEFT JOIN region ON r_regionkey = n_regionkey WHERE o_custkey IS NOT NULL)
+SELECT 'month and region' AS level, month, region, count(DISTINCT o_custkey) AS n_customers FROM o
+WHERE month IS NOT NULL AND region IS NOT NULL GROUP BY month, region
+UNION ALL SELECT 'month', month, NULL, count(DISTINCT o_custkey) FROM o WHERE month IS NOT NULL GROUP BY month
+UNION ALL SELECT 'region', NULL, region, count(DISTINCT o_custkey) FROM o WHERE region IS NOT NULL GROUP BY region
+UNION ALL SELECT 'total', NULL, NULL, count(DISTINCT o_custkey) FROM o
+"""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.exprs import money, mean_of_sum, round6, round_half_even
+from ledgerlens.operators import labels
 from ledgerlens.operators.lookup import lookup
 from ledgerlens.operators.scalars import with_row
 
@@ -27,6 +28,16 @@ def last_non_null(value: str, *order: str):
     return F.max_by(F.col(value), ordering)
 
 
+def _with_last_label(facts: DataFrame, company: str, aggs: list, name: str) -> DataFrame:
+    """Per-customer aggregate with the last non-null company; its labels are coded while they are
+    aggregated, so that every state is fixed-width (text states only beyond MAX_LABELS labels)."""
+    known = labels.dictionary(facts, company)
+    if known is None:
+        return facts.groupBy(KEY).agg(*aggs, last_non_null(company, "order_date", "_order").alias(name))
+    return (facts.groupBy(KEY).agg(*aggs, labels.last_label(company, known, "order_date", "_order").alias(name))
+            .withColumn(name, labels.decode(F.col(name), known)))
+
+
 def order_lines(lines: DataFrame, order_key: str, price: str, qty: str,
                 members: dict[str, str] | None = None) -> DataFrame:
     """(order_key, volume, duration) per order: line price sum and quantity sum.
@@ -53,10 +64,8 @@ def order_facts(orders: DataFrame, lines: DataFrame, *, key: str, order_id: str,
 
 def volume_margin(facts: DataFrame, customers: DataFrame, customer_key: str,
                   attrs: Sequence[str]) -> DataFrame:
-    per = (facts.groupBy(KEY)
-           .agg(F.sum("margin").alias("_margin"), F.sum("volume").alias("_volume"),
-                F.count("_order").alias("order_count"),
-                last_non_null("company", "order_date", "_order").alias("company")))
+    per = _with_last_label(facts, "company", [F.sum("margin").alias("_margin"), F.sum("volume").alias("_volume"),
+                                              F.count("_order").alias("order_count")], "company")
     per = per.select(
         KEY, F.col("_margin").cast("double").alias("total_margin"),
         F.col("_volume").cast("double").alias("total_volume"), "order_count", "company",
@@ -88,19 +97,17 @@ def feature_aggregates(facts: DataFrame) -> DataFrame:
 
     ``facts`` carries the distinct products and channels of every order
     (``order_facts(members=...)``), so the lines are read once and only
-    (customer, member) pairs are de-duplicated. The string-valued "last
-    company" makes the first aggregate sort-based (hash aggregation needs
-    fixed-width buffers); it still combines map-side.
+    (customer, member) pairs are de-duplicated.
     """
-    per_order = facts.groupBy(KEY).agg(
+    per_order = _with_last_label(facts, "company", [
         F.count("_order").alias("order_count"),
         F.sum("margin").alias("_margin_sum"),
         F.stddev_samp(F.col("margin").cast("double")).alias("_margin_std"),
         F.sum("volume").alias("_volume_sum"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        F.sum("duration").alias("_dur_sum"), F.count("duration").alias("_dur_n"),
-        last_non_null("company", "order_date", "_order").alias("last_company"))
+        F.sum("duration").alias("_dur_sum"), F.count("duration").alias("_dur_n")], "last_company")
+
     def distinct(members: str, name: str) -> DataFrame:
         return (facts.select(KEY, F.explode(members).alias("_x")).distinct()
                 .groupBy(KEY).agg(F.count(F.lit(1)).alias(name)))

@@ -12,27 +12,40 @@ from ledgerlens.functions.exprs import mean_of_sum, round6
 from ledgerlens.operators.ranks import exact_quantiles
 from ledgerlens.operators.rollups import value_counts
 from ledgerlens.operators.scalars import with_row
+from ledgerlens.session import materialize
 
 
 def basic_stats(cust: DataFrame, value: str, labels: Sequence[str], flag_col: str,
                 flag_value: str) -> DataFrame:
     """One row: counts, distincts, min/max/mean/median/std, a conditional
-    count and the modes (ties -> smallest value)."""
+    count and the modes (ties -> smallest value).
+
+    No row is expanded: the moments are one plain aggregate, and each label's
+    distinct count and mode are read off its value counts.
+    """
     v = F.col(value)
-    aggs = [F.count(F.lit(1)).alias("n_customers"),
-            F.countDistinct(v).alias(f"n_distinct_{value}")]
-    aggs += [F.countDistinct(c).alias(f"n_distinct_{c}") for c in labels]
-    aggs += [F.min(v).cast("double").alias(f"min_{value}"),
-             F.max(v).cast("double").alias(f"max_{value}"),
-             round6(mean_of_sum(F.sum(v.cast("decimal(38,6)")), F.count(v))).alias(f"mean_{value}"),
-             round6(F.stddev_samp(v)).alias(f"std_{value}"),
-             F.count_if(F.col(flag_col) == F.lit(flag_value)).alias("n_flagged")]
-    aggs += [F.mode(c, True).alias(f"mode_{c}") for c in labels]
-    med = exact_quantiles(cust, value, [0.5], prefix="_ll_med")
-    out = cust.agg(*aggs).transform(with_row(med))  # one row each
+    out = cust.agg(
+        F.count(F.lit(1)).alias("n_customers"), F.min(v).cast("double").alias(f"min_{value}"),
+        F.max(v).cast("double").alias(f"max_{value}"),
+        round6(mean_of_sum(F.sum(v.cast("decimal(38,6)")), F.count(v))).alias(f"mean_{value}"),
+        round6(F.stddev_samp(v)).alias(f"std_{value}"),
+        F.count_if(F.col(flag_col) == F.lit(flag_value)).alias("n_flagged"))
+    pieces = [cust.filter(v.isNotNull()).select(v).distinct().agg(F.count(F.lit(1)).alias(f"n_distinct_{value}"))]
+    for c in labels:
+        counts = materialize(value_counts(cust, c, "n"))  # read by the count and the mode
+        pieces.append(counts.agg(F.count(F.lit(1)).alias(f"n_distinct_{c}")))
+        pieces.append(mode(counts, c, "n").withColumnRenamed(c, f"mode_{c}"))
+    pieces.append(exact_quantiles(cust, value, [0.5], prefix="_ll_med"))
+    for one in pieces:
+        out = out.transform(with_row(one))  # one row each
     return out.withColumn(f"median_{value}", round6("_ll_med0")).drop("_ll_med0")
 
 
+def mode(counts: DataFrame, col: str, n: str) -> DataFrame:
+    """The most frequent value of a value-count table, the smallest of several: one row at most."""
+    return counts.orderBy(F.col(n).desc(), F.col(col).asc()).limit(1).select(col)
+
+
 def binned(df: DataFrame, value: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:
     label, order = cut(value, edges, labels)
     return df.withColumn("bin_label", label).withColumn("bin_order", order)
