@@ -7,7 +7,7 @@ Arrow string column without decoding it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(taken: Iterable[str], *names: str) -> list[str]:
+    """``names``, each with underscores added until it meets none of ``taken`` (in any case) and none before it."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective finaliser on uint64 (the splitmix64 output function)."""
     x = (x ^ (x >> np.uint64(30))) * _M1

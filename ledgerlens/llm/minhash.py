@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import seeded, slices, text_bytes, word_hashes, word_spans, written
+from ledgerlens.llm.common import free_names, seeded, slices, text_bytes, word_hashes, word_spans, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -470,9 +470,11 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int =
     found = written(_groups(docs, shingle, percent, id_col, text_col).withColumnRenamed("n_shingles", "n"), "groups")
     touched = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
                       .where("rows > 1 or not kept"), "touched")
-    dropped = touched.where("not kept").select(F.col("doc_id").alias("_dropped"))
+    names = docs.columns
+    gone_id, row_id, bare, n, f1, f2 = free_names(names, "_dropped", "_id", "_bare", "_n", "_f1", "_f2")
+    dropped = touched.where("not kept").select(F.col("doc_id").alias(gone_id))
     repeated = touched.where("rows > 1 and kept").select("doc_id")
-    drops, again = _bloom(dropped.withColumnRenamed("_dropped", "doc_id")), _bloom(repeated)
+    drops, again = _bloom(dropped.withColumnRenamed(gone_id, "doc_id")), _bloom(repeated)
 
     def rows(held: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -484,7 +486,7 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int =
         return docs.mapInArrow(run, docs.schema)
 
     own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-1))
-    left = rows("none").union(rows("dropped").join(dropped, own_id == F.col("_dropped"), "left_anti"))
+    left = rows("none").union(rows("dropped").join(dropped, own_id == F.col(gone_id), "left_anti"))
     if repeated.isEmpty():
         return left
 
@@ -493,12 +495,13 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int =
             for part in slices(batch, text_col):
                 values, offsets = shingle_hashes(*text_bytes(part.column(text_col)), shingle)
                 sums = [pa.array(np.diff(offsets), pa.int64()), *_set_sums(values, offsets)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *sums], names=[*part.schema.names, "_n", "_f1", "_f2"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *sums], names=[*part.schema.names, n, f1, f2])
 
-    fields = [T.StructField(c, T.LongType()) for c in ("_n", "_f1", "_f2")]
+    fields = [T.StructField(c, T.LongType()) for c in (n, f1, f2)]
     maybe = (rows("repeated").mapInArrow(with_sets, T.StructType([*docs.schema.fields, *fields]))
-             .withColumn("_id", own_id).withColumn("_bare", F.when(F.col("_n") == 0, F.col(text_col))))
-    maybe = maybe.dropDuplicates(["_id", "_f1", "_f2", "_n", "_bare"])
-    keys = found.where("kept").select(*[F.col(c).alias(f"_kept_{c}") for c in SET_OF_ID]).distinct()
-    same = [F.col(a) == F.col(f"_kept_{c}") for a, c in zip(("_id", "_f1", "_f2", "_n"), SET_OF_ID, strict=True)]
-    return left.union(maybe.join(keys, same, "left_semi").select(*docs.columns))
+             .withColumn(row_id, own_id).withColumn(bare, F.when(F.col(n) == 0, F.col(text_col))))
+    maybe = maybe.dropDuplicates([row_id, f1, f2, n, bare])
+    wanted = free_names([*names, row_id, bare, n, f1, f2], *[f"_kept_{c}" for c in SET_OF_ID])
+    keys = found.where("kept").select(*[F.col(c).alias(k) for c, k in zip(SET_OF_ID, wanted)]).distinct()
+    same = [F.col(a) == F.col(k) for a, k in zip((row_id, f1, f2, n), wanted, strict=True)]
+    return left.union(maybe.join(keys, same, "left_semi").select(*[F.col(f"`{c}`") for c in names]))

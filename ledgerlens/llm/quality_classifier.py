@@ -16,8 +16,8 @@ and of at most ``SAMPLE_CHARS`` characters. Site statistics cover all documents,
 map-side combined sums. The site table is joined without a hint.
 
 Defined cases: null or empty text (no words) has the lowest evidence; a null host or
-path is a site of its own, the empty name; without both classes in the sample all
-evidence is 0; repeated rows count each; an empty table gives no rows. Other columns
+path is a site of its own, the empty name; without both classes in the sample the
+evidence of every text with words is 0; repeated rows count each in the sites, once in the fit; an empty table gives no rows. Other columns
 are kept by ``keep_good`` and not read.
 """
 
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices, text_bytes, word_hashes, word_spans, written
+from ledgerlens.llm.common import free_names, slices, text_bytes, word_hashes, word_spans, written
 
 SAMPLE_ROWS = 6000
 SAMPLE_CHARS = 20_000
@@ -95,7 +95,7 @@ class Model:
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 40) -> Model:
     base = float(y.mean()) if len(y) else 0.5
-    if not 0 < base < 1:
+    if not len(y) or not 0 < base < 1:
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES + 1), 0.0, min(max(base, 0.01), 0.99))
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
     a = np.column_stack([np.ones(len(x)), (x - mean) / scale])
@@ -130,7 +130,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
              .where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(chosen), "doc_id")  # at most ``rows`` ids
              .select("doc_id", "quality", "text")
-             .mapInArrow(feature_task, "doc_id long, quality int, x array<double>").toArrow().sort_by("doc_id"))
+             .mapInArrow(feature_task, "doc_id long, quality int, x array<double>")
+             .groupBy("doc_id", "quality").agg(F.min("x").alias("x"))  # one row for a repeated id: ``rows`` rows at most
+             .toArrow().sort_by("doc_id"))
     x = found.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
     return fit(x, found.column("quality").to_numpy().astype(float))
 
@@ -214,17 +216,18 @@ def keep_good(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
     model = train(docs, labels)
     sites = site_posteriors(written(evidence(docs, model, host, path), "evidence"), model.base)
     names = docs.columns
+    host_as, path_as, prior_as = free_names(names, "_host", "_path", "_path_posterior")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                site = np.clip(part.column("_path_posterior").to_numpy(zero_copy_only=False), 0.001, 0.999)
+                site = np.clip(part.column(prior_as).to_numpy(zero_copy_only=False), 0.001, 0.999)
                 site = np.clip(np.log(site / (1 - site)), -MAX_SITE, MAX_SITE)
                 good = 1 / (1 + np.exp(-(model.evidence(part.column("text")) + site))) >= KEEP
                 yield part.select(names).filter(pa.array(good))
 
     host_name, path_name = _site(host, path)
-    joined = (docs.select("*", host_name, path_name)
-              .join(sites.select("_host", "_path", F.col("path_posterior").alias("_path_posterior")), ["_host", "_path"])
-              .select(*names, "_path_posterior"))
+    known = sites.select(F.col("_host").alias(host_as), F.col("_path").alias(path_as), F.col("path_posterior").alias(prior_as))
+    joined = (docs.select("*", host_name.alias(host_as), path_name.alias(path_as))
+              .join(known, [host_as, path_as]).select(*[F.col(f"`{n}`") for n in names], prior_as))
     return joined.mapInArrow(run, docs.schema)

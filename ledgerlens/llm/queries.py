@@ -19,8 +19,7 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    target = quality_rules.target_sample(docs, read_table(spark, sf_dir, "labels"))
-    return quality_rules.judge(docs, quality_rules.bucket_weights(docs, target))
+    return quality_rules.judge(docs, quality_rules.bucket_weights(docs, read_table(spark, sf_dir, "labels")))
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

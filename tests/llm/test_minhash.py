@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import minhash
 
@@ -146,3 +147,13 @@ def test_components_of_paths_and_stars(spark):
     rnd.shuffle(edges)
     got = {r.node: r.component for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == ({i: 100 for i in range(100, 161)} | {i: 1 for i in range(1, 40)} | {i: 298 for i in (298, 299, 300)})
+
+
+def test_representatives_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 777, "x"), (1, text, 778, "y"), (2, text, 779, "z"), (3, "other words here", 780, "u"), (3, "", 781, "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id long, _f1 string")
+    got = sorted((r.doc_id, r._id, r._f1) for r in minhash.keep_representatives(df).collect())
+    assert got in ([(1, 777, "x"), (3, 780, "u"), (3, 781, "v")], [(1, 778, "y"), (3, 780, "u"), (3, 781, "v")])
+    words = df.withColumnRenamed("_id", "_dropped").withColumn("_kept_doc_id", F.lit("k"))
+    assert {(r._dropped, r._kept_doc_id) for r in minhash.keep_representatives(words).collect()} >= {(780, "k"), (781, "k")}

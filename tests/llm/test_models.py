@@ -36,6 +36,56 @@ def test_top_k_equals_brute_force(spark, n, block, bins):
     assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got} == brute_top(exact, 5, lambda q: q % 20 == 0)
 
 
+def best_of(rows, asked, k=5, scale=256):
+    import math
+    q = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
+         if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i in sorted({i for i, _ in q if asked(i)}):
+        mine = min(v for j, v in q if j == i)
+        for w in {len(v) for j, v in q if j == i}:
+            mine = min(v for j, v in q if j == i and len(v) == w)
+            found = sorted((-sum(a * b for a, b in zip(mine, v)), j) for j, v in q if j != i and len(v) == w)
+            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(found[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [1.0, 3.0e4, 1.0e5, 9.0e6])
+def test_top_k_of_large_components(spark, size):
+    """From doubles over 64-bit integers to whole numbers beyond; no finite vector is dropped."""
+    rnd = random.Random(int(size))
+    rows = [(i, [rnd.uniform(-size, size), rnd.uniform(-size, size)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.top_k(df, F.col("id") % 10 == 0, bins=64, block_rows=16).collect()
+    assert sorted(tuple(r) for r in got) == best_of(rows, lambda i: i % 10 == 0)
+
+
+def test_scores_beyond_64_bits_stop_the_run(spark):
+    df = spark.createDataFrame([(1, [1e9, 1e9]), (2, [1e9, 1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search.top_k(df, F.col("id") == 1).collect()
+    huge = spark.createDataFrame([(1, [1e300]), (2, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search.top_k(huge, F.col("id") == 1).collect()
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rnd = random.Random(9)
+    rows = [(i, [rnd.uniform(-1, 1) for _ in range(2 + i % 3)]) for i in range(90)]
+    rows += [(None, [0.1, 0.2]), (500, []), (501, None), (502, [float("nan"), 1.0]), (503, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit("mine"))
+    got = topk_search.top_k(df, F.col("id") % 7 == 0, block_rows=8).collect()
+    assert sorted(tuple(r) for r in got) == best_of(rows, lambda i: i % 7 == 0)
+
+
+def test_a_repeated_id_is_spread_over_chunks(spark):
+    rnd = random.Random(10)
+    rows = [(i if i % 3 else 0, [rnd.uniform(-1, 1) for _ in range(3)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.top_k(df, F.col("id") % 50 == 0, block_rows=16).collect()
+    assert sorted(tuple(r) for r in got) == best_of(rows, lambda i: i % 50 == 0)
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.top_k(df, F.col("id") % 50 == 0).collect() == []
@@ -112,12 +162,42 @@ def test_sparse_sites_stay_near_their_parent(spark):
 
 
 def test_quality_without_labels_or_rows(spark):
-    docs = spark.createDataFrame([(1, "a b", "s", "l")], "doc_id long, text string, source string, lang string")
+    docs = spark.createDataFrame([(1, "a b", "s", "l"), (2, "c", None, "l"), (3, None, "s", None)],
+                                 "doc_id long, text string, source string, lang string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert quality_classifier.classify(docs, none, F.col("source"), F.col("lang")).count() == 1
+    out = quality_classifier.classify(docs, none, F.col("source"), F.col("lang")).collect()
+    assert {r.doc_id: r.llr for r in out} == {1: 0.0, 2: 0.0, 3: -quality_classifier.MAX_EVIDENCE}
+    assert all(0 <= r.quality <= 1 for r in out)  # no NaN
+    left = quality_classifier.keep_good(docs, none, F.col("source"), F.col("lang")).collect()
+    assert {r.doc_id for r in left} == {r.doc_id for r in out if r.kept}
     assert quality_classifier.classify(docs.limit(0), none, F.col("source"), F.col("lang")).count() == 0
 
 
+def test_quality_with_one_class_only(spark):
+    rows, _ = quality_rows(60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    told = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    out = quality_classifier.classify(docs, told, F.col("source"), F.col("lang")).collect()
+    assert {r.llr for r in out} == {0.0}
+    left = quality_classifier.keep_good(docs, told, F.col("source"), F.col("lang")).collect()
+    assert {r.doc_id for r in left} == {r.doc_id for r in out if r.kept}
+
+
+def test_quality_keeps_columns_of_any_name_and_fits_an_id_once(spark):
+    rows, labels = quality_rows(300)
+    rows += [rows[1]] * 2000  # one labelled id holds most rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality_classifier.train(docs, told)
+    assert model.base == pytest.approx(quality_classifier.train(docs.dropDuplicates(["doc_id"]), told).base)
+    named = docs.withColumn("_host", F.lit("mine")).withColumn("_path_posterior", F.col("doc_id") * 2)
+    left = quality_classifier.keep_good(named, told, F.col("source"), F.col("lang"))
+    assert left.columns == named.columns
+    plain = quality_classifier.keep_good(docs, told, F.col("source"), F.col("lang"))
+    assert sorted(r.doc_id for r in left.collect()) == sorted(r.doc_id for r in plain.collect())
+    assert all(r._host == "mine" and r._path_posterior == 2 * r.doc_id for r in left.collect())
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality_classifier", "near_dedup", "packing"]

@@ -50,7 +50,7 @@ def test_scores_equal_brute_force(spark):
     plain = [t for t in TEXTS if t is None or t.isascii()]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(plain)], "doc_id long, text string, llr int")
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(len(plain))], "doc_id long, quality int")
-    weights = quality_rules.bucket_weights(df, quality_rules.target_sample(df, labels), 64)
+    weights = quality_rules.bucket_weights(df, labels, 64)
     raw = Counter(b for t in plain for b in ngrams(t, 64))
     aim = Counter(b for i, t in enumerate(plain) if i % 3 == 0 for b in ngrams(t, 64))
     want = [math.log((aim[b] + 1) / (aim.total() + 64)) - math.log((raw[b] + 1) / (raw.total() + 64)) for b in range(64)]
@@ -65,7 +65,10 @@ def test_scores_equal_brute_force(spark):
 
 def test_no_target_and_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
-    assert quality_rules.bucket_weights(df, df, 8) == [0.0] * 8
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality_rules.bucket_weights(df, labels, 8) == [0.0] * 8
+    docs = spark.createDataFrame([(1, "a b"), (None, "c")], "doc_id long, text string")
+    assert quality_rules.bucket_weights(docs, labels, 8) == [0.0] * 8
     assert quality_rules.judge(df, [0.0] * 8).collect() == []
 
 
@@ -116,10 +119,25 @@ def test_wrappers_do_not_lose_the_article_and_comments_stay_out(page):
     assert got in (LONG, f"{LONG}\n\n{LONG}") and got.count(LONG) == min(page.count(f"<p>{LONG}</p>"), 2)
 
 
-def test_target_counts_every_good_document(spark):
-    docs = spark.range(4100).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
-    labels = docs.select("doc_id", F.lit(1).alias("quality"))
-    assert quality_rules.target_sample(docs, labels.union(labels)).count() == 4100
+@pytest.mark.parametrize("bits", [1 << 22, 64])
+def test_target_counts_every_good_document(spark, monkeypatch, bits):
+    """Also when the filter over the good ids lets nearly everything pass."""
+    monkeypatch.setattr(quality_rules, "FILTER_BITS", bits)
+    texts = [f"a b{i % 7} c{i % 3}" for i in range(4100)]
+    rows = [(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(5, "again again"), (5, "again again"), (6, "not this")]
+    labels = [(i, int(i % 2)) for i in range(4200)] * 2 + [(None, 1), (-3, 1)]
+    weights = quality_rules.bucket_weights(spark.createDataFrame(rows, "doc_id long, text string").repartition(5),
+                                           spark.createDataFrame(labels, "doc_id long, quality int"), 64)
+    raw = Counter(b for _, t in rows for b in ngrams(t, 64))
+    aim = Counter(b for i, t in rows if i is not None and i % 2 for b in ngrams(t, 64))
+    want = [math.log((aim[b] + 1) / (aim.total() + 64)) - math.log((raw[b] + 1) / (raw.total() + 64)) for b in range(64)]
+    assert weights == pytest.approx(want, abs=1e-6)
+
+
+def test_base_counts_keep_columns_of_any_name(spark):
+    df = spark.createDataFrame([("a b", "mine", 7, "at")], "text string, _words string, _h long, _at string")
+    row = quality_rules.base_counts(df).first()
+    assert (row._words, row._h, row._at, row.n_words) == ("mine", 7, "at", 2)
 
 
 def said(rows):
