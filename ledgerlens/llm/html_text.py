@@ -2,21 +2,28 @@
 
 Method: the markup is read once from front to back and cut into flat blocks at every
 block-level tag. A block has its word count, its link density (share of its words
-inside links), the same of the block before and the block after, and what kind
-of container it stands in: 0 none, 1 article, 2 boilerplate (menus, headers of the
-page, footers, sidebars, forms, adverts, notices, comments, found by tag, role or
-class names). An article inside boilerplate counts as one again, unless it stands in
-   menus, footers, asides, comments or related links. A form that holds more than half of
-   the words of a page is no boilerplate. A decision tree trained on the small labelled table below tells which
-blocks are main text; these are joined in page order.
+inside links), the same of the block before and the block after, and what it stands
+in: an article, boilerplate, both, or neither, and in the last case whether the page
+has an article that holds more. A decision tree trained on the small labelled table
+below tells which blocks are main text; these are joined in page order.
+
+Boilerplate are menus, headers of the page, footers, sidebars, forms, adverts,
+notices and comments, found by tag, role or class and id names. A name counts if all
+its parts are known (``related-posts``, not ``related-work``). Inside an article a
+name of the weaker kind decides nothing alone: such a block is both, and the tree goes
+by its length and links. An article inside boilerplate counts as one again, unless it
+stands in menus, footers, asides, comments or related links. A form that holds more
+than half of the words of a page is no boilerplate.
 
 Every page is worked on alone inside its input split: no shuffle, memory bounded by
-one page.
+one page, time in proportion to its length however broken the markup is (open
+elements are found by name; where a tag fails to close is remembered).
 
 Defined cases: null or empty html and pages without main text give the empty text;
 broken markup is read as far as it goes (a ``<`` that opens no tag is text, an
-unclosed comment, script or style runs to the end); repeated rows give repeated
-results. Columns other than those named are not read.
+unclosed comment, script or style runs to the end, an end tag without its start is
+skipped); repeated rows give repeated results. Columns other than those named are
+not read.
 """
 
 from __future__ import annotations
@@ -35,36 +42,54 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 _ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 #: Labelled blocks: words, link density, words and link density of the block before,
-#: the same of the block after, in an article (0/1), in boilerplate (0/1), label
-#: (1 main text). Blocks of invented pages of different make: news, blog, shop, forum.
+#: the same of the block after, in an article (0/1), in boilerplate (0/1), in neither on a
+#: page whose article holds more (0/1), label (1 main text). Blocks of invented pages of
+#: different make: news, blog, shop, forum.
 LABELLED = [
-    (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0), (2, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0), (3, 1.0, 2, 1.0, 6, 0.0, 0, 1, 0),
-    (9, 0.0, 1, 1.0, 8, 0.0, 0, 1, 0), (60, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0), (25, 0.1, 40, 0.0, 5, 1.0, 0, 1, 0),
-    (120, 0.0, 80, 0.0, 30, 0.0, 0, 1, 0), (4, 0.5, 0, 0.0, 4, 0.5, 0, 1, 0), (45, 0.9, 10, 0.2, 3, 1.0, 0, 1, 0),
-    (30, 0.0, 90, 0.0, 80, 0.0, 0, 1, 0), (75, 0.1, 20, 0.0, 0, 0.0, 0, 1, 0), (18, 0.0, 0, 0.0, 45, 0.0, 0, 1, 0),
-    (8, 0.0, 0, 0.0, 50, 0.0, 1, 0, 1), (50, 0.0, 8, 0.0, 70, 0.0, 1, 0, 1), (70, 0.02, 50, 0.0, 5, 0.0, 1, 0, 1),
-    (3, 0.0, 70, 0.0, 60, 0.0, 1, 0, 1), (1, 0.0, 60, 0.0, 1, 0.0, 1, 0, 1), (1, 0.0, 1, 0.0, 0, 0.0, 1, 0, 1),
-    (2, 0.0, 9, 0.0, 2, 0.0, 1, 0, 1), (4, 0.0, 2, 1.0, 90, 0.0, 1, 0, 1), (5, 0.0, 1, 1.0, 3, 0.0, 1, 0, 1),
-    (1, 0.0, 1, 1.0, 7, 0.2, 1, 0, 1), (2, 0.0, 6, 0.0, 8, 0.0, 1, 0, 1), (3, 0.0, 0, 0.0, 0, 0.0, 1, 0, 1),
-    (6, 0.0, 2, 1.0, 8, 0.0, 1, 0, 1), (90, 0.3, 20, 0.0, 40, 0.1, 1, 0, 1), (12, 0.4, 90, 0.0, 30, 0.0, 1, 0, 1),
-    (15, 0.5, 60, 0.0, 40, 0.0, 1, 0, 1), (4, 0.5, 80, 0.0, 35, 0.0, 1, 0, 1),
-    (1, 0.0, 3, 1.0, 4, 1.0, 1, 0, 1), (2, 0.0, 2, 1.0, 2, 1.0, 1, 0, 1), (3, 0.0, 4, 1.0, 5, 0.0, 1, 0, 1),
-    (4, 0.0, 1, 1.0, 4, 0.0, 1, 0, 1), (5, 0.0, 12, 0.0, 3, 0.0, 1, 0, 1), (6, 0.0, 20, 0.0, 2, 1.0, 1, 0, 1),
-    (9, 0.0, 5, 0.0, 1, 1.0, 1, 0, 1), (1, 0.0, 75, 0.0, 3, 0.0, 1, 0, 1), (2, 0.0, 4, 0.0, 4, 0.0, 1, 0, 1),
-    (7, 0.0, 8, 0.0, 10, 0.9, 1, 0, 1), (30, 0.1, 5, 1.0, 5, 1.0, 1, 0, 1), (55, 0.0, 7, 0.8, 3, 1.0, 1, 0, 1),
-    (3, 0.0, 10, 0.0, 4, 0.0, 1, 0, 1), (20, 0.0, 4, 0.0, 4, 0.0, 1, 0, 1), (11, 0.4, 16, 0.5, 4, 1.0, 1, 0, 1),
-    (100, 0.0, 5, 1.0, 4, 1.0, 1, 0, 1), (1, 0.0, 2, 0.0, 4, 0.4, 1, 0, 1), (4, 0.0, 5, 0.5, 0, 0.0, 1, 0, 1),
-    (2, 1.0, 40, 0.0, 2, 1.0, 1, 0, 0), (5, 1.0, 60, 0.0, 4, 1.0, 1, 0, 0), (3, 0.9, 3, 1.0, 0, 0.0, 1, 0, 0),
-    (14, 0.9, 3, 1.0, 6, 1.0, 1, 0, 0), (8, 1.0, 8, 1.0, 9, 1.0, 1, 0, 0),
-    (40, 0.0, 6, 0.0, 55, 0.0, 0, 0, 1), (80, 0.05, 40, 0.0, 60, 0.0, 0, 0, 1), (30, 0.0, 80, 0.0, 4, 1.0, 0, 0, 1),
-    (18, 0.1, 50, 0.0, 60, 0.0, 0, 0, 1), (8, 0.0, 45, 0.0, 50, 0.0, 0, 0, 1), (5, 0.0, 30, 0.0, 40, 0.0, 0, 0, 1),
-    (22, 0.0, 3, 1.0, 35, 0.0, 0, 0, 1), (60, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (35, 0.2, 25, 0.0, 2, 0.0, 0, 0, 1),
-    (6, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0), (1, 1.0, 1, 1.0, 80, 0.0, 0, 0, 0), (10, 0.9, 5, 1.0, 45, 0.0, 0, 0, 0),
-    (15, 0.8, 30, 0.0, 50, 0.1, 0, 0, 0), (4, 0.9, 60, 0.0, 70, 0.0, 0, 0, 0),
-    (2, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0), (1, 1.0, 2, 1.0, 1, 1.0, 0, 0, 0), (6, 0.8, 4, 1.0, 7, 0.9, 0, 0, 0),
-    (30, 0.9, 5, 1.0, 20, 0.8, 0, 0, 0), (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0), (4, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0),
-    (5, 0.0, 3, 0.0, 4, 0.0, 0, 0, 0), (7, 0.3, 5, 0.6, 6, 0.7, 0, 0, 0), (6, 0.0, 40, 0.0, 2, 1.0, 0, 0, 0),
-    (3, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0), (2, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0), (12, 0.6, 30, 0.0, 8, 0.9, 0, 0, 0),
+    (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0), (2, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0, 0), (3, 1.0, 2, 1.0, 6, 0.0, 0, 1, 0, 0),
+    (9, 0.0, 1, 1.0, 8, 0.0, 0, 1, 0, 0), (60, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0, 0), (25, 0.1, 40, 0.0, 5, 1.0, 0, 1, 0, 0),
+    (120, 0.0, 80, 0.0, 30, 0.0, 0, 1, 0, 0), (4, 0.5, 0, 0.0, 4, 0.5, 0, 1, 0, 0), (45, 0.9, 10, 0.2, 3, 1.0, 0, 1, 0, 0),
+    (30, 0.0, 90, 0.0, 80, 0.0, 0, 1, 0, 0), (75, 0.1, 20, 0.0, 0, 0.0, 0, 1, 0, 0), (18, 0.0, 0, 0.0, 45, 0.0, 0, 1, 0, 0),
+    (8, 0.0, 0, 0.0, 50, 0.0, 1, 0, 0, 1), (50, 0.0, 8, 0.0, 70, 0.0, 1, 0, 0, 1), (70, 0.02, 50, 0.0, 5, 0.0, 1, 0, 0, 1),
+    (3, 0.0, 70, 0.0, 60, 0.0, 1, 0, 0, 1), (1, 0.0, 60, 0.0, 1, 0.0, 1, 0, 0, 1), (1, 0.0, 1, 0.0, 0, 0.0, 1, 0, 0, 1),
+    (2, 0.0, 9, 0.0, 2, 0.0, 1, 0, 0, 1), (4, 0.0, 2, 1.0, 90, 0.0, 1, 0, 0, 1), (5, 0.0, 1, 1.0, 3, 0.0, 1, 0, 0, 1),
+    (1, 0.0, 1, 1.0, 7, 0.2, 1, 0, 0, 1), (2, 0.0, 6, 0.0, 8, 0.0, 1, 0, 0, 1), (3, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1),
+    (6, 0.0, 2, 1.0, 8, 0.0, 1, 0, 0, 1), (90, 0.3, 20, 0.0, 40, 0.1, 1, 0, 0, 1), (12, 0.4, 90, 0.0, 30, 0.0, 1, 0, 0, 1),
+    (15, 0.5, 60, 0.0, 40, 0.0, 1, 0, 0, 1), (4, 0.5, 80, 0.0, 35, 0.0, 1, 0, 0, 1),
+    (1, 0.0, 3, 1.0, 4, 1.0, 1, 0, 0, 1), (2, 0.0, 2, 1.0, 2, 1.0, 1, 0, 0, 1), (3, 0.0, 4, 1.0, 5, 0.0, 1, 0, 0, 1),
+    (4, 0.0, 1, 1.0, 4, 0.0, 1, 0, 0, 1), (5, 0.0, 12, 0.0, 3, 0.0, 1, 0, 0, 1), (6, 0.0, 20, 0.0, 2, 1.0, 1, 0, 0, 1),
+    (9, 0.0, 5, 0.0, 1, 1.0, 1, 0, 0, 1), (1, 0.0, 75, 0.0, 3, 0.0, 1, 0, 0, 1), (2, 0.0, 4, 0.0, 4, 0.0, 1, 0, 0, 1),
+    (7, 0.0, 8, 0.0, 10, 0.9, 1, 0, 0, 1), (30, 0.1, 5, 1.0, 5, 1.0, 1, 0, 0, 1), (55, 0.0, 7, 0.8, 3, 1.0, 1, 0, 0, 1),
+    (3, 0.0, 10, 0.0, 4, 0.0, 1, 0, 0, 1), (20, 0.0, 4, 0.0, 4, 0.0, 1, 0, 0, 1), (11, 0.4, 16, 0.5, 4, 1.0, 1, 0, 0, 1),
+    (100, 0.0, 5, 1.0, 4, 1.0, 1, 0, 0, 1), (1, 0.0, 2, 0.0, 4, 0.4, 1, 0, 0, 1), (4, 0.0, 5, 0.5, 0, 0.0, 1, 0, 0, 1),
+    (2, 1.0, 40, 0.0, 2, 1.0, 1, 0, 0, 0), (5, 1.0, 60, 0.0, 4, 1.0, 1, 0, 0, 0), (3, 0.9, 3, 1.0, 0, 0.0, 1, 0, 0, 0),
+    (14, 0.9, 3, 1.0, 6, 1.0, 1, 0, 0, 0), (8, 1.0, 8, 1.0, 9, 1.0, 1, 0, 0, 0),
+    (40, 0.0, 6, 0.0, 55, 0.0, 0, 0, 0, 1), (80, 0.05, 40, 0.0, 60, 0.0, 0, 0, 0, 1), (30, 0.0, 80, 0.0, 4, 1.0, 0, 0, 0, 1),
+    (18, 0.1, 50, 0.0, 60, 0.0, 0, 0, 0, 1), (8, 0.0, 45, 0.0, 50, 0.0, 0, 0, 0, 1), (5, 0.0, 30, 0.0, 40, 0.0, 0, 0, 0, 1),
+    (22, 0.0, 3, 1.0, 35, 0.0, 0, 0, 0, 1), (60, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (35, 0.2, 25, 0.0, 2, 0.0, 0, 0, 0, 1),
+    (6, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 80, 0.0, 0, 0, 0, 0), (10, 0.9, 5, 1.0, 45, 0.0, 0, 0, 0, 0),
+    (15, 0.8, 30, 0.0, 50, 0.1, 0, 0, 0, 0), (4, 0.9, 60, 0.0, 70, 0.0, 0, 0, 0, 0),
+    (2, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (1, 1.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0), (6, 0.8, 4, 1.0, 7, 0.9, 0, 0, 0, 0),
+    (30, 0.9, 5, 1.0, 20, 0.8, 0, 0, 0, 0), (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0), (4, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0),
+    (5, 0.0, 3, 0.0, 4, 0.0, 0, 0, 0, 0), (7, 0.3, 5, 0.6, 6, 0.7, 0, 0, 0, 0), (6, 0.0, 40, 0.0, 2, 1.0, 0, 0, 0, 0),
+    (3, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (2, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0, 0), (12, 0.6, 30, 0.0, 8, 0.9, 0, 0, 0, 0),
+    # a name of the weaker kind inside an article
+    (60, 0.0, 50, 0.0, 40, 0.0, 1, 1, 0, 1), (45, 0.1, 80, 0.0, 60, 0.0, 1, 1, 0, 1), (90, 0.05, 3, 0.0, 70, 0.0, 1, 1, 0, 1),
+    (35, 0.0, 4, 0.0, 50, 0.0, 1, 1, 0, 1), (30, 0.1, 60, 0.0, 2, 1.0, 1, 1, 0, 1), (120, 0.0, 0, 0.0, 0, 0.0, 1, 1, 0, 1),
+    (12, 0.0, 60, 0.0, 50, 0.0, 1, 1, 0, 0), (8, 0.5, 50, 0.0, 4, 0.8, 1, 1, 0, 0), (5, 1.0, 70, 0.0, 6, 1.0, 1, 1, 0, 0),
+    (3, 0.0, 80, 0.0, 40, 0.0, 1, 1, 0, 0), (20, 0.6, 60, 0.0, 30, 0.0, 1, 1, 0, 0), (40, 0.9, 30, 0.0, 9, 1.0, 1, 1, 0, 0),
+    (10, 0.0, 40, 0.0, 0, 0.0, 1, 1, 0, 0), (15, 0.0, 90, 0.0, 8, 0.0, 1, 1, 0, 0), (6, 0.0, 0, 0.0, 60, 0.0, 1, 1, 0, 0),
+    # a paragraph that is a link, between others or at the end of an article
+    (6, 1.0, 60, 0.0, 50, 0.0, 1, 0, 0, 1), (3, 1.0, 40, 0.0, 70, 0.0, 1, 0, 0, 1), (9, 1.0, 80, 0.1, 30, 0.0, 1, 0, 0, 1),
+    (12, 0.9, 20, 0.0, 25, 0.0, 1, 0, 0, 1), (2, 1.0, 90, 0.0, 60, 0.0, 1, 0, 0, 1), (5, 1.0, 30, 0.0, 0, 0.0, 1, 0, 0, 1),
+    # a few words before the text of a page without containers
+    (3, 0.0, 0, 0.0, 60, 0.0, 0, 0, 0, 0), (4, 0.0, 0, 0.0, 45, 0.0, 0, 0, 0, 0), (3, 0.0, 0, 0.0, 90, 0.0, 0, 0, 0, 0),
+    (2, 0.0, 0, 0.0, 70, 0.0, 0, 0, 0, 0), (8, 0.0, 0, 0.0, 50, 0.0, 0, 0, 0, 1), (7, 0.0, 0, 0.0, 80, 0.0, 0, 0, 0, 1),
+    (10, 0.0, 0, 0.0, 60, 0.0, 0, 0, 0, 1),
+    # outside the article that holds more
+    (3, 0.0, 0, 0.0, 60, 0.0, 0, 0, 1, 0), (40, 0.0, 6, 0.0, 55, 0.0, 0, 0, 1, 0), (80, 0.0, 30, 0.0, 60, 0.0, 0, 0, 1, 0),
+    (5, 1.0, 0, 0.0, 5, 1.0, 0, 0, 1, 0), (8, 0.0, 45, 0.0, 50, 0.0, 0, 0, 1, 0), (20, 0.1, 90, 0.0, 0, 0.0, 0, 0, 1, 0),
+    (12, 0.0, 5, 0.0, 9, 1.0, 0, 0, 1, 0), (60, 0.1, 8, 0.0, 3, 0.0, 0, 0, 1, 0),
 ]
 
 _BLOCK_TAGS = frozenset(
@@ -74,21 +99,40 @@ _BLOCK_TAGS = frozenset(
 _VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SKIPPED_TAGS = frozenset("script style noscript template svg math textarea select button title head iframe object".split())
 _RAW_TAGS = ("script", "style", "textarea", "title", "iframe", "noscript", "template")
+_INLINE_TAGS = frozenset("p b i em strong span u font".split())
 _BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
 #: boilerplate in which an article is none
 _CLOSED_TAGS = frozenset("nav footer aside menu dialog".split())
 _CLOSED_ROLES = frozenset("navigation contentinfo complementary dialog alertdialog menu menubar".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
-_BOILER_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|"
-    r"notice|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|sidebar|side|widget|related|recommended|"
-    r"share|sharing|social|breadcrumbs?|nav|navbar|navigation|menu|footer|masthead|toolbar|pagination|pager|comments?|"
-    r"commentlist|disqus|replies|respond|discussion|search|tags|skip|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
+#: parts of class and id names that tell boilerplate; those of adverts and comments do so anywhere
+_BOILER_PARTS = frozenset(
+    "banner cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup login sidebar "
+    "sidebars side widget widgets related recommended share sharing social breadcrumb breadcrumbs nav navbar navigation menu footer "
+    "masthead toolbar pagination pager discussion search tags skip copyright legal disclaimer promo promotion".split())
+_ADVERT_PARTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored".split())
+_COMMENT_PARTS = frozenset(
+    "comment comments commentlist disqus replies respond response responses feedback talkback talkbacks guestbook".split())
+_CLOSED_PARTS = frozenset("related recommended nav navbar navigation menu footer".split())
+#: parts that say nothing: a name of these and boilerplate parts is boilerplate
+_NEUTRAL_PARTS = frozenset(
+    "site page main top bottom left right upper lower header head box block area list lists link links item items wrapper wrap "
+    "container inner outer bar section form button buttons icon icons title panel slot unit global primary secondary mobile "
+    "desktop article articles post posts entry entries story stories blog news user users reader readers visitor customer "
+    "content body text row col column group media network networks center small large fixed sticky js the my a".split())
 _MAIN_NAME = re.compile(
     r"(?:^|[\s_-])(?:article|story|post|entry|content|main)(?:[\s_-]?(?:body|content|text))?(?:$|[\s_-])", re.I)
-_COMMENT_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])", re.I)
-_CLOSED_NAME = re.compile(r"(?:^|[\s_-])(?:related|recommended|nav|navbar|navigation|menu|footer)(?:$|[\s_-])", re.I)
+#: names that say what a wrapper has, not what it is
+_MODIFIER = re.compile(
+    r"(?:(?<!\S)|(?<=[_-]))(?:has|with|without|no)[_-]+\S+|(?<!\S)comments?[_-](?:open|closed|on|off|enabled|disabled)(?!\S)", re.I)
+_LAYOUT = re.compile(r"(?<!\S)(?:page|layout|site|wrapper|wrap)(?!\S)", re.I)
+_SIDES = re.compile(r"(?<!\S)(?:sidebars?[_-](?:left|right|both|none|one|two)|(?:left|right|both|one|two)[_-]sidebars?)(?!\S)", re.I)
+#: a tag without ``<`` or ``>`` in its quotes
+_PLAIN_TAG = re.compile(r"</?[a-zA-Z](?:[^<>\"']|\"[^\"<>]*\"|'[^'<>]*')*+>")
+_DELIMITER = re.compile("[<>\"']")
+_NAME = re.compile(
+    r"(?:^|[\s_-])(?:article|story|post|entry|content|main)(?:[\s_-]?(?:body|content|text))?(?:$|[\s_-])", re.I)
 #: names that say what a wrapper has, not what it is
 _MODIFIER = re.compile(
     r"(?:(?<!\S)|(?<=[_-]))(?:has|with|without|no)[_-]+\S+|(?<!\S)comments?[_-](?:open|closed|on|off|enabled|disabled)(?!\S)", re.I)
@@ -110,21 +154,38 @@ class Block:
     form: int = -1
 
 
+#: what a block stands in: nothing known, an article, boilerplate, a weaker boilerplate name in an article
+NONE, ARTICLE, BOILER, NAMED = 0, 1, 2, 3
 #: kinds while a page is read: boilerplate in which articles are none, a form in no container, a form in an article
-_CLOSED, _FORM, _MAIN_FORM = 3, 4, 5
+_CLOSED, _FORM, _MAIN_FORM = 4, 5, 6
+
+
+def _named(value: str) -> int | None:
+    """What a class or id says: comments, adverts or boilerplate of some kind, or nothing (None)."""
+    weak = None
+    for token in value.lower().split():
+        parts = [p for p in re.split(r"[_\d-]+", token) if p]
+        if any(p in _COMMENT_PARTS for p in parts) and all(p in _COMMENT_PARTS | _NEUTRAL_PARTS | _BOILER_PARTS for p in parts):
+            return _CLOSED
+        known = [p for p in parts if p in _BOILER_PARTS or p in _ADVERT_PARTS]
+        if known and all(p in _NEUTRAL_PARTS for p in parts if p not in known):
+            if any(p in _ADVERT_PARTS for p in known):
+                return BOILER
+            weak = _CLOSED if any(p in _CLOSED_PARTS for p in known) or weak == _CLOSED else NAMED
+    return weak
 
 
 def _container(name: str, tag: str, inside: int, in_main: bool) -> int:
-    """Kind of the container a tag opens: -1 skipped, 0 none, 1 article, 2 boilerplate, or one of those above."""
+    """Kind of the container a tag opens: -1 skipped, or one of the kinds above."""
     if name in _SKIPPED_TAGS:
         return -1
     if name in _CLOSED_TAGS:
         return _CLOSED
-    if name == "form" and inside in (0, 1):
+    if name == "form" and inside in (NONE, ARTICLE):
         return _MAIN_FORM if inside else _FORM
     if name in _BOILER_TAGS or name == "header" and not in_main:
-        return 2
-    kind = 1 if name in _MAIN_TAGS else inside
+        return BOILER
+    kind = ARTICLE if name in _MAIN_TAGS else inside
     if "=" in tag or "hidden" in tag:
         for key, a, b, c in _ATTRIBUTE.findall(tag):
             key, value = key.lower(), a or b or c
@@ -133,27 +194,126 @@ def _container(name: str, tag: str, inside: int, in_main: bool) -> int:
             if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 return -1
             if key == "role" and value.lower() in _BOILER_ROLES:
-                return _CLOSED if value.lower() in _CLOSED_ROLES else 2
+                return _CLOSED if value.lower() in _CLOSED_ROLES else BOILER
             if key == "role" and value.lower() in ("main", "article"):
-                kind = 1
+                kind = ARTICLE
             if key in ("class", "id") and name not in ("html", "body"):
                 value = _MODIFIER.sub(" ", value)
                 if _LAYOUT.search(value):
                     value = _SIDES.sub(" ", value)
-                if name not in _MAIN_TAGS and _COMMENT_NAME.search(value):
-                    return _CLOSED
-                if _MAIN_NAME.search(value):
-                    kind = {2: 2, _FORM: _MAIN_FORM, _MAIN_FORM: _MAIN_FORM}.get(kind, 1)
-                elif name not in _MAIN_TAGS and _BOILER_NAME.search(value):
-                    return _CLOSED if _CLOSED_NAME.search(value) else 2
+                said = None if name in _MAIN_TAGS else _named(value)
+                if said == NAMED and inside in (ARTICLE, NAMED):
+                    kind = NAMED
+                elif said is not None:
+                    return BOILER if said == NAMED else said
+                elif _MAIN_NAME.search(value):
+                    kind = {BOILER: BOILER, NAMED: NAMED, _FORM: _MAIN_FORM, _MAIN_FORM: _MAIN_FORM}.get(kind, ARTICLE)
     return kind
 
 
+class _Tokens:
+    """Front-to-back reader of a page: (text before, tag) pairs, each character looked at a few times at most."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at = page, 0
+        self.next_gt = -2          # the first '>' at or after the place last asked for
+        self.dead: set[int] = set()  # delimiters outside quotes from which no tag closes
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.cdata_end = page.rfind("]]>")
+
+    def _gt(self, at: int) -> int:
+        if self.next_gt != -1 and self.next_gt < at:
+            self.next_gt = self.page.find(">", at)
+        return self.next_gt
+
+    def _tag_end(self, start: int) -> int:
+        """End of the tag that opens at ``start``, or -1."""
+        page, at, seen = self.page, start + 1, []
+        while True:
+            found = _DELIMITER.search(page, at)
+            if found is None or found.start() in self.dead or found.group() == "<":
+                self.dead.update(seen)
+                break
+            at = found.end()
+            if found.group() == ">":
+                return at
+            seen.append(found.start())
+            if at <= self.last[found.group()]:  # a quote that closes; one that does not is a character
+                at = page.find(found.group(), at) + 1
+        gt, lt = self._gt(start), page.find("<", start + 1)
+        return gt + 1 if gt >= 0 and (lt < 0 or gt < lt) else -1
+
+    def __iter__(self) -> Iterator[tuple[str, str]]:
+        page, n, said = self.page, len(self.page), 0
+        while True:
+            start = page.find("<", self.at)
+            if start < 0:
+                yield page[said:], ""
+                return
+            follow = page[start + 1:start + 2]
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                end = n if end < 0 else end + 3
+            elif page.startswith("<![CDATA[", start) and start <= self.cdata_end:
+                end = page.find("]]>", start) + 3
+            elif follow in ("!", "?") and follow:
+                end = self._gt(start) + 1 or n
+            elif follow.isascii() and follow.isalpha() or follow == "/" and page[start + 2:start + 3].isascii() and page[start + 2:start + 3].isalpha():
+                found = _PLAIN_TAG.match(page, start)
+                end = found.end() if found else self._tag_end(start)
+            else:
+                end = -1
+            if end < 0:  # text
+                self.at = start + 1
+                continue
+            self.at = end
+            yield page[said:start], page[start:end]
+            said = self.at  # the reader may have moved on past raw text
+
+
+class _Open:
+    """The open elements, with the places of each name and of the elements a stray end tag does not leave."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.walls: list[int] = []
+        self.mains = 0
+
+    def push(self, name: str, kind: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in _BOILER_TAGS or name in _MAIN_TAGS:
+            self.walls.append(len(self.stack))
+            self.mains += name in _MAIN_TAGS
+        self.stack.append((name, kind))
+
+    def pop(self) -> None:
+        name, _ = self.stack.pop()
+        self.places[name].pop()
+        if self.walls and self.walls[-1] == len(self.stack):
+            self.walls.pop()
+            self.mains -= name in _MAIN_TAGS
+
+    def count(self, name: str) -> int:
+        return len(self.places.get(name, ()))
+
+    def match(self, name: str) -> int:
+        """Place of the element an end tag closes, or -1."""
+        places = self.places.get(name)
+        if not places or name not in ("body", "html") and self.walls and places[-1] < self.walls[-1]:
+            return -1
+        return places[-1]
+
+    @property
+    def kind(self) -> int:
+        return self.stack[-1][1] if self.stack else NONE
+
+
 def blocks(page: str | None) -> list[Block]:
     """Flat text blocks of a page in their order."""
     out: list[Block] = []
-    stack: list[tuple[str, int]] = []  # open elements and the kind each one's content has
-    kind, text, linked, link_depth = 0, [], [], 0
+    opened = _Open()
+    kind, text, linked = NONE, [], []
     form, forms = -1, 0  # number of the open form
 
     def flush() -> None:
@@ -168,27 +328,24 @@ def blocks(page: str | None) -> list[Block]:
     def say(piece: str) -> None:
         if piece and kind >= 0:
             text.append(piece)
-            if link_depth:
+            if opened.count("a"):
                 linked.append(piece)
 
     page = page or ""
-    at, n = 0, len(page)
-    while at < n:
-        found = _TOKEN.search(page, at)
-        if found is None:
-            say(page[at:])
+    tokens = _Tokens(page)
+    for before, tag in tokens:
+        say(before)
+        if not tag:
             break
-        say(page[at:found.start()])
-        tag, at = found.group(), found.end()
         if tag[1] in "!?":
-            if tag.startswith("<![CDATA["):
+            if tag.startswith("<![CDATA[") and tag.endswith("]]>"):
                 say(tag[9:-3])
             continue
         name = _NAME.match(tag).group(1).lower()
         if tag[1] != "/":
             if name in _RAW_TAGS:  # its text is not markup
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = end.end() if end else n
+                end = re.compile(rf"</{name}\s*>", re.I).search(page, tokens.at)
+                tokens.at = end.end() if end else len(page)
                 if name in _BLOCK_TAGS:
                     flush()
                 continue
@@ -199,64 +356,60 @@ def blocks(page: str | None) -> list[Block]:
             if name in _VOID_TAGS or tag.endswith("/>") and name not in _BLOCK_TAGS:
                 continue
             if name == "p":  # a paragraph ends where the next one begins
-                while stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "u", "font") and any(x == "p" for x, _ in stack[-8:]):
-                    stack.pop()
-                kind = stack[-1][1] if stack else 0
+                while opened.stack and opened.stack[-1][0] in _INLINE_TAGS and any(x == "p" for x, _ in opened.stack[-8:]):
+                    opened.pop()
+                kind = opened.kind
             inside = kind if kind in (-1, _CLOSED) else _container(
-                name, tag, kind if name != "form" or form < 0 else 2,
-                name == "header" and any(x in _MAIN_TAGS for x, _ in stack))
+                name, tag, kind if name != "form" or form < 0 else BOILER, name == "header" and opened.mains > 0)
             if inside != kind:
                 flush()
             if name == "form" and form < 0:
                 form, forms = forms, forms + 1
-            stack.append((name, inside))
+            opened.push(name, inside)
             kind = inside
-            link_depth += name == "a"
         else:
             if name in _BLOCK_TAGS:
                 flush()
-            depth = len(stack) - 1
-            while depth >= 0 and stack[depth][0] != name:
-                if stack[depth][0] in _BOILER_TAGS | _MAIN_TAGS and name not in ("body", "html"):
-                    depth = -1  # a stray end tag does not close what stands outside
-                    break
-                depth -= 1
-            if depth >= 0:
-                before = stack[depth - 1][1] if depth else 0
-                if before != kind:
+            place = opened.match(name)
+            if place >= 0:
+                outer = opened.stack[place - 1][1] if place else NONE
+                if outer != kind:
                     flush()
-                link_depth -= sum(x == "a" for x, _ in stack[depth:])
-                del stack[depth:]
-                kind = before
-                if form >= 0 and not any(x == "form" for x, _ in stack):
+                while len(opened.stack) > place:
+                    opened.pop()
+                kind = outer
+                if form >= 0 and not opened.count("form"):
                     form = -1
     flush()
     if forms:
         words = [0] * (forms + 1)  # the last of what stands in no form
         for b in out:
             words[b.form] += b.words
-        article = any(b.kind == 1 and b.form < 0 for b in out)
+        article = any(b.kind in (ARTICLE, NAMED) and b.form < 0 for b in out)
         for b in out:
             if b.kind in (_FORM, _MAIN_FORM):
                 wide = 2 * words[b.form] > sum(words) and (b.kind == _MAIN_FORM or not article)
-                b.kind = (1 if b.kind == _MAIN_FORM else 0) if wide else 2
+                b.kind = (ARTICLE if b.kind == _MAIN_FORM else NONE) if wide else BOILER
     for b in out:
-        b.kind = min(b.kind, 2)
+        b.kind = BOILER if b.kind > NAMED else b.kind
     return out
 
 
 def block_features(found: list[Block]) -> np.ndarray:
-    """Words and link density of each block and of its neighbours, and whether it is in an article or boilerplate."""
+    """Words and link density of each block and of its neighbours, and what it stands in."""
     own = np.array([(b.words, min(1.0, b.linked / b.words)) for b in found], float).reshape(-1, 2)
     edge = np.zeros((1, 2))
+    inside, outside = (sum(b.words for b in found if b.kind == k) for k in (ARTICLE, NONE))
+    more = inside > 0 and inside >= outside
     return np.hstack([own, np.vstack([edge, own[:-1]]), np.vstack([own[1:], edge]),
-                      np.array([(b.kind == 1, b.kind == 2) for b in found], float).reshape(-1, 2)])
+                      np.array([(b.kind in (ARTICLE, NAMED), b.kind in (BOILER, NAMED), more and b.kind == NONE)
+                                for b in found], float).reshape(-1, 3)])
 
 
 class DecisionTree:
     """Binary decision tree grown by Gini impurity."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 5) -> None:
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 7) -> None:
         self.feature, self.cut = -1, 0.0
         self.share = float(y.mean())
         if depth == 0 or self.share in (0.0, 1.0):

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -119,6 +120,60 @@ def test_wrappers_do_not_lose_the_article_and_comments_stay_out(page):
     assert got in (LONG, f"{LONG}\n\n{LONG}") and got.count(LONG) == min(page.count(f"<p>{LONG}</p>"), 2)
 
 
+SHORT = "Ten words of plain text are in this short paragraph here."
+
+
+@pytest.mark.parametrize("inner", [
+    '<section id="related-work"><p>{}</p></section>', '<div class="side-effects"><p>{}</p></div>',
+    '<div class="social-history"><p>{}</p></div>', '<section id="search-for-truth"><p>{}</p></section>',
+    '<div class="tasting-menu"><p>{}</p></div>', "<p><a href=x>{}</a></p>"])
+def test_names_that_only_begin_like_boilerplate_stay(inner):
+    page = f"<article><p>{LONG}</p>{inner.format(SHORT)}<p>{LONG}</p></article>"
+    assert html_text.main_text(page, html_text.train_tree()) == f"{LONG}\n\n{SHORT}\n\n{LONG}"
+
+
+def test_a_weak_name_does_not_remove_long_text_inside_an_article():
+    tree = html_text.train_tree()
+    for name in ("sidebar", "search", "share-buttons", "legal"):
+        page = f"<article><p>{LONG}</p><div class={name}><p>{LONG} more</p></div><div class={name}><p>Short words</p></div></article>"
+        assert html_text.main_text(page, tree) == f"{LONG}\n\n{LONG} more"
+
+
+@pytest.mark.parametrize("name", ["reader-responses", "user-feedback", "talkback", "comments-area", "related-posts", "ad", "ad-slot-2"])
+def test_comments_adverts_and_menus_stay_out(name):
+    page = f"<article><p>{LONG}</p><div class={name}><p>{LONG} no</p></div></article><div class={name}><p>{LONG} no</p></div>"
+    assert html_text.main_text(page, html_text.train_tree()) == LONG
+
+
+def test_words_outside_the_article_stay_out():
+    tree = html_text.train_tree()
+    assert html_text.main_text(f"<div>Home About Contact</div><div>{LONG}</div><div>{LONG}</div>", tree) == f"{LONG}\n\n{LONG}"
+    assert html_text.main_text(f"<div>Home About Contact</div><article>{LONG}</article><div>Teaser of some more words</div>", tree) == LONG
+
+
+@pytest.mark.parametrize("piece", ["<b>x<i></p>", "<header>x", "<![CDATA[ x", '<a x="<a" ', '<a "<a" ', "<a title='", "<div class=ad><p>",
+                                   "<article><i></p>", "<p>a<article></p>", "</p>", "<form><p>x", "<a x='<b ", "<!", "<!-- x", "&lt", "<x y=\"'>"])
+def test_time_grows_with_the_length_of_broken_pages(piece):
+    tree, times = html_text.train_tree(), []
+    for size in (100_000, 1_000_000):
+        page = piece * (size // len(piece))
+        start = time.perf_counter()
+        html_text.main_text(page, tree)
+        times.append(time.perf_counter() - start)
+    assert times[1] < 8 and times[1] < 40 * times[0] + 0.5
+
+
+def test_quotes_and_broken_tags():
+    def read(page):
+        return " | ".join(b.text for b in html_text.blocks(page))
+    assert read("<p title='a > b'>x</p>") == "x"
+    assert read('<p title="a <b> c">x</p>') == "x"
+    assert read("a < b, c <d and <b>e</b>") == "a < b, c <d and e"
+    assert read('<a title="x>y</a> z') == "y z"
+    assert read("<![CDATA[1 < 2]]> <!DOCTYPE x> 3") == "1 < 2 3"
+    assert read("x <p") == "x <p" and read("<") == "<" and read("</") == "</"
+
+
 @pytest.mark.parametrize("bits", [1 << 22, 64])
 def test_target_counts_every_good_document(spark, monkeypatch, bits):
     """Also when the filter over the good ids lets nearly everything pass."""
