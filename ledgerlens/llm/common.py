@@ -8,6 +8,7 @@ Arrow string column without decoding it.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, name)
+    if _scopes:
+        _scopes[-1].paths.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+class _Scope:
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Tables that what is returned still reads."""
+        self.kept |= {t._scratch_path for t in tables}
+
+
+_scopes: list[_Scope] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[_Scope]:
+    """Tables that ``written`` writes inside are removed at the end, but for those kept.
+
+    Kept tables belong to the enclosing block, if there is one.
+    """
+    scope = _Scope()
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        for path in scope.paths:
+            if path not in scope.kept:
+                target = spark._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            elif _scopes:
+                _scopes[-1].paths.append(path)
 
 
 def free_names(taken: Iterable[str], *names: str) -> list[str]:

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices, text_bytes, word_hashes, word_spans, written
+from ledgerlens.llm.common import slices, temporary_tables, text_bytes, word_hashes, word_spans, written
 from ledgerlens.operators.ranks import global_running_sum
 
 FILTERS = "ABCDE"
@@ -244,10 +244,12 @@ def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", part_col:
     marked = (labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("bad"))
               .filter((F.col("good") == 1) | (F.col("bad") == 1)))
-    counted = written(
-        document_masks(docs, id_col, part_col, text_col).join(marked, "doc_id", "left").groupBy("part", "mask")
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
-             F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "audit-masks")
+    with temporary_tables(spark) as tables:
+        counted = written(
+            document_masks(docs, id_col, part_col, text_col).join(marked, "doc_id", "left").groupBy("part", "mask")
+            .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
+                 F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "audit-masks")
+        tables.keep(counted)
     steps = spark.createDataFrame([(i, *o) for i, o in enumerate(orders())],
                                   "step_no int, filter_order string, step int, before int, bit int")
     mask, before, bit = F.col("mask"), F.col("before"), F.col("bit")

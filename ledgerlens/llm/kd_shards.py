@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import written
+from ledgerlens.llm.common import temporary_tables, written
 
 #: part of a shard's bytes by which a cut may miss the median without further search
 SLACK = 1 / 256
@@ -212,7 +212,9 @@ def shard(docs: DataFrame, labels: Sequence[str] = (), numbers: Sequence[Column]
     The number of shards is given, or follows from the bytes a shard should hold.
     """
     spark = docs.sparkSession
-    at, dims = points(docs, labels, numbers, id_col, text_col)
+    with temporary_tables(spark) as tables:
+        at, dims = points(docs, labels, numbers, id_col, text_col)
+        tables.keep(at)
     if shards is None:
         total = at.agg(F.sum("size")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))

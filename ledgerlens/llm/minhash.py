@@ -42,7 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import free_names, seeded, slices, text_bytes, word_hashes, word_spans, written
+from ledgerlens.llm.common import (
+    free_names, seeded, slices, temporary_tables, text_bytes, word_hashes, word_spans, written)
 
 SHINGLE = 5
 PERCENT = 80
@@ -55,7 +56,7 @@ BAND_ROWS = 6
 LEAST_AGREEMENT = 0.62
 BLOOM_BITS = (1 << 20, 1 << 26)
 #: shingles of the documents of one block of a bucket (on average)
-BLOCK_SHINGLES = 200_000
+BLOCK_SHINGLES = 100_000
 #: buckets up to this size are compared by a plain self-join
 SMALL_BUCKET = 16
 _BLOOM_SEEDS = (101, 102)
@@ -312,8 +313,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _blocks_task(percent: int, least: float):
-    """Links between different components inside one pair of blocks of a bucket.
+    """Links between different components inside one cell: a block of all documents of a
+    bucket beside a block of those outside the component of its hub.
 
+    Two documents outside it meet in two cells; the one with the smaller node asks.
     A pair is looked at only in the first bucket that both documents share, and
     its full sets are compared if the signatures agree enough.
     """
@@ -321,17 +324,17 @@ def _blocks_task(percent: int, least: float):
         def wide(name: str, kind) -> np.ndarray:
             return np.frombuffer(b"".join(table.column(name).to_pylist()), kind).reshape(table.num_rows, -1)
 
-        node, comp, part = (table.column(c).to_numpy() for c in ("node", "comp", "part"))
+        node, comp, outside = (table.column(c).to_numpy(zero_copy_only=False) for c in ("node", "comp", "outside"))
         sig = wide("sig", np.uint8)
         bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
         size = np.array([len(x) for x in sets])
-        key, low, high = (table.column(c)[0].as_py() for c in ("key", "i", "j"))
-        left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        key, main = (table.column(c)[0].as_py() for c in ("key", "main"))
+        ask, told = np.flatnonzero(outside), np.flatnonzero(~outside)
         here = int(np.flatnonzero(bands[0] == key)[0])
         out_a, out_b = [], []
-        for x in left.tolist():
-            other = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if low == high else True)]
+        for x in ask.tolist():
+            other = told[(comp[told] != comp[x]) & ((comp[told] == main) | (node[told] > node[x]))]
             other = other[100 * np.minimum(size[other], size[x]) >= percent * np.maximum(size[other], size[x])]
             other = other[(sig[other] == sig[x]).sum(axis=1) >= least * sig.shape[1]]
             other = other[(bands[other, :here] != bands[x, :here]).all(axis=1)]
@@ -392,9 +395,11 @@ class NearDuplicates:
         held = written(entries.join(joined, "node", "left")
                        .select("key", "hub", "node", "n", F.coalesce("component", "node").alias("comp")), "held")
         mixed = written(held.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"),
-                                                F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-                        .where("c0 <> c1 and size > 2").select("key", "size", "shingles"), "mixed")
-        held = written(held.where("node <> hub").join(mixed, "key").select("key", "node", "comp", "size", "shingles"), "held")
+                                                F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                                F.max(F.when(F.col("node") == F.col("hub"), F.col("comp"))).alias("main"))
+                        .where("c0 <> c1 and size > 2").select("key", "size", "shingles", "main"), "mixed")
+        held = written(held.where("node <> hub").join(mixed, "key").select("key", "node", "n", "comp", "size", "shingles", "main"),
+                       "held")
         small = held.where(F.col("size") <= SMALL_BUCKET).select("key", "node", "comp")
         pairs = (small.select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
                  .join(small.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b")), "key")
@@ -405,17 +410,36 @@ class NearDuplicates:
             return links
         whole = (self._sets(written(large.select("node").distinct(), "wanted"))
                  .join(nodes.select("node", "sig", "bands"), "node"))
-        parts = F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")
-        cells = (large.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
-                 .withColumn("x", F.explode(F.sequence(F.lit(0), parts - 1)))
-                 .select("key", "node", "comp", "part", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"))
-                 .join(whole, "node"))
-        found = (cells.groupBy("key", "i", "j").applyInArrow(_blocks_task(self.percent, LEAST_AGREEMENT), "a long, b long")
+        # every pair of different components has a document outside the hub's: those meet all others
+        asking = large.where(F.col("comp") != F.col("main"))
+        weights = asking.groupBy("key").agg(F.sum("n").alias("asked"))
+        large = large.join(weights, "key").select(
+            "key", "node", "comp", "main", *[F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK_SHINGLES)).cast("int").alias(p)
+                                             for c, p in (("asked", "blocks_i"), ("shingles", "blocks_j"))])
+
+        def dealt(rows: DataFrame, own: str, other: str, outside: bool) -> DataFrame:
+            """Rows in their own block, once for every block of the other side."""
+            return (rows.withColumn(own, F.pmod(F.xxhash64("node"), F.col(f"blocks_{own}")).cast("int"))
+                    .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"blocks_{other}") - 1)))
+                    .select("key", "i", "j", "node", "comp", "main", F.lit(outside).alias("outside")))
+        cells = dealt(large, "j", "i", False).union(dealt(large.where(F.col("comp") != F.col("main")), "i", "j", True))
+        found = (cells.join(whole, "node").groupBy("key", "i", "j")
+                 .applyInArrow(_blocks_task(self.percent, LEAST_AGREEMENT), "a long, b long")
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         return written(links.union(found).distinct(), "linked")
 
     def groups(self) -> DataFrame:
-        """(doc_id, n_shingles, component_id, kept, f1, f2) of every row."""
+        """(doc_id, n_shingles, component_id, kept, f1, f2) of every row, read from two tables that stay."""
+        with temporary_tables(self.docs.sparkSession) as tables:
+            sets = self._set_components()
+            tables.keep(sets)
+        own = F.coalesce("component_id", "doc_id")
+        return self.sketch.select("doc_id", "n", "f1", "f2").join(sets, ["f1", "f2", "n"], "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
+            (F.coalesce("root", F.lit(True)) & (F.col("doc_id") == own)).alias("kept"), "f1", "f2")
+
+    def _set_components(self) -> DataFrame:
+        """(f1, f2, n, component_id, root) of every shingle set."""
         same = self.same
         nodes = written(self.sketch.join(same, SET_OF_ID).dropDuplicates(SET_OF_ID).select("node", "n", "sig", "bands"),
                         "nodes")
@@ -434,11 +458,7 @@ class NearDuplicates:
         sets = same.join(joined.join(roots, "component"), "node", "left").select(
             "f1", "f2", "n", F.coalesce("component_id", "doc_id").alias("component_id"),
             F.coalesce(F.col("component") == F.col("node"), F.lit(True)).alias("root"))
-        sets = written(sets, "set-components")
-        own = F.coalesce("component_id", "doc_id")
-        return self.sketch.select("doc_id", "n", "f1", "f2").join(sets, ["f1", "f2", "n"], "left").select(
-            "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
-            (F.coalesce("root", F.lit(True)) & (F.col("doc_id") == own)).alias("kept"), "f1", "f2")
+        return written(sets, "set-components")
 
 
 def _groups(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -467,7 +487,9 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int =
     where they are read; only the rows they hold are shuffled to the exact joins,
     those of repeated ids by id and set.
     """
-    found = written(_groups(docs, shingle, percent, id_col, text_col).withColumnRenamed("n_shingles", "n"), "groups")
+    with temporary_tables(docs.sparkSession) as tables:
+        found = written(_groups(docs, shingle, percent, id_col, text_col).withColumnRenamed("n_shingles", "n"), "groups")
+        tables.keep(found)
     touched = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
                       .where("rows > 1 or not kept"), "touched")
     names = docs.columns

@@ -43,7 +43,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_redacted(read_table(spark, sf_dir, "documents"))
+    return token_counts.count_cleaned(read_table(spark, sf_dir, "documents"))
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

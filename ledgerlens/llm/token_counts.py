@@ -13,15 +13,18 @@ Each document is worked on alone inside its input split: no shuffle, no state
 between rows, memory bounded by one text.
 
 Defined cases: null or empty text has no pieces and no tokens; an edit on it only
-inserts. Edits are given in the coordinates of the original text, must not overlap
-and are clipped to it; a null edit list means none. Repeated rows are counted once
-per row. Columns other than those named are not read.
+inserts. Edits are given in the coordinates of the original text and are clipped to
+it. Of edits that overlap the one that begins first holds, of those that begin
+together the longest, then the one given first; the others are left out and not
+counted. Insertions at one place are made in the order given, before an edit that
+begins there. A null edit list means none. Repeated rows are counted once per row.
+Columns other than those named are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,13 +122,29 @@ class PieceTree:
         return begin
 
 
+def resolved(edits: list[dict] | None, n_chars: int) -> list[tuple[int, int, str]]:
+    """Edits as (start, stop, text) in order, clipped to the text and without overlaps."""
+    spans = []
+    for at, e in enumerate(edits or ()):
+        if e is not None:
+            start = min(max(e["start"] or 0, 0), n_chars)
+            stop = start if e["stop"] is None else min(max(e["stop"], start), n_chars)
+            spans.append((start, stop > start, -stop, at, e["text"] or ""))
+    out, free = [], 0
+    for start, replaces, stop, _, text in sorted(spans):  # insertions first, then the longest
+        if start >= free:
+            out.append((start, -stop, text))
+            free = -stop if replaces else free
+    return out
+
+
 def edited_counts(enc: PieceEncoder, text: str | None, edits: list[dict] | None) -> tuple[int, ...]:
     """(edits, tokens before, tokens after, pieces, pieces encoded anew, characters)."""
     tree = PieceTree(enc, text or "")
     before = tree.count()
-    todo = sorted((e for e in edits or () if e is not None), key=lambda e: -(e["start"] or 0))
-    for e in todo:  # from the end, so that earlier coordinates stay as they are
-        tree.replace(e["start"] or 0, e["stop"] if e["stop"] is not None else e["start"] or 0, e["text"] or "")
+    todo = resolved(edits, len(text or ""))
+    for start, stop, new in reversed(todo):  # from the end, so that earlier coordinates stay as they are
+        tree.replace(start, stop, new)
     return len(todo), before, tree.count(), tree.n_pieces(), tree.reencoded, tree.n_chars()
 
 
@@ -134,15 +153,45 @@ def redaction_edits(text: str | None, pattern: re.Pattern, placeholder: str) ->
     return [{"start": m.start(), "stop": m.end(), "text": placeholder} for m in pattern.finditer(text or "")]
 
 
-def _count_task(tokenizer: str, pattern: str | None, placeholder: str):
+_SPACES = re.compile(r"[^\S\n]*\n\s*\n\s*|[^\S\n]{2,}|[\t\r\x0b\x0c]")
+_HYPHEN = re.compile(r"(?<=\w)-\n(?=\w)")
+_DIGITS = re.compile(r"[0-9]{3,}")
+_LINE = re.compile(r"[^\n]*\S[^\n]*\n?")
+
+
+def cleaning_edits(text: str | None, placeholder: str = "[NUMBER]", sentence_words: int = 12) -> list[dict]:
+    """What a cleaning step does to a text, as edits that may overlap.
+
+    Lines equal to an earlier one go; words broken over two lines are joined; runs of
+    white space become one blank or one empty line; runs of three digits or more
+    become a placeholder; a text that does not begin with a heading gets one, made of
+    its first ``sentence_words`` words, and one that does not end a line gets a line end.
+    """
+    text = text or ""
+    out, seen = [], set()
+    words = text.split(None, sentence_words)[:sentence_words]
+    if words and not text.startswith("#"):
+        out.append((0, 0, "# " + " ".join(words) + "\n\n"))
+    if text and not text.endswith("\n"):
+        out.append((len(text), len(text), "\n"))
+    for m in _LINE.finditer(text):
+        line = m.group().strip()
+        if line in seen:
+            out.append((m.start(), m.end(), ""))
+        seen.add(line)
+    out += [(m.start(), m.end(), "") for m in _HYPHEN.finditer(text)]
+    out += [(m.start(), m.end(), "\n\n" if m.group().count("\n") > 1 else " ") for m in _SPACES.finditer(text)]
+    out += [(m.start(), m.end(), placeholder) for m in _DIGITS.finditer(text)]
+    return [{"start": a, "stop": b, "text": t} for a, b, t in out]
+
+
+def _count_task(tokenizer: str, edits_of: Callable[[str | None], list[dict]] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(public_path(tokenizer))
-        match = re.compile(pattern) if pattern else None
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = part.column("text").to_pylist()
-                edits = ([redaction_edits(t, match, placeholder) for t in texts] if match
-                         else part.column("edits").to_pylist())
+                edits = [edits_of(t) for t in texts] if edits_of else part.column("edits").to_pylist()
                 rows = [edited_counts(enc, t, e) for t, e in zip(texts, edits, strict=True)]
                 cols = [part.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))]
                 yield pa.RecordBatch.from_arrays(cols, schema=_ARROW)
@@ -162,10 +211,18 @@ def count_tokens(docs: DataFrame, edits_col: str = "edits", tokenizer: str = "by
     """
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                          F.col(edits_col).cast(EDITS).alias("edits"))
-    return picked.mapInArrow(_count_task(tokenizer, None, ""), SCHEMA)
+    return picked.mapInArrow(_count_task(tokenizer, None), SCHEMA)
 
 
 def count_redacted(docs: DataFrame, pattern: str = r"[0-9]{3,}", placeholder: str = "[NUMBER]",
                    tokenizer: str = "byte_bpe_50k.json", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token counts of every document before and after replacing each match of a pattern."""
-    return _picked(docs, id_col, text_col).mapInArrow(_count_task(tokenizer, pattern, placeholder), SCHEMA)
+    match = re.compile(pattern)
+    return _picked(docs, id_col, text_col).mapInArrow(
+        _count_task(tokenizer, lambda text: redaction_edits(text, match, placeholder)), SCHEMA)
+
+
+def count_cleaned(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """Token counts of every document before and after its cleaning edits."""
+    return _picked(docs, id_col, text_col).mapInArrow(_count_task(tokenizer, cleaning_edits), SCHEMA)

@@ -207,13 +207,15 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
               .where(F.length("text") <= SAMPLE_CHARS)
               .join(F.broadcast(chosen), "doc_id")  # at most toxic_rows + ordinary_rows ids
               .select("doc_id", "toxic", "text")
-              .mapInArrow(_codes_task, "doc_id long, toxic int, codes array<long>").toArrow())
+              .mapInArrow(_codes_task, "doc_id long, toxic int, codes array<long>")
+              .groupBy("doc_id", "toxic").agg(F.min("codes").alias("codes"))  # one row for a repeated id
+              .toArrow())
     rows = sorted(zip(sample.column("doc_id").to_pylist(), sample.column("toxic").to_pylist(),
                       range(sample.num_rows), strict=True))
     column = sample.column("codes").combine_chunks()
     by = {1: {}, 0: {}}
-    for doc_id, toxic, i in rows:  # one row per id
-        by[toxic].setdefault(doc_id, column[i].values.to_numpy().view(np.uint64))
+    for doc_id, toxic, i in rows:
+        by[toxic][doc_id] = column[i].values.to_numpy().view(np.uint64)
     return fit(list(by[1].values()), list(by[0].values()))
 
 

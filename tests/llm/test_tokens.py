@@ -146,3 +146,46 @@ def test_automaton_accepts_exactly_the_tokenizations():
                     symbols[i:i + 2] = [x + y]
                 i += 1
         assert [back[i] for i in machine.encode(word)] == symbols
+
+
+def applied(text, edits):
+    """The text after its edits, by the rule for overlapping ones, in plain Python."""
+    n, taken = len(text), []
+    inside = [(min(max(a, 0), n), min(max(a, b, 0), n), new) for a, b, new in edits]
+    for a, b, new in sorted(inside, key=lambda e: (e[0], e[1] > e[0], -e[1])):
+        if all(a >= q for _, q, _ in taken):
+            taken.append((a, b, new))
+    out, at = "", 0
+    for a, b, new in taken:
+        out += text[at:a] + new
+        at = b
+    return out + text[at:], len(taken)
+
+
+def test_overlapping_edits(byte_bpe):
+    enc, rnd = PieceEncoder(public_path("byte_bpe_50k.json")), random.Random(12)
+    for _ in range(150):
+        text = "".join(rnd.choice(["ab", " ", "\n", "don't", "é", "12", "  "]) for _ in range(rnd.randrange(25)))
+        edits = []
+        for _ in range(rnd.randrange(8)):
+            a = rnd.randrange(-2, len(text) + 3)
+            edits.append((a, a + rnd.choice([0, 0, 1, 3, 9]), rnd.choice(["", "x", " y", " "])))
+        want, kept = applied(text, edits)
+        told = [{"start": a, "stop": b, "text": t} for a, b, t in edits]
+        n, _, after, _, _, chars = token_counts.edited_counts(enc, text, [*told, None])
+        assert (n, after, chars) == (kept, len(byte_bpe.encode(want, add_special_tokens=False).ids), len(want))
+
+
+def test_cleaning_edits_every_document(spark, byte_bpe):
+    texts = [None, "", "\n", "one", "# head\nx\n", "a  b\t\tc 12345 d-\ne\n\n\n\nline\nline\n line\nend 999",
+             "x\r\ny\u00a0\u00a0z", "1234 1234\n1234 1234\n" * 3]
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    df = df.union(spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    texts = {r.doc_id: r.text or "" for r in df.collect()}
+    for r in token_counts.count_cleaned(df).collect():
+        edits = [(e["start"], e["stop"], e["text"]) for e in token_counts.cleaning_edits(texts[r.doc_id])]
+        want, kept = applied(texts[r.doc_id], edits)
+        assert (r.n_edits, r.n_chars) == (kept, len(want))
+        assert r.n_tokens == len(byte_bpe.encode(want, add_special_tokens=False).ids)
+        assert r.n_tokens_before == len(byte_bpe.encode(texts[r.doc_id], add_special_tokens=False).ids)
+        assert r.n_edits >= (len(texts[r.doc_id].split()) > 0 and not texts[r.doc_id].startswith("#"))
