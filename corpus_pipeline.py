@@ -3,8 +3,16 @@ group stays, and what is left is packed into training sequences.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet and read again as the docs of the next stage. All stages but the last
-return the columns of their input. Models are learned from ``labels`` and the
-documents the stage is given.
+return the columns of their input, whatever their names. Models are learned from
+``labels`` and the documents the stage is given.
+
+Defined cases: a null or empty text is neither toxic nor bad for what it says: the
+toxicity stage scores it like a text without toxic windows, the quality stage like one
+without words (it goes), and it is near-duplicate of nothing. Rows that repeat id and
+text are one document to the near-duplicate stage, which keeps one of them; the other
+stages treat every row alike. A null id is an id of its own. Without labels no
+document is toxic and texts with words are judged by their sites alone. Empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import minhash, packing, quality_classifier, toxicity
-from ledgerlens.llm.common import read_table, written
+from ledgerlens.llm.common import read_table, temporary_tables, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; only the last one's table is left behind."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with temporary_tables(spark) as tables:
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        tables.keep(docs)
     return docs
