@@ -9,8 +9,8 @@ is employee → branch → company and channel → channel type; ``part`` are
 vehicle models; ``customer.c_mktsegment`` is the tier, ``c_acctbal`` the
 age-like number; ``events`` is the monthly KPI feed.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over
-the whole tables.
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables; small intermediates that are read more than once are computed on the way.
 """
 
 from __future__ import annotations
@@ -869,20 +869,21 @@ def kpi_by_product(spark, d):
 def executive_lists(spark, d):
     """Top five products, channels and employees by revenue, as (list, rank, name, revenue, pct)."""
     li = _lines(spark, d).select("l_partkey", "l_suppkey", "l_extendedprice")
-    total = li.agg(F.sum(money("l_extendedprice")).alias("_total"))
 
     def revenue(key):
-        return (li.filter(F.col(key).isNotNull()).groupBy(key)
-                .agg(F.coalesce(F.sum(money("l_extendedprice")), F.lit(0).cast("decimal(28,2)")).alias("_rev")))
+        return li.groupBy(key).agg(F.coalesce(F.sum(money("l_extendedprice")), F.lit(0).cast("decimal(28,2)")).alias("_rev"))
 
     def top(name, df, key, label):
         return top_k(df, "_rev", key, 5).select(F.lit(name).alias("list"), "rank", label.alias("name"), "_rev")
 
     part, supplier = _t(spark, d, "part"), _t(spark, d, "supplier")
-    products = lookup_small(top_k(revenue("l_partkey"), "_rev", "l_partkey", 5), "l_partkey", part, "p_partkey",
+    per_part = revenue("l_partkey").filter(F.col("l_partkey").isNotNull())
+    products = lookup_small(top_k(per_part, "_rev", "l_partkey", 5), "l_partkey", part, "p_partkey",
                             ["p_name"], default={"p_name": "Unknown"}).select(
         F.lit("products").alias("list"), "rank", F.col("p_name").alias("name"), "_rev")
-    per_supplier = materialize(revenue("l_suppkey"))  # read by employees and channels
+    per_any = materialize(revenue("l_suppkey"))  # read by employees, channels and the total (with its null key)
+    total = per_any.agg(F.sum("_rev").alias("_total"))
+    per_supplier = per_any.filter(F.col("l_suppkey").isNotNull())
     employees = lookup_small(top_k(per_supplier, "_rev", "l_suppkey", 5), "l_suppkey", supplier, "s_suppkey",
                              ["s_name"], default={"s_name": "Unknown"}).select(
         F.lit("employees").alias("list"), "rank", F.col("s_name").alias("name"), "_rev")
@@ -917,9 +918,11 @@ def executive_shares(spark, d):
 @query
 def product_listing(spark, d):
     """Product groups (brands) with their types and number of products."""
-    return (_t(spark, d, "part").filter(F.col("p_brand").isNotNull()).groupBy("p_brand")
-            .agg(F.count("p_partkey").alias("n_products"),
-                 F.array_join(F.array_sort(F.collect_set("p_type")), ", ").alias("types")))
+    # a brand's list is gathered from its distinct types, one row each
+    pairs = (_t(spark, d, "part").filter(F.col("p_brand").isNotNull()).groupBy("p_brand", "p_type")
+             .agg(F.count("p_partkey").alias("n")))
+    return pairs.groupBy("p_brand").agg(F.sum("n").alias("n_products"),
+                                        F.array_join(F.array_sort(F.collect_list("p_type")), ", ").alias("types"))
 
 
 from ledgerlens import catalog_ingest  # noqa: E402,F401  (registers its queries)
