@@ -7,8 +7,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from test_minhash import brute
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from ledgerlens.llm import quality_classifier, topk_search, toxicity
+from ledgerlens.llm.tokens import public_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -212,6 +216,26 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
 
 
+def test_pipeline_equals_its_operators_and_brute_force(spark):
+    """Each stage's decisions, taken from the operator's own table or from all pairs, give run()'s pieces."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scores = {r.doc_id: r.score for r in toxicity.scores(docs, toxicity.train(docs, labels)).collect()}
+    clean = docs.filter(F.col("doc_id").isin([i for i, x in scores.items() if x < 0.5]))
+    judged = quality_classifier.classify(clean, labels, F.col("source"), F.col("lang")).collect()
+    good = {r.doc_id for r in judged if r.kept}
+    texts = {r.doc_id: r.text or "" for r in clean.collect() if r.doc_id in good}
+    component = brute(sorted(texts.items()), 5)
+    left = {i for i in texts if component[i][1] == i}
+    lib = Tokenizer.from_file(public_path("byte_bpe_50k.json"))
+    want = {i: len(lib.encode(texts[i], add_special_tokens=False).ids) + 1 for i in left}
+    got, rooms = {}, {}
+    for r in corpus_pipeline.run(spark, SF).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+        rooms[r.sequence_id] = rooms.get(r.sequence_id, 0) + r.length
+    assert got == want and max(rooms.values()) <= 1024
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import bpe, packing, token_counts
@@ -60,6 +61,27 @@ def test_packing(spark, byte_bpe):
     assert packing.pack(df.limit(0)).collect() == []
 
 
+def test_packing_of_repeated_and_null_ids(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (1, "other"), (None, "x"), (None, None), (2, "w " * 3000), (2, "w " * 3000)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    tokens = {}
+    for r in got:
+        tokens[r.doc_id] = tokens.get(r.doc_id, 0) + r.length
+    enc = PieceEncoder(public_path("byte_bpe_50k.json"))
+    want = {}
+    for i, t in rows:
+        want[-1 if i is None else i] = want.get(-1 if i is None else i, 0) + len(enc.ids(t)) + 1
+    assert tokens == want
+    assert sum(r.length == 1024 for r in got) == 2 * ((len(enc.ids("w " * 3000)) + 1) // 1024)
+
+
+def test_padding_is_little(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1)
+    found = packing.pack(docs).select("sequence_id", "sequence_tokens", "padded_tokens").distinct()
+    used, padded = found.agg(F.sum("sequence_tokens"), F.sum("padded_tokens")).first()
+    assert padded <= 1.01 * used
+
+
 def test_best_fit_decreasing_equals_a_plain_search():
     rnd = random.Random(3)
     lengths = [rnd.randint(1, 64) for _ in range(400)]
