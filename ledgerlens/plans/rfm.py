@@ -41,16 +41,15 @@ def rfm_base(orders: DataFrame, key: str = "o_custkey", order_id: str = "o_order
     """(customer_key, recency, frequency, monetary[decimal]).
 
     Reference date = latest order date + 1 day. Customers without any valid
-    date have no recency and are left out (they cannot be scored).
+    date have no recency and are left out (they cannot be scored). Orders are read
+    once: the customer table is materialised, and the latest date is read off it.
     """
     o = order_frame(orders, key, order_id, date, amount)
-    ref = o.agg(F.date_add(F.max("order_date"), 1).alias("_ref"))  # one row
-    base = (o.groupBy(KEY)
-            .agg(F.max("order_date").alias("_last"),
-                 F.count("order_id").alias("frequency"),
-                 F.coalesce(F.sum("amount"), F.lit(0).cast("decimal(28,2)")).alias("monetary")))
-    return (base.transform(with_row(ref))
-            .withColumn("recency", F.datediff("_ref", "_last").cast("long"))
+    base = materialize(o.groupBy(KEY).agg(
+        F.max("order_date").alias("_last"), F.count("order_id").alias("frequency"),
+        F.coalesce(F.sum("amount"), F.lit(0).cast("decimal(28,2)")).alias("monetary")))
+    ref = F.date_add(F.lit(base.agg(F.max("_last")).first()[0]).cast("date"), 1)
+    return (base.withColumn("recency", F.datediff(ref, "_last").cast("long"))
             .filter(F.col("recency").isNotNull())
             .select(KEY, "recency", "frequency", "monetary"))
 
@@ -80,10 +79,8 @@ def rfm_scores(base: DataFrame) -> DataFrame:
       lowest edge included; coinciding edges -> first matching edge wins.
     * F, M: ``qcut(rank(method='first'))`` – rank on (metric, key).
 
-    The customer table is materialised once; the edges are read from it, so the
-    orders aggregate runs once.
+    ``base`` is read by several jobs: it should be materialised (``rfm_base`` is).
     """
-    base = materialize(base)
     edges = base.agg(F.percentile("recency", R_PROBS).alias("_e"))
     e = F.col("_e")
     r = (F.when(F.col("recency") <= e[0], 5).when(F.col("recency") <= e[1], 4)
