@@ -394,11 +394,16 @@ class NearDuplicates:
         """Links inside buckets between different components (hub pairs are tested already)."""
         held = written(entries.join(joined, "node", "left")
                        .select("key", "hub", "node", "n", F.coalesce("component", "node").alias("comp")), "held")
-        mixed = written(held.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"),
-                                                F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                                                F.max(F.when(F.col("node") == F.col("hub"), F.col("comp"))).alias("main"))
-                        .where("c0 <> c1 and size > 2").select("key", "size", "shingles", "main"), "mixed")
-        held = written(held.where("node <> hub").join(mixed, "key").select("key", "node", "n", "comp", "size", "shingles", "main"),
+        # per component first, so that the hub's and what is outside it are told apart without a join
+        of_hub = F.col("hub_here") == 1
+        mixed = written(held.groupBy("key", "comp").agg(
+            F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"),
+            F.max((F.col("node") == F.col("hub")).cast("int")).alias("hub_here"))
+            .groupBy("key").agg(F.sum("size").alias("size"), F.sum("shingles").alias("shingles"), F.count(F.lit(1)).alias("comps"),
+                                F.max(F.when(of_hub, F.col("comp"))).alias("main"),
+                                F.sum(F.when(of_hub, 0).otherwise(F.col("shingles"))).alias("asked"))
+            .where("comps > 1 and size > 2").drop("comps"), "mixed")
+        held = written(held.where("node <> hub").join(mixed, "key").select("key", "node", "comp", "size", "shingles", "asked", "main"),
                        "held")
         small = held.where(F.col("size") <= SMALL_BUCKET).select("key", "node", "comp")
         pairs = (small.select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
@@ -411,9 +416,7 @@ class NearDuplicates:
         whole = (self._sets(written(large.select("node").distinct(), "wanted"))
                  .join(nodes.select("node", "sig", "bands"), "node"))
         # every pair of different components has a document outside the hub's: those meet all others
-        asking = large.where(F.col("comp") != F.col("main"))
-        weights = asking.groupBy("key").agg(F.sum("n").alias("asked"))
-        large = large.join(weights, "key").select(
+        large = large.select(
             "key", "node", "comp", "main", *[F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK_SHINGLES)).cast("int").alias(p)
                                              for c, p in (("asked", "blocks_i"), ("shingles", "blocks_j"))])
 
