@@ -8,7 +8,6 @@ from collections import Counter
 
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from ledgerlens.llm import chat, html_text, quality_rules
 
