@@ -8,7 +8,6 @@ joins only the k survivors.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.exprs import money, pct, truncate, round6, mean_of_sum
 from ledgerlens.operators.lookup import lookup, lookup_small, dedup_dimension
-from ledgerlens.operators.rollups import bottom_k, money_rollup, non_null_keys, top_k
+from ledgerlens.operators.rollups import bottom_k, money_rollup, top_k
 from ledgerlens.operators.selection import Place, find
 from ledgerlens.session import materialize
 from ledgerlens.operators.scalars import with_row

@@ -1,7 +1,5 @@
 """Sources and sinks: table loader, CSV sink, matrix sink."""
 
-from pyspark.sql import functions as F
-
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import sinks
 from ledgerlens.sources.tables import load_tables
