@@ -140,12 +140,12 @@ def pareto_80(spark, d):
 CUSTOMER_ATTRS = ["c_mktsegment", "c_acctbal", "c_nationkey"]
 
 
-def _facts(spark, d, members=None):
+def _facts(spark, d):
     return cv.order_facts(_t(spark, d, "orders"), _t(spark, d, "lineitem"),
                           key="o_custkey", order_id="o_orderkey", date="o_orderdate",
                           amount="o_totalprice", company="o_orderpriority",
                           line_order_key="l_orderkey", line_price="l_extendedprice",
-                          line_qty="l_quantity", members=members)
+                          line_qty="l_quantity")
 
 
 def _volume_margin(spark, d):
@@ -171,9 +171,11 @@ def volume_margin_tiers(spark, d):
 def _feature_table(spark, d, scored=None):
     if scored is None:
         scored = rfm_plan.rfm(_t(spark, d, "orders"))
-    # lines and orders are read once; the facts feed three aggregates
-    facts = materialize(_facts(spark, d, {"_products": "l_partkey", "_channels": "l_suppkey"}))
-    feats = cv.feature_aggregates(facts)
+    # the facts feed the aggregate, its labels and the owners of the lines
+    facts = materialize(_facts(spark, d))
+    members = cv.member_counts(facts, _t(spark, d, "lineitem"), "l_orderkey",
+                               {"n_products": "l_partkey", "n_channels": "l_suppkey"})
+    feats = cv.feature_aggregates(facts, members)
     dates = _t(spark, d, "orders").select(F.to_date("o_orderdate").alias("order_date"))
     return cv.feature_table(scored, _t(spark, d, "customer"), "c_custkey", feats, dates)
 

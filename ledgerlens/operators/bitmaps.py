@@ -51,23 +51,25 @@ def counted(bits: DataFrame, groups: Sequence[str] = (), name: str = "n_distinct
     return bits.groupBy(*groups).agg(total) if groups else bits.agg(total)
 
 
-def distinct_counts(df: DataFrame, columns: Mapping[str, str], rows: str | None = None) -> DataFrame:
-    """One row with the distinct values of several integer columns (name -> column), from one scan.
+def distinct_counts(df: DataFrame, columns: Mapping[str, str], rows: str | None = None,
+                    groups: Sequence[str] = ()) -> DataFrame:
+    """The distinct values of several integer columns (name -> column), from one scan:
+    one row, or with ``groups`` one per group.
 
-    ``rows`` names a count of all rows.
+    ``rows`` names a count of all rows; without it a group that holds no value has no row.
     """
     parts = [F.struct(F.lit(i).alias("i"), word_of(F.col(c)).alias(WORD), bit_of(F.col(c)).alias(BITS))
              for i, c in enumerate(columns.values())]
     if rows:  # one word that counts its rows
         parts.append(F.struct(F.lit(-1).alias("i"), F.lit(0).cast("long").alias(WORD), F.lit(0).cast("long").alias(BITS)))
-    each = df.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
-    state = (each.filter(F.col(WORD).isNotNull()).groupBy("i", WORD)
-             .agg(F.bit_or(BITS).alias(BITS), F.count(F.lit(1)).alias("_ll_n")))
-    out = [F.coalesce(F.sum(F.when(F.col("i") == i, F.bit_count(BITS))), F.lit(0)).cast("long").alias(n)
+    each = df.select(*groups, F.explode(F.array(*parts)).alias("_ll_p"))
+    state = (each.filter(F.col(f"_ll_p.{WORD}").isNotNull()).groupBy(*groups, F.col("_ll_p.i").alias("_ll_i"), F.col(f"_ll_p.{WORD}"))
+             .agg(F.bit_or(f"_ll_p.{BITS}").alias(BITS), F.count(F.lit(1)).alias("_ll_n")))
+    out = [F.coalesce(F.sum(F.when(F.col("_ll_i") == i, F.bit_count(BITS))), F.lit(0)).cast("long").alias(n)
            for i, n in enumerate(columns)]
     if rows:
-        out.insert(0, F.coalesce(F.sum(F.when(F.col("i") == -1, F.col("_ll_n"))), F.lit(0)).alias(rows))
-    return state.agg(*out)
+        out.insert(0, F.coalesce(F.sum(F.when(F.col("_ll_i") == -1, F.col("_ll_n"))), F.lit(0)).alias(rows))
+    return state.groupBy(*groups).agg(*out) if groups else state.agg(*out)
 
 
 def distinct_rollup(df: DataFrame, value: str, dims: Sequence[str], levels: Mapping[str, Sequence[str]],

@@ -2,19 +2,20 @@
 
 Order lines are pre-aggregated per order before they meet the orders table
 (one row per order crosses the join shuffle instead of one per line), and
-every per-customer metric comes out of a single group-by.
+every per-customer sum comes out of a single group-by. Distinct products and
+channels are bitmap words per customer: no order and no customer holds a list.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.exprs import money, mean_of_sum, round6, round_half_even
-from ledgerlens.operators import labels
+from ledgerlens.operators import bitmaps, labels
 from ledgerlens.operators.lookup import lookup
 from ledgerlens.operators.scalars import with_row
 
@@ -38,22 +39,16 @@ def _with_last_label(facts: DataFrame, company: str, aggs: list, name: str) -> D
             .withColumn(name, labels.decode(F.col(name), known)))
 
 
-def order_lines(lines: DataFrame, order_key: str, price: str, qty: str,
-                members: dict[str, str] | None = None) -> DataFrame:
-    """(order_key, volume, duration) per order: line price sum and quantity sum.
-
-    ``members`` (name -> column) adds the distinct values of an order's lines.
-    """
-    sets = [F.collect_set(c).alias(name) for name, c in (members or {}).items()]
+def order_lines(lines: DataFrame, order_key: str, price: str, qty: str) -> DataFrame:
+    """(order_key, volume, duration) per order: line price sum and quantity sum."""
     return (lines.groupBy(F.col(order_key).alias("_order"))
-            .agg(F.sum(money(price)).alias("volume"), F.sum(qty).alias("duration"), *sets))
+            .agg(F.sum(money(price)).alias("volume"), F.sum(qty).alias("duration")))
 
 
 def order_facts(orders: DataFrame, lines: DataFrame, *, key: str, order_id: str,
                 date: str, amount: str, company: str,
-                line_order_key: str, line_price: str, line_qty: str,
-                members: dict[str, str] | None = None) -> DataFrame:
-    per_order = order_lines(lines, line_order_key, line_price, line_qty, members)
+                line_order_key: str, line_price: str, line_qty: str) -> DataFrame:
+    per_order = order_lines(lines, line_order_key, line_price, line_qty)
     o = orders.select(F.col(key).alias(KEY), F.col(order_id).alias("_order"),
                       F.to_date(date).alias("order_date"), money(amount).alias("margin"),
                       F.col(company).alias("company"))
@@ -91,13 +86,31 @@ def volume_margin_by_tier(vm: DataFrame, tier: str) -> DataFrame:
                     "count")
 
 
-def feature_aggregates(facts: DataFrame) -> DataFrame:
+def member_counts(facts: DataFrame, lines: DataFrame, line_order_key: str,
+                  members: Mapping[str, str]) -> DataFrame:
+    """Per customer, the distinct non-null values of line columns (name -> column).
+
+    Integer columns become bitmap words, counted for all of them in one pass over the
+    joined lines; columns of other types are de-duplicated with the customer.
+    Customers without lines have no row.
+    """
+    owned = (lines.select(F.col(line_order_key).alias("_order"), *[F.col(c).alias(n) for n, c in members.items()])
+             .join(facts.select(KEY, "_order"), "_order"))
+    coded = {n: n for n in members if bitmaps.is_integer(owned, n)}
+    out = bitmaps.distinct_counts(owned, coded, rows="_lines", groups=[KEY]).drop("_lines")
+    for n in members:
+        if n not in coded:
+            one = (owned.filter(F.col(n).isNotNull()).select(KEY, n).distinct()
+                   .groupBy(KEY).agg(F.count(F.lit(1)).alias(n)))
+            out = out.join(one, KEY, "left").withColumn(n, F.coalesce(n, F.lit(0)).cast("long"))
+    return out
+
+
+def feature_aggregates(facts: DataFrame, members: DataFrame) -> DataFrame:
     """The wide per-customer aggregate (count, sum/mean/std, min/max dates,
     mean duration, last company, distinct products / channels / employees).
 
-    ``facts`` carries the distinct products and channels of every order
-    (``order_facts(members=...)``), so the lines are read once and only
-    (customer, member) pairs are de-duplicated.
+    ``members`` has ``n_products`` and ``n_channels`` per customer (``member_counts``).
     """
     per_order = _with_last_label(facts, "company", [
         F.count("_order").alias("order_count"),
@@ -108,10 +121,6 @@ def feature_aggregates(facts: DataFrame) -> DataFrame:
         F.max("order_date").alias("last_order_date"),
         F.sum("duration").alias("_dur_sum"), F.count("duration").alias("_dur_n")], "last_company")
 
-    def distinct(members: str, name: str) -> DataFrame:
-        return (facts.select(KEY, F.explode(members).alias("_x")).distinct()
-                .groupBy(KEY).agg(F.count(F.lit(1)).alias(name)))
-
     per_order = per_order.select(
         KEY, "order_count",
         F.col("_margin_sum").cast("double").alias("margin_sum"),
@@ -123,8 +132,7 @@ def feature_aggregates(facts: DataFrame) -> DataFrame:
         round6(mean_of_sum("_dur_sum", "_dur_n")).alias("duration_mean"),
         "last_company")
     # employee and detail channel are the same column here
-    return (per_order.join(distinct("_products", "n_products"), KEY, "left")
-            .join(distinct("_channels", "n_channels"), KEY, "left")
+    return (per_order.join(members.select(KEY, "n_products", "n_channels"), KEY, "left")
             .withColumn("n_employees", F.col("n_channels")))
 
 

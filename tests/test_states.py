@@ -125,3 +125,30 @@ def test_a_truncated_file_is_detected(spark, tmp_path):
     os.remove(tmp_path / "out" / f".{part}.crc")
     with pytest.raises(ValueError, match="rows written"):
         outputs.verify_rows(spark, {"x": (path, got["n_rows"])})
+
+
+def test_members_are_counted_per_customer(spark):
+    rng = random.Random(8)
+    orders = [(i, None if i % 17 == 0 else i % 9) for i in range(200)] + [(300, 100)]
+    # order 5 holds a third of the lines
+    lines = [(5 if n % 3 == 0 else rng.randrange(220), rng.choice([None, -70, 0, *range(100)]), rng.choice(["a", "b", None]))
+             for n in range(1500)] + [(None, 1, "a"), (300, None, "a")]
+    facts = spark.createDataFrame([(c, i) for i, c in orders if c is not None], f"{cv.KEY} long, _order long")
+    df = spark.createDataFrame(lines, "o long, p long, t string").repartition(4)
+    want = {}
+    for o, p, t in lines:
+        c = dict(orders).get(o)
+        if c is not None:
+            held = want.setdefault(c, (set(), set()))
+            held[0].update([p] if p is not None else [])
+            held[1].update([t] if t is not None else [])
+    counts = cv.member_counts(facts, df, "o", {"n_p": "p", "n_t": "t"})
+    assert {r[0]: (r.n_p, r.n_t) for r in counts.collect()} == {c: (len(p), len(t)) for c, (p, t) in want.items()}
+    assert cv.member_counts(facts, df.limit(0), "o", {"n_p": "p"}).collect() == []
+
+
+def test_features_keep_fixed_width_states(spark):
+    from ledgerlens import catalog
+    plan = catalog.customer_features(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in plan and "collect_set" not in plan
+    assert "ObjectHashAggregate(keys=[cust" not in plan and "ObjectHashAggregate(keys=[_order" not in plan
